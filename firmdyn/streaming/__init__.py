@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference computes every statistic in batch over a whole panel; it has no
+streams, watermarks or state, so nothing lives here. A panel that arrives in parts
+is handled by re-running the batch operators on the grown folder.
+"""
