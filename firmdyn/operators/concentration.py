@@ -27,7 +27,7 @@ from firmdyn.operators.pairs import (count_at, exact_abs_pair_sums, firm_key_row
 from firmdyn.operators.share import cell_totals
 from firmdyn.schema import (CELL, CELL_YEAR, FIRM, FIRM_KEY, OUT_COUNTRY, OUT_INDUSTRY,
                             SALES, TOP_K, YEAR, LongDiffSpec, TREATMENT)
-from firmdyn.session import checked_broadcast, materialize
+from firmdyn.session import checked_broadcast, materialize_observed
 
 
 def _positive_sales(panel: DataFrame) -> DataFrame:
@@ -89,13 +89,15 @@ def turbulence(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
             .select(*FIRM_KEY, YEAR, ratio(F.col(SALES), F.col("_total")).alias("share")))
 
     share = F.col("share")
-    firms = materialize(per_firm(rows, spec, {}, {
-        "lo": lambda on: F.min(F.when(on, share)),
-        "hi": lambda on: F.max(F.when(on, share)),
-    }))
     single = F.lit(not force_exact)
     for yr in spec.years:
         single = single & F.coalesce(F.col(f"lo{side(yr)}") == F.col(f"hi{side(yr)}"), F.lit(True))
+    firms, seen = materialize_observed(
+        per_firm(rows, spec, {}, {
+            "lo": lambda on: F.min(F.when(on, share)),
+            "hi": lambda on: F.max(F.when(on, share)),
+        }),
+        multi=F.count(F.when(~single, F.lit(1))))
 
     b = spec.base
     aggs = []
@@ -107,8 +109,8 @@ def turbulence(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
         aggs.append(F.sum(F.when(sv, pairs * gap)).alias(f"abs_{h}"))
     cells = firms.where(single).groupBy(*CELL).agg(*aggs)
 
-    multi, n_multi = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
-    if n_multi:
+    if seen["multi"]:
+        multi, _ = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
         vals = (rows.join(multi, list(FIRM_KEY), "left_semi")
                     .groupBy(*FIRM_KEY, YEAR, "share").agg(F.count(F.lit(1)).alias("_copies")))
         exact = exact_abs_pair_sums(vals, spec, "share", "_copies")

@@ -28,7 +28,7 @@ from firmdyn.operators.pairs import count_at, firm_key_rows, per_firm, side, sur
 from firmdyn.operators.share import industry_share
 from firmdyn.schema import (CELL, CELL_YEAR, COGS, MARKUP_MAX, MARKUP_MIN, SALES,
                             LongDiffSpec, TREATMENT)
-from firmdyn.session import materialize
+from firmdyn.session import materialize_observed
 
 DECOMP_TERMS = ("Within", "Between", "Cross")
 
@@ -79,10 +79,10 @@ def markup_decomposition(sample: DataFrame, spec: LongDiffSpec = TREATMENT) -> D
     survivors selects the rows, and skipped horizons stay as null columns (so the
     schema is fixed; with no survivor at all the table is empty).
     """
-    sums = materialize(decomposition_sums(sample, spec))
-    flags = sums.agg(*[F.max(F.col(f"pairs_{h}") > 0).alias(str(h))
-                       for h in spec.horizons]).first()
-    anchor = next((h for h in spec.horizons if flags[str(h)]), None)
+    sums, flags = materialize_observed(
+        decomposition_sums(sample, spec),
+        **{f"h{h}": F.max(F.col(f"pairs_{h}") > 0) for h in spec.horizons})
+    anchor = next((h for h in spec.horizons if flags[f"h{h}"]), None)
     b = spec.base
     t_b = F.col(f"T{side(b)}")
     cols = output_keys(CELL)

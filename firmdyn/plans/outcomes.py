@@ -26,6 +26,14 @@ from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_pan
 
 FAMILIES = ("markup_decomp", "op_covariance", "dispersion", "concentration")
 
+# family -> (pruned panel, window, industry-year tables, broadcast limit) -> outcome
+BUILDERS = {
+    "markup_decomp": lambda p, spec, t, m: markup_decomposition(markup_sample(p), spec),
+    "op_covariance": lambda p, spec, t, m: op_covariance(p, spec, t["opcov"]),
+    "dispersion": lambda p, spec, t, m: dispersion(p, spec, t["dispersion"]),
+    "concentration": lambda p, spec, t, m: concentration(p, spec, t["concentration"], m),
+}
+
 
 def by_year_tables(panel: DataFrame) -> dict[str, DataFrame]:
     """The window-independent industry-year tables, materialised once."""
@@ -43,12 +51,7 @@ def run_outcomes(panel: DataFrame, spec: LongDiffSpec = TREATMENT, *,
     treatment window, the firm markup panel as parquet)."""
     pruned = panel.select(*PANEL_COLUMNS)
     tables = by_year if by_year is not None else by_year_tables(pruned)
-    results = {
-        "markup_decomp": markup_decomposition(markup_sample(pruned), spec),
-        "op_covariance": op_covariance(pruned, spec, tables["opcov"]),
-        "dispersion": dispersion(pruned, spec, tables["dispersion"]),
-        "concentration": concentration(pruned, spec, tables["concentration"], max_rows),
-    }
+    results = {f: BUILDERS[f](pruned, spec, tables, max_rows) for f in FAMILIES}
     if save:
         if out_dir is None:
             raise ValueError("save=True needs out_dir")

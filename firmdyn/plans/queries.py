@@ -54,38 +54,38 @@ def _summary(panel: DataFrame) -> DataFrame:
 
 ROW_KEYS = (FIRM, COUNTRY, INDUSTRY, YEAR)
 
+# name -> statistic of a prepared panel (the operator under test)
+PANEL_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "firm_panel": lambda p: p,
+    "guarded_log_ratios": lambda p: log_ratios(p).select(
+        *ROW_KEYS, "log_mrpl", "log_mrpk", "log_markup"),
+    "industry_share": lambda p: industry_share(p.where(positive(SALES))).select(
+        *ROW_KEYS, SALES, "share"),
+    "firm_markup": firm_markup,
+    "survivor_pairs": lambda p: survivor_pairs(p.where(positive(SALES)), TREATMENT),
+    "opcov_by_year": opcov_by_year,
+    "dispersion_by_year": dispersion_by_year,
+    "cr4_by_year": lambda p: concentration_by_year(p).select(*CELL_YEAR, "cr4"),
+    "n_firms_by_year": lambda p: n_firms_by_year(p).select(*CELL_YEAR, "n_firms"),
+    "concentration_by_year": concentration_by_year,
+    "outcome_summary": _summary,
+    "opcov_sign_check": lambda p: sign_check(op_covariance(p, TREATMENT)),
+    "within_check": lambda p: within_check(markup_decomposition(markup_sample(p), TREATMENT)),
+    "country_coverage": lambda p: country_coverage(_outcomes_2012(p)),
+    "panel_count": panel_count,
+}
+for _spec in (TREATMENT, PRESHOCK):
+    PANEL_QUERIES.update({
+        f"markup_decomp_{_spec.base}": lambda p, s=_spec: markup_decomposition(markup_sample(p), s),
+        f"op_covariance_{_spec.base}": lambda p, s=_spec: op_covariance(p, s),
+        f"dispersion_{_spec.base}": lambda p, s=_spec: dispersion(p, s),
+        f"turbulence_{_spec.base}": lambda p, s=_spec: turbulence(p, s),
+        f"concentration_{_spec.base}": lambda p, s=_spec: concentration(p, s),
+    })
 
-def _per_panel(fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: present(fn(panel_of(spark, sf_dir)))
 
+def _on_driver_tables(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: present(fn(panel_of(spark, sf_dir)))
 
-QUERIES: dict[str, Query] = {
-    "firm_panel": _per_panel(lambda p: p),
-    "guarded_log_ratios": _per_panel(
-        lambda p: log_ratios(p).select(*ROW_KEYS, "log_mrpl", "log_mrpk", "log_markup")),
-    "industry_share": _per_panel(
-        lambda p: industry_share(p.where(positive(SALES))).select(*ROW_KEYS, SALES, "share")),
-    "firm_markup": _per_panel(firm_markup),
-    "survivor_pairs": _per_panel(lambda p: survivor_pairs(p.where(positive(SALES)), TREATMENT)),
-    "opcov_by_year": _per_panel(opcov_by_year),
-    "dispersion_by_year": _per_panel(dispersion_by_year),
-    "cr4_by_year": _per_panel(lambda p: concentration_by_year(p).select(*CELL_YEAR, "cr4")),
-    "n_firms_by_year": _per_panel(lambda p: n_firms_by_year(p).select(*CELL_YEAR, "n_firms")),
-    "concentration_by_year": _per_panel(concentration_by_year),
-    "outcome_summary": _per_panel(_summary),
-    "opcov_sign_check": _per_panel(lambda p: sign_check(op_covariance(p, TREATMENT))),
-    "within_check": _per_panel(
-        lambda p: within_check(markup_decomposition(markup_sample(p), TREATMENT))),
-    "country_coverage": _per_panel(lambda p: country_coverage(_outcomes_2012(p))),
-    "panel_count": _per_panel(panel_count),
-}
 
-for _spec in (TREATMENT, PRESHOCK):
-    QUERIES.update({
-        f"markup_decomp_{_spec.base}": _per_panel(
-            lambda p, s=_spec: markup_decomposition(markup_sample(p), s)),
-        f"op_covariance_{_spec.base}": _per_panel(lambda p, s=_spec: op_covariance(p, s)),
-        f"dispersion_{_spec.base}": _per_panel(lambda p, s=_spec: dispersion(p, s)),
-        f"turbulence_{_spec.base}": _per_panel(lambda p, s=_spec: turbulence(p, s)),
-        f"concentration_{_spec.base}": _per_panel(lambda p, s=_spec: concentration(p, s)),
-    })
+QUERIES: dict[str, Query] = {name: _on_driver_tables(fn) for name, fn in PANEL_QUERIES.items()}

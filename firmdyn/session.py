@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Largest cell-level table broadcast to the executors (rows). Industry cells are
@@ -68,13 +69,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and cut its lineage.
+    """Checkpoint ``df`` into the session's checkpoint folder and cut its lineage.
 
-    Used for small intermediate tables that are read more than once or whose size
-    decides the next plan. Survives the loss of any executor (never a local checkpoint).
+    Used for intermediate tables that are read more than once or whose size decides
+    the next plan. The checkpoint is reliable (files in the shared folder), so it
+    survives the loss of any executor; a local checkpoint is never used.
     """
+    return materialize_observed(df)[0]
+
+
+def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns aggregate ``metrics`` over the written rows
+    (always ``rows``), gathered by the same job through ``observe``."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    obs = Observation(f"firmdyn_{uuid.uuid4().hex}")
+    named = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
+    table = df.observe(obs, *named).checkpoint(eager=True)
+    return table, obs.get
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -83,12 +94,11 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
-    """Materialise ``df``, count it, and mark it for broadcast only if it is small.
-
-    Returns the (possibly broadcast-hinted) table and its row count. Beyond the limit
-    the caller's join stays a shuffle join.
-    """
+    """Materialise ``df``, count it in the same job, and mark it for broadcast only
+    if it has at most ``max_rows`` rows (default: ``firmdyn.broadcast.maxRows`` or
+    2,000,000). Returns the table and its row count; beyond the limit the caller's
+    join stays a shuffle join."""
     limit = broadcast_limit(df.sparkSession) if max_rows is None else max_rows
-    table = materialize(df)
-    n = table.count()
+    table, metrics = materialize_observed(df)
+    n = int(metrics["rows"])
     return (F.broadcast(table) if n <= limit else table), n
