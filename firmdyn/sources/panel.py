@@ -7,6 +7,8 @@ is what the tests and benches run on.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,18 +35,14 @@ def load_panel(spark: SparkSession, path: str, first_file_only: bool = False) ->
     except AnalysisException as exc:
         raise FileNotFoundError(f"No parquet files found in {path}/") from exc
     if first_file_only:
-        first = min(f.rsplit("/", 1)[-1] for f in df.inputFiles())
-        # inputFiles() gives URI-encoded names; the hidden column holds them the same way.
-        df = df.where(F.col("_metadata.file_name") == _decoded(first))
+        # inputFiles() and the hidden file-name column both hold URI-encoded names;
+        # the order is that of the real names.
+        encoded = [f.rsplit("/", 1)[-1] for f in df.inputFiles()]
+        first = min(encoded, key=unquote)
+        df = df.where(F.col("_metadata.file_name") == first)
     return prepare_panel(df)
 
 
-def _decoded(name: str) -> str:
-    from urllib.parse import unquote
-
-    return unquote(name)
-
-
 def panel_count(df: DataFrame) -> DataFrame:
     """Number of firm-year rows, as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
