@@ -14,6 +14,7 @@ difference; anchored on industries with survivors at the first horizon.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from firmdyn.functions import positive, ratio
 from firmdyn.operators.longdiff import long_difference, not_null, output_keys
 from firmdyn.operators.pairs import (count_at, exact_abs_pair_sums, firm_key_rows,
-                                     per_firm, side, survivor)
+                                     per_firm, side, survivor, window_years)
 from firmdyn.operators.share import cell_totals
 from firmdyn.schema import (CELL, CELL_YEAR, FIRM, FIRM_KEY, OUT_COUNTRY, OUT_INDUSTRY,
                             SALES, TOP_K, YEAR, LongDiffSpec, TREATMENT)
@@ -60,8 +61,10 @@ def cr4_by_year(panel: DataFrame, k: int = TOP_K) -> DataFrame:
     return concentration_by_year(panel, k).select(*CELL_YEAR, "cr4")
 
 
-def concentration_by_year(panel: DataFrame, k: int = TOP_K) -> DataFrame:
-    """(_country_, sic, year, cr4, n_firms). Both inputs are industry-year tables.
+def concentration_by_year(panel: DataFrame, k: int = TOP_K,
+                          with_totals: bool = False) -> DataFrame:
+    """(_country_, sic, year, cr4, n_firms[, total_sales]). Both inputs are
+    industry-year tables.
 
     As in the reference's left join of counts onto CR4 rows, an industry-year with
     a missing key gets no firm count."""
@@ -72,46 +75,74 @@ def concentration_by_year(panel: DataFrame, k: int = TOP_K) -> DataFrame:
     return top.join(counts, cond, "inner").select(
         *CELL_YEAR,
         ratio(F.col("top_sales"), F.col("total_sales")).alias("cr4"),
-        F.when(not_null(CELL_YEAR), F.col("n_firms")).alias("n_firms"))
+        F.when(not_null(CELL_YEAR), F.col("n_firms")).alias("n_firms"),
+        *(["total_sales"] if with_totals else []))
 
 
 def turbulence(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
-               max_rows: int | None = None, force_exact: bool = False) -> DataFrame:
+               max_rows: int | None = None, force_exact: bool = False,
+               totals: DataFrame | None = None) -> DataFrame:
     """fic_code, borrower_sic, LD_turbulence_{base}_{h} per horizon.
 
     ``force_exact`` sends every firm key through the sort-based path (tests)."""
-    sample = _positive_sales(panel).where(F.col(YEAR).isin(*spec.years))
-    totals = cell_totals(sample.where(not_null(CELL_YEAR)), SALES, CELL_YEAR, "_total")
+    return turbulences(panel, [spec], max_rows, force_exact, totals)[spec]
+
+
+def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int | None = None,
+                force_exact: bool = False,
+                totals: DataFrame | None = None) -> dict[LongDiffSpec, DataFrame]:
+    """Turbulence of several windows from one firm pivot over all their years.
+
+    Shares need the cell-year sales totals: ``totals`` (``_country_, sic, year,
+    total_sales``, e.g. the industry-year concentration table) or, if absent, one
+    aggregate. The totals are broadcast onto the firm rows after a size check, the
+    rows are pivoted per firm key (one shuffle), and that firm table is written once.
+    A firm key with one share per year (the normal case, and exact copies) is
+    closed-form; other keys go through ``exact_abs_pair_sums``.
+    """
+    years = window_years(specs)
+    sample = _positive_sales(panel).where(F.col(YEAR).isin(*years))
+    if totals is None:
+        totals = cell_totals(sample.where(not_null(CELL_YEAR)), SALES, CELL_YEAR, "total_sales")
     small, _ = checked_broadcast(
-        totals.select(*[F.col(c).alias(f"_t_{c}") for c in CELL_YEAR], "_total"), max_rows)
+        totals.where(F.col(YEAR).isin(*years) & not_null(CELL_YEAR))
+              .select(*[F.col(c).alias(f"_t_{c}") for c in CELL_YEAR], "total_sales"),
+        max_rows)
     cond = reduce(and_, [F.col(c) == F.col(f"_t_{c}") for c in CELL_YEAR])
-    rows = (firm_key_rows(sample, spec, [SALES]).join(small, cond, "inner")
-            .select(*FIRM_KEY, YEAR, ratio(F.col(SALES), F.col("_total")).alias("share")))
+    rows = (firm_key_rows(sample, years, [SALES]).join(small, cond, "inner")
+            .select(*FIRM_KEY, YEAR, ratio(F.col(SALES), F.col("total_sales")).alias("share")))
 
     share = F.col("share")
     single = F.lit(not force_exact)
-    for yr in spec.years:
+    for yr in years:
         single = single & F.coalesce(F.col(f"lo{side(yr)}") == F.col(f"hi{side(yr)}"), F.lit(True))
     firms, seen = materialize_observed(
-        per_firm(rows, spec, {}, {
+        per_firm(rows, years, {}, {
             "lo": lambda on: F.min(F.when(on, share)),
             "hi": lambda on: F.max(F.when(on, share)),
         }),
         multi=F.count(F.when(~single, F.lit(1))))
+    multi = None
+    if seen["multi"]:
+        multi, _ = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
+    return {spec: _turbulence_of(firms, single, rows, multi, spec) for spec in specs}
+
 
+def _turbulence_of(firms: DataFrame, single, rows: DataFrame, multi: DataFrame | None,
+                   spec: LongDiffSpec) -> DataFrame:
     b = spec.base
     aggs = []
     for h in spec.horizons:
-        sv = survivor(spec, h)
+        sv = survivor(b, h)
         pairs = count_at(b) * count_at(h)
         gap = F.abs(F.col(f"lo{side(h)}") - F.col(f"lo{side(b)}"))
         aggs.append(F.sum(F.when(sv, pairs)).alias(f"pairs_{h}"))
         aggs.append(F.sum(F.when(sv, pairs * gap)).alias(f"abs_{h}"))
     cells = firms.where(single).groupBy(*CELL).agg(*aggs)
 
-    if seen["multi"]:
-        multi, _ = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
-        vals = (rows.join(multi, list(FIRM_KEY), "left_semi")
+    if multi is not None:
+        vals = (rows.where(F.col(YEAR).isin(*spec.years))
+                    .join(multi, list(FIRM_KEY), "left_semi")
                     .groupBy(*FIRM_KEY, YEAR, "share").agg(F.count(F.lit(1)).alias("_copies")))
         exact = exact_abs_pair_sums(vals, spec, "share", "_copies")
         cells = cells.unionByName(exact).groupBy(*CELL).agg(
@@ -125,11 +156,13 @@ def turbulence(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
 
 
 def concentration(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
-                  by_year: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
+                  by_year: DataFrame | None = None, max_rows: int | None = None,
+                  turb: DataFrame | None = None) -> DataFrame:
     """fic_code, borrower_sic, per horizon LD_CR4 and LD_n_firms, then every
     LD_turbulence. Turbulence is left-joined: industries without survivors at the
-    first horizon keep null turbulence."""
-    table = concentration_by_year(panel) if by_year is None else by_year
+    first horizon keep null turbulence. Both sides are industry-level tables."""
+    table = concentration_by_year(panel, with_totals=True) if by_year is None else by_year
     levels = long_difference(table, [("cr4", "CR4"), ("n_firms", "n_firms")], spec)
-    turb = turbulence(panel, spec, max_rows)
+    if turb is None:
+        turb = turbulence(panel, spec, max_rows, totals=table)
     return levels.join(turb, [OUT_COUNTRY, OUT_INDUSTRY], "left")

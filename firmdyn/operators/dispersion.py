@@ -47,3 +47,23 @@ def dispersion(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
     """fic_code, borrower_sic, per horizon LD_sigma_MRPL, LD_sigma_MRPK, LD_sigma_markup."""
     table = dispersion_by_year(panel) if by_year is None else by_year
     return long_difference(table, DISPERSION_MEASURES, spec)
+
+
+def industry_year_stats(panel: DataFrame) -> DataFrame:
+    """OP covariance and the three dispersions in one aggregate over positive-sales rows:
+    (_country_, sic, year, n_opcov, opcov, sigma_mrpl, sigma_mrpk, sigma_markup).
+
+    The covariance sample (positive employees too) is a sub-sample, selected inside
+    the aggregate: ln(sales/employees) is non-null exactly on its rows. Industry-years
+    with ``n_opcov = 0`` have no OP covariance row."""
+    rows = log_ratios(panel)
+    on = F.col("log_mrpl").isNotNull()
+    sales = F.when(on, F.col(SALES))
+    n = F.count(F.when(on, F.lit(1)))
+    return rows.groupBy(*CELL_YEAR).agg(
+        n.alias("n_opcov"),
+        F.try_divide(n * F.covar_pop(sales, F.col("log_mrpl")), F.sum(sales)).alias("opcov"),
+        F.stddev_samp("log_mrpl").alias("sigma_mrpl"),
+        F.stddev_samp("log_mrpk").alias("sigma_mrpk"),
+        F.stddev_samp("log_markup").alias("sigma_markup"),
+    )

@@ -19,12 +19,15 @@ one per industry: no join of totals onto firm rows and no firm pairs at all.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmdyn.functions import positive, ratio
 from firmdyn.operators.longdiff import output_keys
-from firmdyn.operators.pairs import count_at, firm_key_rows, per_firm, side, survivor
+from firmdyn.operators.pairs import (count_at, firm_key_rows, per_firm, side, survivor,
+                                     window_years)
 from firmdyn.operators.share import industry_share
 from firmdyn.schema import (CELL, CELL_YEAR, COGS, MARKUP_MAX, MARKUP_MIN, SALES,
                             LongDiffSpec, TREATMENT)
@@ -46,31 +49,45 @@ def firm_markup(panel: DataFrame, max_rows: int | None = None) -> DataFrame:
     return industry_share(markup_sample(panel), SALES, CELL_YEAR, "share", max_rows)
 
 
-def decomposition_sums(sample: DataFrame, spec: LongDiffSpec) -> DataFrame:
-    """Per industry: totals T_y, and per horizon the pair count and Z1, Z2, Y1, Y2."""
+def decomposition_sums(sample: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:
+    """Per industry: totals T_y, and per window and horizon the pair count and
+    Z1, Z2, Y1, Y2 (columns ``{term}_{base}_{h}``). One firm pivot serves all windows."""
     s, m = F.col(SALES), F.col("markup")
-    firms = per_firm(firm_key_rows(sample, spec, [SALES, "markup"]), spec,
+    years = window_years(specs)
+    firms = per_firm(firm_key_rows(sample, years, [SALES, "markup"]), years,
                      {"sal": s, "mu": m, "sm": s * m})
 
     def at(name: str, yr: int):
         return F.col(f"{name}{side(yr)}")
 
-    b = spec.base
-    aggs = [F.sum(at("sal", yr)).alias(f"T{side(yr)}") for yr in spec.years]
-    for h in spec.horizons:
-        sv = survivor(spec, h)
-        nb, nh = count_at(b), count_at(h)
-        terms = {
-            "pairs": nb * nh,
-            "z1": nb * at("sm", h) - at("mu", b) * at("sal", h),
-            "z2": nh * at("sm", b) - at("mu", h) * at("sal", b),
-            "y1": at("mu", b) * at("sal", h) + nb * at("sm", h),
-            "y2": nh * at("sm", b) + at("mu", h) * at("sal", b),
-        }
-        aggs += [F.sum(F.when(sv, e)).alias(f"{k}_{h}") for k, e in terms.items()]
+    aggs = [F.sum(at("sal", yr)).alias(f"T{side(yr)}") for yr in years]
+    for spec in specs:
+        b = spec.base
+        for h in spec.horizons:
+            nb, nh = count_at(b), count_at(h)
+            terms = {
+                "pairs": nb * nh,
+                "z1": nb * at("sm", h) - at("mu", b) * at("sal", h),
+                "z2": nh * at("sm", b) - at("mu", h) * at("sal", b),
+                "y1": at("mu", b) * at("sal", h) + nb * at("sm", h),
+                "y2": nh * at("sm", b) + at("mu", h) * at("sal", b),
+            }
+            aggs += [F.sum(F.when(survivor(b, h), e)).alias(f"{k}_{b}_{h}")
+                     for k, e in terms.items()]
     return firms.groupBy(*CELL).agg(*aggs)
 
 
+def markup_decompositions(sample: DataFrame,
+                          specs: Sequence[LongDiffSpec]) -> dict[LongDiffSpec, DataFrame]:
+    """``markup_decomposition`` for several windows, sharing the firm pivot and the
+    written industry table (one job for all windows, then one small read each)."""
+    sums, flags = materialize_observed(
+        decomposition_sums(sample, specs),
+        **{f"h{s.base}_{h}": F.max(F.col(f"pairs_{s.base}_{h}") > 0)
+           for s in specs for h in s.horizons})
+    return {spec: _from_sums(sums, spec, flags) for spec in specs}
+
+
 def markup_decomposition(sample: DataFrame, spec: LongDiffSpec = TREATMENT) -> DataFrame:
     """fic_code, borrower_sic, per horizon LD_Within, LD_Between, LD_Cross.
 
@@ -79,19 +96,20 @@ def markup_decomposition(sample: DataFrame, spec: LongDiffSpec = TREATMENT) -> D
     survivors selects the rows, and skipped horizons stay as null columns (so the
     schema is fixed; with no survivor at all the table is empty).
     """
-    sums, flags = materialize_observed(
-        decomposition_sums(sample, spec),
-        **{f"h{h}": F.max(F.col(f"pairs_{h}") > 0) for h in spec.horizons})
-    anchor = next((h for h in spec.horizons if flags[f"h{h}"]), None)
+    return markup_decompositions(sample, [spec])[spec]
+
+
+def _from_sums(sums: DataFrame, spec: LongDiffSpec, flags: dict) -> DataFrame:
     b = spec.base
+    anchor = next((h for h in spec.horizons if flags[f"h{b}_{h}"]), None)
     t_b = F.col(f"T{side(b)}")
     cols = output_keys(CELL)
     for h in spec.horizons:
         t_h = F.col(f"T{side(h)}")
-        z1, z2 = ratio(F.col(f"z1_{h}"), t_h), ratio(F.col(f"z2_{h}"), t_b)
-        y1, y2 = ratio(F.col(f"y1_{h}"), t_h), ratio(F.col(f"y2_{h}"), t_b)
+        z1, z2 = ratio(F.col(f"z1_{b}_{h}"), t_h), ratio(F.col(f"z2_{b}_{h}"), t_b)
+        y1, y2 = ratio(F.col(f"y1_{b}_{h}"), t_h), ratio(F.col(f"y2_{b}_{h}"), t_b)
         values = {"Within": (z1 - z2) / 2, "Between": (y1 - y2) / 2, "Cross": z1 + z2}
-        has = F.col(f"pairs_{h}") > 0
+        has = F.col(f"pairs_{b}_{h}") > 0
         cols += [F.when(has, values[t]).alias(spec.label(t, h)) for t in DECOMP_TERMS]
-    rows = sums.where(F.col(f"pairs_{anchor}") > 0) if anchor else sums.where(F.lit(False))
+    rows = sums.where(F.col(f"pairs_{b}_{anchor}") > 0) if anchor else sums.where(F.lit(False))
     return rows.select(*cols)

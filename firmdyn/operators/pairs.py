@@ -33,25 +33,30 @@ def count_at(yr: int) -> Column:
     return F.col(f"n{side(yr)}")
 
 
-def survivor(spec: LongDiffSpec, h: int) -> Column:
+def survivor(base: int, h: int) -> Column:
     """A firm key with rows at the base year and at horizon ``h``."""
-    return (count_at(spec.base) > 0) & (count_at(h) > 0)
+    return (count_at(base) > 0) & (count_at(h) > 0)
 
 
-def firm_key_rows(df: DataFrame, spec: LongDiffSpec, cols: Sequence[str]) -> DataFrame:
-    """Rows of the window's years whose firm key is complete (null keys never pair)."""
-    return (df.where(F.col(YEAR).isin(*spec.years) & not_null(FIRM_KEY))
+def window_years(specs: Sequence[LongDiffSpec]) -> list[int]:
+    """Every year any of the windows reads; windows sharing a panel share one pivot."""
+    return sorted({y for spec in specs for y in spec.years})
+
+
+def firm_key_rows(df: DataFrame, years: Sequence[int], cols: Sequence[str]) -> DataFrame:
+    """Rows of the given years whose firm key is complete (null keys never pair)."""
+    return (df.where(F.col(YEAR).isin(*years) & not_null(FIRM_KEY))
               .select(*FIRM_KEY, YEAR, *cols))
 
 
-def per_firm(rows: DataFrame, spec: LongDiffSpec, sums: dict[str, Column],
+def per_firm(rows: DataFrame, years: Sequence[int], sums: dict[str, Column],
              extra: dict[str, Column] | None = None) -> DataFrame:
-    """One row per firm key: per year of the window a row count ``n_{y}`` and, for
-    every named expression, its sum (``sums``) or other aggregate (``extra``, given as
-    a function of the year condition)."""
+    """One row per firm key: per year a row count ``n_{y}`` and, for every named
+    expression, its sum (``sums``) or other aggregate (``extra``, given as a function
+    of the year condition)."""
     y = F.col(YEAR)
     aggs = []
-    for yr in spec.years:
+    for yr in years:
         on = y == yr
         aggs.append(F.count(F.when(on, F.lit(1))).alias(f"n{side(yr)}"))
         for name, expr in sums.items():
@@ -64,10 +69,10 @@ def per_firm(rows: DataFrame, spec: LongDiffSpec, sums: dict[str, Column],
 def survivor_pairs(sample: DataFrame, spec: LongDiffSpec) -> DataFrame:
     """Per industry and horizon: survivor pairs (with fan-out of repeated firm-years)
     and distinct surviving firms. Industries and horizons without a pair are absent."""
-    firms = per_firm(firm_key_rows(sample, spec, []), spec, {})
+    firms = per_firm(firm_key_rows(sample, spec.years, []), spec.years, {})
     aggs = []
     for h in spec.horizons:
-        s = survivor(spec, h)
+        s = survivor(spec.base, h)
         aggs.append(F.sum(F.when(s, count_at(spec.base) * count_at(h))).alias(f"pairs_{h}"))
         aggs.append(F.count(F.when(s, F.lit(1))).alias(f"firms_{h}"))
     cells = firms.groupBy(*CELL).agg(*aggs)

@@ -1,83 +1,112 @@
-"""The full outcome run: four families for one window, optionally written out.
-
-The industry-year tables (OP covariance, dispersion, concentration) do not depend on
-the window, so they are computed once per panel, written to the checkpoint folder and
-differenced for every window. The pair statistics (markup decomposition, turbulence)
-depend on the window and are computed per window. Only the panel columns the
-statistics read are kept, so a parquet panel is read with a pruned schema; the firm
-panel sink alone reads every input column.
+"""The full outcome run: four families for one or more windows, optionally written out.
+
+Shared work is done once per panel, whatever the number of windows:
+
+* one industry-year aggregate for OP covariance and dispersion, and one for
+  concentration (top four, firm counts, sales totals), both written to the
+  checkpoint folder and differenced for every window;
+* one firm pivot over all window years for the markup decomposition and one for
+  turbulence; each is written once and read by every window.
+
+Only the panel columns the statistics read are kept, so a parquet panel is scanned
+with a pruned schema and pushed-down filters; the firm panel sink alone reads every
+input column.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from firmdyn.operators.concentration import concentration, concentration_by_year
-from firmdyn.operators.covariance import op_covariance, opcov_by_year
-from firmdyn.operators.dispersion import dispersion, dispersion_by_year
-from firmdyn.operators.markup import firm_markup, markup_decomposition, markup_sample
-from firmdyn.schema import PANEL_COLUMNS, PRESHOCK, TREATMENT, LongDiffSpec
+from firmdyn.operators.concentration import concentration, concentration_by_year, turbulences
+from firmdyn.operators.dispersion import industry_year_stats
+from firmdyn.operators.longdiff import long_difference
+from firmdyn.operators.dispersion import DISPERSION_MEASURES
+from firmdyn.operators.markup import firm_markup, markup_decompositions, markup_sample
+from firmdyn.schema import CELL_YEAR, PANEL_COLUMNS, PRESHOCK, TREATMENT, LongDiffSpec
 from firmdyn.session import materialize
 from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_panel,
                                    write_outcome_csv)
 
 FAMILIES = ("markup_decomp", "op_covariance", "dispersion", "concentration")
 
-# family -> (pruned panel, window, industry-year tables, broadcast limit) -> outcome
-BUILDERS = {
-    "markup_decomp": lambda p, spec, t, m: markup_decomposition(markup_sample(p), spec),
-    "op_covariance": lambda p, spec, t, m: op_covariance(p, spec, t["opcov"]),
-    "dispersion": lambda p, spec, t, m: dispersion(p, spec, t["dispersion"]),
-    "concentration": lambda p, spec, t, m: concentration(p, spec, t["concentration"], m),
-}
-
 
 def by_year_tables(panel: DataFrame) -> dict[str, DataFrame]:
-    """The window-independent industry-year tables, materialised once."""
+    """The window-independent industry-year tables, written once."""
+    stats = materialize(industry_year_stats(panel))
     return {
-        "opcov": materialize(opcov_by_year(panel)),
-        "dispersion": materialize(dispersion_by_year(panel)),
-        "concentration": materialize(concentration_by_year(panel)),
+        "opcov": stats.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov"),
+        "dispersion": stats.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES]),
+        "concentration": materialize(concentration_by_year(panel, with_totals=True)),
     }
 
 
-def run_outcomes(panel: DataFrame, spec: LongDiffSpec = TREATMENT, *,
-                 by_year: dict[str, DataFrame] | None = None, save: bool = False,
-                 out_dir: str | None = None, max_rows: int | None = None) -> dict[str, DataFrame]:
-    """Name -> outcome table for one window; with ``save`` also the CSVs (and, for the
-    treatment window, the firm markup panel as parquet)."""
-    pruned = panel.select(*PANEL_COLUMNS)
-    tables = by_year if by_year is not None else by_year_tables(pruned)
-    results = {f: BUILDERS[f](pruned, spec, tables, max_rows) for f in FAMILIES}
-    if save:
-        if out_dir is None:
-            raise ValueError("save=True needs out_dir")
-        if spec == TREATMENT:
-            write_firm_panel(firm_markup(panel, max_rows), os.path.join(out_dir, FIRM_PANEL_NAME))
-        for family, df in results.items():
-            write_outcome_csv(df, outcome_path(out_dir, family, spec))
-    return results
+@dataclass
+class Shared:
+    """Per-panel work shared by all windows."""
 
+    panel: DataFrame
+    by_year: dict[str, DataFrame]
+    decompositions: dict[LongDiffSpec, DataFrame]
+    turbulence: dict[LongDiffSpec, DataFrame]
 
-def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PRESHOCK), *,
-                materialize_panel: bool = False, save: bool = False,
-                out_dir: str | None = None,
-                max_rows: int | None = None) -> dict[LongDiffSpec, dict[str, DataFrame]]:
-    """Every window over one panel, sharing the industry-year tables.
 
-    ``materialize_panel`` writes the pruned panel to the checkpoint folder first; use
-    it when the panel is itself an expensive plan (a join), not for a parquet folder.
-    """
+def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
+            materialize_panel: bool = False, max_rows: int | None = None) -> Shared:
+    """Compute everything the windows share (four written tables, six small jobs).
+
+    ``materialize_panel`` writes the pruned panel first; use it when the panel is an
+    expensive plan itself (a join), not for a parquet folder."""
     pruned = panel.select(*PANEL_COLUMNS)
     if materialize_panel:
         pruned = materialize(pruned)
     tables = by_year_tables(pruned)
-    out = {}
-    for spec in specs:
-        source = panel if save and spec == TREATMENT else pruned
-        out[spec] = run_outcomes(source, spec, by_year=tables, save=save, out_dir=out_dir,
-                                 max_rows=max_rows)
+    return Shared(
+        panel=pruned,
+        by_year=tables,
+        decompositions=markup_decompositions(markup_sample(pruned), specs),
+        turbulence=turbulences(pruned, specs, max_rows, totals=tables["concentration"]),
+    )
+
+
+def outcome(shared: Shared, family: str, spec: LongDiffSpec) -> DataFrame:
+    """One outcome table of one window (a lazy plan over the shared tables)."""
+    if family == "markup_decomp":
+        return shared.decompositions[spec]
+    if family == "op_covariance":
+        return long_difference(shared.by_year["opcov"], [("opcov", "OPcov")], spec)
+    if family == "dispersion":
+        return long_difference(shared.by_year["dispersion"], DISPERSION_MEASURES, spec)
+    if family == "concentration":
+        return concentration(shared.panel, spec, shared.by_year["concentration"],
+                             turb=shared.turbulence[spec])
+    raise KeyError(family)
+
+
+def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PRESHOCK), *,
+                materialize_panel: bool = False, save: bool = False, out_dir: str | None = None,
+                max_rows: int | None = None) -> dict[LongDiffSpec, dict[str, DataFrame]]:
+    """Every family for every window: window -> name -> outcome table. With ``save``,
+    one CSV per outcome (``block2/`` for windows other than the treatment window) and,
+    when the treatment window is among them, the firm markup panel as parquet."""
+    shared = prepare(panel, specs, materialize_panel=materialize_panel, max_rows=max_rows)
+    out = {spec: {f: outcome(shared, f, spec) for f in FAMILIES} for spec in specs}
+    if save:
+        if out_dir is None:
+            raise ValueError("save=True needs out_dir")
+        if TREATMENT in out:
+            write_firm_panel(firm_markup(panel, max_rows), os.path.join(out_dir, FIRM_PANEL_NAME))
+        for spec, results in out.items():
+            for family, df in results.items():
+                write_outcome_csv(df, outcome_path(out_dir, family, spec))
     return out
+
+
+def run_outcomes(panel: DataFrame, spec: LongDiffSpec = TREATMENT, *, save: bool = False,
+                 out_dir: str | None = None, max_rows: int | None = None) -> dict[str, DataFrame]:
+    """Name -> outcome table for one window (the reference's per-window run)."""
+    return run_windows(panel, [spec], save=save, out_dir=out_dir, max_rows=max_rows)[spec]

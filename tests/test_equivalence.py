@@ -78,3 +78,18 @@ def test_abs_pair_sums_split_hot_key_matches_brute_force(spark):
                 want_pairs += a.c * b.c
         assert got[f"pairs_{h}"] == want_pairs
         assert got[f"abs_{h}"] == pytest.approx(want_abs, rel=1e-9)
+
+
+def test_runner_tables_equal_standalone_operators(sf0001_panel):
+    from firmdyn.plans.outcomes import FAMILIES, outcome, prepare
+
+    shared = prepare(sf0001_panel, [TREATMENT, PRESHOCK])
+    assert_matches(present(shared.by_year["opcov"]).toPandas(),
+                   present(O.opcov_by_year(sf0001_panel)).toPandas())
+    assert_matches(present(shared.by_year["dispersion"]).toPandas(),
+                   present(O.dispersion_by_year(sf0001_panel)).toPandas())
+    for spec in (TREATMENT, PRESHOCK):
+        for family in FAMILIES:
+            name = f"{family}_{spec.base}"
+            assert_matches(present(outcome(shared, family, spec)).toPandas(),
+                           present(PANEL_QUERIES[name](sf0001_panel)).toPandas())
