@@ -11,7 +11,9 @@ from firmdyn.operators.concentration import (
 from firmdyn.operators.covariance import op_covariance, opcov_by_year
 from firmdyn.operators.diagnostics import (
     country_coverage,
+    outcome_shapes,
     outcome_summary,
+    preview,
     sign_check,
     within_check,
 )
@@ -31,6 +33,7 @@ __all__ = [
     "country_coverage", "cr4_by_year", "decomposition_sums", "dispersion",
     "dispersion_by_year", "exact_abs_pair_sums", "firm_markup", "industry_share",
     "log_ratios", "long_difference", "markup_decomposition", "markup_sample",
-    "n_firms_by_year", "op_covariance", "opcov_by_year", "outcome_summary",
+    "n_firms_by_year", "op_covariance", "opcov_by_year", "outcome_shapes", "outcome_summary",
+    "preview",
     "sign_check", "survivor_pairs", "top_sales_by_year", "turbulence", "within_check",
 ]

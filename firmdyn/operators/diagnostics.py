@@ -67,3 +67,20 @@ def country_coverage(results: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def outcome_shapes(results: Mapping[str, DataFrame]) -> DataFrame:
+    """Per outcome: number of rows and of columns."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"))
+               .select(F.lit(name).alias("outcome"), "n_rows",
+                       F.lit(len(df.columns)).alias("n_columns"))
+             for name, df in results.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows in no particular order (a look at the table, not a sample)."""
+    return df.limit(n)

@@ -331,6 +331,12 @@ def queries(raw_panel: str = DRIVER_PANEL_SQL, dialect: str = "duckdb") -> dict[
         f"{q.country_list(table)} as countries from {table}"
         for name, (table, _) in tables.items()))
 
+    q = new()
+    tables = outcome_tables(q)
+    out["outcome_shapes"] = q.render(" union all ".join(
+        f"select '{name}' as outcome, count(*) as n_rows, {len(cols) + 2} as n_columns from {table}"
+        for name, (table, cols) in tables.items()))
+
     q = new()
     out["panel_count"] = q.render("select count(*) as n_rows from panel")
     return out

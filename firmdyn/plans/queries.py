@@ -14,17 +14,21 @@ from firmdyn.functions import positive, round6
 from firmdyn.operators import (
     concentration, concentration_by_year, country_coverage, dispersion,
     dispersion_by_year, firm_markup, industry_share, log_ratios, markup_decomposition,
+    outcome_shapes,
     markup_sample, n_firms_by_year, op_covariance, opcov_by_year, outcome_summary,
     sign_check, survivor_pairs, turbulence, within_check,
 )
 from firmdyn.schema import CELL_YEAR, FIRM, PRESHOCK, SALES, TREATMENT, YEAR, COUNTRY, INDUSTRY
+from firmdyn.session import materialize
 from firmdyn.sources import derived_panel, panel_count, prepare_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def panel_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_panel(derived_panel(spark, sf_dir))
+    """The derived firm-year panel, written once to the checkpoint folder: it is a
+    four-table join that most statistics read several times."""
+    return materialize(prepare_panel(derived_panel(spark, sf_dir)))
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -72,6 +76,7 @@ PANEL_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "opcov_sign_check": lambda p: sign_check(op_covariance(p, TREATMENT)),
     "within_check": lambda p: within_check(markup_decomposition(markup_sample(p), TREATMENT)),
     "country_coverage": lambda p: country_coverage(_outcomes_2012(p)),
+    "outcome_shapes": lambda p: outcome_shapes(_outcomes_2012(p)),
     "panel_count": panel_count,
 }
 for _spec in (TREATMENT, PRESHOCK):
