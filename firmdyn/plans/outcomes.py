@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -56,20 +57,45 @@ class Shared:
 
 
 def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
-            materialize_panel: bool = False, max_rows: int | None = None) -> Shared:
-    """Compute everything the windows share (four written tables, six small jobs).
-
-    ``materialize_panel`` writes the pruned panel first; use it when the panel is an
-    expensive plan itself (a join), not for a parquet folder."""
+            materialize_panel: bool = False, max_rows: int | None = None,
+            concurrent: bool = True) -> Shared:
+    """Compute everything the windows share (five written tables).
+
+    The three independent chains (industry-year statistics; the markup pivot;
+    concentration, then turbulence, which reuses its sales totals) are submitted as
+    concurrent Spark jobs, so their small stages share the executors instead of
+    queueing. ``materialize_panel`` writes the pruned panel first; use it when the
+    panel is an expensive plan itself (a join), not for a parquet folder."""
     pruned = panel.select(*PANEL_COLUMNS)
     if materialize_panel:
         pruned = materialize(pruned)
-    tables = by_year_tables(pruned)
+
+    def stats():
+        return materialize(industry_year_stats(pruned))
+
+    def decompositions():
+        return markup_decompositions(markup_sample(pruned), specs)
+
+    def concentration_and_turbulence():
+        conc = materialize(concentration_by_year(pruned, with_totals=True))
+        return conc, turbulences(pruned, specs, max_rows, totals=conc)
+
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=3, thread_name_prefix="firmdyn") as pool:
+            jobs = [pool.submit(stats), pool.submit(decompositions),
+                    pool.submit(concentration_and_turbulence)]
+            table, decomp, (conc, turb) = [j.result() for j in jobs]
+    else:
+        table, decomp, (conc, turb) = stats(), decompositions(), concentration_and_turbulence()
     return Shared(
         panel=pruned,
-        by_year=tables,
-        decompositions=markup_decompositions(markup_sample(pruned), specs),
-        turbulence=turbulences(pruned, specs, max_rows, totals=tables["concentration"]),
+        by_year={
+            "opcov": table.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov"),
+            "dispersion": table.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES]),
+            "concentration": conc,
+        },
+        decompositions=decomp,
+        turbulence=turb,
     )
 
 
@@ -87,14 +113,38 @@ def outcome(shared: Shared, family: str, spec: LongDiffSpec) -> DataFrame:
     raise KeyError(family)
 
 
+def compute_outcomes(shared: Shared, specs: Sequence[LongDiffSpec], *,
+                     concurrent: bool = True) -> dict[LongDiffSpec, dict[str, DataFrame]]:
+    """Every family for every window, each written once (industry-level tables, so
+    small) by concurrent jobs; the returned tables are reads of those files."""
+    tasks = [(spec, f) for spec in specs for f in FAMILIES]
+
+    def build(task):
+        spec, family = task
+        return materialize(outcome(shared, family, spec))
+
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=min(8, len(tasks)),
+                                thread_name_prefix="firmdyn") as pool:
+            tables = list(pool.map(build, tasks))
+    else:
+        tables = [build(t) for t in tasks]
+    out: dict[LongDiffSpec, dict[str, DataFrame]] = {spec: {} for spec in specs}
+    for (spec, family), table in zip(tasks, tables):
+        out[spec][family] = table
+    return out
+
+
 def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PRESHOCK), *,
                 materialize_panel: bool = False, save: bool = False, out_dir: str | None = None,
-                max_rows: int | None = None) -> dict[LongDiffSpec, dict[str, DataFrame]]:
+                max_rows: int | None = None,
+                concurrent: bool = True) -> dict[LongDiffSpec, dict[str, DataFrame]]:
     """Every family for every window: window -> name -> outcome table. With ``save``,
     one CSV per outcome (``block2/`` for windows other than the treatment window) and,
     when the treatment window is among them, the firm markup panel as parquet."""
-    shared = prepare(panel, specs, materialize_panel=materialize_panel, max_rows=max_rows)
-    out = {spec: {f: outcome(shared, f, spec) for f in FAMILIES} for spec in specs}
+    shared = prepare(panel, specs, materialize_panel=materialize_panel, max_rows=max_rows,
+                     concurrent=concurrent)
+    out = compute_outcomes(shared, specs, concurrent=concurrent)
     if save:
         if out_dir is None:
             raise ValueError("save=True needs out_dir")
