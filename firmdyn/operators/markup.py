@@ -61,19 +61,18 @@ def decomposition_sums(sample: DataFrame, specs: Sequence[LongDiffSpec]) -> Data
         return F.col(f"{name}{side(yr)}")
 
     aggs = [F.sum(at("sal", yr)).alias(f"T{side(yr)}") for yr in years]
-    for spec in specs:
-        b = spec.base
-        for h in spec.horizons:
-            nb, nh = count_at(b), count_at(h)
-            terms = {
-                "pairs": nb * nh,
-                "z1": nb * at("sm", h) - at("mu", b) * at("sal", h),
-                "z2": nh * at("sm", b) - at("mu", h) * at("sal", b),
-                "y1": at("mu", b) * at("sal", h) + nb * at("sm", h),
-                "y2": nh * at("sm", b) + at("mu", h) * at("sal", b),
-            }
-            aggs += [F.sum(F.when(survivor(b, h), e)).alias(f"{k}_{b}_{h}")
-                     for k, e in terms.items()]
+    pairs = dict.fromkeys((spec.base, h) for spec in specs for h in spec.horizons)
+    for b, h in pairs:
+        nb, nh = count_at(b), count_at(h)
+        terms = {
+            "pairs": nb * nh,
+            "z1": nb * at("sm", h) - at("mu", b) * at("sal", h),
+            "z2": nh * at("sm", b) - at("mu", h) * at("sal", b),
+            "y1": at("mu", b) * at("sal", h) + nb * at("sm", h),
+            "y2": nh * at("sm", b) + at("mu", h) * at("sal", b),
+        }
+        aggs += [F.sum(F.when(survivor(b, h), e)).alias(f"{k}_{b}_{h}")
+                 for k, e in terms.items()]
     return firms.groupBy(*CELL).agg(*aggs)
 
 
@@ -83,8 +82,8 @@ def markup_decompositions(sample: DataFrame,
     written industry table (one job for all windows, then one small read each)."""
     sums, flags = materialize_observed(
         decomposition_sums(sample, specs),
-        **{f"h{s.base}_{h}": F.max(F.col(f"pairs_{s.base}_{h}") > 0)
-           for s in specs for h in s.horizons})
+        **{f"h{b}_{h}": F.max(F.col(f"pairs_{b}_{h}") > 0)
+           for b, h in dict.fromkeys((s.base, h) for s in specs for h in s.horizons)})
     return {spec: _from_sums(sums, spec, flags) for spec in specs}
 
 

@@ -93,3 +93,13 @@ def test_runner_tables_equal_standalone_operators(sf0001_panel):
             name = f"{family}_{spec.base}"
             assert_matches(present(outcome(shared, family, spec)).toPandas(),
                            present(PANEL_QUERIES[name](sf0001_panel)).toPandas())
+
+
+def test_windows_sharing_a_horizon(sf0001_panel):
+    from firmdyn.operators.markup import markup_decompositions
+
+    short, long_ = LongDiffSpec(2012, (2013,)), TREATMENT
+    out = markup_decompositions(O.markup_sample(sf0001_panel), [short, long_])
+    alone = O.markup_decomposition(O.markup_sample(sf0001_panel), short)
+    assert_matches(present(out[short]).toPandas(), present(alone).toPandas())
+    assert out[long_].count() == 80
