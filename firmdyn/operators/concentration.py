@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from firmdyn.functions import positive, ratio
 from firmdyn.operators.longdiff import long_difference, not_null, output_keys
 from firmdyn.operators.pairs import (count_at, exact_abs_pair_sums, firm_key_rows,
-                                     per_firm, side, survivor, window_years)
-from firmdyn.operators.share import cell_totals
+                                     per_firm, side, single_valued, survivor, window_years)
 from firmdyn.schema import (CELL, CELL_YEAR, FIRM, FIRM_KEY, OUT_COUNTRY, OUT_INDUSTRY,
                             SALES, TOP_K, YEAR, LongDiffSpec, TREATMENT)
 from firmdyn.session import checked_broadcast, materialize_observed
@@ -80,70 +79,117 @@ def concentration_by_year(panel: DataFrame, k: int = TOP_K,
 
 
 def turbulence(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
-               max_rows: int | None = None, force_exact: bool = False,
-               totals: DataFrame | None = None) -> DataFrame:
+               max_rows: int | None = None, force_exact: bool = False) -> DataFrame:
     """fic_code, borrower_sic, LD_turbulence_{base}_{h} per horizon.
 
     ``force_exact`` sends every firm key through the sort-based path (tests)."""
-    return turbulences(panel, [spec], max_rows, force_exact, totals)[spec]
+    return turbulences(panel, [spec], max_rows, force_exact)[spec]
+
+
+def sales_pivot_aggregates() -> dict:
+    """Per-year firm aggregates of positive-sales rows: sum ``sal``, min ``lo``, max ``hi``
+    of sales (the row count ``n`` comes with every pivot)."""
+    s = F.col(SALES)
+    return {"sal": lambda on: F.sum(F.when(on, s)),
+            "lo": lambda on: F.min(F.when(on, s)),
+            "hi": lambda on: F.max(F.when(on, s))}
+
+
+def sales_pivot(panel: DataFrame, years: Sequence[int]) -> DataFrame:
+    """One row per firm key over the positive-sales rows of ``years``."""
+    rows = firm_key_rows(_positive_sales(panel), years, [SALES])
+    return per_firm(rows, years, {}, sales_pivot_aggregates())
+
+
+def pivot_cells(firms: DataFrame, years: Sequence[int]) -> DataFrame:
+    """One row per industry from a sales pivot: per year the sales total ``T_{y}`` and
+    the number of distinct firms ``N_{y}`` (a firm key with rows in that year)."""
+    aggs = []
+    for yr in years:
+        aggs.append(F.sum(f"sal{side(yr)}").alias(f"T{side(yr)}"))
+        aggs.append(F.count(F.when(count_at(yr) > 0, F.lit(1))).alias(f"N{side(yr)}"))
+    return firms.groupBy(*CELL).agg(*aggs)
+
+
+def cell_years(cells: DataFrame, years: Sequence[int]) -> DataFrame:
+    """(_country_, sic, year, total_sales, n_firms) for the industry-years with firms."""
+    per_year = F.explode(F.array(*[
+        F.struct(F.lit(yr).alias(YEAR), F.col(f"T{side(yr)}").alias("total_sales"),
+                 F.col(f"N{side(yr)}").alias("n_firms"))
+        for yr in years]))
+    return (cells.select(*CELL, per_year.alias("_y"))
+                 .select(*CELL, "_y.*").where(F.col("n_firms") > 0))
+
+
+def concentration_from(top: DataFrame, cells: DataFrame, years: Sequence[int]) -> DataFrame:
+    """(_country_, sic, year, cr4, n_firms, total_sales) of complete keys from the top
+    sales table and the pivot's industry table; equals ``concentration_by_year`` there."""
+    long = cell_years(cells, years)
+    return top.join(long, list(CELL_YEAR), "inner").select(
+        *CELL_YEAR, ratio(F.col("top_sales"), F.col("total_sales")).alias("cr4"),
+        "n_firms", "total_sales")
 
 
 def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int | None = None,
-                force_exact: bool = False,
-                totals: DataFrame | None = None) -> dict[LongDiffSpec, DataFrame]:
-    """Turbulence of several windows from one firm pivot over all their years.
-
-    Shares need the cell-year sales totals: ``totals`` (``_country_, sic, year,
-    total_sales``, e.g. the industry-year concentration table) or, if absent, one
-    aggregate. The totals are broadcast onto the firm rows after a size check, the
-    rows are pivoted per firm key (one shuffle), and that firm table is written once.
-    A firm key with one share per year (the normal case, and exact copies) is
-    closed-form; other keys go through ``exact_abs_pair_sums``.
+                force_exact: bool = False, firms: DataFrame | None = None,
+                cells: DataFrame | None = None,
+                has_multi: bool | None = None) -> dict[LongDiffSpec, DataFrame]:
+    """Turbulence of several windows from one sales pivot over all their years.
+
+    ``firms`` is a written pivot with ``sales_pivot_aggregates`` (built and written here
+    if not given), ``cells`` its ``pivot_cells``, ``has_multi`` whether any of its keys
+    is not single-valued (counted if not given). The industry table is broadcast onto
+    the firm rows after a size check, so shares need no shuffle. A firm key with one
+    sales value per year (the normal case, and exact copies) is closed-form; other keys
+    go through ``exact_abs_pair_sums``.
     """
     years = window_years(specs)
-    sample = _positive_sales(panel).where(F.col(YEAR).isin(*years))
-    if totals is None:
-        totals = cell_totals(sample.where(not_null(CELL_YEAR)), SALES, CELL_YEAR, "total_sales")
-    small, _ = checked_broadcast(
-        totals.where(F.col(YEAR).isin(*years) & not_null(CELL_YEAR))
-              .select(*[F.col(c).alias(f"_t_{c}") for c in CELL_YEAR], "total_sales"),
-        max_rows)
-    cond = reduce(and_, [F.col(c) == F.col(f"_t_{c}") for c in CELL_YEAR])
-    rows = (firm_key_rows(sample, years, [SALES]).join(small, cond, "inner")
-            .select(*FIRM_KEY, YEAR, ratio(F.col(SALES), F.col("total_sales")).alias("share")))
-
-    share = F.col("share")
-    single = F.lit(not force_exact)
-    for yr in years:
-        single = single & F.coalesce(F.col(f"lo{side(yr)}") == F.col(f"hi{side(yr)}"), F.lit(True))
-    firms, seen = materialize_observed(
-        per_firm(rows, years, {}, {
-            "lo": lambda on: F.min(F.when(on, share)),
-            "hi": lambda on: F.max(F.when(on, share)),
-        }),
-        multi=F.count(F.when(~single, F.lit(1))))
-    multi = None
-    if seen["multi"]:
-        multi, _ = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
-    return {spec: _turbulence_of(firms, single, rows, multi, spec) for spec in specs}
-
-
-def _turbulence_of(firms: DataFrame, single, rows: DataFrame, multi: DataFrame | None,
+    single = single_valued(years) & F.lit(not force_exact)
+    if firms is None:
+        firms, seen = materialize_observed(sales_pivot(panel, years),
+                                           multi=F.count(F.when(~single, F.lit(1))))
+        has_multi = bool(seen["multi"])
+    elif has_multi is None or force_exact:
+        has_multi = force_exact or firms.where(~single).limit(1).count() > 0
+    if cells is None:
+        cells = pivot_cells(firms, years)
+    small, _ = checked_broadcast(cells.select(
+        *[F.col(c).alias(f"_t{c}") for c in CELL], *[f"T{side(y)}" for y in years]), max_rows)
+    joined = firms.join(small, reduce(and_, [F.col(c) == F.col(f"_t{c}") for c in CELL]))
+
+    multi_rows = None
+    if has_multi:
+        keys, _ = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
+        totals = cell_years(cells, years).select(
+            *[F.col(c).alias(f"_t_{c}") for c in CELL_YEAR], "total_sales")
+        totals, _ = checked_broadcast(totals, max_rows)
+        cond = reduce(and_, [F.col(c) == F.col(f"_t_{c}") for c in CELL_YEAR])
+        multi_rows = (firm_key_rows(_positive_sales(panel), years, [SALES])
+                      .join(keys, list(FIRM_KEY), "left_semi").join(totals, cond, "inner")
+                      .select(*FIRM_KEY, YEAR,
+                              ratio(F.col(SALES), F.col("total_sales")).alias("share")))
+    return {spec: _turbulence_of(joined.where(single), multi_rows, spec) for spec in specs}
+
+
+def _turbulence_of(simple: DataFrame, multi_rows: DataFrame | None,
                    spec: LongDiffSpec) -> DataFrame:
     b = spec.base
+
+    def share(yr: int):
+        return ratio(F.col(f"lo{side(yr)}"), F.col(f"T{side(yr)}"))
+
     aggs = []
     for h in spec.horizons:
         sv = survivor(b, h)
         pairs = count_at(b) * count_at(h)
-        gap = F.abs(F.col(f"lo{side(h)}") - F.col(f"lo{side(b)}"))
         aggs.append(F.sum(F.when(sv, pairs)).alias(f"pairs_{h}"))
-        aggs.append(F.sum(F.when(sv, pairs * gap)).alias(f"abs_{h}"))
-    cells = firms.where(single).groupBy(*CELL).agg(*aggs)
+        aggs.append(F.sum(F.when(sv, pairs * F.abs(share(h) - share(b)))).alias(f"abs_{h}"))
+    cells = simple.groupBy(*CELL).agg(*aggs)
 
-    if multi is not None:
-        vals = (rows.where(F.col(YEAR).isin(*spec.years))
-                    .join(multi, list(FIRM_KEY), "left_semi")
-                    .groupBy(*FIRM_KEY, YEAR, "share").agg(F.count(F.lit(1)).alias("_copies")))
+    if multi_rows is not None:
+        vals = (multi_rows.where(F.col(YEAR).isin(*spec.years))
+                          .groupBy(*FIRM_KEY, YEAR, "share")
+                          .agg(F.count(F.lit(1)).alias("_copies")))
         exact = exact_abs_pair_sums(vals, spec, "share", "_copies")
         cells = cells.unionByName(exact).groupBy(*CELL).agg(
             *[F.sum(c).alias(c) for c in exact.columns if c not in CELL])
@@ -161,8 +207,8 @@ def concentration(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
     """fic_code, borrower_sic, per horizon LD_CR4 and LD_n_firms, then every
     LD_turbulence. Turbulence is left-joined: industries without survivors at the
     first horizon keep null turbulence. Both sides are industry-level tables."""
-    table = concentration_by_year(panel, with_totals=True) if by_year is None else by_year
+    table = concentration_by_year(panel) if by_year is None else by_year
     levels = long_difference(table, [("cr4", "CR4"), ("n_firms", "n_firms")], spec)
     if turb is None:
-        turb = turbulence(panel, spec, max_rows, totals=table)
+        turb = turbulence(panel, spec, max_rows)
     return levels.join(turb, [OUT_COUNTRY, OUT_INDUSTRY], "left")

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmdyn.functions import positive, ratio
@@ -36,6 +36,11 @@ from firmdyn.session import materialize_observed
 DECOMP_TERMS = ("Within", "Between", "Cross")
 
 
+def in_markup_sample(markup: Column) -> Column:
+    """Positive sales and cogs, markup in [0.5, 10] (both ends kept)."""
+    return positive(COGS) & positive(SALES) & markup.between(MARKUP_MIN, MARKUP_MAX)
+
+
 def markup_sample(panel: DataFrame) -> DataFrame:
     """Rows with positive sales and cogs, ``markup`` added, trimmed to [0.5, 10]."""
     return (panel.where(positive(COGS) & positive(SALES))
@@ -43,47 +48,65 @@ def markup_sample(panel: DataFrame) -> DataFrame:
                  .where(F.col("markup").between(MARKUP_MIN, MARKUP_MAX)))
 
 
+def markup_pivot_aggregates(in_sample: Column) -> dict:
+    """Per-year firm aggregates of the decomposition over the rows where ``in_sample``
+    holds: row count ``mn``, sums of sales ``ms``, markup ``mu``, sales * markup ``sm``.
+    Rows need ``sales`` and ``markup``."""
+    s, m = F.col(SALES), F.col("markup")
+
+    def summed(expr):
+        return lambda on: F.sum(F.when(on & in_sample, expr))
+
+    return {"mn": lambda on: F.count(F.when(on & in_sample, F.lit(1))),
+            "ms": summed(s), "mu": summed(m), "sm": summed(s * m)}
+
+
+def markup_pivot(sample: DataFrame, years: Sequence[int]) -> DataFrame:
+    """One row per firm key of the markup sample with ``markup_pivot_aggregates``."""
+    return per_firm(firm_key_rows(sample, years, [SALES, "markup"]), years, {},
+                    markup_pivot_aggregates(F.lit(True)))
+
+
 def firm_markup(panel: DataFrame, max_rows: int | None = None) -> DataFrame:
     """The firm panel: every input column, ``markup`` and ``share`` (sales over the
     trimmed sample of the industry-year)."""
     return industry_share(markup_sample(panel), SALES, CELL_YEAR, "share", max_rows)
 
 
-def decomposition_sums(sample: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:
-    """Per industry: totals T_y, and per window and horizon the pair count and
-    Z1, Z2, Y1, Y2 (columns ``{term}_{base}_{h}``). One firm pivot serves all windows."""
-    s, m = F.col(SALES), F.col("markup")
+def decomposition_sums(firms: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:
+    """Per industry, from a firm pivot with ``markup_pivot_aggregates``: totals T_y, and
+    per window and horizon the pair count and Z1, Z2, Y1, Y2 (``{term}_{base}_{h}``)."""
     years = window_years(specs)
-    firms = per_firm(firm_key_rows(sample, years, [SALES, "markup"]), years,
-                     {"sal": s, "mu": m, "sm": s * m})
 
     def at(name: str, yr: int):
         return F.col(f"{name}{side(yr)}")
 
-    aggs = [F.sum(at("sal", yr)).alias(f"T{side(yr)}") for yr in years]
+    aggs = [F.sum(at("ms", yr)).alias(f"T{side(yr)}") for yr in years]
     pairs = dict.fromkeys((spec.base, h) for spec in specs for h in spec.horizons)
     for b, h in pairs:
-        nb, nh = count_at(b), count_at(h)
+        nb, nh = count_at(b, "mn"), count_at(h, "mn")
         terms = {
             "pairs": nb * nh,
-            "z1": nb * at("sm", h) - at("mu", b) * at("sal", h),
-            "z2": nh * at("sm", b) - at("mu", h) * at("sal", b),
-            "y1": at("mu", b) * at("sal", h) + nb * at("sm", h),
-            "y2": nh * at("sm", b) + at("mu", h) * at("sal", b),
+            "z1": nb * at("sm", h) - at("mu", b) * at("ms", h),
+            "z2": nh * at("sm", b) - at("mu", h) * at("ms", b),
+            "y1": at("mu", b) * at("ms", h) + nb * at("sm", h),
+            "y2": nh * at("sm", b) + at("mu", h) * at("ms", b),
         }
-        aggs += [F.sum(F.when(survivor(b, h), e)).alias(f"{k}_{b}_{h}")
+        aggs += [F.sum(F.when(survivor(b, h, "mn"), e)).alias(f"{k}_{b}_{h}")
                  for k, e in terms.items()]
     return firms.groupBy(*CELL).agg(*aggs)
 
 
-def markup_decompositions(sample: DataFrame,
-                          specs: Sequence[LongDiffSpec]) -> dict[LongDiffSpec, DataFrame]:
-    """``markup_decomposition`` for several windows, sharing the firm pivot and the
-    written industry table (one job for all windows, then one small read each)."""
+def markup_decompositions(sample: DataFrame, specs: Sequence[LongDiffSpec],
+                          firms: DataFrame | None = None) -> dict[LongDiffSpec, DataFrame]:
+    """``markup_decomposition`` for several windows from one firm pivot (``firms``,
+    built from ``sample`` if not given) and one written industry table."""
+    if firms is None:
+        firms = markup_pivot(sample, window_years(specs))
+    pairs = dict.fromkeys((s.base, h) for s in specs for h in s.horizons)
     sums, flags = materialize_observed(
-        decomposition_sums(sample, specs),
-        **{f"h{b}_{h}": F.max(F.col(f"pairs_{b}_{h}") > 0)
-           for b, h in dict.fromkeys((s.base, h) for s in specs for h in s.horizons)})
+        decomposition_sums(firms, specs),
+        **{f"h{b}_{h}": F.max(F.col(f"pairs_{b}_{h}") > 0) for b, h in pairs})
     return {spec: _from_sums(sums, spec, flags) for spec in specs}
 
 

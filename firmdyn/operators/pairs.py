@@ -29,13 +29,21 @@ def side(yr: int) -> str:
     return f"_{yr}"
 
 
-def count_at(yr: int) -> Column:
-    return F.col(f"n{side(yr)}")
+def count_at(yr: int, n: str = "n") -> Column:
+    return F.col(f"{n}{side(yr)}")
 
 
-def survivor(base: int, h: int) -> Column:
-    """A firm key with rows at the base year and at horizon ``h``."""
-    return (count_at(base) > 0) & (count_at(h) > 0)
+def survivor(base: int, h: int, n: str = "n") -> Column:
+    """A firm key with rows at the base year and at horizon ``h`` (row counts ``n``)."""
+    return (count_at(base, n) > 0) & (count_at(h, n) > 0)
+
+
+def single_valued(years: Sequence[int], lo: str = "lo", hi: str = "hi") -> Column:
+    """Every year of the firm key carries one distinct value (min equals max)."""
+    cond = F.lit(True)
+    for yr in years:
+        cond = cond & F.coalesce(F.col(f"{lo}{side(yr)}") == F.col(f"{hi}{side(yr)}"), F.lit(True))
+    return cond
 
 
 def window_years(specs: Sequence[LongDiffSpec]) -> list[int]:

@@ -1,16 +1,17 @@
 """The full outcome run: four families for one or more windows, optionally written out.
 
-Shared work is done once per panel, whatever the number of windows:
-
-* one industry-year aggregate for OP covariance and dispersion, and one for
-  concentration (top four, firm counts, sales totals), both written to the
-  checkpoint folder and differenced for every window;
-* one firm pivot over all window years for the markup decomposition and one for
-  turbulence; each is written once and read by every window.
-
-Only the panel columns the statistics read are kept, so a parquet panel is scanned
-with a pruned schema and pushed-down filters; the firm panel sink alone reads every
-input column.
+Shared work is done once per panel, whatever the number of windows, in three scans:
+
+* one industry-year aggregate for OP covariance and the three dispersions;
+* the top four sales per industry-year (partial group limit before the shuffle);
+* one firm pivot over all window years: the run's only shuffle of firm rows. It gives
+  the firm counts and sales totals per industry-year, the markup decomposition of
+  every window and turbulence of every window.
+
+These are written to the checkpoint folder; the eight outcome tables are then small
+plans over them, computed by concurrent jobs and written once. Only the panel columns
+the statistics read are kept, so a parquet panel is scanned with a pruned schema and
+pushed-down filters; the firm panel sink alone reads every input column.
 """
 
 from __future__ import annotations
@@ -23,27 +24,33 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmdyn.operators.concentration import concentration, concentration_by_year, turbulences
-from firmdyn.operators.dispersion import industry_year_stats
+from firmdyn.functions import positive, ratio
+from firmdyn.operators.concentration import (concentration, concentration_from, pivot_cells,
+                                             sales_pivot_aggregates, top_sales_by_year,
+                                             turbulences)
+from firmdyn.operators.dispersion import DISPERSION_MEASURES, industry_year_stats
 from firmdyn.operators.longdiff import long_difference
-from firmdyn.operators.dispersion import DISPERSION_MEASURES
-from firmdyn.operators.markup import firm_markup, markup_decompositions, markup_sample
-from firmdyn.schema import CELL_YEAR, PANEL_COLUMNS, PRESHOCK, TREATMENT, LongDiffSpec
-from firmdyn.session import materialize
+from firmdyn.operators.markup import (firm_markup, in_markup_sample, markup_decompositions,
+                                      markup_pivot_aggregates)
+from firmdyn.operators.pairs import firm_key_rows, per_firm, single_valued, window_years
+from firmdyn.schema import (CELL_YEAR, COGS, PANEL_COLUMNS, PRESHOCK, SALES, TREATMENT, YEAR,
+                            LongDiffSpec)
+from firmdyn.session import materialize, materialize_observed
 from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_panel,
                                    write_outcome_csv)
 
 FAMILIES = ("markup_decomp", "op_covariance", "dispersion", "concentration")
 
 
-def by_year_tables(panel: DataFrame) -> dict[str, DataFrame]:
-    """The window-independent industry-year tables, written once."""
-    stats = materialize(industry_year_stats(panel))
-    return {
-        "opcov": stats.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov"),
-        "dispersion": stats.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES]),
-        "concentration": materialize(concentration_by_year(panel, with_totals=True)),
-    }
+def firm_pivot(panel: DataFrame, years: Sequence[int]) -> DataFrame:
+    """The one firm-level shuffle of a run: per firm key and window year, the sales
+    aggregates of positive-sales rows (turbulence, firm counts, sales totals) and the
+    markup aggregates of the trimmed markup sample (decomposition)."""
+    rows = (firm_key_rows(panel.where(positive(SALES)), years, [SALES, COGS])
+            .withColumn("markup", ratio(SALES, COGS)))
+    aggregates = {**sales_pivot_aggregates(),
+                  **markup_pivot_aggregates(in_markup_sample(F.col("markup")))}
+    return per_firm(rows, years, {}, aggregates)
 
 
 @dataclass
@@ -56,43 +63,56 @@ class Shared:
     turbulence: dict[LongDiffSpec, DataFrame]
 
 
+def _run(tasks, concurrent: bool):
+    if not concurrent:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=len(tasks), thread_name_prefix="firmdyn") as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
+
+
 def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
             materialize_panel: bool = False, max_rows: int | None = None,
             concurrent: bool = True) -> Shared:
-    """Compute everything the windows share (five written tables).
-
-    The three independent chains (industry-year statistics; the markup pivot;
-    concentration, then turbulence, which reuses its sales totals) are submitted as
-    concurrent Spark jobs, so their small stages share the executors instead of
-    queueing. ``materialize_panel`` writes the pruned panel first; use it when the
-    panel is an expensive plan itself (a join), not for a parquet folder."""
+    """Compute everything the windows share.
+
+    Three scans of the panel: the industry-year statistics (one partial/final
+    aggregate), the top four sales per industry-year of the window years (partial
+    group limit before the shuffle), and the firm pivot (the run's only shuffle of firm
+    rows). The pivot gives the firm counts and sales totals per industry-year, the
+    markup decomposition of every window and turbulence of every window. Independent
+    chains are submitted as concurrent Spark jobs. ``materialize_panel`` writes the
+    pruned panel first; use it when the panel is an expensive plan itself (a join)."""
     pruned = panel.select(*PANEL_COLUMNS)
     if materialize_panel:
         pruned = materialize(pruned)
+    years = window_years(specs)
 
     def stats():
         return materialize(industry_year_stats(pruned))
 
-    def decompositions():
-        return markup_decompositions(markup_sample(pruned), specs)
-
-    def concentration_and_turbulence():
-        conc = materialize(concentration_by_year(pruned, with_totals=True))
-        return conc, turbulences(pruned, specs, max_rows, totals=conc)
-
-    if concurrent:
-        with ThreadPoolExecutor(max_workers=3, thread_name_prefix="firmdyn") as pool:
-            jobs = [pool.submit(stats), pool.submit(decompositions),
-                    pool.submit(concentration_and_turbulence)]
-            table, decomp, (conc, turb) = [j.result() for j in jobs]
-    else:
-        table, decomp, (conc, turb) = stats(), decompositions(), concentration_and_turbulence()
+    def top():
+        return materialize(top_sales_by_year(pruned.where(F.col(YEAR).isin(*years))))
+
+    def pairs():
+        single = single_valued(years)
+        firms, seen = materialize_observed(firm_pivot(pruned, years),
+                                           multi=F.count(F.when(~single, F.lit(1))))
+        cells = materialize(pivot_cells(firms, years))
+        decomp, turb = _run([
+            lambda: markup_decompositions(pruned, specs, firms=firms),
+            lambda: turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
+                                has_multi=bool(seen["multi"])),
+        ], concurrent)
+        return cells, decomp, turb
+
+    table, top4, (cells, decomp, turb) = _run([stats, top, pairs], concurrent)
     return Shared(
         panel=pruned,
         by_year={
             "opcov": table.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov"),
             "dispersion": table.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES]),
-            "concentration": conc,
+            "concentration": concentration_from(top4, cells, years),
         },
         decompositions=decomp,
         turbulence=turb,
