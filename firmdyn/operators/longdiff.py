@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmdyn.schema import CELL, OUT_COUNTRY, OUT_INDUSTRY, YEAR, LongDiffSpec
+from firmdyn.session import materialize
 
 
 def not_null(cols: Sequence[str]) -> Column:
@@ -29,6 +30,19 @@ def output_keys(keys: Sequence[str] = CELL) -> list[Column]:
     return [F.col(k).alias(o) for k, o in zip(keys, (OUT_COUNTRY, OUT_INDUSTRY))]
 
 
+def year_pivot(by_year: DataFrame, measures: Sequence[tuple[str, str]], years: Sequence[int],
+               keys: Sequence[str] = CELL, year: str = YEAR) -> DataFrame:
+    """One row per industry: per year an existence flag ``_has_{y}`` and every measure
+    ``_{column}_{y}``. ``by_year`` must have one row per (keys, year)."""
+    y = F.col(year)
+    aggs = []
+    for yr in years:
+        aggs.append(F.max(F.when(y == yr, F.lit(1))).alias(f"_has_{yr}"))
+        for col, _ in measures:
+            aggs.append(F.max(F.when(y == yr, F.col(col))).alias(f"_{col}_{yr}"))
+    return by_year.where(y.isin(*years) & not_null(keys)).groupBy(*keys).agg(*aggs)
+
+
 def long_difference(by_year: DataFrame, measures: Sequence[tuple[str, str]],
                     spec: LongDiffSpec, keys: Sequence[str] = CELL,
                     year: str = YEAR) -> DataFrame:
@@ -37,17 +51,25 @@ def long_difference(by_year: DataFrame, measures: Sequence[tuple[str, str]],
     ``by_year`` must have one row per (keys, year), as every grouped table has.
     Output columns: the two keys, then per horizon every measure in order.
     """
-    years = spec.years
-    y = F.col(year)
-    aggs = []
-    for yr in years:
-        aggs.append(F.max(F.when(y == yr, F.lit(1))).alias(f"_has_{yr}"))
-        for col, _ in measures:
-            aggs.append(F.max(F.when(y == yr, F.col(col))).alias(f"_{col}_{yr}"))
-    wide = (by_year.where(y.isin(*years) & not_null(keys))
-                   .groupBy(*keys).agg(*aggs)
-                   .where(F.col(f"_has_{spec.base}").isNotNull()
-                          & F.col(f"_has_{spec.horizons[0]}").isNotNull()))
+    return from_year_pivot(year_pivot(by_year, measures, spec.years, keys, year),
+                           measures, spec, keys)
+
+
+def long_differences(by_year: DataFrame, measures: Sequence[tuple[str, str]],
+                     specs: Sequence[LongDiffSpec], keys: Sequence[str] = CELL,
+                     year: str = YEAR) -> dict[LongDiffSpec, DataFrame]:
+    """``long_difference`` for several windows from one written year pivot; each window
+    is then a filter and a projection of that small table."""
+    years = sorted({y for spec in specs for y in spec.years})
+    wide = materialize(year_pivot(by_year, measures, years, keys, year))
+    return {spec: from_year_pivot(wide, measures, spec, keys) for spec in specs}
+
+
+def from_year_pivot(wide: DataFrame, measures: Sequence[tuple[str, str]],
+                    spec: LongDiffSpec, keys: Sequence[str] = CELL) -> DataFrame:
+    """Anchor on the base year and the first horizon, then subtract."""
+    wide = wide.where(F.col(f"_has_{spec.base}").isNotNull()
+                      & F.col(f"_has_{spec.horizons[0]}").isNotNull())
     cols = output_keys(keys)
     for h in spec.horizons:
         for col, label in measures:

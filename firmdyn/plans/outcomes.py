@@ -8,10 +8,12 @@ Shared work is done once per panel, whatever the number of windows, in three sca
   the firm counts and sales totals per industry-year, the markup decomposition of
   every window and turbulence of every window.
 
-These are written to the checkpoint folder; the eight outcome tables are then small
-plans over them, computed by concurrent jobs and written once. Only the panel columns
-the statistics read are kept, so a parquet panel is scanned with a pruned schema and
-pushed-down filters; the firm panel sink alone reads every input column.
+Each family's industry-year table is pivoted once for all windows. Intermediate tables
+are written to the checkpoint folder, independent chains run as concurrent Spark jobs,
+and every outcome table is a filter and projection of a small written table (the
+concentration one also a join of two of them). Only the panel columns the statistics
+read are kept, so a parquet panel is scanned with a pruned schema and pushed-down
+filters; the firm panel sink alone reads every input column.
 """
 
 from __future__ import annotations
@@ -25,16 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmdyn.functions import positive, ratio
-from firmdyn.operators.concentration import (concentration, concentration_from, pivot_cells,
+from firmdyn.operators.concentration import (concentration_from, pivot_cells,
                                              sales_pivot_aggregates, top_sales_by_year,
                                              turbulences)
 from firmdyn.operators.dispersion import DISPERSION_MEASURES, industry_year_stats
-from firmdyn.operators.longdiff import long_difference
+from firmdyn.operators.longdiff import long_differences
 from firmdyn.operators.markup import (firm_markup, in_markup_sample, markup_decompositions,
                                       markup_pivot_aggregates)
 from firmdyn.operators.pairs import firm_key_rows, per_firm, single_valued, window_years
-from firmdyn.schema import (CELL_YEAR, COGS, PANEL_COLUMNS, PRESHOCK, SALES, TREATMENT, YEAR,
-                            LongDiffSpec)
+from firmdyn.schema import (CELL_YEAR, COGS, OUT_COUNTRY, OUT_INDUSTRY, PANEL_COLUMNS, PRESHOCK,
+                            SALES, TREATMENT, YEAR, LongDiffSpec)
 from firmdyn.session import materialize, materialize_observed
 from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_panel,
                                    write_outcome_csv)
@@ -55,15 +57,15 @@ def firm_pivot(panel: DataFrame, years: Sequence[int]) -> DataFrame:
 
 @dataclass
 class Shared:
-    """Per-panel work shared by all windows."""
+    """Per-panel work shared by all windows, and the outcome tables built from it."""
 
     panel: DataFrame
     by_year: dict[str, DataFrame]
-    decompositions: dict[LongDiffSpec, DataFrame]
-    turbulence: dict[LongDiffSpec, DataFrame]
+    outcomes: dict[LongDiffSpec, dict[str, DataFrame]]
 
 
 def _run(tasks, concurrent: bool):
+    """Run independent Spark actions, as concurrent jobs unless ``concurrent`` is off."""
     if not concurrent:
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=len(tasks), thread_name_prefix="firmdyn") as pool:
@@ -74,22 +76,28 @@ def _run(tasks, concurrent: bool):
 def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
             materialize_panel: bool = False, max_rows: int | None = None,
             concurrent: bool = True) -> Shared:
-    """Compute everything the windows share.
+    """Compute every outcome of every window.
 
     Three scans of the panel: the industry-year statistics (one partial/final
     aggregate), the top four sales per industry-year of the window years (partial
     group limit before the shuffle), and the firm pivot (the run's only shuffle of firm
-    rows). The pivot gives the firm counts and sales totals per industry-year, the
-    markup decomposition of every window and turbulence of every window. Independent
-    chains are submitted as concurrent Spark jobs. ``materialize_panel`` writes the
-    pruned panel first; use it when the panel is an expensive plan itself (a join)."""
+    rows), which gives the firm counts and sales totals per industry-year, the markup
+    decomposition of every window and turbulence of every window. Each family's
+    industry-year table is pivoted once for all windows. Independent chains are
+    submitted as concurrent Spark jobs. ``materialize_panel`` writes the pruned panel
+    first; use it when the panel is an expensive plan itself (a join)."""
     pruned = panel.select(*PANEL_COLUMNS)
     if materialize_panel:
         pruned = materialize(pruned)
     years = window_years(specs)
 
-    def stats():
-        return materialize(industry_year_stats(pruned))
+    def statistics():
+        table = materialize(industry_year_stats(pruned))
+        opcov = table.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov")
+        disp = table.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES])
+        lds = _run([lambda: long_differences(opcov, [("opcov", "OPcov")], specs),
+                    lambda: long_differences(disp, DISPERSION_MEASURES, specs)], concurrent)
+        return {"opcov": opcov, "dispersion": disp}, lds
 
     def top():
         return materialize(top_sales_by_year(pruned.where(F.col(YEAR).isin(*years))))
@@ -98,61 +106,42 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
         single = single_valued(years)
         firms, seen = materialize_observed(firm_pivot(pruned, years),
                                            multi=F.count(F.when(~single, F.lit(1))))
-        cells = materialize(pivot_cells(firms, years))
-        decomp, turb = _run([
-            lambda: markup_decompositions(pruned, specs, firms=firms),
-            lambda: turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
-                                has_multi=bool(seen["multi"])),
-        ], concurrent)
-        return cells, decomp, turb
-
-    table, top4, (cells, decomp, turb) = _run([stats, top, pairs], concurrent)
-    return Shared(
-        panel=pruned,
-        by_year={
-            "opcov": table.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov"),
-            "dispersion": table.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES]),
-            "concentration": concentration_from(top4, cells, years),
-        },
-        decompositions=decomp,
-        turbulence=turb,
-    )
+
+        def cells_and_turbulence():
+            cells = materialize(pivot_cells(firms, years))
+            turb = turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
+                               has_multi=bool(seen["multi"]))
+            written = _run([lambda t=t: materialize(t) for t in turb.values()], concurrent)
+            return cells, dict(zip(turb, written))
+
+        return _run([lambda: markup_decompositions(pruned, specs, firms=firms),
+                     cells_and_turbulence], concurrent)
+
+    (tables, (opcov_ld, disp_ld)), top4, (decomp, (cells, turb)) = _run(
+        [statistics, top, pairs], concurrent)
+    conc = concentration_from(top4, cells, years)
+    conc_ld = long_differences(conc, [("cr4", "CR4"), ("n_firms", "n_firms")], specs)
+    outcomes = {
+        spec: {
+            "markup_decomp": decomp[spec],
+            "op_covariance": opcov_ld[spec],
+            "dispersion": disp_ld[spec],
+            "concentration": conc_ld[spec].join(turb[spec], [OUT_COUNTRY, OUT_INDUSTRY], "left"),
+        }
+        for spec in specs
+    }
+    return Shared(panel=pruned, by_year={**tables, "concentration": conc}, outcomes=outcomes)
 
 
 def outcome(shared: Shared, family: str, spec: LongDiffSpec) -> DataFrame:
-    """One outcome table of one window (a lazy plan over the shared tables)."""
-    if family == "markup_decomp":
-        return shared.decompositions[spec]
-    if family == "op_covariance":
-        return long_difference(shared.by_year["opcov"], [("opcov", "OPcov")], spec)
-    if family == "dispersion":
-        return long_difference(shared.by_year["dispersion"], DISPERSION_MEASURES, spec)
-    if family == "concentration":
-        return concentration(shared.panel, spec, shared.by_year["concentration"],
-                             turb=shared.turbulence[spec])
-    raise KeyError(family)
+    """One outcome table of one window (a small plan over written tables)."""
+    return shared.outcomes[spec][family]
 
 
 def compute_outcomes(shared: Shared, specs: Sequence[LongDiffSpec], *,
                      concurrent: bool = True) -> dict[LongDiffSpec, dict[str, DataFrame]]:
-    """Every family for every window, each written once (industry-level tables, so
-    small) by concurrent jobs; the returned tables are reads of those files."""
-    tasks = [(spec, f) for spec in specs for f in FAMILIES]
-
-    def build(task):
-        spec, family = task
-        return materialize(outcome(shared, family, spec))
-
-    if concurrent:
-        with ThreadPoolExecutor(max_workers=min(8, len(tasks)),
-                                thread_name_prefix="firmdyn") as pool:
-            tables = list(pool.map(build, tasks))
-    else:
-        tables = [build(t) for t in tasks]
-    out: dict[LongDiffSpec, dict[str, DataFrame]] = {spec: {} for spec in specs}
-    for (spec, family), table in zip(tasks, tables):
-        out[spec][family] = table
-    return out
+    """Every family for every window (window -> name -> table)."""
+    return {spec: {f: outcome(shared, f, spec) for f in FAMILIES} for spec in specs}
 
 
 def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PRESHOCK), *,
