@@ -77,3 +77,13 @@ def test_empty_outcome_still_has_a_header(spark, tmp_path):
     write_outcome_csv(df, str(tmp_path / "t"))
     (f,) = glob.glob(str(tmp_path / "t" / "*.csv"))
     assert open(f).read().strip().split(",")[0] == "fic_code"
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from firmdyn.__main__ import main
+
+    path, counts = folder
+    assert main([path, str(tmp_path / "cli"), "--window", "preshock", "--smoke"]) == 0
+    out = capsys.readouterr().out
+    assert f"firm-year rows: {counts[0]:,}" in out
+    assert glob.glob(str(tmp_path / "cli" / "block2" / "industry_op_covariance_2010base" / "*.csv"))
