@@ -12,13 +12,13 @@ from pyspark.sql.types import DoubleType
 
 from firmdyn.functions import positive, round6
 from firmdyn.operators import (
-    concentration, concentration_by_year, country_coverage, dispersion,
-    dispersion_by_year, firm_markup, industry_share, log_ratios, markup_decomposition,
-    outcome_shapes,
-    markup_sample, n_firms_by_year, op_covariance, opcov_by_year, outcome_summary,
+    concentration, concentration_by_year, country_coverage, dispersion, dispersion_by_year,
+    firm_markup, industry_share, log_ratios, markup_decomposition, markup_sample,
+    n_firms_by_year, op_covariance, opcov_by_year, outcome_shapes, outcome_summary,
     sign_check, survivor_pairs, turbulence, within_check,
 )
-from firmdyn.schema import CELL_YEAR, FIRM, PRESHOCK, SALES, TREATMENT, YEAR, COUNTRY, INDUSTRY
+from firmdyn.schema import (CELL_YEAR, COUNTRY, FIRM, INDUSTRY, PRESHOCK, SALES, TREATMENT,
+                            YEAR)
 from firmdyn.session import materialize
 from firmdyn.sources import derived_panel, panel_count, prepare_panel
 
