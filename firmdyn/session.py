@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Largest cell-level table broadcast to the executors (rows). Industry cells are
-# countries x two-digit codes x years, so real panels stay far below this; a larger
-# table goes through a shuffle join (AQE splits skewed partitions there).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# countries x two-digit codes (x years): tens of thousands of rows in real panels, a few
+# MB. A larger table goes through a shuffle join (AQE splits skewed partitions there).
+DEFAULT_BROADCAST_ROWS = 1_000_000
 BROADCAST_ROWS_CONF = "firmdyn.broadcast.maxRows"
 
 
@@ -80,7 +80,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """``materialize`` that also returns aggregate ``metrics`` over the written rows
-    (always ``rows``), gathered by the same job through ``observe``."""
+    (always ``rows``), gathered by the same job through ``observe``. The observation
+    sits in the job's result stage, whose accumulator updates Spark applies once per
+    partition, so retried tasks do not count twice."""
     ensure_checkpoint_dir(df.sparkSession)
     obs = Observation(f"firmdyn_{uuid.uuid4().hex}")
     named = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
@@ -96,7 +98,7 @@ def broadcast_limit(spark: SparkSession) -> int:
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
     """Materialise ``df``, count it in the same job, and mark it for broadcast only
     if it has at most ``max_rows`` rows (default: ``firmdyn.broadcast.maxRows`` or
-    2,000,000). Returns the table and its row count; beyond the limit the caller's
+    1,000,000). Returns the table and its row count; beyond the limit the caller's
     join stays a shuffle join."""
     limit = broadcast_limit(df.sparkSession) if max_rows is None else max_rows
     table, metrics = materialize_observed(df)
