@@ -53,6 +53,8 @@ class LongDiffSpec:
             raise ValueError("a long difference needs at least one horizon")
         if self.base in self.horizons:
             raise ValueError("the base year cannot also be a horizon")
+        if len(set(self.horizons)) != len(self.horizons):
+            raise ValueError("horizons must be distinct")
 
     @property
     def years(self) -> tuple[int, ...]:
