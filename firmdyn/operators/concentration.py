@@ -137,8 +137,9 @@ def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int |
     """Turbulence of several windows from one sales pivot over all their years.
 
     ``firms`` is a written pivot with ``sales_pivot_aggregates`` (built and written here
-    if not given), ``cells`` its ``pivot_cells``, ``has_multi`` whether any of its keys
-    is not single-valued (counted if not given). The industry table is broadcast onto
+    if not given), ``cells`` its ``pivot_cells`` as returned by ``checked_broadcast``
+    (built here if not given), ``has_multi`` whether any of its keys is not
+    single-valued (counted if not given). The industry table is broadcast onto
     the firm rows after a size check, so shares need no shuffle. A firm key with one
     sales value per year (the normal case, and exact copies) is closed-form; other keys
     go through ``exact_abs_pair_sums``.
@@ -152,9 +153,9 @@ def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int |
     elif has_multi is None or force_exact:
         has_multi = force_exact or firms.where(~single).limit(1).count() > 0
     if cells is None:
-        cells = pivot_cells(firms, years)
-    small, _ = checked_broadcast(cells.select(
-        *[F.col(c).alias(f"_t{c}") for c in CELL], *[f"T{side(y)}" for y in years]), max_rows)
+        cells, _ = checked_broadcast(pivot_cells(firms, years), max_rows)
+    small = cells.select(*[F.col(c).alias(f"_t{c}") for c in CELL],
+                         *[f"T{side(y)}" for y in years])
     joined = firms.join(small, reduce(and_, [F.col(c) == F.col(f"_t{c}") for c in CELL]))
 
     multi_rows = None

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -37,7 +37,7 @@ from firmdyn.operators.markup import (firm_markup, in_markup_sample, markup_deco
 from firmdyn.operators.pairs import firm_key_rows, per_firm, single_valued, window_years
 from firmdyn.schema import (CELL_YEAR, COGS, OUT_COUNTRY, OUT_INDUSTRY, PANEL_COLUMNS, PRESHOCK,
                             SALES, TREATMENT, YEAR, LongDiffSpec)
-from firmdyn.session import materialize, materialize_observed
+from firmdyn.session import checked_broadcast, materialize, materialize_observed
 from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_panel,
                                    write_outcome_csv)
 
@@ -90,6 +90,14 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
     if materialize_panel:
         pruned = materialize(pruned)
     years = window_years(specs)
+    pool = ThreadPoolExecutor(max_workers=4, thread_name_prefix="firmdyn") if concurrent else None
+
+    def submit(fn):
+        if pool is not None:
+            return pool.submit(fn)
+        done: Future = Future()
+        done.set_result(fn())
+        return done
 
     def statistics():
         table = materialize(industry_year_stats(pruned))
@@ -102,25 +110,31 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
     def top():
         return materialize(top_sales_by_year(pruned.where(F.col(YEAR).isin(*years))))
 
-    def pairs():
+    def pairs(top_future: Future):
         single = single_valued(years)
         firms, seen = materialize_observed(firm_pivot(pruned, years),
                                            multi=F.count(F.when(~single, F.lit(1))))
-
-        def cells_and_turbulence():
-            cells = materialize(pivot_cells(firms, years))
-            turb = turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
-                               has_multi=bool(seen["multi"]))
-            written = _run([lambda t=t: materialize(t) for t in turb.values()], concurrent)
-            return cells, dict(zip(turb, written))
-
-        return _run([lambda: markup_decompositions(pruned, specs, firms=firms),
-                     cells_and_turbulence], concurrent)
-
-    (tables, (opcov_ld, disp_ld)), top4, (decomp, (cells, turb)) = _run(
-        [statistics, top, pairs], concurrent)
-    conc = concentration_from(top4, cells, years)
-    conc_ld = long_differences(conc, [("cr4", "CR4"), ("n_firms", "n_firms")], specs)
+        decomp = submit(lambda: markup_decompositions(pruned, specs, firms=firms))
+        cells, _ = checked_broadcast(pivot_cells(firms, years), max_rows)
+
+        def concentration_levels():
+            conc = concentration_from(top_future.result(), cells, years)
+            return conc, long_differences(conc, [("cr4", "CR4"), ("n_firms", "n_firms")], specs)
+
+        levels = submit(concentration_levels)
+        turb = turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
+                           has_multi=bool(seen["multi"]))
+        written = _run([lambda t=t: materialize(t) for t in turb.values()], concurrent)
+        return decomp.result(), levels.result(), dict(zip(turb, written))
+
+    try:
+        top_future = submit(top)
+        stats_future = submit(statistics)
+        decomp, (conc, conc_ld), turb = pairs(top_future)
+        tables, (opcov_ld, disp_ld) = stats_future.result()
+    finally:
+        if pool is not None:
+            pool.shutdown(wait=True)
     outcomes = {
         spec: {
             "markup_decomp": decomp[spec],
