@@ -1,14 +1,14 @@
 """Diagnostics over outcome tables: summaries, sign checks, country coverage.
 
 Outcome tables are industry-level (countries x two-digit codes), so these run as
-ordinary aggregates; the long form comes from ``unpivot``, not from a driver loop.
+ordinary aggregates over the unpivoted (metric, value) form, not a driver loop.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmdyn.schema import OUT_COUNTRY
@@ -21,45 +21,57 @@ def ld_columns(df: DataFrame, keep: Callable[[str], bool] = lambda c: c.startswi
     return [c for c in df.columns if keep(c)]
 
 
-def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(metric, value) rows, values as double."""
+def column_stats(df: DataFrame, columns: list[str],
+                 stats: dict[str, Callable[[Column], Column]],
+                 counts: tuple[str, ...] = ()) -> DataFrame:
+    """One row per column: ``metric`` (the column name) and every statistic.
+
+    The table is unpivoted to (metric, value) and grouped by metric, so each statistic
+    is one aggregate whatever the number of columns. The grouped rows are joined onto
+    the list of column names (schema, not data), so an empty table still gives one row
+    per column: the ``counts`` statistics 0, the others null."""
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return cast.unpivot([], columns, "metric", "value")
+    v = F.col("value")
+    grouped = (cast.unpivot([], columns, "metric", "value")
+                   .groupBy("metric").agg(*[fn(v).alias(name) for name, fn in stats.items()]))
+    names = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in columns])).alias("metric"))
+    return names.join(grouped, "metric", "left").select(
+        "metric", *[F.coalesce(F.col(n), F.lit(0)).alias(n) if n in counts else F.col(n)
+                    for n in stats])
 
 
 def outcome_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: count, null_count, mean, std, min, p25, p50, p75, max."""
     cols = columns if columns is not None else ld_columns(df)
-    v = F.col("value")
-    return long_form(df, cols).groupBy("metric").agg(
-        F.count(v).alias("count"),
-        F.sum(v.isNull().cast("long")).alias("null_count"),
-        F.mean(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        *[F.percentile(v, q).alias(name) for name, q in SUMMARY_QUANTILES],
-        F.max(v).alias("max"),
-    )
+    stats = {
+        "count": F.count,
+        "null_count": lambda v: F.count(F.lit(1)) - F.count(v),
+        "mean": F.mean,
+        "std": F.stddev_samp,
+        "min": F.min,
+        **{name: (lambda v, q=q: F.percentile(v, q)) for name, q in SUMMARY_QUANTILES},
+        "max": F.max,
+    }
+    return column_stats(df, cols, stats, counts=("count", "null_count"))
 
 
 def sign_check(df: DataFrame) -> DataFrame:
     """Mean and standard deviation of every LD_ column."""
-    v = F.col("value")
-    return long_form(df, ld_columns(df)).groupBy("metric").agg(
-        F.mean(v).alias("mean"), F.stddev_samp(v).alias("std"))
+    return column_stats(df, ld_columns(df), {"mean": F.mean, "std": F.stddev_samp})
 
 
 def within_check(df: DataFrame) -> DataFrame:
     """Mean of every column whose name contains ``Within``."""
-    cols = ld_columns(df, lambda c: "Within" in c)
-    return long_form(df, cols).groupBy("metric").agg(F.mean("value").alias("mean"))
+    return column_stats(df, ld_columns(df, lambda c: "Within" in c), {"mean": F.mean})
 
 
 def country_coverage(results: Mapping[str, DataFrame]) -> DataFrame:
     """Per outcome: number of countries and their sorted, comma-joined codes."""
     parts = [
         df.agg(F.count_distinct(OUT_COUNTRY).alias("n_countries"),
-               F.concat_ws(",", F.sort_array(F.collect_set(OUT_COUNTRY))).alias("countries"))
+               F.when(F.count(OUT_COUNTRY) > 0, F.concat_ws(
+                   ",", F.sort_array(F.collect_set(OUT_COUNTRY)))).alias("countries"))
           .select(F.lit(name).alias("outcome"), "n_countries", "countries")
         for name, df in results.items()
     ]

@@ -102,3 +102,23 @@ def test_ties_do_not_change_cr4(edge):
     cr = {r.year: r.cr4 for r in O.cr4_by_year(edge).where("_country_ = 'AJ'").collect()}
     assert math.isclose(cr[2012], 800.0 / 1000.0)
     assert math.isclose(cr[2013], 700.0 / 900.0)
+
+
+def test_diagnostics_of_an_empty_outcome(spark):
+    from firmdyn.plans import naive_sql
+    from tests.helpers import assert_matches, to_duck
+    from firmdyn.plans.queries import present
+
+    panel = to_spark(spark, M.NO_SURVIVOR_2013)
+    turb = O.turbulence(panel)
+    assert turb.count() == 0
+    rows = O.outcome_summary(turb).collect()
+    assert [(r.metric, r["count"], r.null_count) for r in rows] == [
+        (f"LD_turbulence_2012_{h}", 0, 0) for h in TREATMENT.horizons]
+    cov = O.country_coverage({"turbulence": turb}).first()
+    assert cov.n_countries == 0 and cov.countries is None
+    con = to_duck(M.NO_SURVIVOR_2013)
+    sql = naive_sql.queries("select * from micro")
+    for name in ("outcome_summary", "country_coverage", "opcov_sign_check"):
+        from firmdyn.plans.queries import PANEL_QUERIES
+        assert_matches(present(PANEL_QUERIES[name](panel)).toPandas(), con.execute(sql[name]).df())
