@@ -2,12 +2,13 @@
 
 The reference joins the base-year cross-section to each horizon on (firm, country,
 industry); a firm-year that occurs k times at the base and m times at the horizon
-gives k * m pairs. No operator here emits those pairs. Rows are first summed per
-firm key and year (one partial/final aggregate, so a hot key is combined map-side),
-and every pair statistic is computed from those per-side sums:
+gives k * m pairs. No operator here emits those pairs. Rows are first pivoted per
+firm key, with per-year counts, sums and extremes (``per_firm``: one partial/final
+aggregate, so a hot key is combined map-side), and every pair statistic is computed
+from those per-side aggregates:
 
-* sums of products of pair terms factor into per-side counts and sums
-  (``survivor_moments``), which is exact for any number of copies;
+* sums of products of pair terms factor into per-side counts and sums (the markup
+  decomposition), which is exact for any number of copies;
 * the sum of |a - b| over pairs does not factor. A key whose base and horizon rows
   each carry one distinct value (the normal case, and exact copies) is closed-form;
   any other key goes through ``exact_abs_pair_sums``, a range-partitioned sort with

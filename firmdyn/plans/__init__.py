@@ -1,2 +1,3 @@
-"""Plans: the full outcome run (``outcomes``), the naive reference-shaped SQL
-(``naive_sql``) and plan inspection helpers (``inspect``)."""
+"""Plans: the full outcome run (``outcomes``), the registered queries (``queries``) and
+the naive reference-shaped SQL used as oracle and as the naive benchmark plan
+(``naive_sql``)."""
