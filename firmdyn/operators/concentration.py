@@ -27,7 +27,7 @@ from firmdyn.operators.pairs import (count_at, exact_abs_pair_sums, firm_key_row
                                      per_firm, side, single_valued, survivor, window_years)
 from firmdyn.schema import (CELL, CELL_YEAR, FIRM, FIRM_KEY, OUT_COUNTRY, OUT_INDUSTRY,
                             SALES, TOP_K, YEAR, LongDiffSpec, TREATMENT)
-from firmdyn.session import checked_broadcast, materialize_observed
+from firmdyn.session import checked_broadcast, materialize, materialize_observed
 
 
 def _positive_sales(panel: DataFrame) -> DataFrame:
@@ -132,14 +132,15 @@ def concentration_from(top: DataFrame, cells: DataFrame, years: Sequence[int]) -
 
 def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int | None = None,
                 force_exact: bool = False, firms: DataFrame | None = None,
-                cells: DataFrame | None = None,
-                has_multi: bool | None = None) -> dict[LongDiffSpec, DataFrame]:
+                cells: DataFrame | None = None, has_multi: bool | None = None,
+                write_sums: bool = False) -> dict[LongDiffSpec, DataFrame]:
     """Turbulence of several windows from one sales pivot over all their years.
 
     ``firms`` is a written pivot with ``sales_pivot_aggregates`` (built and written here
     if not given), ``cells`` its ``pivot_cells`` as returned by ``checked_broadcast``
     (built here if not given), ``has_multi`` whether any of its keys is not
-    single-valued (counted if not given). The industry table is broadcast onto
+    single-valued (counted if not given). All windows share one aggregation of the
+    firm table, written once with ``write_sums``. The industry table is broadcast onto
     the firm rows after a size check, so shares need no shuffle. A firm key with one
     sales value per year (the normal case, and exact copies) is closed-form; other keys
     go through ``exact_abs_pair_sums``.
@@ -169,24 +170,32 @@ def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int |
                       .join(keys, list(FIRM_KEY), "left_semi").join(totals, cond, "inner")
                       .select(*FIRM_KEY, YEAR,
                               ratio(F.col(SALES), F.col("total_sales")).alias("share")))
-    return {spec: _turbulence_of(joined.where(single), multi_rows, spec) for spec in specs}
+    sums = _closed_form_sums(joined.where(single), specs)
+    if write_sums:
+        sums = materialize(sums)
+    return {spec: _turbulence_of(sums, multi_rows, spec) for spec in specs}
 
 
-def _turbulence_of(simple: DataFrame, multi_rows: DataFrame | None,
-                   spec: LongDiffSpec) -> DataFrame:
-    b = spec.base
-
+def _closed_form_sums(simple: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:
+    """Per industry, for every (base, horizon) of the windows: survivor pairs and the
+    sum of |share_h - share_b| over the single-valued firm keys. One aggregation."""
     def share(yr: int):
         return ratio(F.col(f"lo{side(yr)}"), F.col(f"T{side(yr)}"))
 
     aggs = []
-    for h in spec.horizons:
+    for b, h in dict.fromkeys((spec.base, h) for spec in specs for h in spec.horizons):
         sv = survivor(b, h)
         pairs = count_at(b) * count_at(h)
-        aggs.append(F.sum(F.when(sv, pairs)).alias(f"pairs_{h}"))
-        aggs.append(F.sum(F.when(sv, pairs * F.abs(share(h) - share(b)))).alias(f"abs_{h}"))
-    cells = simple.groupBy(*CELL).agg(*aggs)
+        aggs.append(F.sum(F.when(sv, pairs)).alias(f"pairs_{b}_{h}"))
+        aggs.append(F.sum(F.when(sv, pairs * F.abs(share(h) - share(b)))).alias(f"abs_{b}_{h}"))
+    return simple.groupBy(*CELL).agg(*aggs)
 
+
+def _turbulence_of(sums: DataFrame, multi_rows: DataFrame | None,
+                   spec: LongDiffSpec) -> DataFrame:
+    b = spec.base
+    cells = sums.select(*CELL, *[F.col(f"{k}_{b}_{h}").alias(f"{k}_{h}")
+                                 for h in spec.horizons for k in ("pairs", "abs")])
     if multi_rows is not None:
         vals = (multi_rows.where(F.col(YEAR).isin(*spec.years))
                           .groupBy(*FIRM_KEY, YEAR, "share")

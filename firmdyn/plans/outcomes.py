@@ -123,9 +123,8 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
 
         levels = submit(concentration_levels)
         turb = turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
-                           has_multi=bool(seen["multi"]))
-        written = _run([lambda t=t: materialize(t) for t in turb.values()], concurrent)
-        return decomp.result(), levels.result(), dict(zip(turb, written))
+                           has_multi=bool(seen["multi"]), write_sums=True)
+        return decomp.result(), levels.result(), turb
 
     try:
         top_future = submit(top)
