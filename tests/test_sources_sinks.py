@@ -87,3 +87,14 @@ def test_command_line(spark, folder, tmp_path, capsys):
     out = capsys.readouterr().out
     assert f"firm-year rows: {counts[0]:,}" in out
     assert glob.glob(str(tmp_path / "cli" / "block2" / "industry_op_covariance_2010base" / "*.csv"))
+
+
+def test_command_line_without_saving(spark, folder, tmp_path, capsys):
+    from firmdyn.__main__ import main
+
+    path, _ = folder
+    out_dir = tmp_path / "nothing"
+    assert main([path, str(out_dir), "--window", "treatment", "--no-save"]) == 0
+    out = capsys.readouterr().out
+    assert "op_covariance 2012:" in out and "written to" not in out
+    assert not out_dir.exists()
