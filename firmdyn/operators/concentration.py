@@ -217,6 +217,18 @@ def concentration(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
     """fic_code, borrower_sic, per horizon LD_CR4 and LD_n_firms, then every
     LD_turbulence. Turbulence is left-joined: industries without survivors at the
     first horizon keep null turbulence. Both sides are industry-level tables."""
+    if by_year is None and turb is None:
+        # one sales pivot over the window years gives the firm counts, the sales totals
+        # and turbulence; only the top four sales need their own scan
+        years = spec.years
+        single = single_valued(years)
+        firms, seen = materialize_observed(sales_pivot(panel, years),
+                                           multi=F.count(F.when(~single, F.lit(1))))
+        cells, _ = checked_broadcast(pivot_cells(firms, years), max_rows)
+        top = top_sales_by_year(panel.where(F.col(YEAR).isin(*years)))
+        by_year = concentration_from(top, cells, years)
+        turb = turbulences(panel, [spec], max_rows, firms=firms, cells=cells,
+                           has_multi=bool(seen["multi"]))[spec]
     table = concentration_by_year(panel) if by_year is None else by_year
     levels = long_difference(table, [("cr4", "CR4"), ("n_firms", "n_firms")], spec)
     if turb is None:
