@@ -84,3 +84,17 @@ def test_share_join_without_broadcast_keeps_null_keys(spark):
 def test_markup_decomposition_has_no_join(sf0001_panel):
     text = plan(O.markup_decomposition(O.markup_sample(sf0001_panel), TREATMENT))
     assert "Join" not in text
+
+
+def test_firm_pivot_is_one_shuffle_keyed_on_the_firm(parquet_panel):
+    from firmdyn.operators.pairs import window_years
+    from firmdyn.plans.outcomes import firm_pivot
+    from firmdyn.schema import PRESHOCK
+
+    years = window_years([TREATMENT, PRESHOCK])
+    text = plan(firm_pivot(parquet_panel.select(*PANEL_COLUMNS), years))
+    exchanges = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning")]
+    assert len(exchanges) == 1 and "hashpartitioning(bvd_id" in exchanges[0]
+    assert "partial_" in text  # map-side partial aggregation before the exchange
+    pushed = [line for line in text.splitlines() if "PushedFilters" in line][0]
+    assert "In(year" in pushed and "GreaterThan(sales,0.0)" in pushed
