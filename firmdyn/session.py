@@ -90,6 +90,44 @@ def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, d
     return table, obs.get
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables, inside the shared checkpoint
+    folder; it and the application's own checkpoint folder are deleted when the JVM ends."""
+    sc = spark.sparkContext
+    own = ensure_checkpoint_dir(spark)
+    base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None) or own
+    path = f"{base.rstrip('/')}/firmdyn-{sc.applicationId}"
+    if path not in _RUN_FOLDERS:
+        conf = sc._jsc.hadoopConfiguration()
+        for folder in (path, own):
+            hadoop = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = hadoop.getFileSystem(conf)
+            fs.mkdirs(hadoop)
+            fs.deleteOnExit(hadoop)
+        _RUN_FOLDERS.add(path)
+    return path
+
+
+_RUN_FOLDERS: set[str] = set()
+
+
+def stash(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Write ``df`` as parquet under ``run_folder`` and read it back: cuts the lineage,
+    survives lost executors, and later readers prune columns and push filters."""
+    return stash_observed(df, *partition_by)[0]
+
+
+def stash_observed(df: DataFrame, *partition_by: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stash`` that also returns ``metrics`` (always ``rows``) of the written rows."""
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    obs = Observation(f"firmdyn_{uuid.uuid4().hex}")
+    named = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
+    df.observe(obs, *named).write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), obs.get
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     value = spark.conf.get(BROADCAST_ROWS_CONF, None)
     return int(value) if value else DEFAULT_BROADCAST_ROWS
