@@ -5,18 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firmdyn.llm import oracle
 from firmdyn.llm.bloom_dedup import bloom_exact_dedup
+from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import table
 
 
+def op1_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_chunked_bpe,
         op5_bloom_exact_dedup,
     )
 }
