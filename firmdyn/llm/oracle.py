@@ -9,4 +9,28 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY sha)
 """
 
-SQL: dict[str, str] = {"op5_bloom_exact_dedup": BLOOM_DEDUP}
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]
+                        FOR i IN range(1, len(words) - 1)]) END AS shingles FROM w),
+e AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM e a JOIN e b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM shared JOIN s sx ON sx.doc_id = x JOIN s sy ON sy.doc_id = y
+  WHERE 100 * n >= 85 * (len(sx.shingles) + len(sy.shingles) - n)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM s
+  UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON reach.other = link.x)
+SELECT s.doc_id, len(shingles) AS n_shingles, c.component AS component_id,
+       s.doc_id = c.component AS kept
+FROM s JOIN (SELECT doc_id, min(other) AS component FROM reach GROUP BY 1) c USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op5_bloom_exact_dedup": BLOOM_DEDUP,
+                       "op9_coordinate_minhash": NEAR_DUPLICATES}

@@ -11,6 +11,7 @@ from firmdyn.llm import oracle
 from firmdyn.llm.bloom_dedup import bloom_exact_dedup
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import table
+from firmdyn.llm.coordinate_minhash import near_duplicates
 
 
 def op1_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +27,15 @@ def op5_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_coordinate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, matches=40)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
         op5_bloom_exact_dedup,
+        op9_coordinate_minhash,
     )
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
