@@ -32,5 +32,35 @@ SELECT s.doc_id, len(shingles) AS n_shingles, c.component AS component_id,
 FROM s JOIN (SELECT doc_id, min(other) AS component FROM reach GROUP BY 1) c USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op5_bloom_exact_dedup": BLOOM_DEDUP,
+RULE_CASCADE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+g AS (
+  SELECT r, i, array_to_string(words[i:i + 7], ' ') AS gram
+  FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w)),
+twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n
+  FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+m AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+    len([x FOR x IN words IF regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) AS alpha_words,
+    len([x FOR x IN words IF regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) AS upper_words
+  FROM w LEFT JOIN covered c USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+       OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * alpha_words < 7 * n_words
+       OR 2 * upper_words > n_words) AS kept
+FROM b
+"""
+
+SQL: dict[str, str] = {"op4_rule_cascade": RULE_CASCADE,
+                       "op5_bloom_exact_dedup": BLOOM_DEDUP,
                        "op9_coordinate_minhash": NEAR_DUPLICATES}

@@ -12,6 +12,7 @@ from firmdyn.llm.bloom_dedup import bloom_exact_dedup
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import table
 from firmdyn.llm.coordinate_minhash import near_duplicates
+from firmdyn.llm.rule_cascade import rule_cascade
 
 
 def op1_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,13 @@ def op1_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return rule_cascade(table(spark, sf_dir, "documents"), always=base).select(
+        "doc_id", *base, failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"))
+
+
 def op5_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,7 @@ def op9_coordinate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
+        op4_rule_cascade,
         op5_bloom_exact_dedup,
         op9_coordinate_minhash,
     )
