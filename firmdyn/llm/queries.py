@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from firmdyn.llm import oracle
 from firmdyn.llm.bloom_dedup import bloom_exact_dedup
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
-from firmdyn.llm.common import table
+from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
+from firmdyn.llm.piece_langid import identify_languages
 from firmdyn.llm.rule_cascade import rule_cascade
 
 
@@ -35,6 +36,13 @@ def op5_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_piece_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    return identify_languages(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_coordinate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, matches=40)
 
@@ -44,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_chunked_bpe,
         op4_rule_cascade,
         op5_bloom_exact_dedup,
+        op7_piece_langid,
         op9_coordinate_minhash,
     )
 }
