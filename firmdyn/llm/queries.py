@@ -12,6 +12,7 @@ from firmdyn.llm.bloom_dedup import bloom_exact_dedup
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
+from firmdyn.llm.ngram_lm import score_documents
 from firmdyn.llm.piece_langid import identify_languages
 from firmdyn.llm.rule_cascade import rule_cascade
 
@@ -25,6 +26,12 @@ def op1_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -50,6 +57,7 @@ def op9_coordinate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
+        op2_ngram_lm,
         op4_rule_cascade,
         op5_bloom_exact_dedup,
         op7_piece_langid,
