@@ -13,6 +13,7 @@ from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
 from firmdyn.llm.ngram_lm import score_documents
+from firmdyn.llm.pfair_mix import pfair_mix
 from firmdyn.llm.piece_langid import identify_languages
 from firmdyn.llm.rule_cascade import rule_cascade
 
@@ -43,6 +44,10 @@ def op5_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix(table(spark, sf_dir, "documents"))
+
+
 def op7_piece_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_ngram_lm,
         op4_rule_cascade,
         op5_bloom_exact_dedup,
+        op6_pfair_mix,
         op7_piece_langid,
         op9_coordinate_minhash,
     )
