@@ -61,6 +61,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+CHAT_SNAPSHOTS = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+n AS (
+  SELECT conv_id, row_number() OVER w AS nth, role, text,
+    count(*) OVER (PARTITION BY conv_id) AS length,
+    string_agg(coalesce('r' || length(role) || role, '-') || coalesce('t' || length(text) || text, '-'), '')
+      OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+            ROWS UNBOUNDED PRECEDING) AS so_far
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)),
+whole AS (
+  SELECT so_far, min(conv_id) AS conv_id, count(*) AS n_equal FROM n WHERE nth = length
+  GROUP BY so_far HAVING so_far NOT IN (SELECT so_far FROM n WHERE nth < length))
+SELECT conv_id, nth, '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
+  || '<|im_end|>' || chr(10) AS segment, n_equal
+FROM n JOIN whole USING (conv_id)
+"""
+
 SQL: dict[str, str] = {"op4_rule_cascade": RULE_CASCADE,
                        "op5_bloom_exact_dedup": BLOOM_DEDUP,
+                       "op8_chat_snapshots": CHAT_SNAPSHOTS,
                        "op9_coordinate_minhash": NEAR_DUPLICATES}

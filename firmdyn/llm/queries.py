@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from firmdyn.llm import oracle
 from firmdyn.llm.bloom_dedup import bloom_exact_dedup
+from firmdyn.llm.chat_snapshots import format_chats
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
@@ -55,6 +56,10 @@ def op7_piece_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_coordinate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, matches=40)
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_bloom_exact_dedup,
         op6_pfair_mix,
         op7_piece_langid,
+        op8_chat_snapshots,
         op9_coordinate_minhash,
     )
 }
