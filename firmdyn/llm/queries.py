@@ -13,6 +13,7 @@ from firmdyn.llm.chat_snapshots import format_chats
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
+from firmdyn.llm.license_classifier import scan_licenses
 from firmdyn.llm.ngram_lm import score_documents
 from firmdyn.llm.pfair_mix import pfair_mix
 from firmdyn.llm.piece_langid import identify_languages
@@ -64,6 +65,10 @@ def op9_coordinate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, matches=40)
 
 
+def op10_license_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_piece_langid,
         op8_chat_snapshots,
         op9_coordinate_minhash,
+        op10_license_classifier,
     )
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
