@@ -13,6 +13,7 @@ from firmdyn.llm.chat_snapshots import format_chats
 from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
+from firmdyn.llm.cotraining import quality_scores
 from firmdyn.llm.license_classifier import scan_licenses
 from firmdyn.llm.ngram_lm import score_documents
 from firmdyn.llm.pfair_mix import pfair_mix
@@ -35,6 +36,11 @@ def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "train_tokens", "base_score", "score")
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "quality_score", (F.col("quality_score") >= 0.5).alias("kept"))
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
         op2_ngram_lm,
+        op3_cotraining,
         op4_rule_cascade,
         op5_bloom_exact_dedup,
         op6_pfair_mix,
