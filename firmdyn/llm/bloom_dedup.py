@@ -137,13 +137,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     verdict = stash(bloom_exact_dedup(docs, id_col, text_col))
     many = verdict.groupBy(id_col).count().where("count > 1").select(id_col)
     lost = verdict.where(~F.col("kept")).select(id_col).unionByName(many)
-    _id = F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("_id")
-    rows = docs.withColumn("_id", _id)
-    single = rows.join(lost.select(_id), "_id", "left_anti")
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("key")
+    rows = docs.select(key, F.struct("*").alias("row"))
+    single = rows.join(lost.select(key), "key", "left_anti")
     # ids that occur in several rows: choose by text, and one row of each text
-    repeated = (rows.join(many.select(_id), "_id", "left_semi")
-                .withColumn("_sha", text_sha256(F.col(text_col)))
-                .join(verdict.where("kept").select(_id, F.col("text_sha256").alias("_sha")),
-                      ["_id", "_sha"], "left_semi")
-                .dropDuplicates(["_id", "_sha"]).drop("_sha"))
-    return single.unionByName(repeated).drop("_id")
+    repeated = (rows.join(many.select(key), "key", "left_semi")
+                .withColumn("sha", text_sha256(F.col("row")[text_col]))
+                .join(verdict.where("kept").select(key, F.col("text_sha256").alias("sha")), ["key", "sha"], "left_semi")
+                .dropDuplicates(["key", "sha"]))
+    return single.select("row").unionByName(repeated.select("row")).select("row.*")

@@ -222,7 +222,7 @@ class WordWeights(dict):
         return out
 
 
-def _score(model, names: list[str]):
+def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         weights = None if isinstance(m, float) else WordWeights(m.text)
@@ -231,24 +231,24 @@ def _score(model, names: list[str]):
                 p = np.full(batch.num_rows, m)
             else:
                 z = []
-                for text in batch.column("_text"):
+                for text in batch.column("text"):
                     data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                     words = data.split()
                     z.append(sum(map(weights.__getitem__, words)) / max(1, len(words))
                              + BIN_WEIGHT * m.text[_measures(data, words)].sum() + m.text[-1])
-                columns = (batch.column(c).to_pylist() for c in ("_source", "_lang", "_n_chars"))
+                columns = (batch.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
                 p = m.probability(np.array(z, float), Rows([meta_features(*x) for x in zip(*columns)]).scores(m.meta))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(p, pa.float64())],
-                                             [*names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(p, pa.float64())],
+                                             ["row", "quality_score"])
 
     return run
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", *, text_col: str = "text",
-                   source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars",
-                   label_col: str = "quality", carry: tuple[str, ...] = (), labelled_rows: int = 3000,
-                   pool_rows: int = 5000, rounds: int = 3, confident: float = 0.97) -> DataFrame:
-    """One row per input row: id, the columns in ``carry``, quality_score (probability of a good
+def score_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", *, text_col: str = "text",
+               source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars",
+               label_col: str = "quality", labelled_rows: int = 3000, pool_rows: int = 5000, rounds: int = 3,
+               confident: float = 0.97) -> DataFrame:
+    """One row per input row: row (a struct of its columns), quality_score (probability of a good
     document)."""
     spark = docs.sparkSession
     known = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
@@ -269,7 +269,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", *
     text, meta = (Rows([(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32))
                         for a, v in zip(found[f"{x}_at"], found[f"{x}_value"])]) for x in ("text", "meta"))
     model = spark.sparkContext.broadcast(co_train(text, meta, found["label"].to_numpy(int), rounds, confident))
-    names = [id_col, *carry]
-    given = docs.select(*names, *[c.alias(n) for c, n in zip(views[1:], ("_text", "_source", "_lang", "_n_chars"))])
-    schema = docs.select(*names).schema.add("quality_score", "double")
-    return given.mapInArrow(_score(model, names), schema)
+    given = docs.select(F.struct("*").alias("row"), *[c.alias(n) for c, n in zip(
+        views[1:], ("text", "source", "lang", "n_chars"))])
+    return given.mapInArrow(_score(model), given.select("row").schema.add("quality_score", "double"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per input row: id, quality_score."""
+    scored = score_rows(docs, labels, id_col, **options)
+    return scored.select(F.col(f"row.{id_col}").alias(id_col), "quality_score")

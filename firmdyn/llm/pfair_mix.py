@@ -144,7 +144,9 @@ def mixed_rows(docs: DataFrame, weights: Mapping[str | None, float] | None = Non
                id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` as often and in the order in which the mix uses them."""
     mix = pfair_mix(docs, weights, id_col, source_col, **options).select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col("position").alias("_position"))
-    same = docs[id_col].eqNullSafe(mix["_id"]) & docs[source_col].cast("string").eqNullSafe(mix["_source"])
-    return (docs.join(mix, same).drop("_id", "_source")
-            .repartitionByRange("_position").sortWithinPartitions("_position").drop("_position"))
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), "position")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = (F.col("row")[id_col].eqNullSafe(mix["id"])
+            & F.col("row")[source_col].cast("string").eqNullSafe(mix["source"]))
+    return (rows.join(mix, same).select("row", "position").repartitionByRange("position")
+            .sortWithinPartitions("position").select("row.*"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from firmdyn.llm.common import fold
 from firmdyn.llm.cotraining import (META_SIZE, TEXT_SIZE, Model, Rows, WordFeatures, co_train, fit, fit_small,
-                                    meta_features, quality_scores, text_features)
+                                    meta_features, quality_scores, score_rows, text_features)
 from tests.conftest import SF001
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, quality_score double, label string"
@@ -72,9 +72,9 @@ def test_edges(spark):
     docs = spark.createDataFrame(rows(), SCHEMA).repartition(3)
     labels = spark.createDataFrame([(i, int(i < 100)) for i in [*range(30), *range(100, 130)]] + [(5, 0), (5, 1), (31, None), (999, 1)],
                                    "doc_id long, quality int")
-    out = quality_scores(docs, labels, carry=("text", "n_chars")).collect()
-    assert sorted((str(r.doc_id), r.text, r.n_chars) for r in out) == sorted((str(r[0]), r[1], r[4]) for r in rows())
-    of = {r.doc_id: r.quality_score for r in out}
+    out = score_rows(docs, labels).collect()
+    assert sorted(map(str, (tuple(r.row) for r in out))) == sorted(map(str, rows()))
+    of = {r.row.doc_id: r.quality_score for r in out}
     assert min(of[i] for i in range(40)) > 0.5 > max(of[100 + i] for i in range(40)) and of[2**60 + 1] < 0.5
     one = quality_scores(docs, labels.where("quality = 1")).collect()
     none = quality_scores(docs, labels.where("false")).collect()
