@@ -13,7 +13,8 @@ from firmdyn.schema import PRESHOCK, TREATMENT, LongDiffSpec
 
 # The derived firm-year panel over the driver tables.
 DRIVER_PANEL_SQL = """
-select lpad(cast(c_nationkey as string), 2, '0') || lpad(cast(c_custkey as string), 9, '0') as bvd_id,
+select lpad(cast(c_nationkey as string), cast(greatest(length(cast(c_nationkey as string)), 2) as int), '0')
+       || lpad(cast(c_custkey as string), cast(greatest(length(cast(c_custkey as string)), 9) as int), '0') as bvd_id,
        case c_mktsegment when 'AUTOMOBILE' then 3711 when 'BUILDING' then 1520
                          when 'FURNITURE' then 2510 when 'MACHINERY' then 3500
                          when 'HOUSEHOLD' then 3630 end as sic,
@@ -309,8 +310,15 @@ def queries(raw_panel: str = DRIVER_PANEL_SQL, dialect: str = "duckdb") -> dict[
                        count(*) - count({v}) as null_count, {r6(f'avg({v})')} as mean,
                        {r6(f'stddev_samp({v})')} as std, {r6(f'min({v})')} as min,
                        {r6(q.quantile(v, 0.25))} as p25, {r6(q.quantile(v, 0.5))} as p50,
-                       {r6(q.quantile(v, 0.75))} as p75, {r6(f'max({v})')} as max
+                       {r6(q.quantile(v, 0.75))} as p75, {r6(f'max({v})')} as max,
+                       cast(null as string) as min_key, cast(null as string) as max_key
                 from {table}""")
+        nothing = ", ".join(f"cast(null as double) as {c}" for c in ("mean", "std", "min", "p25", "p50", "p75", "max"))
+        for c in ("fic_code", "borrower_sic"):
+            parts.append(f"""
+                select '{name}' as outcome, '{c}' as metric, count({c}) as count,
+                       count(*) - count({c}) as null_count, {nothing},
+                       min({c}) as min_key, max({c}) as max_key from {table}""")
     out["outcome_summary"] = q.render(" union all ".join(parts))
 
     q = new()
@@ -337,6 +345,21 @@ def queries(raw_panel: str = DRIVER_PANEL_SQL, dialect: str = "duckdb") -> dict[
         f"select '{name}' as outcome, count(*) as n_rows, {len(cols) + 2} as n_columns from {table}"
         for name, (table, cols) in tables.items()))
 
+    q = new()
+    tables = outcome_tables(q, PRESHOCK)
+    out["outcome_shapes_2010"] = q.render(" union all ".join(
+        f"select '{name}' as outcome, count(*) as n_rows, {len(cols) + 2} as n_columns from {table}"
+        for name, (table, cols) in tables.items()))
+    q = new()
+    table, cols = q.op_covariance(PRESHOCK)
+    out["outcome_preview_2010"] = q.render(
+        f"select fic_code, borrower_sic, {rounded(cols)} from {table} order by fic_code, borrower_sic limit 5")
+    # the full run and the round trips give the same tables
+    for spec in (TREATMENT, PRESHOCK):
+        for family in ("markup_decomp", "op_covariance", "dispersion", "concentration"):
+            out[f"run_{family}_{spec.base}"] = out[f"{family}_{spec.base}"]
+    out["panel_round_trip"], out["csv_round_trip"] = out["firm_panel"], out["concentration_2010"]
+
     q = new()
     out["panel_count"] = q.render("select count(*) as n_rows from panel")
     return out

@@ -7,10 +7,8 @@ is what the tests and benches run on.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmdyn.functions import country_of, sic2
@@ -23,24 +21,32 @@ def prepare_panel(df: DataFrame) -> DataFrame:
     return df.withColumn(COUNTRY, country_of(FIRM)).withColumn(INDUSTRY, sic2(INDUSTRY))
 
 
+# What the reader reports for a missing folder and for one without files.
+NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def load_panel(spark: SparkSession, path: str, first_file_only: bool = False) -> DataFrame:
     """Read every ``*.parquet`` file directly inside ``path`` as one panel.
 
-    ``first_file_only`` keeps the rows of the first file in name order (a smoke
-    run); the choice is a filter on the hidden file-name column, so it stays a
-    plain scan. A folder with no parquet file raises ``FileNotFoundError``.
+    ``first_file_only`` reads only the first file in path order (a smoke run); the
+    files are listed and compared by Spark. A folder with no parquet file raises
+    ``FileNotFoundError``; any other error of the reader is passed on.
     """
+    def files(fmt: str):
+        return spark.read.option("pathGlobFilter", "*.parquet").format(fmt)
+
     try:
-        df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+        if first_file_only:
+            # the path column alone: no file is opened
+            first = files("binaryFile").load(path).agg(F.min("path")).first()[0]
+            if first is None:
+                raise FileNotFoundError(f"No parquet files found in {path}/")
+            return prepare_panel(spark.read.parquet(first))
+        return prepare_panel(files("parquet").load(path))
     except AnalysisException as exc:
-        raise FileNotFoundError(f"No parquet files found in {path}/") from exc
-    if first_file_only:
-        # inputFiles() and the hidden file-name column both hold URI-encoded names;
-        # the order is that of the real names.
-        encoded = [f.rsplit("/", 1)[-1] for f in df.inputFiles()]
-        first = min(encoded, key=unquote)
-        df = df.where(F.col("_metadata.file_name") == first)
-    return prepare_panel(df)
+        if exc.getCondition() in NO_FILES:
+            raise FileNotFoundError(f"No parquet files found in {path}/") from exc
+        raise
 
 
 def panel_count(df: DataFrame) -> DataFrame:
@@ -52,6 +58,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def padded(key: str, width: int) -> Column:
+    """A key as text with leading zeros up to ``width``; a longer key stays whole."""
+    text = F.col(key).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 # Market segment -> four-digit industry code of the derived panel.
 SEGMENT_SIC = {
     "AUTOMOBILE": 3711,
@@ -68,11 +80,11 @@ def derived_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Firm-year panel from the driver tables: firm = customer, country = nation key,
     industry = market segment, year = ship year + 14.
 
-    Plan: line items are joined to their order and part, summed per (customer, year)
+    Plan: line items are joined to their order and part and summed per (customer, year)
     before the customer join (partial aggregation keeps the line-item rows out of the
-    last two shuffles), then summed again per (firm id, industry, year) so that the
-    grouping is exactly the one of the panel definition. Small dimension tables are
-    broadcast by the planner's size estimate, large ones are shuffle-joined.
+    last shuffle). Customer keys are unique, so that is the grouping of the panel
+    definition. Small dimension tables are broadcast by the planner's size estimate,
+    large ones are shuffle-joined.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -97,11 +109,8 @@ def derived_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     sic = None
     for name, code in SEGMENT_SIC.items():
         sic = F.when(segment == name, code) if sic is None else sic.when(segment == name, code)
-    firms = per_customer.join(customer, per_customer.o_custkey == customer.c_custkey).select(
-        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"),
-                 F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias(FIRM),
+    return per_customer.join(customer, per_customer.o_custkey == customer.c_custkey).select(
+        F.concat(padded("c_nationkey", 2), padded("c_custkey", 9)).alias(FIRM),
         sic.alias(INDUSTRY),
         F.col(YEAR), F.col(SALES), F.col(COGS), F.col(EMPLOYEES), F.col(ASSETS),
     )
-    return firms.groupBy(FIRM, INDUSTRY, YEAR).agg(
-        *[F.sum(c).alias(c) for c in (SALES, COGS, EMPLOYEES, ASSETS)])

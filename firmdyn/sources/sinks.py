@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame
 
-from firmdyn.schema import LongDiffSpec, TREATMENT
+from firmdyn.schema import LongDiffSpec, PRESHOCK, TREATMENT
 
 # Output names of the outcome families and the firm panel.
 OUTPUT_NAMES = {
@@ -31,15 +31,19 @@ def output_dir(root: str, spec: LongDiffSpec) -> str:
 
 
 def outcome_path(root: str, family: str, spec: LongDiffSpec) -> str:
+    """The outcome's CSV folder. Windows other than the two predefined ones carry their
+    horizons in the name, so windows with one base year do not overwrite each other."""
     name = OUTPUT_NAMES[family]
     if spec != TREATMENT:
         name = f"{name}_{spec.base}base"
-    return os.path.join(output_dir(root, spec), name)
+        if spec != PRESHOCK:
+            name = "_".join([name, *map(str, spec.horizons)])
+    return os.path.join(output_dir(root, spec), f"{name}.csv")
 
 
 def write_outcome_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header; nulls are empty fields. An empty result still
-    gets its header."""
+    """A folder named like the CSV file, holding one CSV part with a header; nulls are
+    empty fields. An empty result still gets its header."""
     (df.coalesce(1).write.mode("overwrite")
        .option("header", True).option("nullValue", "").option("emptyValue", "")
        .csv(path))

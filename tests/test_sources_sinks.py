@@ -3,12 +3,14 @@
 import csv
 import glob
 import os
+from datetime import date
 
 import pytest
 
 from firmdyn.plans.outcomes import run_windows
-from firmdyn.schema import PRESHOCK, TREATMENT
+from firmdyn.schema import LongDiffSpec, PRESHOCK, TREATMENT
 from firmdyn.sources import load_panel, panel_count
+from firmdyn.sources.sinks import outcome_path
 from tests import micro_panels as M
 from tests.helpers import raw_schema
 
@@ -56,18 +58,85 @@ def test_run_windows_writes_every_output(spark, folder, tmp_path):
     names = ["industry_markup_decomp", "industry_op_covariance", "industry_dispersion",
              "industry_concentration"]
     for name in names:
-        (f,) = glob.glob(os.path.join(out, name, "*.csv"))
+        (f,) = glob.glob(os.path.join(out, f"{name}.csv", "*.csv"))
         with open(f) as fh:
             header = next(csv.reader(fh))
         family = name.removeprefix("industry_")
         assert header == results[TREATMENT][family].columns
-        assert glob.glob(os.path.join(out, "block2", f"{name}_2010base", "*.csv"))
+        assert glob.glob(os.path.join(out, "block2", f"{name}_2010base.csv", "*.csv"))
     firm = spark.read.parquet(os.path.join(out, "firm_panel_markup"))
     assert {"markup", "share", "_country_", "total_assets"} <= set(firm.columns)
     assert not os.path.exists(os.path.join(out, "block2", "firm_panel_markup"))
     assert set(results) == {TREATMENT, PRESHOCK}
 
 
+def read_csv(path):
+    (f,) = glob.glob(os.path.join(path, "*.csv"))
+    with open(f) as fh:
+        return list(csv.reader(fh))
+
+
+def test_csv_holds_the_values_and_nulls_of_both_windows(spark, folder, tmp_path):
+    path, _ = folder
+    out = str(tmp_path / "values")
+    results = run_windows(load_panel(spark, path), save=True, out_dir=out)
+    seen_null = False
+    for spec, tables in results.items():
+        for family, df in tables.items():
+            header, *rows = read_csv(outcome_path(out, family, spec))
+            assert header == df.columns and (spec != PRESHOCK or all("_2010_" in c for c in header[2:]))
+            want = sorted(["" if v is None else str(v) for v in r] for r in df.collect())
+            assert [[*r[:2]] for r in sorted(rows)] == [[*r[:2]] for r in want]
+            for got, exp in zip(sorted(rows), want):
+                for a, b in zip(got[2:], exp[2:]):
+                    assert (a == b == "") or float(a) == pytest.approx(float(b))
+                    seen_null |= a == ""
+    assert seen_null
+
+
+def test_two_windows_with_one_base_year_are_both_saved(spark, folder, tmp_path):
+    path, _ = folder
+    panel, out = load_panel(spark, path), str(tmp_path / "same base")
+    specs = [LongDiffSpec(2010, (2013,)), LongDiffSpec(2010, (2014,)), PRESHOCK]
+    results = run_windows(panel, specs, save=True, out_dir=out)
+    for spec in specs:
+        for family, df in results[spec].items():
+            assert read_csv(outcome_path(out, family, spec))[0] == df.columns
+    with pytest.raises(ValueError, match="one path"):
+        run_windows(panel, [specs[0], specs[0]], save=True, out_dir=out)
+
+
+def test_other_reader_errors_are_passed_on(spark, tmp_path):
+    (tmp_path / "broken.parquet").write_text("no parquet at all")
+    with pytest.raises(Exception) as caught:
+        load_panel(spark, str(tmp_path))
+    assert not isinstance(caught.value, FileNotFoundError)
+
+
+def test_long_customer_keys_stay_distinct_firms(spark, tmp_path):
+    import duckdb
+
+    from firmdyn.plans.naive_sql import DRIVER_PANEL_SQL
+    from firmdyn.sources import derived_panel
+
+    keys = [1, 123456789, 1234567890, 1234567891, 123456789012]
+    tables = {
+        "customer": ([(k, 7, "BUILDING") for k in keys], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "orders": ([(i, k) for i, k in enumerate(keys)], "o_orderkey long, o_custkey long"),
+        "part": ([(1, 10.0)], "p_partkey long, p_retailprice double"),
+        "lineitem": ([(i, 1, 2.0, 100.0, 0.1, 0.05, "N", "O", date(1998, 3, 4)) for i in range(len(keys))],
+                     "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, "
+                     "l_tax double, l_returnflag string, l_linestatus string, l_shipdate date")}
+    con = duckdb.connect()
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+        con.register(name, df.toPandas())
+    got = sorted(r.bvd_id for r in derived_panel(spark, str(tmp_path)).collect())
+    assert got == sorted(f"07{k:09d}" for k in keys)
+    assert got == sorted(r[0] for r in con.execute(DRIVER_PANEL_SQL).fetchall())
+
+
 def test_empty_outcome_still_has_a_header(spark, tmp_path):
     from firmdyn.operators import turbulence
     from firmdyn.sources.sinks import write_outcome_csv
@@ -86,7 +155,7 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert main([path, str(tmp_path / "cli"), "--window", "preshock", "--smoke"]) == 0
     out = capsys.readouterr().out
     assert f"firm-year rows: {counts[0]:,}" in out
-    assert glob.glob(str(tmp_path / "cli" / "block2" / "industry_op_covariance_2010base" / "*.csv"))
+    assert glob.glob(str(tmp_path / "cli" / "block2" / "industry_op_covariance_2010base.csv" / "*.csv"))
 
 
 def test_command_line_without_saving(spark, folder, tmp_path, capsys):
