@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from firmdyn.plans import naive_sql  # noqa: E402
-from firmdyn.plans.outcomes import FAMILIES, compute_outcomes, prepare  # noqa: E402
+from firmdyn.plans.outcomes import FAMILIES, prepare  # noqa: E402
 from firmdyn.schema import PRESHOCK, TREATMENT  # noqa: E402
 from firmdyn.session import local_session  # noqa: E402
 from firmdyn.sources import derived_panel, load_panel  # noqa: E402
@@ -52,7 +52,7 @@ def optimised(spark, panel_dir: str, concurrent: bool = True) -> dict[str, float
     t = time.perf_counter()
     shared = prepare(load_panel(spark, panel_dir), specs, concurrent=concurrent)
     times["shared_tables"] = time.perf_counter() - t
-    results = compute_outcomes(shared, specs)
+    results = shared.outcomes
     for spec in specs:
         for family in FAMILIES:
             times[f"{family}_{spec.base}"] = timed(lambda: run(results[spec][family]))

@@ -15,10 +15,11 @@ difference; anchored on industries with survivors at the first horizon.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmdyn.functions import positive, ratio
@@ -30,6 +31,10 @@ from firmdyn.schema import (CELL, CELL_YEAR, FIRM, FIRM_KEY, OUT_COUNTRY, OUT_IN
 from firmdyn.session import checked_broadcast, materialize, materialize_observed
 
 
+#: (column, label) of the long differences.
+CONCENTRATION_MEASURES = (("cr4", "CR4"), ("n_firms", "n_firms"))
+
+
 def _positive_sales(panel: DataFrame) -> DataFrame:
     return panel.where(positive(SALES))
 
@@ -79,11 +84,9 @@ def concentration_by_year(panel: DataFrame, k: int = TOP_K,
 
 
 def turbulence(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
-               max_rows: int | None = None, force_exact: bool = False) -> DataFrame:
-    """fic_code, borrower_sic, LD_turbulence_{base}_{h} per horizon.
-
-    ``force_exact`` sends every firm key through the sort-based path (tests)."""
-    return turbulences(panel, [spec], max_rows, force_exact)[spec]
+               max_bytes: int | None = None) -> DataFrame:
+    """fic_code, borrower_sic, LD_turbulence_{base}_{h} per horizon."""
+    return SalesPivot.of(panel, [spec], max_bytes).turbulences([spec])[spec]
 
 
 def sales_pivot_aggregates() -> dict:
@@ -98,17 +101,22 @@ def sales_pivot_aggregates() -> dict:
 def sales_pivot(panel: DataFrame, years: Sequence[int]) -> DataFrame:
     """One row per firm key over the positive-sales rows of ``years``."""
     rows = firm_key_rows(_positive_sales(panel), years, [SALES])
-    return per_firm(rows, years, {}, sales_pivot_aggregates())
+    return per_firm(rows, years, sales_pivot_aggregates())
 
 
 def pivot_cells(firms: DataFrame, years: Sequence[int]) -> DataFrame:
-    """One row per industry from a sales pivot: per year the sales total ``T_{y}`` and
-    the number of distinct firms ``N_{y}`` (a firm key with rows in that year)."""
+    """One row per industry with ``pivot_cell_aggregates``."""
+    return firms.groupBy(*CELL).agg(*pivot_cell_aggregates(years))
+
+
+def pivot_cell_aggregates(years: Sequence[int]) -> list[Column]:
+    """Industry aggregates of a sales pivot: per year the sales total ``T_{y}`` and the
+    number of distinct firms ``N_{y}`` (a firm key with rows in that year)."""
     aggs = []
     for yr in years:
         aggs.append(F.sum(f"sal{side(yr)}").alias(f"T{side(yr)}"))
         aggs.append(F.count(F.when(count_at(yr) > 0, F.lit(1))).alias(f"N{side(yr)}"))
-    return firms.groupBy(*CELL).agg(*aggs)
+    return aggs
 
 
 def cell_years(cells: DataFrame, years: Sequence[int]) -> DataFrame:
@@ -130,50 +138,93 @@ def concentration_from(top: DataFrame, cells: DataFrame, years: Sequence[int]) -
         "n_firms", "total_sales")
 
 
-def turbulences(panel: DataFrame, specs: Sequence[LongDiffSpec], max_rows: int | None = None,
-                force_exact: bool = False, firms: DataFrame | None = None,
-                cells: DataFrame | None = None, has_multi: bool | None = None,
-                write_sums: bool = False) -> dict[LongDiffSpec, DataFrame]:
-    """Turbulence of several windows from one sales pivot over all their years.
-
-    ``firms`` is a written pivot with ``sales_pivot_aggregates`` (built and written here
-    if not given), ``cells`` its ``pivot_cells`` as returned by ``checked_broadcast``
-    (built here if not given), ``has_multi`` whether any of its keys is not
-    single-valued (counted if not given). All windows share one aggregation of the
-    firm table, written once with ``write_sums``. The industry table is broadcast onto
-    the firm rows after a size check, so shares need no shuffle. A firm key with one
-    sales value per year (the normal case, and exact copies) is closed-form; other keys
-    go through ``exact_abs_pair_sums``.
-    """
-    years = window_years(specs)
-    single = single_valued(years) & F.lit(not force_exact)
-    if firms is None:
-        firms, seen = materialize_observed(sales_pivot(panel, years),
-                                           multi=F.count(F.when(~single, F.lit(1))))
-        has_multi = bool(seen["multi"])
-    elif has_multi is None or force_exact:
-        has_multi = force_exact or firms.where(~single).limit(1).count() > 0
-    if cells is None:
-        cells, _ = checked_broadcast(pivot_cells(firms, years), max_rows)
-    small = cells.select(*[F.col(c).alias(f"_t{c}") for c in CELL],
-                         *[f"T{side(y)}" for y in years])
-    joined = firms.join(small, reduce(and_, [F.col(c) == F.col(f"_t{c}") for c in CELL]))
-
-    multi_rows = None
-    if has_multi:
-        keys, _ = checked_broadcast(firms.where(~single).select(*FIRM_KEY), max_rows)
-        totals = cell_years(cells, years).select(
-            *[F.col(c).alias(f"_t_{c}") for c in CELL_YEAR], "total_sales")
-        totals, _ = checked_broadcast(totals, max_rows)
-        cond = reduce(and_, [F.col(c) == F.col(f"_t_{c}") for c in CELL_YEAR])
-        multi_rows = (firm_key_rows(_positive_sales(panel), years, [SALES])
-                      .join(keys, list(FIRM_KEY), "left_semi").join(totals, cond, "inner")
-                      .select(*FIRM_KEY, YEAR,
-                              ratio(F.col(SALES), F.col("total_sales")).alias("share")))
-    sums = _closed_form_sums(joined.where(single), specs)
-    if write_sums:
+def multi_valued(years: Sequence[int]) -> Column:
+    """How many firm keys of a sales pivot have a year with several sales values."""
+    return F.count(F.when(~single_valued(years), F.lit(1)))
+
+
+def top_of(values: DataFrame, k: int = TOP_K) -> DataFrame:
+    """(_country_, sic, year, top_sales) of the k largest from (cell, year, value, copies).
+
+    The limit to k rows runs before the shuffle and again after it; copies count as
+    rows of their own."""
+    w = Window.partitionBy(*CELL_YEAR).orderBy(F.col("value").desc())
+    few = values.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+    upto = F.sum("copies").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    used = F.greatest(F.lit(0), F.least(F.col("copies"), k - (F.col("_upto") - F.col("copies"))))
+    return (few.withColumn("_upto", upto).groupBy(*CELL_YEAR)
+               .agg(F.sum(F.col("value") * used).alias("top_sales")))
+
+
+@dataclass
+class SalesPivot:
+    """A written firm pivot with ``sales_pivot_aggregates`` and what is derived from it once
+    for all windows: its industry table, and the distinct values of the firm keys that have
+    several sales values in a year (exact copies are one value)."""
+
+    years: list[int]
+    firms: DataFrame
+    cells: DataFrame
+    multi: DataFrame | None
+
+    @classmethod
+    def of(cls, panel: DataFrame, specs: Sequence[LongDiffSpec], max_bytes: int | None = None) -> SalesPivot:
+        years = window_years(specs)
+        firms, seen = materialize_observed(sales_pivot(panel, years), multi=multi_valued(years))
+        cells, _ = checked_broadcast(pivot_cells(firms, years), max_bytes)
+        return cls.from_tables(panel, years, firms, cells, bool(seen["multi"]), max_bytes)
+
+    @classmethod
+    def from_tables(cls, panel: DataFrame, years: list[int], firms: DataFrame, cells: DataFrame,
+                    has_multi: bool, max_bytes: int | None = None) -> SalesPivot:
+        """``cells`` as returned by ``checked_broadcast``; the panel is read again only for
+        the firm keys with several values, and their values are written."""
+        multi = None
+        if has_multi:
+            keys, _ = checked_broadcast(firms.where(~single_valued(years)).select(*FIRM_KEY), max_bytes)
+            rows = firm_key_rows(_positive_sales(panel), years, [SALES]).join(keys, list(FIRM_KEY), "left_semi")
+            multi = materialize(rows.groupBy(*FIRM_KEY, YEAR, F.col(SALES).alias("value"))
+                                    .agg(F.count(F.lit(1)).alias("copies")))
+        return cls(years, firms, cells, multi)
+
+    def top_sales(self) -> DataFrame:
+        """(_country_, sic, year, top_sales) of the pivot's years, without the panel."""
+        per_year = F.explode(F.array(*[
+            F.struct(F.lit(yr).alias(YEAR), F.col(f"lo{side(yr)}").alias("value"), count_at(yr).alias("copies"))
+            for yr in self.years]))
+        values = (self.firms.where(single_valued(self.years)).select(*CELL, per_year.alias("_y"))
+                  .select(*CELL, "_y.*").where(F.col("copies") > 0))
+        if self.multi is not None:
+            values = values.unionByName(self.multi.select(*CELL_YEAR, "value", "copies"))
+        return top_of(values)
+
+    def concentration(self) -> DataFrame:
+        return concentration_from(self.top_sales(), self.cells, self.years)
+
+    def turbulences(self, specs: Sequence[LongDiffSpec]) -> dict[LongDiffSpec, DataFrame]:
+        """Turbulence of several windows. A firm key with one sales value per year (the
+        normal case, and exact copies) is closed-form, the others share one range sort
+        (``exact_abs_pair_sums``); the industry sums of both are written once. The industry
+        table is broadcast onto the firm rows after a size check, so shares need no shuffle."""
+        small = self.cells.select(*[F.col(c).alias(f"_t{c}") for c in CELL],
+                                  *[f"T{side(y)}" for y in self.years])
+        joined = self.firms.where(single_valued(self.years)).join(
+            small, reduce(and_, [F.col(c) == F.col(f"_t{c}") for c in CELL]))
+        sums = _closed_form_sums(joined, specs)
+        if self.multi is not None:
+            totals = cell_years(self.cells, self.years).select(*[F.col(c).alias(f"_t_{c}") for c in CELL_YEAR], "total_sales")
+            shares = self.multi.join(totals, reduce(and_, [F.col(c) == F.col(f"_t_{c}") for c in CELL_YEAR])).select(
+                *FIRM_KEY, YEAR, ratio(F.col("value"), F.col("total_sales")).alias("share"), "copies")
+            exact = exact_abs_pair_sums(shares, window_pairs(specs), "share", "copies")
+            sums = sums.unionByName(exact).groupBy(*CELL).agg(
+                *[F.sum(c).alias(c) for c in exact.columns if c not in CELL])
         sums = materialize(sums)
-    return {spec: _turbulence_of(sums, multi_rows, spec) for spec in specs}
+        return {spec: _turbulence_of(sums, spec) for spec in specs}
+
+
+def window_pairs(specs: Sequence[LongDiffSpec]) -> list[tuple[int, int]]:
+    """Every (base, horizon) of the windows, once."""
+    return list(dict.fromkeys((spec.base, h) for spec in specs for h in spec.horizons))
 
 
 def _closed_form_sums(simple: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:
@@ -183,7 +234,7 @@ def _closed_form_sums(simple: DataFrame, specs: Sequence[LongDiffSpec]) -> DataF
         return ratio(F.col(f"lo{side(yr)}"), F.col(f"T{side(yr)}"))
 
     aggs = []
-    for b, h in dict.fromkeys((spec.base, h) for spec in specs for h in spec.horizons):
+    for b, h in window_pairs(specs):
         sv = survivor(b, h)
         pairs = count_at(b) * count_at(h)
         aggs.append(F.sum(F.when(sv, pairs)).alias(f"pairs_{b}_{h}"))
@@ -191,46 +242,20 @@ def _closed_form_sums(simple: DataFrame, specs: Sequence[LongDiffSpec]) -> DataF
     return simple.groupBy(*CELL).agg(*aggs)
 
 
-def _turbulence_of(sums: DataFrame, multi_rows: DataFrame | None,
-                   spec: LongDiffSpec) -> DataFrame:
-    b = spec.base
-    cells = sums.select(*CELL, *[F.col(f"{k}_{b}_{h}").alias(f"{k}_{h}")
-                                 for h in spec.horizons for k in ("pairs", "abs")])
-    if multi_rows is not None:
-        vals = (multi_rows.where(F.col(YEAR).isin(*spec.years))
-                          .groupBy(*FIRM_KEY, YEAR, "share")
-                          .agg(F.count(F.lit(1)).alias("_copies")))
-        exact = exact_abs_pair_sums(vals, spec, "share", "_copies")
-        cells = cells.unionByName(exact).groupBy(*CELL).agg(
-            *[F.sum(c).alias(c) for c in exact.columns if c not in CELL])
-
-    h0 = spec.horizons[0]
+def _turbulence_of(sums: DataFrame, spec: LongDiffSpec) -> DataFrame:
+    b, h0 = spec.base, spec.horizons[0]
     cols = output_keys(CELL) + [
-        F.when(F.col(f"pairs_{h}") > 0, F.col(f"abs_{h}")).alias(spec.label("turbulence", h))
+        F.when(F.col(f"pairs_{b}_{h}") > 0, F.col(f"abs_{b}_{h}")).alias(spec.label("turbulence", h))
         for h in spec.horizons]
-    return cells.where(F.col(f"pairs_{h0}") > 0).select(*cols)
+    return sums.where(F.col(f"pairs_{b}_{h0}") > 0).select(*cols)
 
 
 def concentration(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
-                  by_year: DataFrame | None = None, max_rows: int | None = None,
-                  turb: DataFrame | None = None) -> DataFrame:
+                  max_bytes: int | None = None) -> DataFrame:
     """fic_code, borrower_sic, per horizon LD_CR4 and LD_n_firms, then every
-    LD_turbulence. Turbulence is left-joined: industries without survivors at the
-    first horizon keep null turbulence. Both sides are industry-level tables."""
-    if by_year is None and turb is None:
-        # one sales pivot over the window years gives the firm counts, the sales totals
-        # and turbulence; only the top four sales need their own scan
-        years = spec.years
-        single = single_valued(years)
-        firms, seen = materialize_observed(sales_pivot(panel, years),
-                                           multi=F.count(F.when(~single, F.lit(1))))
-        cells, _ = checked_broadcast(pivot_cells(firms, years), max_rows)
-        top = top_sales_by_year(panel.where(F.col(YEAR).isin(*years)))
-        by_year = concentration_from(top, cells, years)
-        turb = turbulences(panel, [spec], max_rows, firms=firms, cells=cells,
-                           has_multi=bool(seen["multi"]))[spec]
-    table = concentration_by_year(panel) if by_year is None else by_year
-    levels = long_difference(table, [("cr4", "CR4"), ("n_firms", "n_firms")], spec)
-    if turb is None:
-        turb = turbulence(panel, spec, max_rows)
-    return levels.join(turb, [OUT_COUNTRY, OUT_INDUSTRY], "left")
+    LD_turbulence, all from one sales pivot. Turbulence is left-joined: industries without
+    survivors at the first horizon keep null turbulence. Both sides are industry-level
+    tables."""
+    pivot = SalesPivot.of(panel, [spec], max_bytes)
+    levels = long_difference(pivot.concentration(), CONCENTRATION_MEASURES, spec)
+    return levels.join(pivot.turbulences([spec])[spec], [OUT_COUNTRY, OUT_INDUSTRY], "left")

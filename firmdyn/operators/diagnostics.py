@@ -7,11 +7,13 @@ ordinary aggregates over the unpivoted (metric, value) form, not a driver loop.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from firmdyn.schema import OUT_COUNTRY
+from firmdyn.schema import OUT_COUNTRY, OUT_INDUSTRY
 
 # Quartiles reported by the summary (linear interpolation).
 SUMMARY_QUANTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
@@ -23,14 +25,14 @@ def ld_columns(df: DataFrame, keep: Callable[[str], bool] = lambda c: c.startswi
 
 def column_stats(df: DataFrame, columns: list[str],
                  stats: dict[str, Callable[[Column], Column]],
-                 counts: tuple[str, ...] = ()) -> DataFrame:
+                 counts: tuple[str, ...] = (), kind: str = "double") -> DataFrame:
     """One row per column: ``metric`` (the column name) and every statistic.
 
     The table is unpivoted to (metric, value) and grouped by metric, so each statistic
     is one aggregate whatever the number of columns. The grouped rows are joined onto
     the list of column names (schema, not data), so an empty table still gives one row
     per column: the ``counts`` statistics 0, the others null."""
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    cast = df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
     v = F.col("value")
     grouped = (cast.unpivot([], columns, "metric", "value")
                    .groupBy("metric").agg(*[fn(v).alias(name) for name, fn in stats.items()]))
@@ -42,8 +44,22 @@ def column_stats(df: DataFrame, columns: list[str],
 
 
 def outcome_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column: count, null_count, mean, std, min, p25, p50, p75, max."""
-    cols = columns if columns is not None else ld_columns(df)
+    """Per column: count, null_count, mean, std, min, p25, p50, p75, max of the numbers, and
+    min_key, max_key of the text columns; what does not apply is null."""
+    cols = columns if columns is not None else df.columns
+    texts = [f.name for f in df.schema.fields if f.name in cols and isinstance(f.dataType, StringType)]
+    numbers = [c for c in cols if c not in texts]
+    parts = []
+    if numbers:
+        parts.append(_number_summary(df, numbers))
+    if texts:
+        stats = {"count": F.count, "null_count": lambda v: F.count(F.lit(1)) - F.count(v),
+                 "min_key": F.min, "max_key": F.max}
+        parts.append(column_stats(df, texts, stats, counts=("count", "null_count"), kind="string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _number_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     stats = {
         "count": F.count,
         "null_count": lambda v: F.count(F.lit(1)) - F.count(v),
@@ -94,5 +110,5 @@ def outcome_shapes(results: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows in no particular order (a look at the table, not a sample)."""
-    return df.limit(n)
+    """The first ``n`` industries in the order of their keys."""
+    return df.orderBy(OUT_COUNTRY, OUT_INDUSTRY).limit(n)

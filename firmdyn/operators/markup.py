@@ -63,30 +63,35 @@ def markup_pivot_aggregates(in_sample: Column) -> dict:
 
 def markup_pivot(sample: DataFrame, years: Sequence[int]) -> DataFrame:
     """One row per firm key of the markup sample with ``markup_pivot_aggregates``."""
-    return per_firm(firm_key_rows(sample, years, [SALES, "markup"]), years, {},
+    return per_firm(firm_key_rows(sample, years, [SALES, "markup"]), years,
                     markup_pivot_aggregates(F.lit(True)))
 
 
-def firm_markup(panel: DataFrame, max_rows: int | None = None) -> DataFrame:
+def firm_markup(panel: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """The firm panel: every input column, ``markup`` and ``share`` (sales over the
     trimmed sample of the industry-year)."""
-    return industry_share(markup_sample(panel), SALES, CELL_YEAR, "share", max_rows)
+    return industry_share(markup_sample(panel), SALES, CELL_YEAR, "share", max_bytes)
 
 
 def decomposition_sums(firms: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:
-    """Per industry, from a firm pivot with ``markup_pivot_aggregates``: totals T_y, and
+    """One row per industry with ``decomposition_aggregates``."""
+    return firms.groupBy(*CELL).agg(*decomposition_aggregates(specs))
+
+
+def decomposition_aggregates(specs: Sequence[LongDiffSpec]) -> list[Column]:
+    """Industry aggregates of a firm pivot with ``markup_pivot_aggregates``: totals MT_y, and
     per window and horizon the pair count and Z1, Z2, Y1, Y2 (``{term}_{base}_{h}``)."""
     years = window_years(specs)
 
     def at(name: str, yr: int):
         return F.col(f"{name}{side(yr)}")
 
-    aggs = [F.sum(at("ms", yr)).alias(f"T{side(yr)}") for yr in years]
+    aggs = [F.sum(at("ms", yr)).alias(f"MT{side(yr)}") for yr in years]
     pairs = dict.fromkeys((spec.base, h) for spec in specs for h in spec.horizons)
     for b, h in pairs:
         nb, nh = count_at(b, "mn"), count_at(h, "mn")
         terms = {
-            "pairs": nb * nh,
+            "mpairs": nb * nh,
             "z1": nb * at("sm", h) - at("mu", b) * at("ms", h),
             "z2": nh * at("sm", b) - at("mu", h) * at("ms", b),
             "y1": at("mu", b) * at("ms", h) + nb * at("sm", h),
@@ -94,22 +99,30 @@ def decomposition_sums(firms: DataFrame, specs: Sequence[LongDiffSpec]) -> DataF
         }
         aggs += [F.sum(F.when(survivor(b, h, "mn"), e)).alias(f"{k}_{b}_{h}")
                  for k, e in terms.items()]
-    return firms.groupBy(*CELL).agg(*aggs)
+    return aggs
 
 
-def markup_decompositions(sample: DataFrame, specs: Sequence[LongDiffSpec],
-                          firms: DataFrame | None = None) -> dict[LongDiffSpec, DataFrame]:
-    """``markup_decomposition`` for several windows from one firm pivot (``firms``,
-    built from ``sample`` if not given) and one written industry table."""
-    if firms is None:
-        firms = markup_pivot(sample, window_years(specs))
+def survivor_flags(specs: Sequence[LongDiffSpec]) -> dict[str, Column]:
+    """Per (base, horizon): whether any industry has a survivor pair in the markup sample."""
     pairs = dict.fromkeys((s.base, h) for s in specs for h in s.horizons)
-    sums, flags = materialize_observed(
-        decomposition_sums(firms, specs),
-        **{f"h{b}_{h}": F.max(F.col(f"pairs_{b}_{h}") > 0) for b, h in pairs})
+    return {f"h{b}_{h}": F.max(F.col(f"mpairs_{b}_{h}") > 0) for b, h in pairs}
+
+
+def decompositions_from(sums: DataFrame, flags: dict,
+                        specs: Sequence[LongDiffSpec]) -> dict[LongDiffSpec, DataFrame]:
+    """Every window's decomposition from a written industry table and its observed flags."""
     return {spec: _from_sums(sums, spec, flags) for spec in specs}
 
 
+def markup_decompositions(sample: DataFrame,
+                          specs: Sequence[LongDiffSpec]) -> dict[LongDiffSpec, DataFrame]:
+    """``markup_decomposition`` for several windows from one firm pivot and one written
+    industry table."""
+    firms = markup_pivot(sample, window_years(specs))
+    sums, flags = materialize_observed(decomposition_sums(firms, specs), **survivor_flags(specs))
+    return decompositions_from(sums, flags, specs)
+
+
 def markup_decomposition(sample: DataFrame, spec: LongDiffSpec = TREATMENT) -> DataFrame:
     """fic_code, borrower_sic, per horizon LD_Within, LD_Between, LD_Cross.
 
@@ -124,14 +137,14 @@ def markup_decomposition(sample: DataFrame, spec: LongDiffSpec = TREATMENT) -> D
 def _from_sums(sums: DataFrame, spec: LongDiffSpec, flags: dict) -> DataFrame:
     b = spec.base
     anchor = next((h for h in spec.horizons if flags[f"h{b}_{h}"]), None)
-    t_b = F.col(f"T{side(b)}")
+    t_b = F.col(f"MT{side(b)}")
     cols = output_keys(CELL)
     for h in spec.horizons:
-        t_h = F.col(f"T{side(h)}")
+        t_h = F.col(f"MT{side(h)}")
         z1, z2 = ratio(F.col(f"z1_{b}_{h}"), t_h), ratio(F.col(f"z2_{b}_{h}"), t_b)
         y1, y2 = ratio(F.col(f"y1_{b}_{h}"), t_h), ratio(F.col(f"y2_{b}_{h}"), t_b)
         values = {"Within": (z1 - z2) / 2, "Between": (y1 - y2) / 2, "Cross": z1 + z2}
-        has = F.col(f"pairs_{b}_{h}") > 0
+        has = F.col(f"mpairs_{b}_{h}") > 0
         cols += [F.when(has, values[t]).alias(spec.label(t, h)) for t in DECOMP_TERMS]
-    rows = sums.where(F.col(f"pairs_{b}_{anchor}") > 0) if anchor else sums.where(F.lit(False))
+    rows = sums.where(F.col(f"mpairs_{b}_{anchor}") > 0) if anchor else sums.where(F.lit(False))
     return rows.select(*cols)

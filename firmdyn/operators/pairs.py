@@ -17,7 +17,7 @@ from those per-side aggregates:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,19 +58,16 @@ def firm_key_rows(df: DataFrame, years: Sequence[int], cols: Sequence[str]) -> D
               .select(*FIRM_KEY, YEAR, *cols))
 
 
-def per_firm(rows: DataFrame, years: Sequence[int], sums: dict[str, Column],
-             extra: dict[str, Column] | None = None) -> DataFrame:
-    """One row per firm key: per year a row count ``n_{y}`` and, for every named
-    expression, its sum (``sums``) or other aggregate (``extra``, given as a function
-    of the year condition)."""
+def per_firm(rows: DataFrame, years: Sequence[int],
+             aggregates: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """One row per firm key: per year a row count ``n_{y}`` and every named aggregate
+    (a function of the year condition)."""
     y = F.col(YEAR)
     aggs = []
     for yr in years:
         on = y == yr
         aggs.append(F.count(F.when(on, F.lit(1))).alias(f"n{side(yr)}"))
-        for name, expr in sums.items():
-            aggs.append(F.sum(F.when(on, expr)).alias(f"{name}{side(yr)}"))
-        for name, fn in (extra or {}).items():
+        for name, fn in (aggregates or {}).items():
             aggs.append(fn(on).alias(f"{name}{side(yr)}"))
     return rows.groupBy(*FIRM_KEY).agg(*aggs)
 
@@ -78,7 +75,7 @@ def per_firm(rows: DataFrame, years: Sequence[int], sums: dict[str, Column],
 def survivor_pairs(sample: DataFrame, spec: LongDiffSpec) -> DataFrame:
     """Per industry and horizon: survivor pairs (with fan-out of repeated firm-years)
     and distinct surviving firms. Industries and horizons without a pair are absent."""
-    firms = per_firm(firm_key_rows(sample, spec.years, []), spec.years, {})
+    firms = per_firm(firm_key_rows(sample, spec.years, []), spec.years)
     aggs = []
     for h in spec.horizons:
         s = survivor(spec.base, h)
@@ -94,58 +91,52 @@ def survivor_pairs(sample: DataFrame, spec: LongDiffSpec) -> DataFrame:
                  .where(F.col("n_pairs") > 0))
 
 
-def exact_abs_pair_sums(vals: DataFrame, spec: LongDiffSpec, value: str,
+def exact_abs_pair_sums(vals: DataFrame, pairs: Sequence[tuple[int, int]], value: str,
                         count: str) -> DataFrame:
-    """Per industry and horizon: sum over survivor pairs of |v_h - v_base|, exactly.
+    """Per industry and (base, horizon) of ``pairs``: ``pairs_{b}_{h}`` and ``abs_{b}_{h}``,
+    the number of survivor pairs and the sum of |v_h - v_b| over them, exactly.
 
     ``vals`` holds (firm key, year, value, count) with one row per distinct value of
     a firm-year, ``count`` copies of it. For a horizon row a,
     sum_b |a - b| = a * (2 * NB_le - NB) - 2 * SB_le + SB, where NB/SB are the base
     count and value sum of the key and NB_le/SB_le those of base rows not above a.
 
-    Rows are range-partitioned on (key, value): every partition holds a sorted run,
-    and a key bigger than a partition spans several. Running sums are taken inside
-    each (key, partition) segment; a key's earlier segments enter through their
-    totals, which a second window over the (few) segments of the key supplies. Ties
-    contribute zero either way, so their order does not matter.
+    One range sort serves all pairs. Rows are range-partitioned on (key, value): every
+    partition holds a sorted run, and a key bigger than a partition spans several.
+    Running sums are taken inside each (key, partition) segment; a key's earlier
+    segments enter through their totals, which a second window over the (few) segments
+    of the key supplies. Ties contribute zero either way, so their order does not matter.
     """
-    b = spec.base
-    y = F.col(YEAR)
-    v = F.col(value)
-    c = F.col(count)
-    is_base = y == b
+    y, v, c = F.col(YEAR), F.col(value), F.col(count)
+    bases = sorted({b for b, _ in pairs})
+
+    def on(yr: int, expr: Column) -> Column:
+        return F.when(y == yr, expr).otherwise(F.lit(0) * expr)
+
     ranged = (vals.repartitionByRange(*FIRM_KEY, value)
                   .withColumn("_seg", F.spark_partition_id()))
     run = (Window.partitionBy(*FIRM_KEY, "_seg").orderBy(value)
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (ranged
-             .withColumn("_nb_le", F.sum(F.when(is_base, c).otherwise(F.lit(0))).over(run))
-             .withColumn("_sb_le", F.sum(F.when(is_base, c * v).otherwise(F.lit(0.0))).over(run)))
-    seg_aggs = [
-        F.sum(F.when(is_base, c).otherwise(F.lit(0))).alias("_nb"),
-        F.sum(F.when(is_base, c * v).otherwise(F.lit(0.0))).alias("_sb"),
-    ]
-    for h in spec.horizons:
-        on = y == h
-        seg_aggs += [
-            F.sum(F.when(on, c).otherwise(F.lit(0))).alias(f"_c_{h}"),
-            F.sum(F.when(on, c * v).otherwise(F.lit(0.0))).alias(f"_a_{h}"),
-            F.sum(F.when(on, c * (v * F.col("_nb_le") - F.col("_sb_le")))
-                   .otherwise(F.lit(0.0))).alias(f"_l_{h}"),
-        ]
+    local = ranged.withColumns({f"_{k}_le{side(b)}": F.sum(on(b, e)).over(run)
+                                for b in bases for k, e in (("n", c), ("s", c * v))})
+    seg_aggs = [F.sum(on(b, e)).alias(f"_{k}{side(b)}")
+                for b in bases for k, e in (("n", c), ("s", c * v))]
+    for h in sorted({h for _, h in pairs}):
+        seg_aggs += [F.sum(on(h, c)).alias(f"_c{side(h)}"), F.sum(on(h, c * v)).alias(f"_a{side(h)}")]
+    seg_aggs += [F.sum(on(h, c * (v * F.col(f"_n_le{side(b)}") - F.col(f"_s_le{side(b)}"))))
+                 .alias(f"_l_{b}_{h}") for b, h in pairs]
     segs = local.groupBy(*FIRM_KEY, "_seg").agg(*seg_aggs)
     key = Window.partitionBy(*FIRM_KEY)
     before = key.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    segs = (segs
-            .withColumn("_nb_before", F.coalesce(F.sum("_nb").over(before), F.lit(0)))
-            .withColumn("_sb_before", F.coalesce(F.sum("_sb").over(before), F.lit(0.0)))
-            .withColumn("_nb_tot", F.sum("_nb").over(key))
-            .withColumn("_sb_tot", F.sum("_sb").over(key)))
+    segs = segs.withColumns({
+        f"_{k}_{where}{side(b)}": F.coalesce(F.sum(f"_{k}{side(b)}").over(w), F.lit(0) * F.col(f"_{k}{side(b)}"))
+        for b in bases for k in "ns" for where, w in (("before", before), ("all", key))})
     aggs = []
-    for h in spec.horizons:
-        turb = (2 * F.col(f"_l_{h}")
-                + (2 * F.col("_nb_before") - F.col("_nb_tot")) * F.col(f"_a_{h}")
-                + (F.col("_sb_tot") - 2 * F.col("_sb_before")) * F.col(f"_c_{h}"))
-        aggs.append(F.sum(F.col(f"_c_{h}") * F.col("_nb_tot")).alias(f"pairs_{h}"))
-        aggs.append(F.sum(turb).alias(f"abs_{h}"))
+    for b, h in pairs:
+        n_all, s_all = F.col(f"_n_all{side(b)}"), F.col(f"_s_all{side(b)}")
+        total = (2 * F.col(f"_l_{b}_{h}")
+                 + (2 * F.col(f"_n_before{side(b)}") - n_all) * F.col(f"_a{side(h)}")
+                 + (s_all - 2 * F.col(f"_s_before{side(b)}")) * F.col(f"_c{side(h)}"))
+        aggs.append(F.sum(F.col(f"_c{side(h)}") * n_all).alias(f"pairs_{b}_{h}"))
+        aggs.append(F.sum(total).alias(f"abs_{b}_{h}"))
     return segs.groupBy(*CELL).agg(*aggs)

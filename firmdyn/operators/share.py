@@ -26,23 +26,23 @@ def cell_totals(df: DataFrame, weight: str = SALES, keys=CELL_YEAR,
 
 
 def attach_cell_values(df: DataFrame, cell_table: DataFrame, keys=CELL_YEAR,
-                       max_rows: int | None = None) -> DataFrame:
+                       max_bytes: int | None = None) -> DataFrame:
     """Join a cell-level table onto firm rows with null-safe keys.
 
-    The cell table is materialised and broadcast when it has at most ``max_rows``
-    rows; a larger one is shuffle-joined.
+    The cell table is materialised and broadcast when it takes at most ``max_bytes``
+    of memory; a larger one is shuffle-joined.
     """
     renamed = cell_table.select(
         *[F.col(k).alias(f"_cell_{k}") for k in keys],
         *[c for c in cell_table.columns if c not in keys])
-    small, _ = checked_broadcast(renamed, max_rows)
+    small, _ = checked_broadcast(renamed, max_bytes)
     cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_cell_{k}")) for k in keys])
     return df.join(small, cond, "inner").drop(*[f"_cell_{k}" for k in keys])
 
 
 def industry_share(df: DataFrame, weight: str = SALES, keys=CELL_YEAR,
-                   name: str = "share", max_rows: int | None = None) -> DataFrame:
+                   name: str = "share", max_bytes: int | None = None) -> DataFrame:
     """Add ``name = weight / sum(weight)`` over the rows of the same cell."""
     totals = cell_totals(df, weight, keys, "_cell_total")
-    out = attach_cell_values(df, totals, keys, max_rows)
+    out = attach_cell_values(df, totals, keys, max_bytes)
     return out.withColumn(name, ratio(weight, "_cell_total")).drop("_cell_total")

@@ -1,41 +1,43 @@
 """The full outcome run: four families for one or more windows, optionally written out.
 
-Shared work is done once per panel, whatever the number of windows, in three scans:
+Shared work is done once per panel, whatever the number of windows, in two scans of the
+window years:
 
 * one industry-year aggregate for OP covariance and the three dispersions;
-* the top four sales per industry-year (partial group limit before the shuffle);
-* one firm pivot over all window years: the run's only shuffle of firm rows. It gives
-  the firm counts and sales totals per industry-year, the markup decomposition of
-  every window and turbulence of every window.
-
-Each family's industry-year table is pivoted once for all windows. Intermediate tables
-are written to the checkpoint folder, independent chains run as concurrent Spark jobs,
-and every outcome table is a filter and projection of a small written table (the
-concentration one also a join of two of them). Only the panel columns the statistics
-read are kept, so a parquet panel is scanned with a pruned schema and pushed-down
-filters; the firm panel sink alone reads every input column.
+* one firm pivot: the run's only shuffle of firm rows. One aggregation of it gives the sums
+  of the markup decomposition, the firm counts and the sales totals of every window; the top
+  four sales and turbulence of every window follow from it too. Only firm keys with several
+  sales values in a year are read from the panel once more, and their values written.
+
+Each family's industry-year table is pivoted once for all windows. Tables that are read more
+than once are written as parquet, independent chains run as concurrent Spark jobs, and
+every outcome table is a filter and projection of a small written table (the concentration
+one also a join of two of them). Only the panel columns the statistics read are kept, so a
+parquet panel is scanned with a pruned schema and pushed-down filters; the firm panel sink
+alone reads every input column.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmdyn.functions import positive, ratio
-from firmdyn.operators.concentration import (concentration_from, pivot_cells,
-                                             sales_pivot_aggregates, top_sales_by_year,
-                                             turbulences)
+from firmdyn.operators.concentration import (CONCENTRATION_MEASURES, SalesPivot, multi_valued,
+                                             pivot_cell_aggregates, sales_pivot_aggregates)
 from firmdyn.operators.dispersion import DISPERSION_MEASURES, industry_year_stats
-from firmdyn.operators.longdiff import long_differences
-from firmdyn.operators.markup import (firm_markup, in_markup_sample, markup_decompositions,
-                                      markup_pivot_aggregates)
-from firmdyn.operators.pairs import firm_key_rows, per_firm, single_valued, window_years
-from firmdyn.schema import (CELL_YEAR, COGS, OUT_COUNTRY, OUT_INDUSTRY, PANEL_COLUMNS, PRESHOCK,
+from firmdyn.operators.longdiff import long_differences, not_null
+from firmdyn.operators.markup import (decomposition_aggregates, decompositions_from, firm_markup,
+                                      in_markup_sample, markup_pivot_aggregates, survivor_flags)
+from firmdyn.operators.pairs import firm_key_rows, per_firm, window_years
+from firmdyn.schema import (CELL, CELL_YEAR, COGS, OUT_COUNTRY, OUT_INDUSTRY, PANEL_COLUMNS, PRESHOCK,
                             SALES, TREATMENT, YEAR, LongDiffSpec)
 from firmdyn.session import checked_broadcast, materialize, materialize_observed
 from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_panel,
@@ -52,88 +54,89 @@ def firm_pivot(panel: DataFrame, years: Sequence[int]) -> DataFrame:
             .withColumn("markup", ratio(SALES, COGS)))
     aggregates = {**sales_pivot_aggregates(),
                   **markup_pivot_aggregates(in_markup_sample(F.col("markup")))}
-    return per_firm(rows, years, {}, aggregates)
+    return per_firm(rows, years, aggregates)
 
 
 @dataclass
 class Shared:
-    """Per-panel work shared by all windows, and the outcome tables built from it."""
+    """Per-panel work shared by all windows, and the outcome tables built from it. Every table
+    in ``by_year`` covers the window years and the industries with complete keys."""
 
     panel: DataFrame
     by_year: dict[str, DataFrame]
     outcomes: dict[LongDiffSpec, dict[str, DataFrame]]
 
 
-def _run(tasks, concurrent: bool):
-    """Run independent Spark actions, as concurrent jobs unless ``concurrent`` is off."""
-    if not concurrent:
-        return [t() for t in tasks]
-    with ThreadPoolExecutor(max_workers=len(tasks), thread_name_prefix="firmdyn") as pool:
-        futures = [pool.submit(t) for t in tasks]
-        return [f.result() for f in futures]
+class Jobs:
+    """Chains of Spark jobs, in threads of a small pool or one after another. The threads
+    carry the caller's job properties; when one chain fails the others' jobs are cancelled."""
+
+    def __init__(self, spark: SparkSession, concurrent: bool):
+        self.spark, self.tag = spark, f"firmdyn-{uuid.uuid4().hex}"
+        self.pool = ThreadPoolExecutor(4, thread_name_prefix="firmdyn") if concurrent else None
+
+    def submit(self, chain: Callable) -> Future:
+        if self.pool is None:
+            done: Future = Future()
+            done.set_result(chain())
+            return done
+
+        def tagged():
+            self.spark.addTag(self.tag)
+            try:
+                return chain()
+            finally:
+                self.spark.removeTag(self.tag)
+
+        return self.pool.submit(inheritable_thread_target(self.spark)(tagged))
+
+    def __enter__(self) -> Jobs:
+        return self
+
+    def __exit__(self, failed, *_) -> None:
+        if self.pool is not None:
+            if failed is not None:
+                self.spark.interruptTag(self.tag)
+            self.pool.shutdown(wait=True, cancel_futures=failed is not None)
 
 
 def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
-            materialize_panel: bool = False, max_rows: int | None = None,
+            materialize_panel: bool = False, max_bytes: int | None = None,
             concurrent: bool = True) -> Shared:
-    """Compute every outcome of every window.
-
-    Three scans of the panel: the industry-year statistics (one partial/final
-    aggregate), the top four sales per industry-year of the window years (partial
-    group limit before the shuffle), and the firm pivot (the run's only shuffle of firm
-    rows), which gives the firm counts and sales totals per industry-year, the markup
-    decomposition of every window and turbulence of every window. Each family's
-    industry-year table is pivoted once for all windows. Independent chains are
-    submitted as concurrent Spark jobs. ``materialize_panel`` writes the pruned panel
-    first; use it when the panel is an expensive plan itself (a join)."""
+    """Compute every outcome of every window (see the module's text). ``materialize_panel``
+    writes the pruned panel first; use it when the panel is an expensive plan itself (a
+    join)."""
     pruned = panel.select(*PANEL_COLUMNS)
     if materialize_panel:
         pruned = materialize(pruned)
     years = window_years(specs)
-    pool = ThreadPoolExecutor(max_workers=4, thread_name_prefix="firmdyn") if concurrent else None
-
-    def submit(fn):
-        if pool is not None:
-            return pool.submit(fn)
-        done: Future = Future()
-        done.set_result(fn())
-        return done
+    in_window = pruned.where(F.col(YEAR).isin(*years))
 
     def statistics():
-        table = materialize(industry_year_stats(pruned))
+        table = materialize(industry_year_stats(in_window).where(not_null(CELL_YEAR)))
         opcov = table.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov")
         disp = table.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES])
-        lds = _run([lambda: long_differences(opcov, [("opcov", "OPcov")], specs),
-                    lambda: long_differences(disp, DISPERSION_MEASURES, specs)], concurrent)
-        return {"opcov": opcov, "dispersion": disp}, lds
-
-    def top():
-        return materialize(top_sales_by_year(pruned.where(F.col(YEAR).isin(*years))))
-
-    def pairs(top_future: Future):
-        single = single_valued(years)
-        firms, seen = materialize_observed(firm_pivot(pruned, years),
-                                           multi=F.count(F.when(~single, F.lit(1))))
-        decomp = submit(lambda: markup_decompositions(pruned, specs, firms=firms))
-        cells, _ = checked_broadcast(pivot_cells(firms, years), max_rows)
-
-        def concentration_levels():
-            conc = concentration_from(top_future.result(), cells, years)
-            return conc, long_differences(conc, [("cr4", "CR4"), ("n_firms", "n_firms")], specs)
-
-        levels = submit(concentration_levels)
-        turb = turbulences(pruned, specs, max_rows, firms=firms, cells=cells,
-                           has_multi=bool(seen["multi"]), write_sums=True)
-        return decomp.result(), levels.result(), turb
-
-    try:
-        top_future = submit(top)
-        stats_future = submit(statistics)
-        decomp, (conc, conc_ld), turb = pairs(top_future)
-        tables, (opcov_ld, disp_ld) = stats_future.result()
-    finally:
-        if pool is not None:
-            pool.shutdown(wait=True)
+        return ({"opcov": opcov, "dispersion": disp}, long_differences(opcov, [("opcov", "OPcov")], specs),
+                long_differences(disp, DISPERSION_MEASURES, specs))
+
+    with Jobs(panel.sparkSession, concurrent) as jobs:
+        stats = jobs.submit(statistics)
+        firms, seen = materialize_observed(firm_pivot(pruned, years), multi=multi_valued(years))
+        flags: dict = {}
+        cells, _ = checked_broadcast(
+            firms.groupBy(*CELL).agg(*pivot_cell_aggregates(years), *decomposition_aggregates(specs)),
+            max_bytes, flags, **survivor_flags(specs))
+        pivot = SalesPivot.from_tables(pruned, years, firms, cells, bool(seen["multi"]), max_bytes)
+
+        def levels():
+            conc = materialize(pivot.concentration())
+            return conc, long_differences(conc, CONCENTRATION_MEASURES, specs)
+
+        level_job = jobs.submit(levels)
+        turb = pivot.turbulences(specs)
+        decomp = decompositions_from(cells, flags, specs)
+        conc, conc_ld = level_job.result()
+        tables, opcov_ld, disp_ld = stats.result()
     outcomes = {
         spec: {
             "markup_decomp": decomp[spec],
@@ -146,32 +149,24 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
     return Shared(panel=pruned, by_year={**tables, "concentration": conc}, outcomes=outcomes)
 
 
-def outcome(shared: Shared, family: str, spec: LongDiffSpec) -> DataFrame:
-    """One outcome table of one window (a small plan over written tables)."""
-    return shared.outcomes[spec][family]
-
-
-def compute_outcomes(shared: Shared, specs: Sequence[LongDiffSpec], *,
-                     concurrent: bool = True) -> dict[LongDiffSpec, dict[str, DataFrame]]:
-    """Every family for every window (window -> name -> table)."""
-    return {spec: {f: outcome(shared, f, spec) for f in FAMILIES} for spec in specs}
-
-
 def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PRESHOCK), *,
                 materialize_panel: bool = False, save: bool = False, out_dir: str | None = None,
-                max_rows: int | None = None,
+                max_bytes: int | None = None,
                 concurrent: bool = True) -> dict[LongDiffSpec, dict[str, DataFrame]]:
     """Every family for every window: window -> name -> outcome table. With ``save``,
     one CSV per outcome (``block2/`` for windows other than the treatment window) and,
     when the treatment window is among them, the firm markup panel as parquet."""
-    shared = prepare(panel, specs, materialize_panel=materialize_panel, max_rows=max_rows,
-                     concurrent=concurrent)
-    out = compute_outcomes(shared, specs, concurrent=concurrent)
     if save:
         if out_dir is None:
             raise ValueError("save=True needs out_dir")
+        paths = [outcome_path(out_dir, f, spec) for spec in specs for f in FAMILIES]
+        if len(set(paths)) < len(paths):
+            raise ValueError("two windows would be written to one path")
+    out = prepare(panel, specs, materialize_panel=materialize_panel, max_bytes=max_bytes,
+                  concurrent=concurrent).outcomes
+    if save:
         if TREATMENT in out:
-            write_firm_panel(firm_markup(panel, max_rows), os.path.join(out_dir, FIRM_PANEL_NAME))
+            write_firm_panel(firm_markup(panel, max_bytes), os.path.join(out_dir, FIRM_PANEL_NAME))
         for spec, results in out.items():
             for family, df in results.items():
                 write_outcome_csv(df, outcome_path(out_dir, family, spec))
@@ -179,6 +174,6 @@ def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PR
 
 
 def run_outcomes(panel: DataFrame, spec: LongDiffSpec = TREATMENT, *, save: bool = False,
-                 out_dir: str | None = None, max_rows: int | None = None) -> dict[str, DataFrame]:
+                 out_dir: str | None = None, max_bytes: int | None = None) -> dict[str, DataFrame]:
     """Name -> outcome table for one window (the reference's per-window run)."""
-    return run_windows(panel, [spec], save=save, out_dir=out_dir, max_rows=max_rows)[spec]
+    return run_windows(panel, [spec], save=save, out_dir=out_dir, max_bytes=max_bytes)[spec]

@@ -4,6 +4,7 @@ that it can be compared value by value with the naive SQL of ``naive_sql``."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,20 +16,23 @@ from firmdyn.operators import (
     concentration, concentration_by_year, country_coverage, dispersion, dispersion_by_year,
     firm_markup, industry_share, log_ratios, markup_decomposition, markup_sample,
     n_firms_by_year, op_covariance, opcov_by_year, outcome_shapes, outcome_summary,
-    sign_check, survivor_pairs, turbulence, within_check,
+    preview, sign_check, survivor_pairs, turbulence, within_check,
 )
-from firmdyn.schema import (CELL_YEAR, COUNTRY, FIRM, INDUSTRY, PRESHOCK, SALES, TREATMENT,
-                            YEAR)
-from firmdyn.session import materialize
-from firmdyn.sources import derived_panel, panel_count, prepare_panel
+from firmdyn.plans.outcomes import FAMILIES, prepare
+from firmdyn.schema import (CELL_YEAR, COUNTRY, FIRM, INDUSTRY, PRESHOCK, SALES, TREATMENT, YEAR,
+                            LongDiffSpec)
+from firmdyn.session import materialize, run_folder
+from firmdyn.sources import derived_panel, load_panel, panel_count, prepare_panel
+from firmdyn.sources.sinks import outcome_path, write_firm_panel, write_outcome_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def panel_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived firm-year panel, written once to the checkpoint folder: it is a
-    four-table join that most statistics read several times."""
-    return materialize(prepare_panel(derived_panel(spark, sf_dir)))
+def panel_of(spark: SparkSession, sf_dir: str, written: bool) -> DataFrame:
+    """The derived firm-year panel, a join of four tables; ``written`` once as parquet for
+    the statistics that read it several times."""
+    panel = prepare_panel(derived_panel(spark, sf_dir))
+    return materialize(panel) if written else panel
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -38,18 +42,29 @@ def present(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
-def _outcomes_2012(panel: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "markup_decomp": markup_decomposition(markup_sample(panel), TREATMENT),
-        "op_covariance": op_covariance(panel, TREATMENT),
-        "dispersion": dispersion(panel, TREATMENT),
-        "concentration": concentration(panel, TREATMENT),
-    }
+def _outcomes(panel: DataFrame, spec: LongDiffSpec = TREATMENT) -> dict[str, DataFrame]:
+    """The four outcome tables as the full run makes them."""
+    return prepare(panel, [spec]).outcomes[spec]
+
+
+def _panel_round_trip(panel: DataFrame) -> DataFrame:
+    """The panel as the firm-panel sink writes it in several files, loaded again."""
+    path = f"{run_folder(panel.sparkSession)}/{uuid.uuid4().hex}"
+    write_firm_panel(panel.drop(COUNTRY).repartition(4), path)
+    return load_panel(panel.sparkSession, path).select(*panel.columns)
+
+
+def _csv_round_trip(panel: DataFrame) -> DataFrame:
+    """The concentration outcome of 2010 as its CSV sink writes it, read again."""
+    df = _outcomes(panel, PRESHOCK)["concentration"]
+    path = outcome_path(f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}", "concentration", PRESHOCK)
+    write_outcome_csv(df, path)
+    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
 
 
 def _summary(panel: DataFrame) -> DataFrame:
     parts = [outcome_summary(df).select(F.lit(name).alias("outcome"), "*")
-             for name, df in _outcomes_2012(panel).items()]
+             for name, df in _outcomes(panel).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -75,8 +90,12 @@ PANEL_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "outcome_summary": _summary,
     "opcov_sign_check": lambda p: sign_check(op_covariance(p, TREATMENT)),
     "within_check": lambda p: within_check(markup_decomposition(markup_sample(p), TREATMENT)),
-    "country_coverage": lambda p: country_coverage(_outcomes_2012(p)),
-    "outcome_shapes": lambda p: outcome_shapes(_outcomes_2012(p)),
+    "country_coverage": lambda p: country_coverage(_outcomes(p)),
+    "outcome_shapes": lambda p: outcome_shapes(_outcomes(p)),
+    "outcome_shapes_2010": lambda p: outcome_shapes(_outcomes(p, PRESHOCK)),
+    "outcome_preview_2010": lambda p: preview(_outcomes(p, PRESHOCK)["op_covariance"]),
+    "panel_round_trip": _panel_round_trip,
+    "csv_round_trip": _csv_round_trip,
     "panel_count": panel_count,
 }
 for _spec in (TREATMENT, PRESHOCK):
@@ -87,10 +106,20 @@ for _spec in (TREATMENT, PRESHOCK):
         f"turbulence_{_spec.base}": lambda p, s=_spec: turbulence(p, s),
         f"concentration_{_spec.base}": lambda p, s=_spec: concentration(p, s),
     })
+    # the same outcomes as the full run makes them, both windows at once
+    PANEL_QUERIES.update({
+        f"run_{family}_{_spec.base}": lambda p, s=_spec, f=family: prepare(
+            p, [TREATMENT, PRESHOCK]).outcomes[s][f]
+        for family in FAMILIES})
+
+#: Queries that read the panel once; the others get it written.
+ONE_SCAN = {"firm_panel", "guarded_log_ratios", "survivor_pairs", "opcov_by_year", "dispersion_by_year",
+            "n_firms_by_year", "panel_count", "panel_round_trip", "opcov_sign_check", "within_check",
+            *(f"{f}_{s.base}" for f in ("markup_decomp", "op_covariance", "dispersion") for s in (TREATMENT, PRESHOCK))}
 
 
-def _on_driver_tables(fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: present(fn(panel_of(spark, sf_dir)))
+def _on_driver_tables(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: present(fn(panel_of(spark, sf_dir, name not in ONE_SCAN)))
 
 
-QUERIES: dict[str, Query] = {name: _on_driver_tables(fn) for name, fn in PANEL_QUERIES.items()}
+QUERIES: dict[str, Query] = {name: _on_driver_tables(name, fn) for name, fn in PANEL_QUERIES.items()}

@@ -1,5 +1,5 @@
 """Session helpers: a local session for tests and benches, the checkpoint folder,
-and the two ways an operator materialises a small intermediate result.
+and how an operator writes a table that is read more than once.
 
 On a cluster the checkpoint folder must be a shared path given by the cluster in
 ``spark.checkpoint.dir``; only a local session without one gets a fresh folder.
@@ -10,15 +10,18 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Largest cell-level table broadcast to the executors (rows). Industry cells are
-# countries x two-digit codes (x years): tens of thousands of rows in real panels, a few
-# MB. A larger table goes through a shuffle join (AQE splits skewed partitions there).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-BROADCAST_ROWS_CONF = "firmdyn.broadcast.maxRows"
+# Largest cell-level table broadcast to the executors (bytes in memory, about). Industry
+# cells are countries x two-digit codes (x years): tens of thousands of rows in real panels,
+# a few MB. A larger table goes through a shuffle join (AQE splits skewed partitions there).
+DEFAULT_BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES_CONF = "firmdyn.broadcast.maxBytes"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -68,28 +71,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` into the session's checkpoint folder and cut its lineage.
-
-    Used for intermediate tables that are read more than once or whose size decides
-    the next plan. The checkpoint is reliable (files in the shared folder), so it
-    survives the loss of any executor; a local checkpoint is never used.
-    """
-    return materialize_observed(df)[0]
-
-
-def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
-    """``materialize`` that also returns aggregate ``metrics`` over the written rows
-    (always ``rows``), gathered by the same job through ``observe``. The observation
-    sits in the job's result stage, whose accumulator updates Spark applies once per
-    partition, so retried tasks do not count twice."""
-    ensure_checkpoint_dir(df.sparkSession)
-    obs = Observation(f"firmdyn_{uuid.uuid4().hex}")
-    named = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
-    table = df.observe(obs, *named).checkpoint(eager=True)
-    return table, obs.get
-
-
 def run_folder(spark: SparkSession) -> str:
     """Folder of this application's intermediate tables, inside the shared checkpoint
     folder; it and the application's own checkpoint folder are deleted when the JVM ends."""
@@ -128,17 +109,41 @@ def stash_observed(df: DataFrame, *partition_by: str, **metrics: Column) -> tupl
     return spark.read.schema(df.schema).parquet(path), obs.get
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written once under ``run_folder``; for tables that are read more than once or
+    whose size decides the next plan."""
+    return stash(df)
+
+
+def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns aggregate ``metrics`` over the written rows
+    (always ``rows``), gathered by the same job through ``observe``. The observation
+    sits in the job's result stage, whose accumulator updates Spark applies once per
+    partition, so retried tasks do not count twice."""
+    return stash_observed(df, **metrics)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: eight per column, and its texts."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, StringType)]
+    return reduce(add, texts, F.lit(8 * len(df.columns))).cast("long")
+
+
 def broadcast_limit(spark: SparkSession) -> int:
-    value = spark.conf.get(BROADCAST_ROWS_CONF, None)
-    return int(value) if value else DEFAULT_BROADCAST_ROWS
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
-    """Materialise ``df``, count it in the same job, and mark it for broadcast only
-    if it has at most ``max_rows`` rows (default: ``firmdyn.broadcast.maxRows`` or
-    1,000,000). Returns the table and its row count; beyond the limit the caller's
-    join stays a shuffle join."""
-    limit = broadcast_limit(df.sparkSession) if max_rows is None else max_rows
-    table, metrics = materialize_observed(df)
-    n = int(metrics["rows"])
-    return (F.broadcast(table) if n <= limit else table), n
+    value = spark.conf.get(BROADCAST_BYTES_CONF, None)
+    return int(value) if value else DEFAULT_BROADCAST_BYTES
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None, observed: dict | None = None,
+                      **metrics: Column) -> tuple[DataFrame, int]:
+    """Materialise ``df``, measure it in the same job, and mark it for broadcast only
+    if it takes at most ``max_bytes`` (default: ``firmdyn.broadcast.maxBytes`` or 64 MB).
+    Returns the table and its row count; beyond the limit the caller's join stays a
+    shuffle join with the same result. ``metrics`` are added to ``observed``."""
+    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
+    table, seen = materialize_observed(df, bytes=F.sum(row_bytes(df)), **metrics)
+    if observed is not None:
+        observed.update(seen)
+    small = (seen["bytes"] or 0) <= limit
+    return (F.broadcast(table) if small else table), int(seen["rows"])

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmdyn import operators as O
-from firmdyn.operators.pairs import exact_abs_pair_sums
+from firmdyn.functions import positive
+from firmdyn.operators.concentration import _turbulence_of, window_pairs
+from firmdyn.operators.pairs import exact_abs_pair_sums, firm_key_rows
 from firmdyn.plans import naive_sql
 from firmdyn.plans.queries import PANEL_QUERIES, present
 from firmdyn.schema import LongDiffSpec, TREATMENT, PRESHOCK
@@ -34,17 +36,28 @@ def test_optimised_equals_naive_plan(spark, sf0001_panel, naive_spark_sql, name)
     assert_matches(got, want)
 
 
+def exact_turbulence(panel, spec):
+    """Turbulence with every firm key sent through the sort-based path."""
+    pos = panel.where(positive("sales"))
+    totals = pos.groupBy("_country_", "sic", "year").agg(F.sum("sales").alias("t"))
+    rows = (firm_key_rows(pos, spec.years, ["sales"]).join(totals, ["_country_", "sic", "year"])
+            .withColumn("share", F.col("sales") / F.col("t")))
+    vals = rows.groupBy("bvd_id", "_country_", "sic", "year", "share").agg(F.count("*").alias("c"))
+    sums = exact_abs_pair_sums(vals, window_pairs([spec]), "share", "c")
+    return _turbulence_of(sums, spec)
+
+
 @pytest.mark.parametrize("spec", [TREATMENT, PRESHOCK])
 def test_exact_turbulence_path_equals_closed_form(sf0001_panel, spec):
     fast = present(O.turbulence(sf0001_panel, spec)).toPandas()
-    exact = present(O.turbulence(sf0001_panel, spec, force_exact=True)).toPandas()
+    exact = present(exact_turbulence(sf0001_panel, spec)).toPandas()
     assert_matches(fast, exact)
 
 
 def test_exact_turbulence_on_duplicates(spark):
     panel = to_spark(spark, M.EDGE_PANEL)
     fast = present(O.turbulence(panel)).toPandas()
-    exact = present(O.turbulence(panel, force_exact=True)).toPandas()
+    exact = present(exact_turbulence(panel, TREATMENT)).toPandas()
     assert_matches(fast, exact)
 
 
@@ -62,7 +75,7 @@ def test_abs_pair_sums_split_hot_key_matches_brute_force(spark):
     vals = vals.groupBy("bvd_id", "_country_", "sic", "year", "share").agg(F.sum("c").alias("c"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = exact_abs_pair_sums(vals, spec, "share", "c").first()
+        got = exact_abs_pair_sums(vals, window_pairs([spec]), "share", "c").first()
         segs = vals.repartitionByRange("bvd_id", "_country_", "sic", "share") \
                    .select(F.spark_partition_id().alias("p"), "bvd_id").where("bvd_id = 'HOT1'") \
                    .select("p").distinct().count()
@@ -76,22 +89,23 @@ def test_abs_pair_sums_split_hot_key_matches_brute_force(spark):
             if a.bvd_id == b.bvd_id and a.year == spec.base and b.year == h:
                 want_abs += a.c * b.c * abs(b.share - a.share)
                 want_pairs += a.c * b.c
-        assert got[f"pairs_{h}"] == want_pairs
-        assert got[f"abs_{h}"] == pytest.approx(want_abs, rel=1e-9)
+        assert got[f"pairs_{spec.base}_{h}"] == want_pairs
+        assert got[f"abs_{spec.base}_{h}"] == pytest.approx(want_abs, rel=1e-9)
 
 
 def test_runner_tables_equal_standalone_operators(sf0001_panel):
-    from firmdyn.plans.outcomes import FAMILIES, outcome, prepare
+    from firmdyn.plans.outcomes import FAMILIES, prepare
 
     shared = prepare(sf0001_panel, [TREATMENT, PRESHOCK])
-    assert_matches(present(shared.by_year["opcov"]).toPandas(),
-                   present(O.opcov_by_year(sf0001_panel)).toPandas())
-    assert_matches(present(shared.by_year["dispersion"]).toPandas(),
-                   present(O.dispersion_by_year(sf0001_panel)).toPandas())
+    window = F.col("year").isin(2010, 2012, 2013, 2014, 2015)  # the years of both windows
+    for name, whole in (("opcov", O.opcov_by_year), ("dispersion", O.dispersion_by_year),
+                        ("concentration", O.concentration_by_year)):
+        table = shared.by_year[name].drop("total_sales")
+        assert_matches(present(table).toPandas(), present(whole(sf0001_panel).where(window)).toPandas())
     for spec in (TREATMENT, PRESHOCK):
         for family in FAMILIES:
             name = f"{family}_{spec.base}"
-            assert_matches(present(outcome(shared, family, spec)).toPandas(),
+            assert_matches(present(shared.outcomes[spec][family]).toPandas(),
                            present(PANEL_QUERIES[name](sf0001_panel)).toPandas())
 
 

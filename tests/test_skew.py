@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmdyn.plans import naive_sql
-from firmdyn.plans.outcomes import FAMILIES, outcome, prepare
+from firmdyn.plans.outcomes import FAMILIES, prepare
 from firmdyn.plans.queries import PANEL_QUERIES, present
 from firmdyn.schema import PRESHOCK, TREATMENT
 from firmdyn.sources import derived_panel, prepare_panel
@@ -51,5 +51,5 @@ def test_runner_on_skewed_panel(skewed):
     for spec in (TREATMENT, PRESHOCK):
         for family in FAMILIES:
             name = f"{family}_{spec.base}"
-            assert_matches(present(outcome(shared, family, spec)).toPandas(),
+            assert_matches(present(shared.outcomes[spec][family]).toPandas(),
                            con.execute(sql[name]).df())
