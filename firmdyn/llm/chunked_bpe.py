@@ -37,9 +37,9 @@ PATTERN = public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r
 #: Characters after a match within which the pattern's choice is settled (a contraction has 3).
 SETTLED = 4
 #: Pieces that a worker remembers, and the longest of them.
-CACHE_PIECES, CACHE_CHARS = 1 << 19, 64
+CACHE_PIECES, CACHE_CHARS = 1 << 16, 64
 #: Ids in one Arrow batch of results.
-BATCH_IDS = 1 << 20
+BATCH_IDS = 1 << 18
 
 
 def load_ranks(path: str) -> bytes:
@@ -62,8 +62,8 @@ class Encoder(dict):
         self.bpe = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)",
                                      mergeable_ranks=parse_ranks(raw), special_tokens={})
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.bpe.encode_ordinary(piece)
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = tuple(self.bpe.encode_ordinary(piece))
         if len(piece) <= CACHE_CHARS:
             if len(self) >= CACHE_PIECES:
                 self.clear()
@@ -212,11 +212,15 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None) -> DataF
         load_ranks(vocabulary or public_tokenizers.path(VOCABULARY)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece_of = {rank: piece for piece, rank in parse_ranks(raw.value).items()}
+        ranks = parse_ranks(raw.value)
+        piece_of = np.empty(max(ranks.values()) + 1, dtype=object)
+        for piece, rank in ranks.items():
+            piece_of[rank] = piece
         for batch in batches:
             lists = batch.column("ids")
-            out = [b"".join(map(piece_of.__getitem__, lists[i].values.to_pylist()))
-                   if lists[i].is_valid else None for i in range(batch.num_rows)]
+            ends = lists.offsets.to_numpy()
+            pieces = piece_of[lists.values.to_numpy()]
+            out = [b"".join(pieces[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
