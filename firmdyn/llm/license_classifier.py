@@ -6,8 +6,8 @@ multinomial logistic regression over the licence families and an unknown class i
 variants of the notices (words left out, put before ordinary lines of the corpus) and, as unknown,
 on ordinary lines and on beginnings of notices; a temperature fitted on a held-out part
 calibrates it. A prediction counts if it is not unknown, probable enough, and confirmed by
-comparison with the family's notices: one of them must have ``min_similarity`` of its word pairs
-in the paragraph.
+comparison with the notices: one of the family's must have ``min_similarity`` of its word pairs
+in the paragraph, and no other family's a greater part.
 
 Hence a paragraph can only count if it holds one of the anchors: for each notice, its longest word
 pairs, just enough of them that the others alone cannot confirm it. A regular expression finds
@@ -137,9 +137,13 @@ def training_rows(docs: DataFrame, notices: DataFrame, id_col: str, text_col: st
              .select("words"))
     ordinary = stash(lines.withColumn("nth", F.row_number().over(Window.orderBy(F.xxhash64("words"))) - 1))
     n_lines = max(1, ordinary.count())
-    variants = (notices.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("v"))
+    # a word of one family alone is never left out: without it the notice may be another's
+    shared = (notices.select("family", F.explode("words").alias("word")).distinct().groupBy("word").count()
+              .where("count > 1").agg(F.collect_list("word").alias("shared")))
+    variants = (notices.join(F.broadcast(shared))
+                .select("family", "words", "shared", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("v"))
                 .withColumn("key", F.xxhash64("words", "v"))
-                .withColumn("left", F.filter("words", lambda w, i: (F.col("v") < 2) | (
+                .withColumn("left", F.filter("words", lambda w, i: (F.col("v") < 2) | ~F.array_contains("shared", w) | (
                     F.pmod(F.xxhash64(w, i, F.col("v")), F.lit(9)) != 0)))
                 .withColumn("nth", F.pmod("key", F.lit(n_lines)).cast("int")))
     filler = F.when(F.pmod("v", F.lit(2)) == 1, F.coalesce(ordinary["words"], F.array())).otherwise(F.array())
@@ -178,7 +182,7 @@ def train(docs: DataFrame, notices: DataFrame, id_col: str, text_col: str, sampl
     vocabulary = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=1.0).fit(
         notices.select(F.concat("words", "pairs").alias("grams")).coalesce(1))
     data = vocabulary.transform(rows).cache()
-    fit = LogisticRegression(regParam=2e-3, maxIter=60, family="multinomial").fit(data.where(~F.col("held")))
+    fit = LogisticRegression(regParam=5e-4, maxIter=80, family="multinomial").fit(data.where(~F.col("held")))
     weights, bias = fit.coefficientMatrix.toArray(), np.asarray(fit.interceptVector)
     held = fit.transform(data.where("held")).select("rawPrediction", "label").collect()  # of the bounded sample
     data.unpersist()
@@ -233,9 +237,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return F.struct(F.element_at(names, F.array_position(x["odds"], F.array_max(x["odds"])).cast("int")).alias("family"),
                         (F.array_max(x["odds"]) / total).alias("p"), x["pairs"].alias("pairs"))
 
+    def likeness(x: Column, family: Column | None = None) -> Column:
+        """The greatest similarity to a notice (of the family)."""
+        own = templates if family is None else F.filter(templates, lambda t: t["family"] == family)
+        return F.array_max(F.transform(own, lambda t: F.size(F.array_intersect(x["pairs"], t["pairs"])) / F.size(t["pairs"])))
+
     def confirmed(x: Column) -> Column:
-        return ((x["family"] != UNKNOWN) & (x["p"] >= min_probability)
-                & F.exists(templates, lambda t: (t["family"] == x["family"]) & _similar(x["pairs"], t["pairs"], min_similarity)))
+        return ((x["family"] != UNKNOWN) & (x["p"] >= min_probability) & _let(
+            likeness(x, x["family"]), lambda own: (own >= min_similarity) & (own >= likeness(x))))
 
     found = F.coalesce(windows, F.array().cast("array<string>"))
     step = F.transform(found, features)
