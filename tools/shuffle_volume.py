@@ -1,6 +1,6 @@
 """Shuffle volume of the optimised run and of the naive plan, from Spark's event log.
 
-usage: python tools/shuffle_volume.py [sf_dir] [panel copies]
+usage: python tools/shuffle_volume.py [sf_dir] [panel copies] [panel files, one map task each]
 
 Derives the panel, writes it as parquet, then runs (a) every outcome of both windows
 through ``run_windows`` and (b) the naive SQL of the same outcomes, each in its own
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F  # noqa: E402
 def session(log_dir: str | None) -> SparkSession:
     b = (SparkSession.builder.master("local[8]").appName("firmdyn-shuffle")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", "8"))
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.files.openCostInBytes", "128m"))  # a map task for every file
     if log_dir:
         b = (b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
               .config("spark.eventLog.rolling.enabled", "false")
@@ -56,6 +57,7 @@ def shuffle_totals(log_dir: str) -> dict[str, int]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 1
+    files = int(sys.argv[3]) if len(sys.argv) > 3 else 16
     scratch = tempfile.mkdtemp(prefix="firmdyn-shuffle-")
     panel_dir = os.path.join(scratch, "panel")
 
@@ -69,10 +71,10 @@ def main() -> None:
         copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
         panel = panel.select("*", copy).withColumn(
             "bvd_id", F.concat("bvd_id", F.lit("-"), F.col("_copy").cast("string"))).drop("_copy")
-    panel.repartition(16).write.parquet(panel_dir)
+    panel.repartition(files).write.parquet(panel_dir)
     spark.stop()
 
-    result = {"sf": sf_dir, "panel_copies": copies}
+    result = {"sf": sf_dir, "panel_copies": copies, "panel_files": files}
     for label in ("optimised", "naive"):
         log_dir = os.path.join(scratch, f"events-{label}")
         os.makedirs(log_dir)
