@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql.types import DoubleType, IntegerType, StringType
 
-from firmdyn.plans.queries import PANEL_QUERIES
+from firmdyn.plans.outcomes import prepare
+from firmdyn.plans.queries import PANEL_QUERIES, present
+from firmdyn.schema import PRESHOCK, TREATMENT
 from tests import micro_panels as M
 from tests.helpers import assert_matches, oracle_result, spark_result, to_duck, to_spark
 
@@ -18,12 +20,20 @@ def no_survivor(spark):
     return to_spark(spark, M.NO_SURVIVOR_2013), to_duck(M.NO_SURVIVOR_2013)
 
 
-@pytest.mark.parametrize("name", sorted(PANEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in PANEL_QUERIES if not n.startswith("run_")))
 def test_edge_panel(edge, name):
     panel, con = edge
     assert_matches(spark_result(panel, name), oracle_result(con, name))
 
 
+def test_run_on_the_edge_panel(edge):
+    panel, con = edge
+    outcomes = prepare(panel, [TREATMENT, PRESHOCK]).outcomes
+    for spec, tables in outcomes.items():
+        for family, df in tables.items():
+            assert_matches(present(df).toPandas(), oracle_result(con, f"run_{family}_{spec.base}"))
+
+
 @pytest.mark.parametrize("name", ["markup_decomp_2012", "markup_decomp_2010", "turbulence_2012",
                                   "concentration_2012", "op_covariance_2012", "survivor_pairs",
                                   "within_check"])
