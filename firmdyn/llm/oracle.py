@@ -51,11 +51,12 @@ m AS (
     len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
     len([x FOR x IN words IF regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) AS alpha_words,
-    len([x FOR x IN words IF regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) AS upper_words
+    len([x FOR x IN words IF regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) AS upper_words,
+    len([i FOR i IN range(2, len(words) + 1) IF words[i] = words[i - 1]]) AS echo_words
   FROM w LEFT JOIN covered c USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+  NOT (base_failed OR 10 * n_symbols > n_words OR (n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines) OR 10 * echo_words > 3 * n_words
        OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * alpha_words < 7 * n_words
        OR 2 * upper_words > n_words) AS kept
 FROM b

@@ -52,7 +52,7 @@ class Texts:
         raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
         self.raw = raw[self.ends[0]:self.ends[-1]]
         self.ends = self.ends - self.ends[0]
-        self._words = None
+        self._words = self._ids = None
 
     def __len__(self) -> int:
         return len(self.texts)
@@ -80,6 +80,16 @@ class Texts:
             self._words = np.flatnonzero(starts), np.flatnonzero(stops) + 1
         return self._words
 
+    @property
+    def word_ids(self) -> np.ndarray:
+        """A number for every word; equal words of the block have equal ones."""
+        if self._ids is None:
+            raw, (starts, stops) = self.raw.tobytes(), self.words
+            number: dict[bytes, int] = {}
+            self._ids = np.fromiter((number.setdefault(raw[a:b], len(number))
+                                     for a, b in zip(starts.tolist(), stops.tolist())), np.int64, len(starts))
+        return self._ids
+
     def words_with(self, flags: np.ndarray) -> np.ndarray:
         """Which words have a flagged byte."""
         total = np.r_[0, np.cumsum(flags, dtype=np.int64)]
@@ -125,6 +135,15 @@ def upper_words(t: Texts) -> np.ndarray:
     return t.count_words(t.words_with(_UPPER[t.raw]) & ~t.words_with(_LOWER[t.raw]))
 
 
+def echo_words(t: Texts) -> np.ndarray:
+    """Words that are equal to the word before them in the text."""
+    ids = t.word_ids
+    text = np.repeat(np.arange(len(t)), t.count_words())
+    same = np.zeros(len(ids), bool)
+    same[1:] = (ids[1:] == ids[:-1]) & (text[1:] == text[:-1])
+    return t.count_words(same)
+
+
 def _ranks(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A number for each distinct pair; both sides hold numbers below 2**32."""
     return np.unique((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64),
@@ -133,11 +152,8 @@ def _ranks(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def n_repeat_words(t: Texts) -> np.ndarray:
     """Words that lie in an eight-word window which the text holds twice or more."""
-    raw, (starts, stops) = t.raw.tobytes(), t.words
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(raw[a:b], len(number)) for a, b in zip(starts.tolist(), stops.tolist())),
-                      np.int64, len(starts))
-    first = np.searchsorted(starts, t.ends)
+    ids = t.word_ids
+    first = np.searchsorted(t.words[0], t.ends)
     text = np.repeat(np.arange(len(t)), np.diff(first))
     n = len(ids) - WINDOW + 1
     if n < 1:
@@ -157,7 +173,7 @@ def n_repeat_words(t: Texts) -> np.ndarray:
 
 MEASURES: dict[str, Callable[[Texts], np.ndarray]] = {
     f.__name__: f for f in (n_words, word_chars, n_symbols, n_lines, n_dup_lines, alpha_words,
-                            upper_words, n_repeat_words)}
+                            upper_words, echo_words, n_repeat_words)}
 
 
 @dataclass(frozen=True)
@@ -176,7 +192,8 @@ BASE_RULES = (
 RULES = (
     *BASE_RULES,
     Rule("symbols", ("n_words", "n_symbols"), lambda n, s: 10 * s > n),
-    Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda n, d: 10 * d > 3 * n),
+    Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda n, d: (d > 2) & (10 * d > 3 * n)),
+    Rule("echoes", ("n_words", "echo_words"), lambda n, e: 10 * e > 3 * n),
     Rule("word_length", ("n_words", "word_chars"), lambda n, c: (c < 2 * n) | (c > 20 * n)),
     Rule("letters", ("n_words", "alpha_words"), lambda n, a: 10 * a < 7 * n),
     Rule("capitals", ("n_words", "upper_words"), lambda n, u: 2 * u > n),

@@ -22,6 +22,7 @@ def measures(text):
             "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_lines": len(lines),
             "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
             "alpha_words": sum(bool(re.search(r"[A-Za-z]|[^\x00-\x7f]", w)) for w in words),
+            "echo_words": sum(a == b for a, b in zip(words, words[1:])),
             "upper_words": sum(bool(re.search("[A-Z]", w)) and not re.search("[a-z]", w) for w in words)}
 
 
