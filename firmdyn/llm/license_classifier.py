@@ -114,6 +114,23 @@ def anchors(notices: list, min_similarity: float) -> list[str]:
     return sorted(out)
 
 
+def anchor_pattern(found: list[str]) -> str:
+    """A regular expression for lower-case texts that hold one of the word pairs. Common
+    beginnings are shared, so at most word starts one character decides against it."""
+    tree: dict = {}
+    for pair in found:
+        node = tree
+        for c in pair + "$":
+            node = node.setdefault(c, {})
+
+    def written(node: dict) -> str:
+        special = {" ": "[^a-z]+", "$": "(?![a-z])"}
+        parts = [special.get(c, c) + written(below) for c, below in sorted(node.items())]
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")" if parts else ""
+
+    return f"(?<![a-z])(?=[{''.join(sorted(tree))}]){written(tree)}"
+
+
 def _similar(pairs: Column, notice_pairs: Column, least: float) -> Column:
     return F.size(F.array_intersect(pairs, notice_pairs)) >= F.lit(least) * F.size(notice_pairs)
 
@@ -210,11 +227,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     model = train(docs, notices, id_col, text_col, sample_docs, sample_lines)
 
     text = F.col(text_col)
-    find = "(?i)" + "|".join("[^A-Za-z]+".join(a.split()) for a in anchors(rows, min_similarity))
+    find = anchor_pattern(anchors(rows, min_similarity))
     windows = _let(F.split(text, "\n"), lambda lines: F.transform(
         lines, lambda _, i: F.concat_ws("\n", F.slice(lines, i + 1, window_lines))))
     if use_anchors:
-        windows = F.when(text.rlike(find), F.filter(windows, lambda w: w.rlike(find)))
+        windows = F.when(F.lower(text).rlike(find), F.filter(windows, lambda w: F.lower(w).rlike(find)))
     grams = _constant(model.grams, "array<string>")
     weight_of = _constant(dict(zip(model.grams, model.weights.T.tolist())), "map<string, array<double>>")
     bias, names = _constant(model.bias.tolist(), "array<double>"), _constant(model.families, "array<string>")
