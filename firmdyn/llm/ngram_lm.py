@@ -39,7 +39,7 @@ from firmdyn.session import stash, stash_observed
 
 BLOCK_TOKENS = 1 << 21
 #: Vocabulary entries and word pairs of one shard, about.
-SHARD_WORDS, SHARD_PAIRS = 1 << 19, 1 << 21
+SHARD_WORDS, SHARD_PAIRS = 1 << 19, 1 << 20
 SPLIT_TOKENS = 1 << 28
 DISCOUNT = 0.75
 #: Codes of a probability: 0 is 1, the others fall evenly to the least one.
@@ -48,20 +48,25 @@ END = b""
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed byte string."""
+    """Arrays of whole numbers from 0 as one compressed byte string: each in the smallest type
+    that holds it, all first bytes, then all second ones, and so on."""
+    arrays = [a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0)) for a in arrays]
     head = np.array([len(arrays), *(x for a in arrays for x in (ord(a.dtype.char), len(a)))], "<i8")
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]))
+    planes = [np.ascontiguousarray(a[:, None].view(np.uint8).T).tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head.tobytes(), *planes]))
 
 
 def unpack(raw: bytes) -> list[np.ndarray]:
+    """The arrays that were packed, as 64-bit integers."""
     raw = zstandard.ZstdDecompressor().decompress(raw)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     head = np.frombuffer(raw, "<i8", 1 + 2 * n)[1:]
     out, at = [], 8 * (1 + 2 * n)
-    for kind, size in zip(head[::2], head[1::2]):
+    for kind, size in zip(head[::2], head[1::2].tolist()):
         dtype = np.dtype(chr(kind))
-        out.append(np.frombuffer(raw, dtype, size, at))
-        at += dtype.itemsize * int(size)
+        planes = np.frombuffer(raw, np.uint8, size * dtype.itemsize, at).reshape(dtype.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).ravel().astype(np.int64))
+        at += planes.size
     return out
 
 
@@ -90,8 +95,8 @@ def _number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.bincount(flat[np.repeat(flags, sizes)], minlength=len(number))
         return pd.DataFrame({
             "block": [(part << 24) + nth], "ids": [ids], "n_tokens": [len(flat)], "n_words": [len(number)],
-            "tokens": [pack(np.array(flags, np.uint8), sizes, flat)],
-            "words": [_pack_words(list(number))], "counts": [pack(counts.astype(np.int64))]})
+            "tokens": [pack(np.array(flags, np.int64), sizes, flat)],
+            "words": [_pack_words(list(number))], "counts": [pack(counts)]})
 
     for batch in batches:
         for doc, text, train in zip(batch["id"], batch["text"], batch["train"]):
@@ -118,7 +123,7 @@ def _post_words(shards: int):
                 for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                     yield pd.DataFrame({"shard": [shard[at[0]]], "block": [block],
                                         "words": [_pack_words([words[i] for i in at])],
-                                        "numbers": [pack(at.astype(np.uint32), counts[at])]})
+                                        "numbers": [pack(at, counts[at])]})
 
     return run
 
@@ -157,12 +162,10 @@ class Block:
     def pairs(self, shards: int):
         """Distinct pairs with a known first word, by shard: context, successor (both in the
         block's numbers), shard; and of every token the pair it ends, or -1."""
-        before = np.r_[np.uint32(0), self.tokens[:-1]]
+        before = np.r_[0, self.tokens[:-1]]
         before[np.cumsum(self.sizes) - self.sizes] = 0  # a document begins after an end
-        key = (before.astype(np.uint64) << np.uint64(32)) | self.tokens
-        distinct, pair = np.unique(key, return_inverse=True)
-        first = (distinct >> np.uint64(32)).astype(np.int64)
-        second = (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        distinct, pair = np.unique((before << 32) | self.tokens, return_inverse=True)
+        first, second = distinct >> 32, distinct & 0xFFFFFFFF
         known = self.count[first] > 0
         spread = np.uint64(1) + (self.count[first] // SPLIT_TOKENS).astype(np.uint64)
         own = (self.number[first].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -205,8 +208,8 @@ def _post_pairs(shards: int, scale: Scale):
                 f, s = first[at], second[at]
                 starts = np.r_[0, np.flatnonzero(np.diff(f)) + 1]
                 rows.append((int(shard[at[0]]), int(row["block"]), pack(
-                    b.number[f[starts]], np.diff(np.r_[starts, len(at)]).astype(np.uint32), b.count[f[starts]],
-                    b.number[s], train[at].astype(np.uint32), code[s])))
+                    b.number[f[starts]], np.diff(np.r_[starts, len(at)]), b.count[f[starts]],
+                    b.number[s], train[at], code[s])))
         return pd.DataFrame(rows, columns=["shard", "block", "pairs"])
 
     return run
@@ -245,7 +248,7 @@ def _answer(scale: Scale):
             code = np.minimum(np.repeat(backoff, sizes) + lower, CODES)
             some = found >= 0
             code[some] = trie.probabilities[found[some]]
-            out.append((block, key[0], pack(code.astype(np.uint8))))
+            out.append((block, key[0], pack(code)))
         return pd.DataFrame(out, columns=["block", "shard", "codes"])
 
     return run
@@ -258,7 +261,7 @@ def _score(shards: int, scale: Scale):
         for _, row in block.iterrows():
             b = Block(row, given[given["numbers"].notna()])
             place = b.pairs(shards)[-1]
-            code = np.concatenate([np.empty(0, np.uint8), *(unpack(x)[0] for x in answers["codes"])])
+            code = np.concatenate([np.empty(0, np.int64), *(unpack(x)[0] for x in answers["codes"])])
             word = scale.word(b.count)[b.tokens]
             model = word.copy()
             asked = place >= 0
