@@ -74,13 +74,6 @@ class Encoder(dict):
         return list(chain.from_iterable(map(self.__getitem__, pieces)))
 
 
-def _encoder(raw: bytes, made: dict = {}) -> Encoder:  # noqa: B006  one per worker process
-    if raw not in made:
-        made.clear()
-        made[raw] = Encoder(raw)
-    return made[raw]
-
-
 def _id_lists(lists: list[list[int]]) -> pa.Array:
     flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32)
     ends = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
@@ -91,7 +84,7 @@ def _encode_batches(raw, piece_lists):
     """Function for mapInArrow: the batch's other columns, and ids of each row's pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(raw.value)
+        enc = Encoder(raw.value)  # for this task: a reused worker process keeps nothing of it
         for batch in batches:
             at, lists, n = 0, [], 0
             rows = piece_lists(enc, batch)
