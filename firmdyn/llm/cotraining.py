@@ -35,7 +35,7 @@ WORDS, SHAPES, BINS = 1 << 12, 1 << 10, 1 << 8
 TEXT_SIZE, META_SIZE = WORDS + SHAPES + BINS, 1 << 12
 #: Weight of the measures among the text's features (its words' weights add up to 1).
 BIN_WEIGHT = 0.25
-CACHE_WORDS = 1 << 17
+CACHE_WORDS = 1 << 16
 _UPPER = bytes(range(65, 91))
 _DIGITS = b"0123456789"
 _SYMBOLS = b"#*$%&|<>!@^~{}[]\\=+_"
@@ -222,7 +222,7 @@ class WordWeights(dict):
         return out
 
 
-def _score(model):
+def _score(model, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         weights = None if isinstance(m, float) else WordWeights(m.text)
@@ -231,7 +231,7 @@ def _score(model):
                 p = np.full(batch.num_rows, m)
             else:
                 z = []
-                for text in batch.column("text"):
+                for text in batch.column("row").field(text_col):  # one text at a time in memory
                     data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                     words = data.split()
                     z.append(sum(map(weights.__getitem__, words)) / max(1, len(words))
@@ -270,8 +270,8 @@ def score_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", *, te
                         for a, v in zip(found[f"{x}_at"], found[f"{x}_value"])]) for x in ("text", "meta"))
     model = spark.sparkContext.broadcast(co_train(text, meta, found["label"].to_numpy(int), rounds, confident))
     given = docs.select(F.struct("*").alias("row"), *[c.alias(n) for c, n in zip(
-        views[1:], ("text", "source", "lang", "n_chars"))])
-    return given.mapInArrow(_score(model), given.select("row").schema.add("quality_score", "double"))
+        views[2:], ("source", "lang", "n_chars"))])
+    return given.mapInArrow(_score(model, text_col), given.select("row").schema.add("quality_score", "double"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
