@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmdyn.llm.common import SPACE, join_groups
+from firmdyn.llm.common import SPACE, join_groups, written
 from firmdyn.session import stash, stash_observed
 
 PROBES = 2
@@ -137,6 +137,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     verdict = stash(bloom_exact_dedup(docs, id_col, text_col))
     many = verdict.groupBy(id_col).count().where("count > 1").select(id_col)
     lost = verdict.where(~F.col("kept")).select(id_col).unionByName(many)
+    lost, many = written(lost.distinct()), written(many)
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("key")
     rows = docs.select(key, F.struct("*").alias("row"))
     single = rows.join(lost.select(key), "key", "left_anti")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmdyn.session import checked_broadcast
+
 #: Whitespace and words as every contract of this subpackage defines them (fixed values).
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -13,6 +15,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_SHARE = 1000
 
 
+#: Tables that are written anyway are broadcast if they take at most so many bytes.
+SMALL_BYTES = 16 << 20
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written and measured: its joins broadcast it if it is small, and shuffle otherwise."""
+    return checked_broadcast(df, SMALL_BYTES)[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
