@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 VOCABULARY = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 RUN = 4096
-#: Positions between rescalings of the forward sums.
-RESCALE = 16
+#: Sums of a position are rescaled, with those that still count, when one is below this.
+RESCALE = 1e-100
 #: Characters that are scored at once, and word scores that a task remembers.
 BLOCK_CHARS, CACHE_SCORES = 1 << 20, 800_000
 #: Rounds of expectation maximisation, and the count that smooths every piece.
@@ -110,22 +110,24 @@ class Lattice:
         self.width = int(self.size[0])
         n = len(words)
         chars = np.zeros((self.width, n), np.uint32)  # a row holds a position of every word
+        inside = np.zeros(chars.shape, bool)
         row = np.repeat(np.arange(n), self.size)
         position = np.arange(len(row)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
         text = "".join([SPACE_MARK + words[i] for i in self.order.tolist()])
         chars[position, row] = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        chars = chars.ravel()
+        inside[position, row] = True
+        chars, inside = chars.ravel(), inside.ravel()
         #: words that reach position p
         self.alive = np.searchsorted(-self.size, -np.arange(self.width + 1), side="right")
-        code = chars.astype(np.uint64) + np.uint64(1)
-        at = np.flatnonzero(chars)
+        code = np.where(inside, chars.astype(np.uint64) + np.uint64(1), np.uint64(0))
+        at = np.flatnonzero(inside)
         h = np.zeros(len(at), np.uint64)
         columns = np.arange(self.width + 1) * n
         #: per length: the words and pieces, and where each start's begin
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for length in range(1, min(pieces.longest, self.width) + 1):
-            inside = at + (length - 1) * n < len(code)
-            at, h = at[inside], h[inside]
+            fits = at + (length - 1) * n < len(code)
+            at, h = at[fits], h[fits]
             h = h * _BASE + code[at + (length - 1) * n]
             ids = pieces.find(h)
             piece = ids >= 0
@@ -135,7 +137,7 @@ class Lattice:
                 known = np.zeros(len(chars), bool)
                 known[here] = True
                 self.unknown = [(i % n, i // n, pieces.bytes[list(chr(chars[i]).encode("utf-8", "replace"))])
-                                for i in np.flatnonzero(~known & (chars > 0))]
+                                for i in np.flatnonzero(~known & inside)]
             longer = ids != NOTHING  # a piece may begin a longer one
             at, h = at[longer], h[longer]
 
@@ -154,11 +156,15 @@ class Lattice:
 
     def forward(self, p: np.ndarray, keep: bool = False):
         """log P(word), words by languages, for probabilities ``p`` (pieces and a last row of
-        zeros, by languages); with ``keep`` also the sums at every position (short words only)."""
+        zeros, by languages); with ``keep`` also the log sums of every position.
+
+        Sums are held relative to a scale per word and language. No piece reaches over a character
+        that is spelled in bytes, so sums before one may overflow: they are never read again."""
         n, langs = len(self.size), p.shape[1]
         sums = {0: np.ones((n, langs))}
         scale = np.zeros((n, langs))
         out = np.zeros((n, langs))
+        kept = [np.zeros((n, langs))]
         spelled = self.spelled(p)
         for end in range(1, self.width + 1):
             m = self.alive[end]
@@ -174,34 +180,40 @@ class Lattice:
             done = np.arange(self.alive[end + 1] if end < self.width else 0, m)
             out[done] = np.log(total[done]) + scale[done]
             if keep:
-                continue
+                kept.append(np.log(total) + scale[:m])
             sums.pop(end - len(self.found), None)
-            if end % RESCALE == 0:
-                top = np.max([s[:m] for s in sums.values()], axis=0)
-                scale[:m] += np.log(top)
-                sums = {k: s[:m] / top for k, s in sums.items()}
-        return (out, sums) if keep else out
+            if total.min() < RESCALE:
+                scale[:m] += np.log(total)
+                with np.errstate(over="ignore"):
+                    sums = {k: s[:m] / total for k, s in sums.items()}
+        return (out, kept) if keep else out
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected uses of every piece in the words (of one language), ``weight`` of each."""
-        _, sums = self.forward(p, keep=True)
+        whole, kept = self.forward(p, keep=True)
         n = len(self.size)
-        back = np.zeros((n, self.width + 1))
+        back = np.zeros((n, self.width + 1))  # relative to a scale per word, as in forward
         back[np.arange(n), self.size] = 1
+        scale = np.zeros(n)
         counts = np.zeros(len(p))
         spelled = self.spelled(p)
-        share = weight / np.array([sums[s][i, 0] for i, s in enumerate(self.size)])
         for start in range(self.width - 1, -1, -1):
             m = self.alive[start + 1]
+            share = weight[:m] * np.exp(kept[start][:m, 0] + scale[:m] - whole[:m, 0])
             for length in range(1, min(len(self.found), self.width - start) + 1):
                 rows, ids = self.pieces_at(start, length)
                 if len(rows):
                     use = p[ids, 0] * back[rows, start + length]
                     back[rows, start] += use
-                    np.add.at(counts, ids, use * sums[start][rows, 0] * share[rows])
+                    np.add.at(counts, ids, use * share[rows])
             for row, prob in spelled.get(start, ()):
                 if row < m:
                     back[row, start] += prob[0] * back[row, start + 1]
+            top = back[:m, start].copy()
+            if top.min() < RESCALE:
+                scale[:m] += np.log(top)
+                with np.errstate(over="ignore"):
+                    back[:m, start:start + len(self.found) + 1] /= top[:, None]
         return counts
 
 

@@ -80,3 +80,42 @@ def test_edges(spark):
     unlabelled = identify_languages(docs, F.lit(False)).collect()
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
     assert identify_languages(spark.createDataFrame([], SCHEMA), F.lit(True)).collect() == []
+
+
+def log_sum(word, prob):
+    """The log of the sum over all segmentations, added up in log space."""
+    logs, longest = [0.0], max(map(len, prob))
+    for end in range(1, len(word) + 1):
+        terms = [logs[end - n] + math.log(prob[word[end - n:end]])
+                 for n in range(1, min(longest, end) + 1) if word[end - n:end] in prob]
+        if word[end - 1] not in prob:
+            terms.append(logs[end - 1] + sum(math.log(prob[f"<0x{b:02X}>"]) for b in word[end - 1].encode()))
+        top = max(terms)
+        logs.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return logs[-1]
+
+
+def test_long_runs(pieces):
+    assert {f"<0x{b:02X}>" for b in range(256)} <= set(pieces)
+    p = np.full((len(pieces) + 1, 1), 1e-7)
+    p[::3] = 1e-4
+    p[-1] = 0
+    words = ["\U0001F9FF" * 50, "the" + "\U0001F9FF" * 50 + "the", "a\0b", "qzx7" * 1000, "the"]
+    lattice = Lattice(Pieces(pieces), words)
+    got = lattice.forward(p)[:, 0]
+    prob = dict(zip(pieces, p[:, 0]))
+    assert got == pytest.approx([log_sum(SPACE_MARK + words[i], prob) for i in lattice.order], rel=1e-9)
+    # every segmentation spells the word: its pieces' expected lengths add up to the word's
+    for word in ("qzx7" * 1000, "internationalisation" * 200):
+        uses = Lattice(Pieces(pieces), [word]).expected(p, np.ones(1))
+        assert sum(len(x) * u for x, u in zip(pieces, uses)) == pytest.approx(len(word) + 1, rel=1e-6)
+
+
+def test_labelled_long_words(spark):
+    long = "".join(chr(97 + i * i % 23) for i in range(4000))
+    rows = [(1, "der die das und nicht " + long, "de", "x", 0), (2, "the and of that with", "en", "x", 0),
+            (3, "the and that", None, "x", 0), (4, "und nicht die", None, "x", 0),
+            (5, "the and " + "\U0001F9FF" * 50 + " of that with", None, "x", 0)]
+    out = {r.doc_id: r for r in identify_languages(spark.createDataFrame(rows, SCHEMA), F.lit(True)).collect()}
+    assert [out[i].lang_pred for i in (1, 2, 3, 4, 5)] == ["de", "en", "en", "de", "en"]
+    assert all(0 <= r.score <= 1 for r in out.values())
