@@ -5,7 +5,8 @@ a word is the sum over all its segmentations into pieces, which the forward algo
 one pass over its positions; no piece crosses a space, so a text's probability is the product
 over its words, and a word that was scored before is looked up. The probabilities are learned by
 expectation maximisation (the same lattice, forward and backward) from a bounded sample of
-labelled documents: ``sample_docs`` per language and ``sample_words`` distinct words.
+labelled documents: ``sample_docs`` and ``sample_words`` distinct words, both per language, so a
+language's model does not depend on which others there are.
 
 Words longer than RUN characters are scored in runs of that length. A character outside the
 vocabulary is spelled in the vocabulary's byte pieces.
@@ -34,6 +35,8 @@ RUN = 4096
 RESCALE = 1e-100
 #: Characters that are scored at once, and word scores that a task remembers.
 BLOCK_CHARS, CACHE_SCORES = 1 << 20, 800_000
+#: Characters of a language's words whose lattices are held over the rounds of learning.
+HELD_CHARS = 1 << 21
 #: Rounds of expectation maximisation, and the count that smooths every piece.
 ROUNDS, SMOOTHING = 3, 0.1
 _BASE, _SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -197,6 +200,7 @@ class Lattice:
         scale = np.zeros(n)
         counts = np.zeros(len(p))
         spelled = self.spelled(p)
+        unknown = {(col, row): ids for row, col, ids in self.unknown}
         for start in range(self.width - 1, -1, -1):
             m = self.alive[start + 1]
             share = weight[:m] * np.exp(kept[start][:m, 0] + scale[:m] - whole[:m, 0])
@@ -208,7 +212,9 @@ class Lattice:
                     np.add.at(counts, ids, use * share[rows])
             for row, prob in spelled.get(start, ()):
                 if row < m:
-                    back[row, start] += prob[0] * back[row, start + 1]
+                    use = prob[0] * back[row, start + 1]
+                    back[row, start] += use
+                    np.add.at(counts, unknown[start, row], use * share[row])
             top = back[:m, start].copy()
             if top.min() < RESCALE:
                 scale[:m] += np.log(top)
@@ -229,23 +235,20 @@ def _blocks(words: list[str], chars: int = BLOCK_CHARS) -> Iterator[np.ndarray]:
         at += n
 
 
-def learn(pieces: Pieces, counts: pd.DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages and piece probabilities (pieces and a row of zeros, by languages) from a table
-    of (lang, word, n)."""
-    langs = sorted(counts["lang"].unique())
-    out = np.zeros((pieces.n + 1, len(langs)))
-    for k, lang in enumerate(langs):
-        own = counts[counts["lang"] == lang]
-        words, n = own["word"].tolist(), own["n"].to_numpy(float)
-        lattices = [(b, Lattice(pieces, [words[i] for i in b])) for b in _blocks(words, 1 << 17)]
-        p = np.r_[np.full(pieces.n, 1 / pieces.n), 0.0]
-        for _ in range(ROUNDS):
-            found = sum((lat.expected(p[:, None], n[b][lat.order]) for b, lat in lattices),
-                        np.zeros(pieces.n + 1))
-            p = np.r_[found[:-1] + SMOOTHING, 0.0]
-            p /= p.sum()
-        out[:, k] = p
-    return langs, out
+def learn(pieces: Pieces, words: list[str], n: np.ndarray) -> np.ndarray:
+    """A language's piece probabilities (and a zero) from its words and their counts."""
+    blocks = [(b, [words[i] for i in b]) for b in _blocks(words, 1 << 17)]
+    held = sum(map(len, words)) <= HELD_CHARS
+    lattices = [Lattice(pieces, own) for _, own in blocks] if held else None
+    p = np.r_[np.full(pieces.n, 1 / pieces.n), 0.0]
+    for _ in range(ROUNDS):
+        found = np.zeros(pieces.n + 1)
+        for k, (b, own) in enumerate(blocks):
+            lattice = lattices[k] if held else Lattice(pieces, own)
+            found += lattice.expected(p[:, None], n[b][lattice.order])
+        p = np.r_[found[:-1] + SMOOTHING, 0.0]
+        p /= p.sum()
+    return p
 
 
 class WordScores:
@@ -318,25 +321,64 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame([(a, w, n) for (a, w), n in found.items()], columns=["lang", "word", "n"])
 
 
+def _most_frequent(words: list[str], n: np.ndarray, limit: int) -> tuple[list[str], np.ndarray]:
+    order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))[:limit]
+    return [words[i] for i in order], n[order]
+
+
+def _post_words(limit: int):
+    """Function of a task that holds all counts of its words: per language one row of the most
+    frequent ones (a language's most frequent words are among those of the tasks)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, tuple[list[str], np.ndarray]] = {}
+        for batch in batches:
+            for lang, own in batch.groupby("lang"):
+                words, n = held.get(lang, ([], np.empty(0, np.int64)))
+                words, n = words + own["word"].tolist(), np.r_[n, own["n"].to_numpy(np.int64)]
+                held[lang] = _most_frequent(words, n, limit) if len(words) > 2 * limit else (words, n)
+        for lang, (words, n) in held.items():
+            words, n = _most_frequent(words, n, limit)
+            yield pd.DataFrame({"lang": [lang], "words": [words], "n": [n]})
+
+    return run
+
+
+def _learn(pieces, limit: int):
+    """Function of one language's posted words: its probabilities."""
+
+    def run(key: tuple, posted: pd.DataFrame) -> pd.DataFrame:
+        words = [w for x in posted["words"] for w in x]
+        words, n = _most_frequent(words, np.concatenate(list(posted["n"])), limit)
+        return pd.DataFrame({"lang": [key[0]], "p": [learn(pieces.value, words, n.astype(float)).tobytes()]})
+
+    return run
+
+
 def identify_languages(docs: DataFrame, may_learn: Column, vocabulary: str | None = None,
                        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
                        sample_docs: int = 500, sample_words: int = 200_000) -> DataFrame:
     """One row per input row: id, lang_pred, score. Learns from rows where ``may_learn`` holds
     and the language is known: of each language the ``sample_docs`` rows whose id hashes lowest,
-    and of their words the ``sample_words`` most frequent (the model sees no other bound)."""
+    and of their words the language's ``sample_words`` most frequent (the model sees no other
+    bound)."""
     sc = docs.sparkSession.sparkContext
+    pieces = sc.broadcast(Pieces(load_pieces(vocabulary or public_tokenizers.path(VOCABULARY))))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
     sample = (docs.where(may_learn & F.col(lang_col).isNotNull())
               .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
               .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_docs)
               .select("lang", "text"))
     counts = (sample.mapInPandas(_count_words, "lang string, word string, n long")
-              .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "lang", "word").limit(sample_words).toPandas())
-    pieces = Pieces(load_pieces(vocabulary or public_tokenizers.path(VOCABULARY)))
-    langs, p = learn(pieces, counts)
+              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    posted = counts.mapInPandas(_post_words(sample_words), "lang string, words array<string>, n array<long>")
+    learned = posted.groupBy("lang").applyInPandas(
+        _learn(pieces, sample_words), "lang string, p binary").collect()  # a row per language
+    langs = sorted(r["lang"] for r in learned)
+    found = {r["lang"]: np.frombuffer(r["p"]) for r in learned}
+    p = np.stack([found[x] for x in langs], axis=1) if langs else np.zeros((pieces.value.n + 1, 0))
     id_type = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInPandas(_identify(sc.broadcast(pieces), langs, sc.broadcast(p)),
+            .mapInPandas(_identify(pieces, langs, sc.broadcast(p)),
                          f"id {id_type}, lang_pred string, score double")
             .withColumnRenamed("id", id_col))

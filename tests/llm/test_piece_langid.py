@@ -1,6 +1,7 @@
 """The forward sums against an enumeration, and held-out accuracy on the given documents."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -119,3 +120,21 @@ def test_labelled_long_words(spark):
     out = {r.doc_id: r for r in identify_languages(spark.createDataFrame(rows, SCHEMA), F.lit(True)).collect()}
     assert [out[i].lang_pred for i in (1, 2, 3, 4, 5)] == ["de", "en", "en", "de", "en"]
     assert all(0 <= r.score <= 1 for r in out.values())
+
+
+def test_expected_bytes(pieces):
+    p = np.r_[np.full(len(pieces), 1e-3), 0.0]
+    uses = Lattice(Pieces(pieces), ["a\U0001F9FF\U0001F9FFb"]).expected(p[:, None], np.array([3.0]))
+    for b, n in Counter("\U0001F9FF\U0001F9FF".encode()).items():
+        assert uses[pieces.index(f"<0x{b:02X}>")] == pytest.approx(3.0 * n)
+
+
+def test_every_language_keeps_its_words(spark):
+    """The bound on words holds per language; a script outside the vocabulary is learned by its bytes."""
+    common = " ".join(f"aa{i} aa{i}" for i in range(40))
+    rows = [(i, common, lang, "x", 0) for i, lang in enumerate(["aa", "bb", "cc"])]
+    rows += [(10, "zulu words here", "zz", "x", 0), (11, "\U0001F9FF\U0001F9FE \U0001F9FF", "zy", "x", 0)]
+    rows += [(20, "here zulu", None, "x", 0), (21, "a \U0001F9FE\U0001F9FF", None, "x", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    out = {r.doc_id: r.lang_pred for r in identify_languages(docs, F.lit(True), sample_words=40).collect()}
+    assert out[20] == "zz" and out[10] == "zz" and out[21] == "zy"
