@@ -1,14 +1,18 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Every source's documents are cut into blocks of ``block_rows``. With weight w, the k-th block (from
-0) of a source is released at slot floor(k / w) and due at ceil((k + 1) / w); in each slot the
-released block with the earliest deadline runs. That meets every deadline, so after any
-number of slots a source is less than one block away from its weight.
-
-Weights are rounded to multiples of 1 / period, so the schedule repeats after ``period`` slots
-(bounded by MAX_PERIOD) and one period is all that is ever scheduled: the slot of any block
-follows from it by arithmetic, in Spark. A source's documents are numbered by a range-partitioned
-sort with per-partition offsets, so the largest source is spread over all tasks.
+Every source's documents are cut into blocks of at most ``block_rows``, whose sizes differ by one
+at most. With weight w in slots, the k-th block (from 0) of a source is released at slot
+floor(k / w) and due at ceil((k + 1) / w); in each slot the released block with the earliest
+deadline runs. That meets every deadline, so after any number of slots a source is less than one
+block away from its weight. The target weights are those of documents: a source whose blocks are
+smaller (it has fewer than ``block_rows`` documents, say) gets the more slots for it.
+
+The weights hold as given over the whole run, however long (as whole multiples of 2^-SHARE_BITS
+of the largest one). The order of the blocks is found block by block in one task, which holds
+only the state of the sources and writes the slots as a table; documents are joined to it.
+A source's documents are numbered by a range-partitioned sort with per-partition offsets, so the
+largest source is spread over all tasks. With ``period``, weights are those of slots, rounded to
+multiples of 1 / period, and the schedule repeats after ``period`` slots (at most MAX_PERIOD).
 
 ``size="cover"`` runs until every document has been used; smaller sources start over (epochs).
 ``size="once"`` ends when a source has no fresh block left and repeats nothing.
@@ -21,77 +25,105 @@ read; no rows give no rows; a source without a given weight, or too many sources
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import count, islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmdyn.session import stash
+from firmdyn.session import stash, stash_observed
 
-#: Bounds of what the driver schedules and broadcasts.
-MAX_PERIOD, MAX_SOURCES = 100_000, 10_000
+#: Bounds of a given period and of the sources, and precision of a weight.
+MAX_PERIOD, MAX_SOURCES, SHARE_BITS = 100_000, 10_000, 80
+#: Slots that are written at once, and slots that are broadcast at most.
+BATCH_SLOTS, BROADCAST_SLOTS = 1 << 16, 1 << 17
 
 
 def whole_weights(weights: list[float], period: int) -> list[int]:
     """Positive weights as whole numbers that add up to ``period``, each at least 1 (largest
     remainder)."""
-    total = sum(weights)
-    exact = [w * (period - len(weights)) / total for w in weights]
-    out = [1 + int(x) for x in exact]
-    by_rest = sorted(range(len(weights)), key=lambda i: (int(exact[i]) - exact[i], i))
+    total = sum(map(_exact, weights))
+    exact = [_exact(w) * period / total for w in weights]
+    out = [max(1, int(x)) for x in exact]
+    favoured = [(float(exact[i] - x), i) for i, x in enumerate(out) if x > 1]
+    heapq.heapify(favoured)
+    for _ in range(period - sum(out), 0):  # weights below 1 take from the most favoured
+        _, i = heapq.heappop(favoured)
+        out[i] -= 1
+        if out[i] > 1:
+            heapq.heappush(favoured, (float(exact[i] - out[i]), i))
+    by_rest = sorted(range(len(weights)), key=lambda i: (out[i] - exact[i], i))
     for i in by_rest[:period - sum(out)]:
         out[i] += 1
     return out
 
 
-def schedule(shares: list[int]) -> list[int]:
-    """Which source runs in each slot of one period, for whole shares that add up to it."""
-    period = sum(shares)
+def _exact(weight: float) -> Fraction:
+    """A weight as it is written: 0.9 is nine tenths."""
+    return Fraction(str(float(weight)))
+
+
+def exact_shares(weights: list[float], documents: list[int], blocks: list[int]) -> list[int]:
+    """Shares of the slots, for target weights of documents: a source needs the more slots the
+    smaller its blocks are."""
+    slots = [_exact(w) * b / n for w, n, b in zip(weights, documents, blocks)]
+    top = max(slots)
+    return [max(1, round(x / top * 2**SHARE_BITS)) for x in slots]
+
+
+def turns(shares: list[int]) -> Iterator[tuple[int, int]]:
+    """Which source runs in each slot, and the number of its block, without end."""
+    total = sum(shares)
     later = [(0, i, 0) for i in range(len(shares))]  # (release, source, block)
     heapq.heapify(later)
     ready: list[tuple[int, int, int]] = []  # (deadline, source, block)
-    out = []
-    for slot in range(period):
+    for slot in count():
         while later and later[0][0] <= slot:
             _, i, k = heapq.heappop(later)
-            heapq.heappush(ready, (-(-(k + 1) * period // shares[i]), i, k))
+            heapq.heappush(ready, (-(-(k + 1) * total // shares[i]), i, k))
         _, i, k = heapq.heappop(ready)
-        out.append(i)
-        if k + 1 < shares[i]:
-            heapq.heappush(later, ((k + 1) * period // shares[i], i, k + 1))
-    return out
+        yield i, k
+        heapq.heappush(later, ((k + 1) * total // shares[i], i, k + 1))
+
+
+def schedule(shares: list[int]) -> list[int]:
+    """Which source runs in each slot of one period, for whole shares that add up to it."""
+    return [i for i, _ in islice(turns(shares), sum(shares))]
 
 
-class Plan:
-    """The periodic schedule of sources with ``blocks`` blocks each."""
+def run_of(shares: list[int], blocks: list[int], size: str) -> Iterator[tuple[int, int]]:
+    """The turns of the whole schedule of sources with ``blocks`` blocks each."""
+    unused = len(blocks)
+    for i, k in turns(shares):
+        if size == "once" and k >= blocks[i]:
+            return
+        yield i, k
+        unused -= k == blocks[i] - 1
+        if size == "cover" and not unused:
+            return
 
-    def __init__(self, shares: list[int], blocks: list[int], size: str):
-        self.shares, self.blocks, self.period = shares, blocks, sum(shares)
-        self.slots: list[list[int]] = [[] for _ in shares]
-        for slot, i in enumerate(schedule(shares)):
-            self.slots[i].append(slot)
-        if size == "cover":
-            self.length = max(self.slot(i, b - 1) + 1 for i, b in enumerate(blocks))
-        elif size == "once":
-            self.length = min(self.slot(i, b) for i, b in enumerate(blocks))
-        else:
-            raise ValueError(f"size is 'cover' or 'once', not {size!r}")
 
-    def slot(self, i: int, k: int) -> int:
-        return k // self.shares[i] * self.period + self.slots[i][k % self.shares[i]]
+def _slots(shares: list[int], blocks: list[int], size: str):
+    def run(_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, at = run_of(shares, blocks, size), 0
+        while part := list(islice(found, BATCH_SLOTS)):
+            out = pd.DataFrame(part, columns=["nth", "k"])
+            yield out.assign(slot=range(at, at + len(part)))
+            at += len(part)
 
-    def runs(self, i: int) -> int:
-        """How often source i runs in the whole schedule."""
-        full, rest = divmod(self.length, self.period)
-        return full * self.shares[i] + sum(s < rest for s in self.slots[i])
+    return run
 
 
 def pfair_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
               id_col: str = "doc_id", source_col: str = "source", *, temperature: float = 0.7,
-              block_rows: int = 100, period: int = 1000, size: str = "cover") -> DataFrame:
+              block_rows: int = 100, period: int | None = None, size: str = "cover") -> DataFrame:
     """One row per use of a document: id, source, block, epoch, slot, position. ``position``
     orders the mix. ``weights`` maps sources to target weights (0 leaves a source out); by
     default they follow the sources' document counts to the power ``temperature``."""
+    if size not in ("cover", "once"):
+        raise ValueError(f"size is 'cover' or 'once', not {size!r}")
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     thin = (docs.groupBy(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"))
@@ -114,30 +146,34 @@ def pfair_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None
     schema = f"id {id_type}, source string, block long, epoch long, slot long, position long"
     if not used:
         return spark.createDataFrame([], schema).withColumnsRenamed({"id": id_col, "source": source_col})
-    period = min(MAX_PERIOD, max(period, 10 * len(used)))
-    plan = Plan(whole_weights([weights[s] for s, _ in used], period),
-                [-(-n // block_rows) for _, n in used], size)
-    sources = spark.createDataFrame([(s, i, plan.shares[i], plan.blocks[i], plan.runs(i)) for i, (s, _) in enumerate(used)],
-                    "source string, nth int, share long, blocks long, runs long")
-    slots = spark.createDataFrame([(i, k, s) for i, own in enumerate(plan.slots) for k, s in enumerate(own)],
-                  "nth int, within long, offset long")
+    given, documents = [weights[s] for s, _ in used], [n for _, n in used]
+    blocks = [-(-n // block_rows) for n in documents]
+    if period is None:
+        shares = exact_shares(given, documents, blocks)
+    else:
+        shares = whole_weights(given, min(MAX_PERIOD, max(period, 10 * len(used))))
+    slots, seen = stash_observed(spark.range(0, 1, 1, 1).mapInPandas(
+        _slots(shares, blocks, size), "nth int, k long, slot long"))
+    runs = slots.groupBy("nth").agg(F.count(F.lit(1)).alias("runs"))
+    sources = spark.createDataFrame([(s, i, n, blocks[i]) for i, (s, n) in enumerate(used)],
+                                    "source string, nth int, documents long, blocks long").join(runs, "nth")
 
     inside = Window.partitionBy("source", "part").orderBy("key", "id")
     ranked = placed.withColumn("rank", F.row_number().over(inside) - 1)
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     ranked = ranked.join(per_part, same(ranked, per_part) & (ranked["part"] == per_part["part"])).select(
         ranked["id"], ranked["source"], (F.col("before") + F.col("rank")).alias("rank"))
-    timed = ranked.join(F.broadcast(sources), same(ranked, sources)).select(
-        "id", ranked["source"], "nth", "share", "blocks", "runs", F.floor(F.col("rank") / block_rows).alias("block"),
-        F.pmod("rank", F.lit(block_rows)).alias("row"))
-    turns = (timed.where(F.col("block") < F.col("runs"))
-             .withColumn("k", F.explode(F.sequence("block", F.col("runs") - 1, "blocks")))
-             .withColumn("within", F.pmod("k", "share")).join(F.broadcast(slots), ["nth", "within"]))
-    slot = F.floor(F.col("k") / F.col("share")) * plan.period + F.col("offset")
-    return turns.select(
+    timed = (ranked.join(F.broadcast(sources), same(ranked, sources))
+             .select("id", ranked["source"], "nth", "documents", "blocks", "runs", "rank")
+             .withColumn("block", F.expr("rank * blocks div documents"))
+             .withColumn("row", F.expr("rank - (block * documents + blocks - 1) div blocks")))
+    used_at = (timed.where(F.col("block") < F.col("runs"))
+               .withColumn("k", F.explode(F.sequence("block", F.col("runs") - 1, "blocks")))
+               .join(F.broadcast(slots) if seen["rows"] <= BROADCAST_SLOTS else slots.hint("merge"), ["nth", "k"]))
+    return used_at.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "block",
-        F.floor(F.col("k") / F.col("blocks")).alias("epoch"), slot.alias("slot"),
-        (slot * block_rows + F.col("row")).alias("position"))
+        F.expr("k div blocks").alias("epoch"), "slot",
+        (F.col("slot") * block_rows + F.col("row")).alias("position"))
 
 
 def mixed_rows(docs: DataFrame, weights: Mapping[str | None, float] | None = None,

@@ -6,7 +6,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from firmdyn.llm.pfair_mix import mixed_rows, pfair_mix, schedule, whole_weights
+from firmdyn.llm import pfair_mix as module
+from firmdyn.llm.pfair_mix import exact_shares, mixed_rows, pfair_mix, schedule, turns, whole_weights
 
 SCHEMA = "doc_id long, text string, source string, slot int, n string"
 
@@ -85,3 +86,43 @@ def test_edges(spark):
         pfair_mix(docs, {"s1": 1.0})
     with pytest.raises(ValueError):
         pfair_mix(docs, size="all")
+
+
+def test_whole_weights_keep_exact_ones():
+    assert whole_weights([0.9, 0.1], 1000) == [900, 100]
+    assert whole_weights([1.0, 1e-9, 1e-9], 30) == [28, 1, 1]
+
+
+@pytest.mark.parametrize("given", [[0.9, 0.1], [0.5] + [0.5 / 119] * 119, [0.9999, 0.0001], [3, 1e-3, 2.7, 1e-6]])
+def test_long_runs_stay_at_the_given_weights(given):
+    shares = exact_shares(given, [1000] * len(given), [10] * len(given))
+    total, done = sum(given), Counter()
+    for slot, (i, k) in zip(range(1, 30_001), turns(shares)):
+        assert k == done[i]
+        done[i] += 1
+        assert abs(done[i] - slot * given[i] / total) < 1 + 1e-6
+    assert all(abs(done[i] - slot * w / total) < 1 + 1e-6 for i, w in enumerate(given))
+
+
+@pytest.mark.parametrize("broadcast", [module.BROADCAST_SLOTS, 0])
+def test_documents_at_the_given_weights(spark, monkeypatch, broadcast):
+    """After any number of slots, also for sources that do not fill a block."""
+    monkeypatch.setattr(module, "BROADCAST_SLOTS", broadcast)
+    natural = {"big": 3000, "rest": 1010, "tiny": 3} | {f"s{i:03}": 11 for i in range(100)}
+    weights = {"big": 0.5, "rest": 0.2, "tiny": 0.01} | {f"s{i:03}": 0.0029 for i in range(100)}
+    docs = spark.createDataFrame([(i, "", s, 0, "x") for s, n in natural.items() for i in range(n)], SCHEMA)
+    out = pfair_mix(docs, weights, block_rows=20).collect()
+    assert {(r.source, r.doc_id) for r in out if r.epoch == 0} == {(s, i) for s, n in natural.items() for i in range(n)}
+    assert len({r.position for r in out}) == len(out) and all(r.position // 20 == r.slot for r in out)
+    uses, size = Counter((r.source, r.doc_id) for r in out), Counter((r.slot, r.source) for r in out)
+    for s, n in natural.items():  # no document is used twice more than another of its source
+        assert max(uses[s, i] for i in range(n)) <= 1 + min(uses[s, i] for i in range(n))
+    mean = {s: n / -(-n // 20) for s, n in natural.items()}
+    need = {s: weights[s] / mean[s] for s in natural}
+    per_slot = {s: x / sum(need.values()) for s, x in need.items()}
+    done = Counter()
+    for slot, source in sorted(size):
+        done[source] += size[slot, source]
+        assert abs(done[source] - (slot + 1) * per_slot[source] * mean[source]) < mean[source] + 1.001
+    for s in ("big", "rest", "tiny"):
+        assert done[s] / len(out) == pytest.approx(weights[s], rel=0.05)
