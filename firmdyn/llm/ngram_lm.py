@@ -11,8 +11,9 @@ the block's own vocabulary. Two exchanges follow, each of one compressed row per
    the trie, and answers every block by looking its pairs up there.
 
 Each block then sums the answers over its documents. All counts cover all training documents;
-nothing is pruned. A context with more than SPLIT_TOKENS training tokens is spread over shards by
-its second words, whose number of distinct ones is then estimated from the shard's part.
+nothing is pruned. A context with at least SPLIT_TOKENS training tokens is spread over shards by
+its second words. Those shards post their numbers of distinct ones, which are added up per context,
+and answer with counts; the blocks smooth these by the sum, so the split changes no score.
 
 The probability of a text is that of its words and its end; the first word follows an end.
 
@@ -40,7 +41,7 @@ from firmdyn.session import stash, stash_observed
 BLOCK_TOKENS = 1 << 21
 #: Vocabulary entries and word pairs of one shard, about.
 SHARD_WORDS, SHARD_PAIRS = 1 << 19, 1 << 20
-SPLIT_TOKENS = 1 << 28
+SPLIT_TOKENS = 1 << 20
 DISCOUNT = 0.75
 #: Codes of a probability: 0 is 1, the others fall evenly to the least one.
 CODES = 255
@@ -159,7 +160,7 @@ class Block:
             local, number, count = unpack(raw)
             self.number[local], self.count[local] = number, count
 
-    def pairs(self, shards: int):
+    def pairs(self, shards: int, split: int):
         """Distinct pairs with a known first word, by shard: context, successor (both in the
         block's numbers), shard; and of every token the pair it ends, or -1."""
         before = np.r_[0, self.tokens[:-1]]
@@ -167,7 +168,7 @@ class Block:
         distinct, pair = np.unique((before << 32) | self.tokens, return_inverse=True)
         first, second = distinct >> 32, distinct & 0xFFFFFFFF
         known = self.count[first] > 0
-        spread = np.uint64(1) + (self.count[first] // SPLIT_TOKENS).astype(np.uint64)
+        spread = np.uint64(1) + (self.count[first] // split).astype(np.uint64)
         own = (self.number[first].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         part = (self.number[second].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(20)) % spread
         shard = np.where(known, ((own >> np.uint64(17)) + part) % np.uint64(shards), np.uint64(shards)).astype(np.int64)
@@ -195,12 +196,22 @@ class Scale:
         return np.log10((count + 1) / self.total)
 
 
-def _post_pairs(shards: int, scale: Scale):
+def smooth(count: np.ndarray, n: np.ndarray, types: np.ndarray, lower: np.ndarray,
+           scale: Scale) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the contexts' back-off weights and of the pairs' probabilities, for the counts of
+    the pairs and of their contexts, the contexts' distinct successors, and the codes of the
+    successors' own probabilities."""
+    backoff = DISCOUNT * types / n
+    p = np.maximum(count - DISCOUNT, 0) / n + backoff * 10 ** (lower * scale.step)
+    return scale.code(np.log10(backoff)), scale.code(np.log10(np.minimum(p, 1)))
+
+
+def _post_pairs(shards: int, scale: Scale, split: int):
     def run(block: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for _, row in block.iterrows():
             b = Block(row, vocabulary)
-            first, second, shard, train, _ = b.pairs(shards)
+            first, second, shard, train, _ = b.pairs(shards, split)
             code = scale.code(scale.word(b.count))
             for at in np.split(np.arange(len(first)), np.flatnonzero(np.diff(shard)) + 1):
                 if not len(at):
@@ -216,9 +227,10 @@ def _post_pairs(shards: int, scale: Scale):
 
 
 def build_trie(context: np.ndarray, total: np.ndarray, successor: np.ndarray, train: np.ndarray,
-               lower: np.ndarray, scale: Scale) -> Trie:
+               lower: np.ndarray, scale: Scale) -> tuple[Trie, np.ndarray, tuple[np.ndarray, ...]]:
     """The trie of the pairs (possibly repeated; their ``train`` counts are added up) that occur
-    in training. ``total`` is the context's count, ``lower`` the successor's probability code."""
+    in training, the pairs' counts, and of every context its number, count and distinct
+    successors. ``total`` is the context's count, ``lower`` the successor's probability code."""
     order = np.lexsort((successor, context))
     c, s = context[order], successor[order]
     starts = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])]) if len(c) else np.empty(0, np.int64)
@@ -227,41 +239,61 @@ def build_trie(context: np.ndarray, total: np.ndarray, successor: np.ndarray, tr
     c, s, n, low = c[starts], s[starts], total[order][starts], lower[order][starts]
     begin = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.empty(0, np.int64)
     sizes = np.diff(np.r_[begin, len(c)])
-    types = sizes * (1 + n[begin] // SPLIT_TOKENS)
-    backoff = DISCOUNT * types / np.maximum(n[begin], types)
-    p = np.maximum(count - DISCOUNT, 0) / n + np.repeat(backoff, sizes) * 10 ** (low * scale.step)
-    return Trie(c[begin], sizes, s, scale.code(np.log10(backoff)), scale.code(np.log10(np.minimum(p, 1))))
+    backoffs, probabilities = smooth(count, n, np.repeat(sizes, sizes), low, scale)
+    return Trie(c[begin], sizes, s, backoffs[begin], probabilities), count, (c[begin], n[begin], sizes)
 
 
-def _answer(scale: Scale):
-    """Function of one trie shard: builds its trie and answers every block's pairs."""
+def _answer(scale: Scale, split: int):
+    """Function of one trie shard: builds its trie and answers every block's pairs, with codes or,
+    in contexts that are split, with counts; a row without a block has the split contexts and
+    their distinct successors here."""
 
     def run(key: tuple, posted: pd.DataFrame) -> pd.DataFrame:
         sent = [unpack(x) for x in posted["pairs"]]
         context, total = (np.concatenate([np.repeat(x[i], x[1]) for x in sent]) for i in (0, 2))
-        trie = build_trie(context, total, *(np.concatenate([x[i] for x in sent]) for i in (3, 4, 5)), scale)
+        trie, count, (contexts, n, types) = build_trie(context, total, *(np.concatenate([x[i] for x in sent]) for i in (3, 4, 5)), scale)
         del context, total
-        out = []
-        for block, (first, sizes, _, second, _, lower) in zip(posted["block"], sent):
+        hot = n >= split
+        out = [(None, key[0], pack(contexts[hot], types[hot]))] if hot.any() else []
+        for block, (first, sizes, total, second, _, lower) in zip(posted["block"], sent):
             at, found = trie.find(first, sizes, second)
             backoff = np.where(at >= 0, trie.backoffs[np.maximum(at, 0)], 0).astype(np.int64)
             code = np.minimum(np.repeat(backoff, sizes) + lower, CODES)
             some = found >= 0
             code[some] = trie.probabilities[found[some]]
-            out.append((block, key[0], pack(code)))
-        return pd.DataFrame(out, columns=["block", "shard", "codes"])
+            hot = np.repeat(total >= split, sizes)
+            counts = np.zeros(int(hot.sum()), np.int64)
+            counts[some[hot]] = count[found[hot & some]]
+            code[hot] = 0
+            out.append((block, key[0], pack(code, counts)))
+        return pd.DataFrame(out, columns=["block", "shard", "codes"]).astype({"block": "Int64"})
 
     return run
 
 
-def _score(shards: int, scale: Scale):
+def split_types(posted: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Split contexts and their distinct successors, added up over their shards."""
+    sent = [unpack(x) for x in posted]
+    contexts, types = (np.concatenate([np.empty(0, np.int64), *(x[i] for x in sent)]) for i in (0, 1))
+    contexts, at = np.unique(contexts, return_inverse=True)
+    return contexts, np.bincount(at, types, len(contexts)).astype(np.int64)
+
+
+def _score(shards: int, scale: Scale, split: int, contexts: np.ndarray, types: np.ndarray):
     def run(block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         out = []
         answers = given[given["codes"].notna()].sort_values("shard")
         for _, row in block.iterrows():
             b = Block(row, given[given["numbers"].notna()])
-            place = b.pairs(shards)[-1]
-            code = np.concatenate([np.empty(0, np.int64), *(unpack(x)[0] for x in answers["codes"])])
+            first, second, _, _, place = b.pairs(shards, split)
+            sent = [unpack(x) for x in answers["codes"]]
+            code, count = (np.concatenate([np.empty(0, np.int64), *(x[i] for x in sent)]) for i in (0, 1))
+            hot = np.flatnonzero(b.count[first] >= split)
+            if len(hot):
+                own, lower = first[hot], scale.code(scale.word(b.count))[second[hot]]
+                distinct = types[np.searchsorted(contexts, b.number[own])]
+                backoff, probability = smooth(count, b.count[own], distinct, lower, scale)
+                code[hot] = np.where(count > 0, probability, np.minimum(backoff.astype(np.int64) + lower, CODES))
             word = scale.word(b.count)[b.tokens]
             model = word.copy()
             asked = place >= 0
@@ -277,10 +309,11 @@ def _score(shards: int, scale: Scale):
 
 
 def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", *, split_tokens: int = SPLIT_TOKENS) -> DataFrame:
     """One row per input row: id, train, n_tokens, n_known, train_tokens, base_score (the words'
     own add-one probabilities), score (the model's); both are log10 of the text's probability.
-    Learns from the rows where ``train`` holds."""
+    Learns from the rows where ``train`` holds. ``split_tokens`` decides which contexts are spread
+    over shards, not the result."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     blocks, seen = stash_observed(
@@ -302,14 +335,16 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id",
     numbers = vocabulary.where("block is not null").select("block", "numbers")
     body = blocks.select("block", "ids", "n_words", "tokens")
     asked = (body.groupBy("block").cogroup(numbers.groupBy("block"))
-             .applyInPandas(_post_pairs(pair_shards, scale), "shard long, block long, pairs binary"))
+             .applyInPandas(_post_pairs(pair_shards, scale, split_tokens), "shard long, block long, pairs binary"))
     answers = stash(asked.groupBy("shard").applyInPandas(
-        _answer(scale), "block long, shard long, codes binary"))
+        _answer(scale, split_tokens), "block long, shard long, codes binary"))
+    # a row per shard with split contexts, of which there are at most all tokens / split_tokens
+    contexts, types = split_types([r["codes"] for r in answers.where("block is null").select("codes").collect()])
     given = numbers.select("block", F.lit(None).cast("long").alias("shard"), "numbers",
                            F.lit(None).cast("binary").alias("codes")).unionByName(
-        answers.select("block", "shard", F.lit(None).cast("binary").alias("numbers"), "codes"))
+        answers.where("block is not null").select("block", "shard", F.lit(None).cast("binary").alias("numbers"), "codes"))
     scored = (body.groupBy("block").cogroup(given.groupBy("block"))
-              .applyInPandas(_score(pair_shards, scale), "id string, train boolean, n_tokens long, "
+              .applyInPandas(_score(pair_shards, scale, split_tokens, contexts, types), "id string, train boolean, n_tokens long, "
                                                          "n_known long, base_score double, score double"))
     return scored.select(F.col("id").cast(id_type).alias(id_col), "train", "n_tokens", "n_known",
                          F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

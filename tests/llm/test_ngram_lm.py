@@ -105,3 +105,14 @@ def test_trie():
     _, found = trie.find(first, sizes, after + 1)
     assert [f >= 0 for f in found] == [x in held for x in zip(np.repeat(first, sizes).tolist(), (after + 1).tolist())]
     assert (trie.find(first + 10**6, sizes, after)[1] == -1).all()
+
+
+def test_split_contexts_change_no_score(spark, monkeypatch):
+    for name in ("BLOCK_TOKENS", "SHARD_WORDS", "SHARD_PAIRS"):
+        monkeypatch.setattr(ngram_lm, name, 500)
+    docs = spark.createDataFrame(corpus(), SCHEMA).repartition(3)
+    whole, split = (sorted((str(r.doc_id), r.n_tokens, r.base_score, r.score) for r in score_documents(
+        docs, fold("doc_id", 7) != 2, split_tokens=n).collect()) for n in (1 << 40, 20))
+    assert [r[:2] for r in split] == [r[:2] for r in whole]
+    for a, b in zip(split, whole):
+        assert a[2:] == pytest.approx(b[2:], rel=1e-12)
