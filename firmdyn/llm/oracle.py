@@ -80,7 +80,28 @@ SELECT conv_id, nth, '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || c
 FROM n JOIN whole USING (conv_id)
 """
 
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+h AS (
+  SELECT doc_id, text, n, [('0x' || substr(digest, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h FROM d),
+c AS (
+  SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || substr(text, 1, low) || '<S>' || substr(text, high + 1) || '<M>' || substr(text, low + 1, high - low)
+    ELSE '<S>' || substr(text, high + 1) || '<P>' || substr(text, 1, low) || '<M>' || substr(text, low + 1, high - low)
+    END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""
+
 SQL: dict[str, str] = {"op4_rule_cascade": RULE_CASCADE,
                        "op5_bloom_exact_dedup": BLOOM_DEDUP,
                        "op8_chat_snapshots": CHAT_SNAPSHOTS,
-                       "op9_coordinate_minhash": NEAR_DUPLICATES}
+                       "op9_coordinate_minhash": NEAR_DUPLICATES,
+                       "op11_fim_arrow": FILL_IN_MIDDLE}

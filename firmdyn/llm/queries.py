@@ -14,6 +14,7 @@ from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
 from firmdyn.llm.cotraining import quality_scores
+from firmdyn.llm.fim_arrow import fill_in_middle, restored_text
 from firmdyn.llm.license_classifier import scan_licenses
 from firmdyn.llm.ngram_lm import score_documents
 from firmdyn.llm.pfair_mix import pfair_mix
@@ -75,6 +76,14 @@ def op10_license_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_fim_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored_text(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
@@ -87,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_snapshots,
         op9_coordinate_minhash,
         op10_license_classifier,
+        op11_fim_arrow,
     )
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
