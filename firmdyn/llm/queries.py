@@ -14,6 +14,7 @@ from firmdyn.llm.chunked_bpe import decode_documents, encode_documents
 from firmdyn.llm.common import fold, table
 from firmdyn.llm.coordinate_minhash import near_duplicates
 from firmdyn.llm.cotraining import quality_scores
+from firmdyn.llm.exact_whitening import whiten_embeddings
 from firmdyn.llm.fim_arrow import fill_in_middle, restored_text
 from firmdyn.llm.license_classifier import scan_licenses
 from firmdyn.llm.ngram_lm import score_documents
@@ -84,6 +85,11 @@ def op11_fim_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(restored_text(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
 
 
+def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_coordinate_minhash,
         op10_license_classifier,
         op11_fim_arrow,
+        op12_exact_whitening,
     )
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
