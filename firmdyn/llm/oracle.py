@@ -100,8 +100,34 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
 FROM c
 """
 
+REPEATED_STRINGS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+w AS (
+  SELECT r, doc_id, i, raw[i:i + 49] AS s
+  FROM (SELECT r, doc_id, raw, unnest(range(1, octet_length(raw) - 48)) AS i FROM d)),
+least AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING count(*) > 1),
+hit AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before
+  FROM w JOIN least USING (s) WHERE least < doc_id),
+span AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT r, i, count(*) FILTER (before IS NULL OR i > before + 50) OVER (PARTITION BY r ORDER BY i) AS nth FROM hit)
+  GROUP BY r, nth),
+keep AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS rest FROM span),
+cut AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS rest,
+    string_agg(hex(raw[rest:a - 1]), '' ORDER BY a) AS front
+  FROM keep JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(raw) AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN raw ELSE unhex(front || hex(raw[rest:])) END) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
 SQL: dict[str, str] = {"op4_rule_cascade": RULE_CASCADE,
                        "op5_bloom_exact_dedup": BLOOM_DEDUP,
                        "op8_chat_snapshots": CHAT_SNAPSHOTS,
                        "op9_coordinate_minhash": NEAR_DUPLICATES,
-                       "op11_fim_arrow": FILL_IN_MIDDLE}
+                       "op11_fim_arrow": FILL_IN_MIDDLE,
+                       "op13_suffix_dedup": REPEATED_STRINGS}

@@ -21,6 +21,7 @@ from firmdyn.llm.ngram_lm import score_documents
 from firmdyn.llm.pfair_mix import pfair_mix
 from firmdyn.llm.piece_langid import identify_languages
 from firmdyn.llm.rule_cascade import rule_cascade
+from firmdyn.llm.suffix_dedup import remove_repeats
 
 
 def op1_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +91,10 @@ def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chunked_bpe,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_classifier,
         op11_fim_arrow,
         op12_exact_whitening,
+        op13_suffix_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
