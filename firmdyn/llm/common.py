@@ -33,13 +33,13 @@ def fold(id_col: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` with ``groups`` (one row per ``key``, holding the group's number
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``groups`` (one row per ``key``, one column or several, holding the group's number
     of rows in ``size``; ``total`` is their sum). Groups with at least 1/HOT_SHARE of all rows,
     HOT_SHARE of them at most, are broadcast, so a hot group's rows stay where they are; the
     others are joined by a shuffle."""
     hot = F.col(size) * HOT_SHARE >= total
-    rest = [c for c in groups.columns if c != key]
+    rest = [c for c in groups.columns if c not in ([key] if isinstance(key, str) else key)]
     big = groups.where(hot).withColumn("_hot", F.lit(True))
     marked = rows.join(F.broadcast(big), key, "left")
     on_hot = marked.where("_hot").drop("_hot")

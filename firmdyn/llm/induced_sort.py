@@ -87,7 +87,7 @@ def _induce(t: np.ndarray, is_s: np.ndarray, bounds: np.ndarray, leftmost: np.nd
 
 def _names(t: np.ndarray, leftmost: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Ranks of the substrings at ``ordered`` (sorted), equal ones alike, in the order of the text."""
-    length = np.zeros(len(t), np.int64)
+    length = np.zeros(len(t), np.int32)
     length[leftmost[:-1]] = np.diff(leftmost) + 1
     length[leftmost[-1]] = 1
     own = length[ordered]
@@ -96,8 +96,10 @@ def _names(t: np.ndarray, leftmost: np.ndarray, ordered: np.ndarray) -> np.ndarr
     differs = np.ones(len(ordered), bool)
     if len(pairs):
         starts = np.cumsum(sizes) - sizes
-        inside = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
-        unequal = t[np.repeat(ordered[pairs], sizes) + inside] != t[np.repeat(ordered[pairs + 1], sizes) + inside]
+        inside = np.arange(int(sizes.sum()), dtype=np.int32)
+        here = np.repeat(ordered[pairs] - starts.astype(np.int32), sizes) + inside
+        there = np.repeat(ordered[pairs + 1] - starts.astype(np.int32), sizes) + inside
+        unequal = t[here] != t[there]
         differs[pairs + 1] = np.add.reduceat(unequal, starts) > 0
     name = np.empty(len(t), np.int32)  # by position
     name[ordered] = np.cumsum(differs) - 1

@@ -48,11 +48,14 @@ from firmdyn.session import run_folder, stash, stash_observed
 
 #: Bytes of text that are hashed at once (positions must fit PLACE_BITS) and of a shard.
 BLOCK_BYTES, PLACE_BITS, SHARD_BYTES = 1 << 20, 21, 4 << 20
-#: An anchor in that share of the sampled texts is hot; texts of the sample; distances in a piece.
-HOT_TEXTS, SAMPLE_TEXTS, EDGE = 200, 20_000, 8
+#: An anchor is hot in one of so many of the sampled texts, and in so many at least; texts of the
+#: sample; distances in a piece.
+HOT_TEXTS, HOT_LEAST, SAMPLE_TEXTS, EDGE = 200, 20, 20_000, 8
 #: Label of null ids.
 LAST = 1 << 62
 
+#: Odd factors of the digests.
+_FACTORS = (0x9FB21C651E98DF25, 0x2127599BF4325C37)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -83,10 +86,14 @@ def _gram_hashes(raw: np.ndarray, width: int) -> np.ndarray:
 def segments(raw: np.ndarray, at: np.ndarray, match: int) -> tuple[np.ndarray, ...]:
     """Runs of windows with one anchor in a block of texts that begin at ``at`` (and end at its
     last entry): text, first window, number of windows, place and hash of the anchor."""
-    width = anchor_bytes(match)
     if len(raw) < match:
         return tuple(np.empty(0, np.int64) for _ in range(5))
-    hashes = _gram_hashes(raw, width)
+    return _segments(_gram_hashes(raw, anchor_bytes(match)), at, match)
+
+
+def _segments(hashes: np.ndarray, at: np.ndarray, match: int) -> tuple[np.ndarray, ...]:
+    """``segments`` from the hashes of anchors at all places."""
+    width = anchor_bytes(match)
     low = np.uint64((1 << PLACE_BITS) - 1)
     least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     size, windows = 1, match - width + 1
@@ -94,9 +101,9 @@ def segments(raw: np.ndarray, at: np.ndarray, match: int) -> tuple[np.ndarray, .
         step = min(size, windows - size)
         least = np.minimum(least[:-step], least[step:])
         size += step
-    n = len(raw) - match + 1
+    n = int(at[-1]) - match + 1
     place = (least[:n] & low).astype(np.int64)
-    crossing = np.zeros(len(raw) + 2, np.int32)
+    crossing = np.zeros(int(at[-1]) + 2, np.int32)
     np.add.at(crossing, np.maximum(at[1:] - match + 1, at[:-1]), 1)
     np.add.at(crossing, at[1:], -1)
     whole = np.cumsum(crossing)[:n] == 0
@@ -179,26 +186,48 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # segments and shards
 
+def _powers(factor: int, n: int) -> np.ndarray:
+    """factor^0 to factor^(n - 1), modulo 2^64."""
+    out = np.ones(n, np.uint64)
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        out[size:size + step] = out[:step] * np.uint64(pow(factor, size, 1 << 64))
+        size += step
+    return out
+
+
+def _digests(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit digests of the hashes from ``first`` up to ``last`` (not included), wherever they
+    lie: sums of hashes times powers of two factors."""
+    out = []
+    for factor in _FACTORS:
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * _powers(factor, len(hashes)))))
+        back = _powers(pow(factor, -1, 1 << 64), len(hashes))
+        out.append(((sums[last] - sums[first]) * back[first]).view(np.int64))
+    return out
+
+
 def _own_segments(batch: pa.RecordBatch, match: int, hot: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per block: bytes, row, first byte in the block and in the text, windows and shard key of the
-    segments whose anchor is one of their row's or hot; hot ones in pieces."""
-    flags = batch.column("anchors")
+    """Per block: bytes, row, first byte in the block and in the text, windows, shard key and two
+    digests of the segments whose anchor is one of their row's or hot; hot ones in pieces."""
+    flags, width = batch.column("anchors"), anchor_bytes(match)
+    salt = _powers(_FACTORS[0], batch.num_rows).view(np.int64)  # tells rows apart
+    own = flags.flatten().to_numpy() ^ salt[pc.list_parent_indices(flags).to_numpy()]
+    own.sort()
     for raw, at, rows, base in _blocks(batch.column("text"), match):
-        text, first, count, place, h = segments(raw, at, match)
+        if len(raw) < match:
+            continue
+        hashes = _gram_hashes(raw, width)
+        text, first, count, place, h = _segments(hashes, at, match)
         is_hot = _is_hot(h, hot)
-        keep = np.zeros(len(h), bool)
-        bounds = np.searchsorted(text, np.arange(len(rows) + 1))
-        for i, row in enumerate(rows.tolist()):
-            a, b = bounds[i], bounds[i + 1]
-            own = flags[row]
-            if b > a and own.is_valid and len(own):
-                keep[a:b] = np.isin(h[a:b], own.values.to_numpy())
-        keep &= ~is_hot
+        keep = _is_hot(h ^ salt[rows[text]], own) & ~is_hot
         parts = [(text[keep], first[keep], count[keep], h[keep])]
         if is_hot.any():
             parts.append(_pieces(raw, text[is_hot], first[is_hot], count[is_hot], place[is_hot], match))
         text, first, count, key = (np.concatenate(x) for x in zip(*parts))
-        yield raw, rows[text], first, first - at[text] + base[text], count, key
+        digests = _digests(hashes, first, first + count + match - width)
+        yield raw, rows[text], first, first - at[text] + base[text], count, key, *digests
 
 
 def _pieces(raw: np.ndarray, text: np.ndarray, first: np.ndarray, count: np.ndarray, place: np.ndarray,
@@ -216,51 +245,66 @@ def _pieces(raw: np.ndarray, text: np.ndarray, first: np.ndarray, count: np.ndar
     return tuple(np.array(x, np.int64) for x in zip(*out)) if out else tuple(np.empty(0, np.int64) for _ in range(4))
 
 
-def _segment_key(segment: bytes, key: int) -> bytes:
-    return xxhash.xxh3_128_digest(segment, seed=key & 0xFFFFFFFF)
-
-
-def _folded(table: pa.Table) -> pa.Table:
-    done = table.group_by(["key", "segment"]).aggregate([("label", "min"), ("n", "sum")])
-    return done.select(["key", "segment", "label_min", "n_sum"]).rename_columns(["key", "segment", "label", "n"])
+def _folded(parts: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Of rows with key, s1, s2, label and n: one row of each (key, s1, s2), by key, with the
+    smallest label and the sum of n; and their columns."""
+    by = np.lexsort((parts["s2"], parts["s1"], parts["key"]))
+    new = np.zeros(len(by), bool)
+    new[:1] = True
+    for c in ("key", "s1", "s2"):
+        new[1:] |= parts[c][by][1:] != parts[c][by][:-1]
+    starts = np.flatnonzero(new)
+    rows = by[starts]
+    out = {c: parts[c][rows] for c in ("key", "s1", "s2")}
+    out["label"] = np.minimum.reduceat(parts["label"][by], starts) if len(by) else parts["label"]
+    out["n"] = np.add.reduceat(parts["n"][by], starts) if len(by) else parts["n"]
+    return rows, out
 
 
 def _to_shards(match: int, hot: np.ndarray):
-    """(key, segment, label, n): distinct segments of a batch, with their smallest label."""
+    """(key, s1, s2, label, n, segment): distinct segments of a batch, with their smallest label."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label, parts = batch.column("label").to_numpy(), []
-            for raw, row, first, _, count, key in _own_segments(batch, match, hot):
-                data, ends = raw.tobytes(), first + count + match - 1
-                parts.append(_folded(pa.table({
-                    "key": key, "segment": pa.array([data[a:b] for a, b in zip(first.tolist(), ends.tolist())], pa.binary()),
-                    "label": label[row], "n": np.ones(len(row), np.int64)})))
-            if parts:
-                yield from _folded(pa.concat_tables(parts)).combine_chunks().to_batches()
+            label, parts, where = batch.column("label").to_numpy(), [], []
+            for raw, row, first, _, count, key, s1, s2 in _own_segments(batch, match, hot):
+                parts.append((key, s1, s2, label[row], np.ones(len(row), np.int64)))
+                where.append((raw, first, first + count + match - 1))
+            if not parts:
+                continue
+            rows, out = _folded(dict(zip(("key", "s1", "s2", "label", "n"), map(np.concatenate, zip(*parts)))))
+            block = np.repeat(np.arange(len(where)), [len(x[1]) for x in where])[rows]
+            begin, end = (np.concatenate([x[i] for x in where])[rows] for i in (1, 2))
+            data = [x[0].tobytes() for x in where]
+            out["segment"] = pa.array([data[i][a:b] for i, a, b in zip(block.tolist(), begin.tolist(), end.tolist())],
+                                      pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
 def _occurrences(match: int, hot: np.ndarray):
-    """(skey, k, label, at, n_windows) of every segment."""
+    """(s1, s2, key, k, label, at, n_windows) of every segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, label = batch.column("k").to_numpy(), batch.column("label").to_numpy()
-            for raw, row, first, at, count, key in _own_segments(batch, match, hot):
-                data, ends = raw.tobytes(), first + count + match - 1
-                skey = [_segment_key(data[a:b], c) for a, b, c in zip(first.tolist(), ends.tolist(), key.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(skey, pa.binary()), pa.array(k[row]), pa.array(label[row]), pa.array(at.astype(np.int64)),
-                     pa.array(count.astype(np.int32))], ["skey", "k", "label", "at", "n_windows"])
+            for _, row, _, at, count, key, s1, s2 in _own_segments(batch, match, hot):
+                yield pa.RecordBatch.from_pydict({
+                    "skey": _joined_key(key, s1), "s2": s2, "k": k[row], "label": label[row], "at": at.astype(np.int64),
+                    "n_windows": count.astype(np.int32)})
 
     return run
 
 
-def smaller_elsewhere(strings: list[bytes], labels: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _joined_key(key: np.ndarray, s1: np.ndarray) -> np.ndarray:
+    return key * np.uint64(_FACTORS[1]).view(np.int64) ^ s1
+
+
+def smaller_elsewhere(strings: pa.Array, labels: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows of the strings that also start in a string with a smaller label: string,
     first window, number of windows."""
-    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-    raw = np.frombuffer(b"\0".join(strings), np.uint8)
+    sizes = pc.binary_length(strings).to_numpy().astype(np.int64)
+    ended = pc.binary_join_element_wise(strings, b"\0", b"")
+    raw = np.frombuffer(ended.buffers()[2], np.uint8, int(sizes.sum()) + len(sizes))[:-1]
     begin = np.cumsum(sizes + 1) - (sizes + 1)
     symbols = raw.astype(np.uint16) + 2  # 0 ends the array's text, 1 a string
     symbols[begin[1:] - 1] = 1
@@ -292,20 +336,20 @@ def smaller_elsewhere(strings: list[bytes], labels: np.ndarray, match: int) -> t
 
 
 def _shards(match: int):
-    """Of rows that come by key: (skey, least, n, lower), the smallest label of every segment that
+    """Of rows that come by key: (skey, s2, least, n, lower), the smallest label of every segment that
     occurs again or has lower windows, its number of rows, and those windows (first, number)."""
     def judged(table: pa.Table) -> pa.RecordBatch:
-        table = _folded(table).combine_chunks()
-        strings, keys = table["segment"].to_pylist(), table["key"].to_pylist()
-        labels, n = table["label"].to_numpy(), table["n"].to_numpy()
+        rows, found = _folded({c: table[c].to_numpy() for c in ("key", "s1", "s2", "label", "n")})
+        strings = table["segment"].combine_chunks().take(pa.array(rows))
+        labels, n = found["label"], found["n"]
         string, first, count = smaller_elsewhere(strings, labels, match)
         bounds = np.searchsorted(string, np.arange(len(strings) + 1))
         keep = np.flatnonzero((n > 1) | (np.diff(bounds) > 0))
         runs = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(count, pa.int32())], ["first", "n"])
         lower = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), runs)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([_segment_key(strings[i], keys[i]) for i in keep.tolist()], pa.binary()), pa.array(labels[keep]),
-             pa.array(n[keep]), lower.take(pa.array(keep))], ["skey", "least", "n", "lower"])
+        return pa.RecordBatch.from_pydict({
+            "skey": _joined_key(found["key"], found["s1"])[keep], "s2": found["s2"][keep], "least": labels[keep],
+            "n": n[keep], "lower": lower.take(pa.array(keep))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -410,7 +454,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = texts.select("k", "text")
     one_in = max(1, seen["rows"] // SAMPLE_TEXTS)
     sample = keyed.where(F.pmod(F.xxhash64(F.lit("sample"), "k"), F.lit(one_in)) == 0)
-    often = max(20, seen["rows"] // one_in // HOT_TEXTS)
+    often = max(HOT_LEAST, seen["rows"] // one_in // HOT_TEXTS)
     hot = np.array(sorted(r.h for r in sample.mapInArrow(_anchors(match, np.empty(0, np.int64)), "h long, k long")
                           .groupBy("h").count().where(F.col("count") >= often).collect()), np.int64)
     repeated = (keyed.mapInArrow(_anchors(match, hot), "h long, k long").repartition("h")
@@ -429,12 +473,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = flagged.where("text IS NOT NULL")
 
     shards = marked.select("label", "anchors", "text").mapInArrow(
-        _to_shards(match, hot), "key long, segment binary, label long, n long")
+        _to_shards(match, hot), "key long, s1 long, s2 long, label long, n long, segment binary")
     found, seen = stash_observed(shards.repartition("key").sortWithinPartitions("key").mapInArrow(
-        _shards(match), "skey binary, least long, n long, lower array<struct<first:int,n:int>>"), total=F.sum("n"))
+        _shards(match), "skey long, s2 long, least long, n long, lower array<struct<first:int,n:int>>"), total=F.sum("n"))
     places = marked.select("k", "label", "anchors", "text").mapInArrow(
-        _occurrences(match, hot), "skey binary, k long, label long, at long, n_windows int")
-    hits = join_groups(places, found, "skey", "n", seen["total"] or 0)
+        _occurrences(match, hot), "skey long, s2 long, k long, label long, at long, n_windows int")
+    hits = join_groups(places, found, ["skey", "s2"], "n", seen["total"] or 0)
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_windows").alias("n")))
     runs = F.explode(F.when(F.col("label") > F.col("least"), whole).otherwise(F.col("lower")))
     begin, windows = F.col("at") + F.col("run.first"), F.col("run.n")
