@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,9 @@ from firmdyn.llm.common import join_groups, written
 from firmdyn.llm.induced_sort import permuted_prefixes, suffix_array
 from firmdyn.session import run_folder, stash, stash_observed
 
-#: Bytes of text that are hashed at once (positions must fit PLACE_BITS) and of a shard.
-BLOCK_BYTES, PLACE_BITS, SHARD_BYTES = 1 << 20, 21, 4 << 20
+#: Bytes of text that are hashed at once (positions must fit PLACE_BITS) and of a suffix array, about,
+#: so small that they stay in the processor's caches.
+BLOCK_BYTES, PLACE_BITS, SHARD_BYTES = 1 << 17, 21, 1 << 19
 #: An anchor is hot in one of so many of the sampled texts, and in so many at least; texts of the
 #: sample; distances in a piece.
 HOT_TEXTS, HOT_LEAST, SAMPLE_TEXTS, EDGE = 200, 20, 20_000, 8
@@ -197,13 +199,18 @@ def _powers(factor: int, n: int) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=4)
+def _block_powers(factor: int) -> np.ndarray:
+    return _powers(factor, BLOCK_BYTES)
+
+
 def _digests(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
     """Two 64-bit digests of the hashes from ``first`` up to ``last`` (not included), wherever they
     lie: sums of hashes times powers of two factors."""
     out = []
     for factor in _FACTORS:
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * _powers(factor, len(hashes)))))
-        back = _powers(pow(factor, -1, 1 << 64), len(hashes))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * _block_powers(factor)[:len(hashes)])))
+        back = _block_powers(pow(factor, -1, 1 << 64))
         out.append(((sums[last] - sums[first]) * back[first]).view(np.int64))
     return out
 
@@ -317,10 +324,12 @@ def smaller_elsewhere(strings: pa.Array, labels: np.ndarray, match: int) -> tupl
     common[at] = permuted_prefixes(raw, sa, at, match)
     index = np.empty(len(symbols) + 1, np.int64)
     index[at] = np.arange(len(at))
-    ordered = sa[common[sa] >= 0]  # a suffix between two that share a window has that window too
-    if not len(ordered):
+    rank = np.flatnonzero(common[sa] >= 0)
+    if not len(rank):
         return tuple(np.empty(0, np.int64) for _ in range(3))
-    starts = np.flatnonzero(common[ordered] < match)
+    # a suffix between two that share a window has that window too
+    ordered = sa[rank]
+    starts = np.flatnonzero((common[ordered] < match) | (np.diff(rank, prepend=-1) > 1))
     if not len(starts) or starts[0]:
         starts = np.append(0, starts)
     own = labels[owner[index[ordered]]]
