@@ -13,13 +13,15 @@ of its list and join the components that are linked. Members of different compon
 left in a list are then compared directly if the list is short, and otherwise by what sets them
 apart from the list's pivot (``_through_pivots``), which loses no link either.
 
-A pair exactly at the similarity is missed with probability 4e-6 by 40 of 64 coordinates at
-0.85, and by 36 of 64 at 0.8 (binomial tails); more similar pairs far more rarely.
+A pair exactly at the similarity is missed with probability 2.4e-6 by 40 of 64 coordinates at
+0.85, and 4.2e-6 by 36 of 64 at 0.8 (binomial tails); more similar pairs far more rarely.
 
 Defined cases: null and word-less texts have no set, are linked with nothing and stay; equal sets
-share one posting; a null id is linked with nothing and stays, with null ``component_id``; of
-rows that repeat an id and a set the first stays, and rows that repeat an id with other sets are
-judged by their own; columns other than the id and the text are not read; no rows give no rows.
+are one node, numbered for itself, so sets that share an id are nodes of their own; a null id is
+linked with nothing and stays, with null ``component_id``; of a component the set with the
+smallest id stays (of several of that id the one with the smallest key), in one row if rows
+repeat it; a text of any length is taken whole, one text at a time; columns other than the id
+and the text are not read; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ def _sign(width: int):
             for text in batch.column("text"):  # one text at a time in memory
                 s = shingle_set(text.as_py(), words, width)
                 sizes.append(len(s))
-                keys.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
+                keys.append(_set_key(s))
                 signs.append(signature(s).view(np.int32) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()),
@@ -102,14 +104,31 @@ def _sign(width: int):
     return run
 
 
+def _set_key(shingles: np.ndarray) -> str | None:
+    return xxhash.xxh3_128_hexdigest(shingles.tobytes()) if len(shingles) else None
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [shingle_set(t.as_py(), words, width).tobytes() for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["node", "set"])
+                sets = [shingle_set(t.as_py(), words, width) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array(map(_set_key, sets), pa.string()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "set_key", "set"])
+
+    return run
+
+
+def _keyed_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            keys = [_set_key(shingle_set(t.as_py(), words, width)) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(keys, pa.string())],
+                                             ["row", "id", "set_key"])
 
     return run
 
@@ -206,8 +225,7 @@ def _differences(percent: int):
     return run
 
 
-def _through_pivots(around: DataFrame, full: DataFrame, sets: DataFrame, alike, percent: int,
-                    id_type: str) -> DataFrame:
+def _through_pivots(around: DataFrame, full: DataFrame, sets: DataFrame, alike, percent: int) -> DataFrame:
     """Pairs (a, b) of different components among the members of each pivot (pivot, node, label)
     that may be linked, found without comparing all of them.
 
@@ -223,7 +241,7 @@ def _through_pivots(around: DataFrame, full: DataFrame, sets: DataFrame, alike,
     sp, sx = (full.select(F.col("node").alias(n), F.col("set").alias(f"set_{s}"))
               for n, s in (("pivot", "p"), ("node", "x")))
     found = around.join(sp, "pivot").join(sx, "node").mapInPandas(
-        _differences(percent), f"pivot {id_type}, node {id_type}, label {id_type}, far boolean, "
+        _differences(percent), "pivot long, node long, label long, far boolean, "
                                "apart boolean, n_first int, post array<long>, differ array<long>")
     found = stash(found)
     posted = stash(found.select("pivot", "node", "far", "n_first", F.size("post").alias("n"),
@@ -259,19 +277,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, n_shingles, component_id, kept. Documents are linked whose
     sets of ``width``-word shingles have 100 * intersection >= ``percent`` * union.
     ``matches`` is the number of equal coordinates from which a pair is confirmed."""
+    return _judged(docs, id_col, text_col, width, percent, matches).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, matches: int) -> DataFrame:
+    """(id, set_key, n, component, kept), a row per input row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
     signed = stash(rows.mapInArrow(
         _sign(width), f"id {id_type}, n long, set_key string, sign array<int>"))
     usable = signed.where(F.col("id").isNotNull() & F.col("set_key").isNotNull())
-    # copies fold in the map tasks; one node stands for a set
-    sets = stash(usable.groupBy("set_key").agg(F.min("id").alias("node"), F.first("n").alias("n"),
-                                               F.first("sign").alias("sign")))
+    counted = stash(usable.groupBy("id", "set_key").agg(F.first("n").alias("n"),
+                                                        F.count(F.lit(1)).alias("copies")))
+    # copies fold in the map tasks; one node stands for a set, and the written table fixes its number
+    sets = stash(usable.groupBy("set_key").agg(F.min("id").alias("id"), F.first("n").alias("n"),
+                                               F.first("sign").alias("sign"))
+                 .withColumn("node", F.monotonically_increasing_id()))
     postings, weights = _prefixes(sets, matches)
     labels = written(postings.select("node").distinct().withColumn("label", F.col("node")))
-    nodes = labels.select(F.col("node").alias("id"))
-    full = stash(rows.join(nodes, "id", "left_semi").mapInArrow(
-        _sets(width), f"node {id_type}, set binary"))
+    nodes = written(sets.join(labels.select("node"), "node", "left_semi").select("node", "id", "set_key"))
+    own = rows.join(written(nodes.select("id").distinct()), "id", "left_semi").mapInArrow(
+        _sets(width), f"id {id_type}, set_key string, set binary").join(nodes, ["id", "set_key"]).select("node", "set")
+    if counted.where("copies > 1").limit(1).count():  # a set is taken from one of its rows
+        own = own.dropDuplicates(["node"])
+    full = stash(own)
 
     side = {x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
                            F.col("sign").alias(f"sign_{x}")) for x in "ab"}
@@ -285,8 +315,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sa, sb = (full.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
         pairs = written(pairs)
         sb = sb.join(pairs, "b", "left_semi")
-        return written(pairs.join(sa, "a").join(sb, "b").mapInArrow(
-            _confirm(percent), f"a {id_type}, b {id_type}"))
+        return written(pairs.join(sa, "a").join(sb, "b").mapInArrow(_confirm(percent), "a long, b long"))
 
     def alike_only(pairs: DataFrame) -> DataFrame:
         return written(pairs).join(side["a"], "a").join(side["b"], "b").where(alike("a", "b")).select("a", "b")
@@ -316,13 +345,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     short = now.where(F.col("size") <= SHORT_LIST)
     around = written(now.where((F.col("size") > SHORT_LIST) & (F.col("node") != F.col("pivot"))).select(
         "pivot", "node", "label").distinct())
-    across = _through_pivots(around, full, sets, alike, percent, id_type)
+    across = _through_pivots(around, full, sets, alike, percent)
     pivots = around.groupBy("node").agg(F.collect_set("pivot").alias("pivots"))  # of its lists
     # every member against every other, each pair in its first common list; not two of one pivot
     lists = short.groupBy("node").agg(F.collect_set("token").alias("lists"))  # as many as coordinates at most
     entry = stash(short.select("token", "node", "label").join(lists, "node").join(
         sets.select("node", "n", "sign"), "node").join(pivots, "node", "left").withColumn(
-            "pivots", F.coalesce("pivots", F.array().cast(f"array<{id_type}>"))))
+            "pivots", F.coalesce("pivots", F.array().cast("array<long>"))))
     x, y = (entry.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("label", "lists", "n", "sign", "pivots")],
                          F.col("node").alias(s)) for s in "ab")
     first_common = F.array_min(F.array_intersect("lists_a", "lists_b")) == x["token"]
@@ -331,27 +360,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    & alike("a", "b") & first_common).select("a", "b").distinct()
     labels = components(confirmed(pairs.unionByName(across).distinct()), labels)
 
-    named = (sets.join(labels, "node", "left")
-             .select("set_key", "node", F.coalesce("label", "node").alias("component")))
-    counted = stash(usable.groupBy("id", "set_key").agg(F.first("n").alias("n"),
-                                                        F.count(F.lit(1)).alias("copies")))
+    # a component is named by the smallest id in it, whose set stays
+    first = F.min(F.struct("id", "set_key"))
+    heads = written(labels.join(sets.select("node", "id", "set_key"), "node").groupBy("label").agg(first.alias("head")))
+    named = (sets.join(labels, "node", "left").join(heads, "label", "left")
+             .select("set_key", F.coalesce(F.col("head"), F.struct("id", "set_key")).alias("head")))
     members_of = counted.groupBy("set_key").agg(F.count(F.lit(1)).alias("ids"))
     groups, seen = stash_observed(named.join(members_of, "set_key").select(
-        "set_key", "component", "ids"), total=F.sum("ids"))
-    found = (join_groups(counted, groups, "set_key", "ids", seen["total"] or 0)
-             .select("id", "n", "component", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("nth"))
-             .select("id", "n", "component", (F.col("nth") == 1).alias("first")))
+        "set_key", "head", "ids"), total=F.sum("ids"))
+    found = join_groups(counted, groups, "set_key", "ids", seen["total"] or 0).select(
+        "id", "set_key", "n", "head", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("nth"))
+    stays = (F.col("nth") == 1) & (F.col("id") == F.col("head.id")) & (F.col("set_key") == F.col("head.set_key"))
     alone = signed.where(F.col("id").isNull() | F.col("set_key").isNull()).select(
-        "id", "n", F.col("id").alias("component"), F.lit(True).alias("first"))
-    out = found.unionByName(alone)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.col("component").alias("component_id"),
-                      (F.col("first") & F.col("id").eqNullSafe(F.col("component"))).alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose document stays, all columns; an id goes if none of its rows stays."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    verdict = found.groupBy(F.col(id_col).alias("_id")).agg(F.max("kept").alias("kept"))
-    lost = written(verdict.where(~F.col("kept")).select("_id"))
-    return docs.join(lost, docs[id_col] == lost["_id"], "left_anti")
+        "id", "set_key", "n", F.col("id").alias("component"), F.lit(True).alias("kept"))
+    return found.select("id", "set_key", "n", F.col("head.id").alias("component"), stays.alias("kept")).unionByName(alone)
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                         width: int = 5, percent: int = 80, matches: int = 36) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns: of every component one row,
+    and every row without a set or an id."""
+    found = stash(_judged(docs, id_col, text_col, width, percent, matches).where(F.col("id").isNotNull()))
+    verdict = found.groupBy("id").agg(F.max("kept").alias("any"), F.min("kept").alias("all")).where(~F.col("all"))
+    lost, mixed = (written(verdict.where(c).select(F.col("id").alias("_id"))) for c in (~F.col("any"), F.col("any")))
+    of = docs[id_col]
+    rest = docs.join(lost, of == lost["_id"], "left_anti")
+    if not mixed.limit(1).count():
+        return rest
+    # ids of which some rows stay: by the set, and one row of it
+    some = docs.join(mixed, of == mixed["_id"], "left_semi").select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    row = some.schema["row"].dataType.simpleString()
+    some = some.mapInArrow(_keyed_rows(width), f"row {row}, id {docs.schema[id_col].dataType.simpleString()}, set_key string")
+    kept = found.where(F.col("kept") & F.col("set_key").isNotNull()).select("id", "set_key")
+    chosen = some.join(kept, ["id", "set_key"], "left_semi").dropDuplicates(["id", "set_key"])
+    return (rest.join(mixed, of == mixed["_id"], "left_anti")
+            .unionByName(some.where(F.col("set_key").isNull()).select("row.*"))
+            .unionByName(chosen.select("row.*")))

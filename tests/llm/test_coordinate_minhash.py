@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from firmdyn.llm.coordinate_minhash import near_duplicates
+from firmdyn.llm.coordinate_minhash import drop_near_duplicates, near_duplicates
 
 SCHEMA = "doc_id long, text string, kept string, set_key string, n int"
 
@@ -87,3 +87,31 @@ def test_null_ids_and_repeated_rows(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert drop_near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def variant(text, at):
+    words = text.split()
+    words[at] = "changed"
+    return " ".join(words)
+
+
+def test_one_id_with_texts_of_two_groups(spark):
+    """Sets that share an id are nodes of their own: every dropped text has a near copy that stays."""
+    a, b = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    rows = [(0, variant(a, 3)), (1, a), (1, b), (3, variant(b, 70))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    assert got == [(0, 0, True), (1, 0, False), (1, 1, True), (3, 1, False)]
+    assert sorted(map(tuple, drop_near_duplicates(docs).collect())) == [(0, variant(a, 3)), (1, b)]
+
+
+def test_rows_that_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, a), (5, variant(a, 9)), (5, b), (5, None), (5, ""), (6, variant(b, 2)), (4, variant(a, 50)),
+            (7, c), (7, c), (None, c), (None, a), (None, None), (8, "few words"), (9, "few words")]
+    docs = spark.createDataFrame([(t, i, "x") for i, t in rows], "text string, doc_id long, row string").repartition(4)
+    got = drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    want = [(5, b), (5, None), (5, ""), (4, variant(a, 50)), (7, c), (None, c), (None, a), (None, None), (8, "few words")]
+    assert sorted(str((r.doc_id, r.text)) for r in got.collect()) == sorted(map(str, want))
