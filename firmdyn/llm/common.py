@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,13 @@ def written(df: DataFrame) -> DataFrame:
     return checked_broadcast(df, SMALL_BYTES)[0]
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs now. It deletes them once the driver has
+    collected its garbage, which a driver with room to spare may put off for as long as it runs."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

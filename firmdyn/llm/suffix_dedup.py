@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
-from firmdyn.llm.common import join_groups, written
+from firmdyn.llm.common import free_shuffles, join_groups, written
 from firmdyn.llm.induced_sort import permuted_prefixes, suffix_array
 from firmdyn.session import run_folder, stash, stash_observed
 
@@ -478,6 +478,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     flagged.write.bucketBy(n_buckets, "k").option("path", f"{run_folder(spark)}/{name}").option(
         "compression", "zstd").saveAsTable(name)
+    free_shuffles(spark)
     flagged = spark.table(name)
     marked = flagged.where("text IS NOT NULL")
 
@@ -485,6 +486,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _to_shards(match, hot), "key long, s1 long, s2 long, label long, n long, segment binary")
     found, seen = stash_observed(shards.repartition("key").sortWithinPartitions("key").mapInArrow(
         _shards(match), "skey long, s2 long, least long, n long, lower array<struct<first:int,n:int>>"), total=F.sum("n"))
+    free_shuffles(spark)
     places = marked.select("k", "label", "anchors", "text").mapInArrow(
         _occurrences(match, hot), "skey long, s2 long, k long, label long, at long, n_windows int")
     hits = join_groups(places, found, ["skey", "s2"], "n", seen["total"] or 0)
