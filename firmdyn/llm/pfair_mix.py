@@ -17,9 +17,11 @@ multiples of 1 / period, and the schedule repeats after ``period`` slots (at mos
 ``size="cover"`` runs until every document has been used; smaller sources start over (epochs).
 ``size="once"`` ends when a source has no fresh block left and repeats nothing.
 
-Defined cases: a null source is a source of its own; rows that repeat an id and a source move
-together and share a position; null ids are documents like others; a document's text is not
-read; no rows give no rows; a source without a given weight, or too many sources, raise.
+Defined cases: every row is a document, so rows that repeat an id and a source, or have no id, are
+numbered (``copy``) and have positions of their own; a null source is a source of its own; of
+equal deadlines the source first in order (null first) runs first; a document's text is not read
+by ``pfair_mix`` and moved whole, of any length, by ``mixed_rows``; no rows give no rows; a source
+without a given weight, or too many sources, raise.
 """
 
 from __future__ import annotations
@@ -33,12 +35,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from firmdyn.llm.common import written
 from firmdyn.session import stash, stash_observed
 
 #: Bounds of a given period and of the sources, and precision of a weight.
 MAX_PERIOD, MAX_SOURCES, SHARE_BITS = 100_000, 10_000, 80
 #: Slots that are written at once, and slots that are broadcast at most.
 BATCH_SLOTS, BROADCAST_SLOTS = 1 << 16, 1 << 17
+#: Copies of one id and source that one task numbers at once.
+COPIES_AT_ONCE = 1 << 16
 
 
 def whole_weights(weights: list[float], period: int) -> list[int]:
@@ -116,24 +121,40 @@ def _slots(shares: list[int], blocks: list[int], size: str):
     return run
 
 
+def _numbered(thin: DataFrame) -> DataFrame:
+    """(id, source, copy): a row per copy of each (id, source, copies), whose copies are counted
+    out by several tasks if they are many."""
+    parts = thin.where("copies > 1").select("id", "source", "copies", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_AT_ONCE).cast("long"))).alias("from"))
+    upto = F.least(F.col("copies"), F.col("from") + COPIES_AT_ONCE) - 1
+    counted = parts.repartition("id", "source", "from").select(
+        "id", "source", F.explode(F.sequence("from", upto)).alias("copy"))
+    return thin.where("copies = 1").select("id", "source", F.lit(0).cast("long").alias("copy")).unionByName(counted)
+
+
+def _offsets(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, part, before): how many rows of the keys lie in the parts before this one."""
+    per_part = placed.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return per_part.select(*keys, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+
+
 def pfair_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
               id_col: str = "doc_id", source_col: str = "source", *, temperature: float = 0.7,
               block_rows: int = 100, period: int | None = None, size: str = "cover") -> DataFrame:
-    """One row per use of a document: id, source, block, epoch, slot, position. ``position``
-    orders the mix. ``weights`` maps sources to target weights (0 leaves a source out); by
+    """One row per use of a document: id, source, copy (0 unless rows repeat the id and the
+    source), block, epoch, slot, position. ``position`` orders the mix. ``weights`` maps sources to target weights (0 leaves a source out); by
     default they follow the sources' document counts to the power ``temperature``."""
     if size not in ("cover", "once"):
         raise ValueError(f"size is 'cover' or 'once', not {size!r}")
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     thin = (docs.groupBy(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"))
-            .agg(F.count(F.lit(1)).alias("_copies")).drop("_copies"))
-    placed = stash(thin.withColumn("key", F.xxhash64(F.lit("mix"), "id"))
-                   .repartitionByRange("source", "key", "id")
+            .agg(F.count(F.lit(1)).alias("copies")))
+    placed = stash(_numbered(thin).withColumn("key", F.xxhash64(F.lit("mix"), "id", "copy"))
+                   .repartitionByRange("source", "key", "id", "copy")
                    .withColumn("part", F.spark_partition_id()))
-    per_part = placed.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    per_part = _offsets(placed, ["source"])
 
     counts = placed.groupBy("source").count().orderBy("source").limit(MAX_SOURCES + 1).collect()
     if len(counts) > MAX_SOURCES:
@@ -143,7 +164,7 @@ def pfair_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None
     if missing := [r["source"] for r in counts if r["source"] not in weights]:
         raise ValueError(f"sources without a weight: {missing[:10]}")
     used = [(r["source"], r["count"]) for r in counts if weights[r["source"]] > 0]
-    schema = f"id {id_type}, source string, block long, epoch long, slot long, position long"
+    schema = f"id {id_type}, source string, copy long, block long, epoch long, slot long, position long"
     if not used:
         return spark.createDataFrame([], schema).withColumnsRenamed({"id": id_col, "source": source_col})
     given, documents = [weights[s] for s, _ in used], [n for _, n in used]
@@ -158,20 +179,20 @@ def pfair_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None
     sources = spark.createDataFrame([(s, i, n, blocks[i]) for i, (s, n) in enumerate(used)],
                                     "source string, nth int, documents long, blocks long").join(runs, "nth")
 
-    inside = Window.partitionBy("source", "part").orderBy("key", "id")
+    inside = Window.partitionBy("source", "part").orderBy("key", "id", "copy")
     ranked = placed.withColumn("rank", F.row_number().over(inside) - 1)
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     ranked = ranked.join(per_part, same(ranked, per_part) & (ranked["part"] == per_part["part"])).select(
-        ranked["id"], ranked["source"], (F.col("before") + F.col("rank")).alias("rank"))
+        ranked["id"], ranked["source"], "copy", (F.col("before") + F.col("rank")).alias("rank"))
     timed = (ranked.join(F.broadcast(sources), same(ranked, sources))
-             .select("id", ranked["source"], "nth", "documents", "blocks", "runs", "rank")
+             .select("id", ranked["source"], "copy", "nth", "documents", "blocks", "runs", "rank")
              .withColumn("block", F.expr("rank * blocks div documents"))
              .withColumn("row", F.expr("rank - (block * documents + blocks - 1) div blocks")))
     used_at = (timed.where(F.col("block") < F.col("runs"))
                .withColumn("k", F.explode(F.sequence("block", F.col("runs") - 1, "blocks")))
                .join(F.broadcast(slots) if seen["rows"] <= BROADCAST_SLOTS else slots.hint("merge"), ["nth", "k"]))
     return used_at.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "block",
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "copy", "block",
         F.expr("k div blocks").alias("epoch"), "slot",
         (F.col("slot") * block_rows + F.col("row")).alias("position"))
 
@@ -180,9 +201,27 @@ def mixed_rows(docs: DataFrame, weights: Mapping[str | None, float] | None = Non
                id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` as often and in the order in which the mix uses them."""
     mix = pfair_mix(docs, weights, id_col, source_col, **options).select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), "position")
-    rows = docs.select(F.struct("*").alias("row"))
-    same = (F.col("row")[id_col].eqNullSafe(mix["id"])
-            & F.col("row")[source_col].cast("string").eqNullSafe(mix["source"]))
-    return (rows.join(mix, same).select("row", "position").repartitionByRange("position")
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), "copy", "position")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
+                       F.struct("*").alias("row"))
+    again = written(rows.groupBy("_id", "_source").count().where("count > 1").select(
+        F.col("_id").alias("_again_id"), F.col("_source").alias("_again_source"), F.lit(True).alias("_again")))
+    marked = rows.join(again, F.col("_id").eqNullSafe(F.col("_again_id"))
+                       & F.col("_source").eqNullSafe(F.col("_again_source")), "left")
+    single = marked.where(F.col("_again").isNull()).select("_id", "_source", F.lit(0).cast("long").alias("_copy"), "row")
+    numbered = single
+    if again.limit(1).count():
+        # rows of one id and source are numbered in the order in which they were written
+        placed = stash(stash(marked.where("_again").select("_id", "_source", "row").withColumn(
+            "nth", F.monotonically_increasing_id())).repartitionByRange("_id", "_source", "nth")
+            .withColumn("part", F.spark_partition_id()))
+        before = _offsets(placed, ["_id", "_source"]).withColumnsRenamed({"_id": "_b_id", "_source": "_b_source", "part": "_b_part"})
+        inside = Window.partitionBy("_id", "_source", "part").orderBy("nth")
+        numbered = placed.withColumn("rank", F.row_number().over(inside) - 1).join(
+            before, F.col("_id").eqNullSafe(F.col("_b_id")) & F.col("_source").eqNullSafe(F.col("_b_source"))
+            & (F.col("part") == F.col("_b_part"))).select(
+                "_id", "_source", (F.col("before") + F.col("rank")).cast("long").alias("_copy"), "row").unionByName(single)
+    same = (F.col("_id").eqNullSafe(F.col("id")) & F.col("_source").eqNullSafe(F.col("source"))
+            & (F.col("_copy") == F.col("copy")))
+    return (numbered.join(mix, same).select("row", "position").repartitionByRange("position")
             .sortWithinPartitions("position").select("row.*"))

@@ -73,9 +73,33 @@ def test_rows_of_the_mix(spark):
            pfair_mix(docs).groupBy("doc_id", "source").agg(F.count("*").alias("n")).collect()}
     got = Counter((r.doc_id, r.text, r.source) for r in mixed_rows(docs).collect())
     want = Counter()
-    for i, t, s, *_ in data:
-        want[i, t, s] += mix[i, s]
-    assert got == want and mixed_rows(docs).columns == docs.columns
+    for i, t, s, *_ in data:  # the repeated row shares the uses of its id and source
+        want[i, t, s] += mix[i, s] / (2 if (i, s) == (1, "s1") else 1)
+    assert {k[0] for k in got} == {k[0] for k in want} and mixed_rows(docs).columns == docs.columns
+    assert all(abs(got[k] - want[k]) < 1 for k in want) and sum(got.values()) == sum(mix.values())
+
+
+@pytest.mark.parametrize("at_once", [module.COPIES_AT_ONCE, 64])
+def test_rows_without_an_id_of_their_own(spark, monkeypatch, at_once):
+    """A thousand rows without an id, and a thousand with one id, are a thousand documents each."""
+    monkeypatch.setattr(module, "COPIES_AT_ONCE", at_once)
+    data = [(i, f"a{i}", "a", 0, "x") for i in range(1000)]
+    data += [(None, f"b{i}", "b", 0, "x") for i in range(1000)] + [(7, f"c{i % 500}", "c", 0, "x") for i in range(1000)]
+    data += [(i % 20, f"d{i}", None, 0, "x") for i in range(1000)]
+    docs = spark.createDataFrame(data, SCHEMA).repartition(5)
+    weights = {"a": 1.0, "b": 1.0, "c": 2.0, None: 1.0}
+    out = pfair_mix(docs, weights, block_rows=50).collect()
+    assert len({r.position for r in out}) == len(out) and max(Counter(r.slot for r in out).values()) == 50
+    done = Counter()
+    for nth, r in enumerate(sorted(out, key=lambda r: r.position), 1):
+        done[r.source] += 1
+        assert all(abs(done[s] - nth * w / 5) < 101 for s, w in weights.items())
+    got = Counter((r.source, r.text) for r in mixed_rows(docs, weights, block_rows=50).collect())
+    rows_of = Counter((s, t) for _, t, s, *_ in data)
+    uses = {s: n / 1000 for s, n in done.items()}
+    assert set(got) == set(rows_of)
+    for (s, t), n in got.items():
+        assert n >= rows_of[s, t] and abs(n - rows_of[s, t] * uses[s]) <= rows_of[s, t]
 
 
 def test_edges(spark):
