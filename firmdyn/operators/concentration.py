@@ -3,7 +3,8 @@
 CR4: sum of the four largest sales shares of an industry-year (ordinal rank, so tied
 firms still count four). Ranked on raw sales straight off the scan, the top-4 filter
 becomes a partial WindowGroupLimit before the shuffle: at most four rows per
-industry-year leave each map task, however big the industry. The cell total and the
+industry-year leave each map task, and four per group of map tasks reach the last
+exchange (``largest``). The cell total and the
 distinct firm count are one aggregate (the distinct count is split by firm id
 first, so a big industry spreads over many tasks); CR4 = top-4 sales / total.
 
@@ -31,6 +32,8 @@ from firmdyn.schema import (CELL, CELL_YEAR, FIRM, FIRM_KEY, OUT_COUNTRY, OUT_IN
 from firmdyn.session import checked_broadcast, materialize, materialize_observed
 
 
+#: Groups of map tasks in which the largest rows are found first.
+TOP_SALTS = 16
 #: (column, label) of the long differences.
 CONCENTRATION_MEASURES = (("cr4", "CR4"), ("n_firms", "n_firms"))
 
@@ -42,10 +45,23 @@ def _positive_sales(panel: DataFrame) -> DataFrame:
 def top_sales_by_year(panel: DataFrame, k: int = TOP_K) -> DataFrame:
     """(_country_, sic, year, top_sales): sales of the k largest firms."""
     rows = _positive_sales(panel).select(*CELL_YEAR, SALES)
-    w = Window.partitionBy(*CELL_YEAR).orderBy(F.col(SALES).desc())
-    return (rows.withColumn("_rank", F.row_number().over(w))
-                .where(F.col("_rank") <= k)
-                .groupBy(*CELL_YEAR).agg(F.sum(SALES).alias("top_sales")))
+    return (largest(rows, F.col(SALES), k)
+            .groupBy(*CELL_YEAR).agg(F.sum(SALES).alias("top_sales")))
+
+
+def largest(rows: DataFrame, value: Column, k: int, salts: int = TOP_SALTS) -> DataFrame:
+    """The k rows of every industry-year with the largest ``value``, found in two levels.
+
+    Map tasks are dealt to ``salts`` groups, and each industry-year is cut to k rows in its map
+    tasks, then in each group, then as a whole. So the last exchange carries k rows per
+    industry-year and group at most, however many map tasks there are, and the rows of one
+    industry-year from all map tasks meet in ``salts`` tasks instead of one."""
+    def cut(df: DataFrame, *keys: str) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(value.desc())
+        return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
+
+    dealt = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return cut(cut(dealt, *CELL_YEAR, "_salt").drop("_salt"), *CELL_YEAR)
 
 
 def n_firms_by_year(panel: DataFrame) -> DataFrame:
@@ -146,10 +162,9 @@ def multi_valued(years: Sequence[int]) -> Column:
 def top_of(values: DataFrame, k: int = TOP_K) -> DataFrame:
     """(_country_, sic, year, top_sales) of the k largest from (cell, year, value, copies).
 
-    The limit to k rows runs before the shuffle and again after it; copies count as
-    rows of their own."""
+    The limit to k rows runs in two levels (``largest``); copies count as rows of their own."""
     w = Window.partitionBy(*CELL_YEAR).orderBy(F.col("value").desc())
-    few = values.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+    few = largest(values, F.col("value"), k)
     upto = F.sum("copies").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     used = F.greatest(F.lit(0), F.least(F.col("copies"), k - (F.col("_upto") - F.col("copies"))))
     return (few.withColumn("_upto", upto).groupBy(*CELL_YEAR)

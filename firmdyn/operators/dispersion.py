@@ -8,7 +8,7 @@ trim here. One hash aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmdyn.functions import guarded_log_ratio, positive
@@ -49,13 +49,14 @@ def dispersion(panel: DataFrame, spec: LongDiffSpec = TREATMENT,
     return long_difference(table, DISPERSION_MEASURES, spec)
 
 
-def industry_year_stats(panel: DataFrame) -> DataFrame:
+def industry_year_stats(panel: DataFrame, *more: Column) -> DataFrame:
     """OP covariance and the three dispersions in one aggregate over positive-sales rows:
     (_country_, sic, year, n_opcov, opcov, sigma_mrpl, sigma_mrpk, sigma_markup).
 
     The covariance sample (positive employees too) is a sub-sample, selected inside
     the aggregate: ln(sales/employees) is non-null exactly on its rows. Industry-years
-    with ``n_opcov = 0`` have no OP covariance row."""
+    with ``n_opcov = 0`` have no OP covariance row. ``more`` are further aggregates of the
+    same rows."""
     rows = log_ratios(panel)
     on = F.col("log_mrpl").isNotNull()
     sales = F.when(on, F.col(SALES))
@@ -66,4 +67,5 @@ def industry_year_stats(panel: DataFrame) -> DataFrame:
         F.stddev_samp("log_mrpl").alias("sigma_mrpl"),
         F.stddev_samp("log_mrpk").alias("sigma_mrpk"),
         F.stddev_samp("log_markup").alias("sigma_markup"),
+        *more,
     )

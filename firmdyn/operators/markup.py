@@ -28,7 +28,7 @@ from firmdyn.functions import positive, ratio
 from firmdyn.operators.longdiff import output_keys
 from firmdyn.operators.pairs import (count_at, firm_key_rows, per_firm, side, survivor,
                                      window_years)
-from firmdyn.operators.share import industry_share
+from firmdyn.operators.share import attach_cell_values, industry_share
 from firmdyn.schema import (CELL, CELL_YEAR, COGS, MARKUP_MAX, MARKUP_MIN, SALES,
                             LongDiffSpec, TREATMENT)
 from firmdyn.session import materialize_observed
@@ -67,10 +67,21 @@ def markup_pivot(sample: DataFrame, years: Sequence[int]) -> DataFrame:
                     markup_pivot_aggregates(F.lit(True)))
 
 
-def firm_markup(panel: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def firm_markup(panel: DataFrame, max_bytes: int | None = None,
+                totals: DataFrame | None = None) -> DataFrame:
     """The firm panel: every input column, ``markup`` and ``share`` (sales over the
-    trimmed sample of the industry-year)."""
-    return industry_share(markup_sample(panel), SALES, CELL_YEAR, "share", max_bytes)
+    trimmed sample of the industry-year). ``totals`` (the cell's keys, ``markup_sales``: a
+    written table with ``markup_total``) saves the scan that sums them."""
+    sample = markup_sample(panel)
+    if totals is None:
+        return industry_share(sample, SALES, CELL_YEAR, "share", max_bytes)
+    out = attach_cell_values(sample, totals.where(F.col("markup_sales").isNotNull()), CELL_YEAR, max_bytes)
+    return out.withColumn("share", ratio(SALES, "markup_sales")).drop("markup_sales")
+
+
+def markup_total() -> Column:
+    """Sales of the trimmed markup sample, as an aggregate of panel rows."""
+    return F.sum(F.when(in_markup_sample(ratio(SALES, COGS)), F.col(SALES))).alias("markup_sales")
 
 
 def decomposition_sums(firms: DataFrame, specs: Sequence[LongDiffSpec]) -> DataFrame:

@@ -358,6 +358,10 @@ def queries(raw_panel: str = DRIVER_PANEL_SQL, dialect: str = "duckdb") -> dict[
     for spec in (TREATMENT, PRESHOCK):
         for family in ("markup_decomp", "op_covariance", "dispersion", "concentration"):
             out[f"run_{family}_{spec.base}"] = out[f"{family}_{spec.base}"]
+    q = new()
+    out["smoke_panel"] = q.render(
+        f"select bvd_id, _country_, sic, year, {rounded(MEASURES.split(', '))} from panel where year = 2011")
+    out["saved_firm_panel"] = out["firm_markup"]
     out["panel_round_trip"], out["csv_round_trip"] = out["firm_panel"], out["concentration_2010"]
 
     q = new()

@@ -23,6 +23,7 @@ import os
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -35,11 +36,12 @@ from firmdyn.operators.concentration import (CONCENTRATION_MEASURES, SalesPivot,
 from firmdyn.operators.dispersion import DISPERSION_MEASURES, industry_year_stats
 from firmdyn.operators.longdiff import long_differences, not_null
 from firmdyn.operators.markup import (decomposition_aggregates, decompositions_from, firm_markup,
-                                      in_markup_sample, markup_pivot_aggregates, survivor_flags)
+                                      in_markup_sample, markup_pivot_aggregates, markup_total,
+                                      survivor_flags)
 from firmdyn.operators.pairs import firm_key_rows, per_firm, window_years
 from firmdyn.schema import (CELL, CELL_YEAR, COGS, OUT_COUNTRY, OUT_INDUSTRY, PANEL_COLUMNS, PRESHOCK,
                             SALES, TREATMENT, YEAR, LongDiffSpec)
-from firmdyn.session import checked_broadcast, materialize, materialize_observed
+from firmdyn.session import RunTables, checked_broadcast, materialize, materialize_observed
 from firmdyn.sources.sinks import (FIRM_PANEL_NAME, outcome_path, write_firm_panel,
                                    write_outcome_csv)
 
@@ -65,6 +67,18 @@ class Shared:
     panel: DataFrame
     by_year: dict[str, DataFrame]
     outcomes: dict[LongDiffSpec, dict[str, DataFrame]]
+    markup_totals: DataFrame | None
+    tables: RunTables
+
+    def close(self) -> None:
+        """Deletes the written tables; the outcomes can not be read any more."""
+        self.tables.close()
+
+    def __enter__(self) -> Shared:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 class Jobs:
@@ -88,7 +102,7 @@ class Jobs:
             finally:
                 self.spark.removeTag(self.tag)
 
-        return self.pool.submit(inheritable_thread_target(self.spark)(tagged))
+        return self.pool.submit(copy_context().run, inheritable_thread_target(self.spark)(tagged))
 
     def __enter__(self) -> Jobs:
         return self
@@ -102,22 +116,41 @@ class Jobs:
 
 def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
             materialize_panel: bool = False, max_bytes: int | None = None,
-            concurrent: bool = True) -> Shared:
+            concurrent: bool = True, markup_totals: bool = False) -> Shared:
     """Compute every outcome of every window (see the module's text). ``materialize_panel``
     writes the pruned panel first; use it when the panel is an expensive plan itself (a
-    join)."""
+    join). ``markup_totals`` lets the statistics pass also sum the trimmed markup sample of
+    every industry-year, for the firm panel sink; it then reads all years.
+
+    The tables of firms are deleted once the last table made of them is written, all tables if
+    an error occurs, and those that the outcomes read when the result is closed (or used in a
+    ``with`` block) or the application ends."""
+    with RunTables(panel.sparkSession) as tables:
+        shared = _prepare(panel, specs, materialize_panel, max_bytes, concurrent, markup_totals, tables)
+        tables.keep()
+    return shared
+
+
+def _prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], materialize_panel: bool, max_bytes: int | None,
+             concurrent: bool, markup_totals: bool, tables: RunTables) -> Shared:
     pruned = panel.select(*PANEL_COLUMNS)
     if materialize_panel:
         pruned = materialize(pruned)
     years = window_years(specs)
-    in_window = pruned.where(F.col(YEAR).isin(*years))
+    read_years = F.col(YEAR).isin(*years)
 
     def statistics():
-        table = materialize(industry_year_stats(in_window).where(not_null(CELL_YEAR)))
+        if markup_totals:  # every year, and incomplete keys too
+            written = materialize(industry_year_stats(pruned, markup_total()))
+            totals = written.select(*CELL_YEAR, "markup_sales")
+            table = written.where(read_years & not_null(CELL_YEAR))
+        else:
+            totals = None
+            table = materialize(industry_year_stats(pruned.where(read_years)).where(not_null(CELL_YEAR)))
         opcov = table.where(F.col("n_opcov") > 0).select(*CELL_YEAR, "opcov")
         disp = table.select(*CELL_YEAR, *[c for c, _ in DISPERSION_MEASURES])
         return ({"opcov": opcov, "dispersion": disp}, long_differences(opcov, [("opcov", "OPcov")], specs),
-                long_differences(disp, DISPERSION_MEASURES, specs))
+                long_differences(disp, DISPERSION_MEASURES, specs), totals)
 
     with Jobs(panel.sparkSession, concurrent) as jobs:
         stats = jobs.submit(statistics)
@@ -136,7 +169,9 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
         turb = pivot.turbulences(specs)
         decomp = decompositions_from(cells, flags, specs)
         conc, conc_ld = level_job.result()
-        tables, opcov_ld, disp_ld = stats.result()
+        by_year, opcov_ld, disp_ld, totals = stats.result()
+    # what is left is made of industry tables alone
+    tables.drop(firms, pivot.multi, *([pruned] if materialize_panel else []))
     outcomes = {
         spec: {
             "markup_decomp": decomp[spec],
@@ -146,31 +181,41 @@ def prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], *,
         }
         for spec in specs
     }
-    return Shared(panel=pruned, by_year={**tables, "concentration": conc}, outcomes=outcomes)
+    return Shared(pruned, {**by_year, "concentration": conc}, outcomes, totals, tables)
 
 
 def run_windows(panel: DataFrame, specs: Sequence[LongDiffSpec] = (TREATMENT, PRESHOCK), *,
                 materialize_panel: bool = False, save: bool = False, out_dir: str | None = None,
-                max_bytes: int | None = None,
-                concurrent: bool = True) -> dict[LongDiffSpec, dict[str, DataFrame]]:
+                max_bytes: int | None = None, concurrent: bool = True,
+                firm_buckets: int | None = None) -> dict[LongDiffSpec, dict[str, DataFrame]]:
     """Every family for every window: window -> name -> outcome table. With ``save``,
     one CSV per outcome (``block2/`` for windows other than the treatment window) and,
-    when the treatment window is among them, the firm markup panel as parquet."""
+    when the treatment window is among them, the firm markup panel as parquet (one more scan of
+    the panel; its totals come from the run's statistics). After an error nothing that the run
+    wrote for itself is left."""
     if save:
         if out_dir is None:
             raise ValueError("save=True needs out_dir")
         paths = [outcome_path(out_dir, f, spec) for spec in specs for f in FAMILIES]
         if len(set(paths)) < len(paths):
             raise ValueError("two windows would be written to one path")
-    out = prepare(panel, specs, materialize_panel=materialize_panel, max_bytes=max_bytes,
-                  concurrent=concurrent).outcomes
+    firm_panel = save and TREATMENT in specs
+    shared = prepare(panel, specs, materialize_panel=materialize_panel, max_bytes=max_bytes,
+                     concurrent=concurrent, markup_totals=firm_panel)
     if save:
-        if TREATMENT in out:
-            write_firm_panel(firm_markup(panel, max_bytes), os.path.join(out_dir, FIRM_PANEL_NAME))
-        for spec, results in out.items():
-            for family, df in results.items():
-                write_outcome_csv(df, outcome_path(out_dir, family, spec))
-    return out
+        try:
+            with shared.tables as tables:  # the broadcast totals are written too
+                if firm_panel:
+                    write_firm_panel(firm_markup(panel, max_bytes, shared.markup_totals),
+                                     os.path.join(out_dir, FIRM_PANEL_NAME), firm_buckets)
+                for spec, results in shared.outcomes.items():
+                    for family, df in results.items():
+                        write_outcome_csv(df, outcome_path(out_dir, family, spec))
+                tables.keep()
+        except BaseException:
+            shared.close()
+            raise
+    return shared.outcomes
 
 
 def run_outcomes(panel: DataFrame, spec: LongDiffSpec = TREATMENT, *, save: bool = False,

@@ -18,12 +18,12 @@ from firmdyn.operators import (
     n_firms_by_year, op_covariance, opcov_by_year, outcome_shapes, outcome_summary,
     preview, sign_check, survivor_pairs, turbulence, within_check,
 )
-from firmdyn.plans.outcomes import FAMILIES, prepare
+from firmdyn.plans.outcomes import FAMILIES, prepare, run_windows
 from firmdyn.schema import (CELL_YEAR, COUNTRY, FIRM, INDUSTRY, PRESHOCK, SALES, TREATMENT, YEAR,
                             LongDiffSpec)
 from firmdyn.session import materialize, run_folder
 from firmdyn.sources import derived_panel, load_panel, panel_count, prepare_panel
-from firmdyn.sources.sinks import outcome_path, write_firm_panel, write_outcome_csv
+from firmdyn.sources.sinks import FIRM_PANEL_NAME, outcome_path, write_firm_panel, write_outcome_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,33 @@ def _panel_round_trip(panel: DataFrame) -> DataFrame:
     return load_panel(panel.sparkSession, path).select(*panel.columns)
 
 
+def _named_file(panel: DataFrame, folder: str, name: str) -> None:
+    """The panel as one parquet file of that name in a folder."""
+    spark, part = panel.sparkSession, f"{run_folder(panel.sparkSession)}/{uuid.uuid4().hex}"
+    panel.coalesce(1).write.parquet(part)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(part).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(folder))
+    (written,) = [f.getPath() for f in fs.listStatus(hadoop(part)) if f.getPath().getName().endswith(".parquet")]
+    fs.rename(written, hadoop(folder, name))
+
+
+def _smoke_panel(panel: DataFrame) -> DataFrame:
+    """The first file of a folder with a file a year, whose names hold characters of patterns."""
+    folder = f"{run_folder(panel.sparkSession)}/{uuid.uuid4().hex} [all]"
+    for yr in (2012, 2013, 2011):
+        _named_file(panel.drop(COUNTRY).where(F.col(YEAR) == yr), folder, f"part[{yr}] a+b%.parquet")
+    escaped = folder.replace("[", "\\[").replace("]", "\\]")
+    return load_panel(panel.sparkSession, escaped, first_file_only=True).select(*panel.columns)
+
+
+def _saved_firm_panel(panel: DataFrame) -> DataFrame:
+    """The firm panel as a saving run writes it, dealt by firm, read again."""
+    out = f"{run_folder(panel.sparkSession)}/{uuid.uuid4().hex}"
+    run_windows(panel, [TREATMENT], save=True, out_dir=out, firm_buckets=4)
+    return panel.sparkSession.read.parquet(f"{out}/{FIRM_PANEL_NAME}")
+
+
 def _csv_round_trip(panel: DataFrame) -> DataFrame:
     """The concentration outcome of 2010 as its CSV sink writes it, read again."""
     df = _outcomes(panel, PRESHOCK)["concentration"]
@@ -96,6 +123,8 @@ PANEL_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "outcome_preview_2010": lambda p: preview(_outcomes(p, PRESHOCK)["op_covariance"]),
     "panel_round_trip": _panel_round_trip,
     "csv_round_trip": _csv_round_trip,
+    "smoke_panel": _smoke_panel,
+    "saved_firm_panel": _saved_firm_panel,
     "panel_count": panel_count,
 }
 for _spec in (TREATMENT, PRESHOCK):

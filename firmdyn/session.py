@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextvars import ContextVar
 from functools import reduce
 from operator import add
 
@@ -93,6 +94,50 @@ def run_folder(spark: SparkSession) -> str:
 _RUN_FOLDERS: set[str] = set()
 
 
+class RunTables:
+    """The tables that ``stash`` writes while this is open (``with RunTables(spark) as tables``),
+    in the caller's thread and in threads that run in a copy of its context.
+
+    ``drop`` deletes a table once its last reader is done; leaving the block deletes what is
+    left of them unless ``keep`` was called, and after an error in any case."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.kept = spark, {}, False
+
+    def add(self, table: DataFrame, path: str) -> None:
+        self.paths[path] = table
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        for path, table in list(self.paths.items()):
+            if any(table is t for t in tables):
+                self._delete(path)
+
+    def keep(self) -> None:
+        self.kept = True
+
+    def close(self) -> None:
+        for path in list(self.paths):
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        sc = self.spark.sparkContext
+        hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop, True)
+        self.paths.pop(path, None)
+
+    def __enter__(self) -> RunTables:
+        self._token = _OPEN_TABLES.set(self)
+        return self
+
+    def __exit__(self, failed, *_) -> None:
+        _OPEN_TABLES.reset(self._token)
+        if failed is not None or not self.kept:
+            self.close()
+
+
+_OPEN_TABLES: ContextVar[RunTables | None] = ContextVar("firmdyn_tables", default=None)
+
+
 def stash(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` as parquet under ``run_folder`` and read it back: cuts the lineage,
     survives lost executors, and later readers prune columns and push filters."""
@@ -106,7 +151,10 @@ def stash_observed(df: DataFrame, *partition_by: str, **metrics: Column) -> tupl
     obs = Observation(f"firmdyn_{uuid.uuid4().hex}")
     named = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
     df.observe(obs, *named).write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path), obs.get
+    table = spark.read.schema(df.schema).parquet(path)
+    if (tables := _OPEN_TABLES.get()) is not None:
+        tables.add(table, path)
+    return table, obs.get
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from firmdyn.sources.panel import (
     derived_panel,
     load_panel,
     panel_count,
+    panel_files,
     prepare_panel,
     read_table,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "load_panel",
     "output_dir",
     "panel_count",
+    "panel_files",
     "prepare_panel",
     "read_table",
     "write_firm_panel",

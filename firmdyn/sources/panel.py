@@ -28,27 +28,33 @@ NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 def load_panel(spark: SparkSession, path: str, first_file_only: bool = False) -> DataFrame:
     """Read every ``*.parquet`` file directly inside ``path`` as one panel.
 
-    ``first_file_only`` reads only the first file in path order (a smoke run); the
-    files are listed and compared by Spark. A folder with no parquet file raises
-    ``FileNotFoundError``; any other error of the reader is passed on.
+    ``first_file_only`` reads only the first file in name order (a smoke run). It is chosen by
+    its location as Spark reports it for the same scan, so a name may hold any character (a
+    location that is read as a path again would be taken for a pattern). A folder with no parquet
+    file raises ``FileNotFoundError``; any other error of the reader is passed on.
     """
-    def files(fmt: str):
-        return spark.read.option("pathGlobFilter", "*.parquet").format(fmt)
-
     try:
+        panel = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
         if first_file_only:
-            # the path column alone: no file is opened
-            first = files("binaryFile").load(path).agg(F.min("path")).first()[0]
-            if first is None:
-                raise FileNotFoundError(f"No parquet files found in {path}/")
-            return prepare_panel(spark.read.parquet(first))
-        return prepare_panel(files("parquet").load(path))
+            first = panel_files(panel).orderBy("file_name").limit(1).collect()
+            panel = panel.where(F.col("_metadata.file_path") == first[0]["location"] if first else F.lit(False))
+        return prepare_panel(panel)
     except AnalysisException as exc:
         if exc.getCondition() in NO_FILES:
             raise FileNotFoundError(f"No parquet files found in {path}/") from exc
         raise
 
 
+def panel_files(scan: DataFrame) -> DataFrame:
+    """(location, file_name, n_rows) of the files of a scan that have rows. ``location`` is the
+    encoded one that the scan compares, ``file_name`` the name as the folder lists it. Counts come
+    from the files' footers: no column is read."""
+    plain = F.url_decode(F.replace(F.element_at(F.split("location", "/"), -1), F.lit("+"), F.lit("%2B")))
+    files = scan.select(F.col("_metadata.file_path").alias("location")).groupBy("location").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return files.select("location", plain.alias("file_name"), "n_rows")
+
+
 def panel_count(df: DataFrame) -> DataFrame:
     """Number of firm-year rows, as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"))

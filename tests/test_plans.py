@@ -52,6 +52,22 @@ def test_top4_limit_runs_before_the_shuffle(parquet_panel):
     assert lim > ex
 
 
+def test_last_exchange_of_the_top4_does_not_grow_with_the_map_tasks(spark, parquet_panel):
+    """Two levels: 256 map tasks are dealt to 16 groups, and each sends four rows a cell on."""
+    from firmdyn.operators.concentration import TOP_SALTS, largest
+    from firmdyn.schema import CELL_YEAR, SALES, TOP_K
+
+    rows = parquet_panel.where("sales > 0").select(*CELL_YEAR, SALES).repartition(256)
+    text = plan(largest(rows, F.col(SALES), TOP_K))
+    keys = [x for x in exchanges(text) if "_country_" in x]
+    assert len(keys) == 2 and "_salt" in keys[0] and "_salt" not in keys[1]
+    assert text.count("WindowGroupLimit") >= 4  # before and after each exchange
+    dealt = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(TOP_SALTS)))
+    cells = rows.select(*CELL_YEAR).distinct().count()
+    groups = dealt.groupBy(*CELL_YEAR, "_salt").count().select(F.sum(F.least("count", F.lit(TOP_K)))).first()[0]
+    assert groups <= TOP_K * cells * TOP_SALTS
+
+
 def test_filters_and_columns_reach_the_scan(parquet_panel):
     text = plan(O.opcov_by_year(parquet_panel))
     pushed = [line for line in text.splitlines() if "PushedFilters" in line][0]

@@ -7,12 +7,18 @@ from datetime import date
 
 import pytest
 
-from firmdyn.plans.outcomes import run_windows
-from firmdyn.schema import LongDiffSpec, PRESHOCK, TREATMENT
-from firmdyn.sources import load_panel, panel_count
-from firmdyn.sources.sinks import outcome_path
+from pyspark.sql import functions as F
+
+from firmdyn.operators import firm_markup
+from firmdyn.plans.outcomes import prepare, run_windows
+from firmdyn.plans.queries import present
+from firmdyn.schema import FIRM, FIRM_KEY, LongDiffSpec, PRESHOCK, TREATMENT
+from firmdyn.session import run_folder
+from firmdyn.sources import load_panel, panel_count, panel_files
+from firmdyn.sources.sinks import outcome_path, write_firm_panel
 from tests import micro_panels as M
-from tests.helpers import raw_schema
+from tests.helpers import assert_matches, raw_schema
+from tests.test_plans import plan
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +173,104 @@ def test_command_line_without_saving(spark, folder, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "op_covariance 2012:" in out and "written to" not in out
     assert not out_dir.exists()
+
+
+@pytest.mark.parametrize("folder_name", ["plain", "x[1] a+b%20"])
+def test_first_file_whatever_its_name(spark, tmp_path, folder_name):
+    """Names with characters of patterns and of encoded paths; the first in the folder's order."""
+    root = tmp_path / folder_name
+    root.mkdir()
+    names = ["part[0] +%.parquet", "part!.parquet", "part*.parquet", "part é.parquet", "part{a,b}.parquet"]
+    raw = spark.createDataFrame(M.EDGE_PANEL, raw_schema()).orderBy("bvd_id").limit(len(names)).collect()
+    for i, name in enumerate(names):
+        spark.createDataFrame([raw[i]], raw_schema()).withColumn("nth", F.lit(i)).coalesce(1).write.parquet(str(tmp_path / f"t{i}"))
+        (src,) = glob.glob(str(tmp_path / f"t{i}" / "*.parquet"))
+        os.link(src, root / name)
+    path = str(root).replace("[", "\\[").replace("]", "\\]")
+    assert {r.nth for r in load_panel(spark, path).collect()} == set(range(len(names)))
+    first = names.index(min(names))
+    assert [r.nth for r in load_panel(spark, path, first_file_only=True).collect()] == [first]
+    files = panel_files(spark.read.parquet(path)).collect()
+    assert sorted(r.file_name for r in files) == sorted(names) and {r.n_rows for r in files} == {1}
+
+
+def test_run_tables_are_deleted_after_their_last_reader(spark, sf0001_panel):
+    """Tables of firms go with the run's last job, tables of industries when the result is closed."""
+    def folders():
+        return set(os.listdir(run_folder(spark).removeprefix("file://").removeprefix("file:")))
+
+    before = folders()
+    with prepare(sf0001_panel, [TREATMENT, PRESHOCK]) as shared:
+        left = folders() - before
+        assert left == {os.path.basename(p) for p in shared.tables.paths}
+        for table in shared.tables.paths.values():  # none is by firm
+            assert FIRM not in table.columns and not any(c.startswith("sal_") for c in table.columns)
+        assert all(df.count() for tables in shared.outcomes.values() for df in tables.values())
+    assert folders() == before
+
+
+def test_a_failed_run_leaves_no_table(spark, sf0001_panel, tmp_path):
+    def folders():
+        return set(os.listdir(run_folder(spark).removeprefix("file://").removeprefix("file:")))
+
+    before = folders()
+    broken = sf0001_panel.withColumn("sales", F.when(F.col("year") == 2013, F.raise_error(F.lit("broken")).cast("double"))
+                                     .otherwise(F.col("sales")))
+    with pytest.raises(Exception, match="broken"):
+        prepare(broken, [TREATMENT])
+    assert folders() == before
+    (tmp_path / "taken").write_text("a file where the folder of the outputs should be")
+    with pytest.raises(Exception):
+        run_windows(sf0001_panel, [TREATMENT], save=True, out_dir=str(tmp_path / "taken"))
+    assert folders() == before
+
+
+def test_saving_reads_the_panel_once_more(spark, folder, tmp_path, monkeypatch):
+    """The sink takes its totals from the run: its plan scans the panel once and sums nothing."""
+    from firmdyn.plans import outcomes
+
+    path, _ = folder
+    panel, seen = load_panel(spark, path), []
+    monkeypatch.setattr(outcomes, "write_firm_panel", lambda df, *_: seen.append(df))
+    run_windows(panel, [TREATMENT], save=True, out_dir=str(tmp_path / "out"))
+    text = plan(seen[0])
+    assert text.count("Location: InMemoryFileIndex") == 2 and "HashAggregate" not in text and "Window" not in text
+    scans = [x for x in text.splitlines() if x.startswith("Location") and "input%20with%20space" in x or "input with space" in x]
+    assert len(scans) == 1
+    got = sorted(map(str, seen[0].collect()))
+    assert got == sorted(map(str, firm_markup(panel).select(*seen[0].columns).collect()))
+
+
+def test_firm_panel_dealt_by_firm(spark, sf0001_panel, tmp_path):
+    path = str(tmp_path / "dealt")
+    write_firm_panel(sf0001_panel, path, 3)
+    back = spark.read.parquet(path)
+    assert back.count() == sf0001_panel.count()
+    files = back.select(*FIRM_KEY, F.input_file_name().alias("f")).distinct().groupBy(*FIRM_KEY).count()
+    assert files.where("count > 1").count() == 0  # a firm lies in one file
+    with pytest.raises(ValueError):
+        write_firm_panel(sf0001_panel, path, table="needs_buckets")
+
+
+def test_bucketed_firm_panel_needs_no_shuffle(spark, sf0001_panel, tmp_path):
+    from firmdyn.plans.outcomes import firm_pivot
+
+    spark.sql("DROP TABLE IF EXISTS firm_panel_buckets")
+    write_firm_panel(sf0001_panel, str(tmp_path / "buckets"), 4, "firm_panel_buckets")
+    pivot = firm_pivot(spark.table("firm_panel_buckets"), TREATMENT.years)
+    assert "hashpartitioning" not in plan(pivot) and "Exchange" not in plan(pivot)
+    want = firm_pivot(sf0001_panel, TREATMENT.years)
+    order = ["bvd_id", "sic"]
+    assert_matches(present(pivot).orderBy(*order).toPandas(), present(want).orderBy(*order).toPandas())
+    spark.sql("DROP TABLE firm_panel_buckets")
+
+
+def test_launcher_starts_from_another_folder(tmp_path):
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    done = subprocess.run([sys.executable, os.path.join(ROOT, "run_firmdyn.py"), "--help"], cwd=tmp_path,
+                          capture_output=True, text=True, timeout=120, env={**os.environ, "PYTHONPATH": ""})
+    assert done.returncode == 0 and "--smoke" in done.stdout
