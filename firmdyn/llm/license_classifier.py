@@ -1,13 +1,20 @@
 """License scans with a trained paragraph classifier, in DataFrame operations only.
 
-A paragraph is a line with the ``window_lines - 1`` lines after it (notices are often wrapped).
+A paragraph is a line with the ``window_lines - 1`` lines after it (notices are often wrapped), and
+as many of these lines as end a sentence or stand before a blank line.
 Its features are the word n-grams (one and two words) of the known notices that it holds. A
 multinomial logistic regression over the licence families and an unknown class is trained on
 variants of the notices (words left out, put before ordinary lines of the corpus) and, as unknown,
 on ordinary lines and on beginnings of notices; a temperature fitted on a held-out part
-calibrates it. A prediction counts if it is not unknown, probable enough, and confirmed by
-comparison with the notices: one of the family's must have ``min_similarity`` of its word pairs
-in the paragraph, and no other family's a greater part.
+calibrates it.
+
+A paragraph may hold notices of several families (dual licences are common), so every family is
+judged. Comparison with the notices confirms it: ``min_similarity`` of the word pairs of one of
+its notices must be in the paragraph, among them one that no other family's notices have (if
+there is one), and the same part of what the notice has beside any other family's notice that is
+in the paragraph to an equal or greater part. So a GPL notice is not found in that of the LGPL, and
+both are found where both are. A confirmed family counts if it is probable enough; the odds of
+the other confirmed ones are left out of the sum, as they do not speak against it.
 
 Hence a paragraph can only count if it holds one of the anchors: for each notice, its longest word
 pairs, just enough of them that the others alone cannot confirm it. A regular expression finds
@@ -15,8 +22,11 @@ texts with anchors; all other work is done in the row, on those only, without an
 
 The training lines are a bounded sample (``sample_docs`` documents, ``sample_lines`` lines).
 
-Defined cases: null text has no license; repeated rows are judged alike; columns other than the
-id and the text are not read; an empty table trains on the notices alone and gives no rows.
+Defined cases: null or empty text has no license; texts of any length are judged whole, in their
+row; families that are equally similar both count if each has word pairs of its own there, and a
+family whose notice is part of another's on the same line (CC BY beside CC BY-SA) is not told
+apart from it; repeated rows are judged alike; columns other than the id and the text are not
+read; an empty table trains on the notices alone and gives no rows.
 """
 
 from __future__ import annotations
@@ -40,13 +50,18 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "Apache": ("Licensed under the Apache License, Version 2.0.",
                "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
                "compliance with the License. You may obtain a copy of the License at",
-               "Released under the Apache License."),
+               "Released under the Apache License.",
+               "Licensed under either of Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0"),
     "BSD": ("Released under the BSD 3-Clause License.",
             "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
             "that the following conditions are met:",
-            "Use of this source code is governed by a BSD-style license."),
+            "Use of this source code is governed by a BSD-style license.",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+            "promote products derived from this software without specific prior written permission.",
+            "SPDX-License-Identifier: BSD-3-Clause"),
     "CC-BY": ("Licensed under CC BY 4.0.",
-              "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+              "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+              "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
     "CC-BY-NC": ("Licensed under CC BY-NC 4.0.",
                  "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-SA": ("Licensed under CC BY-SA 4.0.",
@@ -54,17 +69,28 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "CC0": ("Released under CC0 1.0 Universal Public Domain Dedication.",
             "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
             "to this work."),
+    "EPL": ("This program and the accompanying materials are made available under the terms of the Eclipse Public "
+            "License v2.0 which accompanies this distribution",
+            "Licensed under the Eclipse Public License.", "SPDX-License-Identifier: EPL-2.0"),
     "GPL": ("This work is licensed under the GNU General Public License, version 3.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
             "General Public License as published by the Free Software Foundation",
-            "You should have received a copy of the GNU General Public License along with this program."),
+            "You should have received a copy of the GNU General Public License along with this program.",
+            "SPDX-License-Identifier: GPL-3.0-or-later"),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+            "Released under the ISC License.", "SPDX-License-Identifier: ISC"),
     "LGPL": ("This library is licensed under the GNU Lesser General Public License, version 2.1.",
-             "You should have received a copy of the GNU Lesser General Public License along with this library."),
+             "You should have received a copy of the GNU Lesser General Public License along with this library.",
+             "SPDX-License-Identifier: LGPL-2.1-or-later"),
     "MIT": ("Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files"),
+            "associated documentation files",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software.",
+            "or MIT license at your option", "SPDX-License-Identifier: MIT"),
     "MPL": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-            "Released under the Mozilla Public License."),
+            "Released under the Mozilla Public License.", "SPDX-License-Identifier: MPL-2.0"),
     "Proprietary": ("Proprietary and confidential. Unauthorized copying of this file, via any medium, is strictly "
                     "prohibited.",
                     "This software is proprietary; no license is granted without written permission."),
@@ -229,18 +255,50 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.col(text_col)
     find = anchor_pattern(anchors(rows, min_similarity))
     windows = _let(F.split(text, "\n"), lambda lines: F.transform(
-        lines, lambda _, i: F.concat_ws("\n", F.slice(lines, i + 1, window_lines))))
+        lines, lambda _, i: F.slice(lines, i + 1, window_lines)))
+
+    def joined(lines: Column) -> Column:
+        return F.concat_ws("\n", lines)
+
     if use_anchors:
-        windows = F.when(F.lower(text).rlike(find), F.filter(windows, lambda w: F.lower(w).rlike(find)))
+        windows = F.when(F.lower(text).rlike(find), F.filter(windows, lambda w: F.lower(joined(w)).rlike(find)))
+    windows = F.array_distinct(F.flatten(F.transform(windows, lambda w: F.transform(F.filter(
+        F.sequence(F.lit(1), F.size(w)),
+        lambda n: (n == F.size(w)) | F.get(w, n - 1).rlike(r"[.!?]\s*$") | F.get(w, n).rlike(r"^\s*$")),
+        lambda n: joined(F.slice(w, 1, n))))))
     grams = _constant(model.grams, "array<string>")
     weight_of = _constant(dict(zip(model.grams, model.weights.T.tolist())), "map<string, array<double>>")
     bias, names = _constant(model.bias.tolist(), "array<double>"), _constant(model.families, "array<string>")
-    templates = _constant([{"family": r["family"], "pairs": r["pairs"]} for r in rows],
-                          "array<struct<family: string, pairs: array<string>>>")
+    holders: dict[str, set[str]] = {}
+    for r in rows:
+        for pair in r["pairs"]:
+            holders.setdefault(pair, set()).add(r["family"])
+    templates = _constant([{"family": r["family"], "pairs": r["pairs"], "own": [p for p in r["pairs"] if len(holders[p]) == 1]}
+                           for r in rows], "array<struct<family: string, pairs: array<string>, own: array<string>>>")
 
     def features(w: Column) -> Column:
         return _let(words(w), lambda x: F.struct(x.alias("words"), word_pairs(x).alias("pairs")))
 
+    def part(pairs: Column, of: Column) -> Column:
+        return F.size(F.array_intersect(pairs, of)) / F.size(of)
+
+    def similar(x: Column) -> Column:
+        """The notices that the paragraph is similar to, with the part of them that it holds."""
+        return F.filter(F.transform(templates, lambda t: F.struct(
+            t["family"].alias("family"), t["pairs"].alias("pairs"), t["own"].alias("own"),
+            part(x["pairs"], t["pairs"]).alias("part"))),
+            lambda t: (t["part"] >= min_similarity) & ((F.size(t["own"]) == 0) | F.arrays_overlap(x["pairs"], t["own"])))
+
+    def confirmed(x: Column) -> Column:
+        """The families of those that no other one explains."""
+        def explained(t: Column, other: Column) -> Column:
+            return (other["family"] != t["family"]) & (other["part"] >= t["part"]) & _let(
+                F.array_except(t["pairs"], other["pairs"]),
+                lambda beside: (F.size(beside) == 0) | (part(x["pairs"], beside) < min_similarity))
+
+        return F.array_distinct(F.transform(
+            F.filter(x["near"], lambda t: ~F.exists(x["near"], lambda other: explained(t, other))), lambda t: t["family"]))
+
     def logits(x: Column) -> Column:
         held = F.array_intersect(F.concat(x["words"], x["pairs"]), grams)
         return F.aggregate(held, bias, lambda total, g: F.zip_with(
@@ -249,25 +307,21 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def odds(x: Column) -> Column:
         return F.transform(x["logits"], lambda z: F.exp((z - F.array_max(x["logits"])) / F.lit(model.temperature)))
 
-    def verdict(x: Column) -> Column:
-        total = F.aggregate(x["odds"], F.lit(0.0), lambda a, b: a + b)
-        return F.struct(F.element_at(names, F.array_position(x["odds"], F.array_max(x["odds"])).cast("int")).alias("family"),
-                        (F.array_max(x["odds"]) / total).alias("p"), x["pairs"].alias("pairs"))
-
-    def likeness(x: Column, family: Column | None = None) -> Column:
-        """The greatest similarity to a notice (of the family)."""
-        own = templates if family is None else F.filter(templates, lambda t: t["family"] == family)
-        return F.array_max(F.transform(own, lambda t: F.size(F.array_intersect(x["pairs"], t["pairs"])) / F.size(t["pairs"])))
-
-    def confirmed(x: Column) -> Column:
-        return ((x["family"] != UNKNOWN) & (x["p"] >= min_probability) & _let(
-            likeness(x, x["family"]), lambda own: (own >= min_similarity) & (own >= likeness(x))))
+    def verdicts(x: Column) -> Column:
+        """(family, p) of the confirmed families, p beside all that is not confirmed."""
+        against = F.aggregate(F.zip_with(x["odds"], names, lambda o, f: F.when(F.array_contains(x["families"], f), 0.0).otherwise(o)),
+                              F.lit(0.0), lambda a, b: a + b)
+        return _let(against, lambda rest: F.transform(x["families"], lambda f: _let(
+            F.element_at(x["odds"], F.array_position(names, f).cast("int")),
+            lambda own: F.struct(f.alias("family"), F.coalesce(F.try_divide(own, own + rest), F.lit(0.0)).alias("p")))))
 
     found = F.coalesce(windows, F.array().cast("array<string>"))
     step = F.transform(found, features)
-    step = F.transform(step, lambda x: F.struct(x["pairs"].alias("pairs"), logits(x).alias("logits")))
-    step = F.transform(step, lambda x: F.struct(x["pairs"].alias("pairs"), odds(x).alias("odds")))
-    step = F.filter(F.transform(step, verdict), confirmed)
+    step = F.filter(F.transform(step, lambda x: F.struct(x["words"].alias("words"), x["pairs"].alias("pairs"), similar(x).alias("near"))),
+                    lambda x: F.size(x["near"]) > 0)
+    step = F.transform(step, lambda x: F.struct(confirmed(x).alias("families"), logits(x).alias("logits")))
+    step = F.transform(step, lambda x: F.struct(x["families"].alias("families"), odds(x).alias("odds")))
+    step = F.filter(F.flatten(F.transform(step, verdicts)), lambda x: x["p"] >= min_probability)
     result = _let(step, lambda sure: _let(
         F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))),
         lambda families: F.struct(

@@ -29,6 +29,26 @@ def rows():
             add(PROSE + "\n" + " ".join(half[:len(half) // 2]) + "\n" + " ".join(half[len(half) // 2:]), family)
     add("Licensed under the Apache License, version 1.1!", "Apache")  # another version and punctuation
     add("Copyright me.\nReleased under the MIT License.\n" + PROSE * 3 + "\nLicensed under CC BY-NC 4.0.\n", "CC-BY-NC,MIT")
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    lgpl = "You should have received a copy of the GNU Lesser General Public License along with this library."
+    isc = "Released under the ISC License."
+    for a, b, want_both in ((mit, apache, "Apache,MIT"), (gpl, lgpl, "GPL,LGPL"), (gpl, mit, "GPL,MIT"), (isc, lgpl, "ISC,LGPL")):
+        for join in (" ", "\n", "\n\n", "\n" + PROSE + "\n"):
+            add(a + join + b, want_both)
+            add(b + join + a, want_both)
+    add(" ".join([mit, apache, gpl]), "Apache,GPL,MIT")
+    add("Licensed under CC BY 4.0.\nLicensed under CC BY-SA 4.0.", "CC-BY,CC-BY-SA")
+    # wordings that the notices do not hold as they stand
+    add("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache,MIT")
+    add("Licensed under either of\n * Apache License, Version 2.0 (LICENSE-APACHE or http://www.apache.org/licenses/LICENSE-2.0)\n"
+        " * MIT license (LICENSE-MIT or http://opensource.org/licenses/MIT)\nat your option.", "Apache,MIT")
+    add("This library is dual licensed under the MIT License and the Apache License, Version 2.0.", "Apache,MIT")
+    add("// SPDX-License-Identifier: Apache-2.0", "Apache")
+    add("# SPDX-License-Identifier: MIT\nimport os", "MIT")
+    add("SPDX-License-Identifier: Zlib", "")
+    add("Licensed under the Nonsense Public License.", "")
+    add("All of this is made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution.", "EPL")
     for t in (None, "", "\n\n", "the", PROSE, "He has a license to drive under the bridge.", "Released under the",
               "A general public license of the house.", "Der Hund ist mit der Katze und mit dem Haus.", "x " * 200_000):
         add(t, "")
