@@ -8,10 +8,13 @@ expectation maximisation (the same lattice, forward and backward) from a bounded
 labelled documents: ``sample_docs`` and ``sample_words`` distinct words, both per language, so a
 language's model does not depend on which others there are.
 
-Words longer than RUN characters are scored in runs of that length. A character outside the
-vocabulary is spelled in the vocabulary's byte pieces.
+Words of any length are scored whole. Those longer than RUN characters are taken in runs that are
+scored side by side: a run is linear in the sums of the few positions before it from which a piece
+can reach into it, so it is followed once from each of them, and the runs' matrices are multiplied
+in the word's order. A character outside the vocabulary is spelled in the vocabulary's byte pieces.
+Only learning, which sees a sample anyway, counts such a word's runs as words.
 
-Defined cases: null texts and texts without a letter get ``und`` and score 0, as does every text
+Defined cases: texts of any length are scored whole, a few million characters at a time; null texts and texts without a letter get ``und`` and score 0, as does every text
 when nothing is labelled; equal scores go to the alphabetically first language; repeated rows are
 judged alike; columns other than id, text and language are not read, and the language only to
 learn; no rows give no rows.
@@ -28,6 +31,8 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from firmdyn.llm.common import written
+
 VOCABULARY = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 RUN = 4096
@@ -37,6 +42,8 @@ RESCALE = 1e-100
 BLOCK_CHARS, CACHE_SCORES = 1 << 20, 800_000
 #: Characters of a language's words whose lattices are held over the rounds of learning.
 HELD_CHARS = 1 << 21
+#: Parts of a language's rows by hash, of which the lowest are found side by side.
+HASH_PARTS = 64
 #: Rounds of expectation maximisation, and the count that smooths every piece.
 ROUNDS, SMOOTHING = 3, 0.1
 _BASE, _SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -106,8 +113,8 @@ def _is_byte(piece: str) -> bool:
 class Lattice:
     """The piece lattices of some words, longest word first."""
 
-    def __init__(self, pieces: Pieces, words: list[str]):
-        size = np.array([len(w) + 1 for w in words])
+    def __init__(self, pieces: Pieces, words: list[str], mark: str = SPACE_MARK):
+        size = np.array([len(mark) + len(w) for w in words])
         self.order = np.argsort(-size, kind="stable")
         self.size = size[self.order]
         self.width = int(self.size[0])
@@ -116,7 +123,7 @@ class Lattice:
         inside = np.zeros(chars.shape, bool)
         row = np.repeat(np.arange(n), self.size)
         position = np.arange(len(row)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
-        text = "".join([SPACE_MARK + words[i] for i in self.order.tolist()])
+        text = "".join([mark + words[i] for i in self.order.tolist()])
         chars[position, row] = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
         inside[position, row] = True
         chars, inside = chars.ravel(), inside.ravel()
@@ -191,6 +198,40 @@ class Lattice:
                     sums = {k: s[:m] / total for k, s in sums.items()}
         return (out, kept) if keep else out
 
+    def transfer(self, p: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
+        """How the sums of a word's last ``before`` positions follow from those of its first ``before``
+        (the last of these is where it begins): matrices, words by from by to by languages, and their
+        log scales, words by languages. Rescaled as in ``forward``, by the greatest sum of a word."""
+        n, langs = len(self.size), p.shape[1]
+        sums = {}
+        for k in range(before):
+            sums[k] = np.zeros((n, before, langs))
+            sums[k][:, k] = 1
+        scale, out = np.zeros((n, langs)), np.zeros((n, before, before, langs))
+        spelled = self.spelled(p)
+        for end in range(before, self.width + 1):
+            m = self.alive[end]
+            total = np.zeros((m, before, langs))
+            for length in range(1, min(len(self.found), end) + 1):
+                rows, ids = self.pieces_at(end - length, length)
+                if len(rows):
+                    total[rows] += sums[end - length][rows] * p[ids][:, None]
+            for row, prob in spelled.get(end - 1, ()):
+                if row < m:
+                    total[row] += sums[end - 1][row] * prob
+            sums[end] = total
+            del sums[end - before]
+            top = total.max(axis=1)
+            if top.min() < RESCALE:
+                scale[:m] += np.log(top)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    sums = {k: x[:m] / top[:, None] for k, x in sums.items()}
+            for k, to in enumerate(range(end - before + 1, end + 1)):
+                done = slice(self.alive[end + 1] if end < self.width else 0, m)
+                out[done, :, k] = sums[to][done]
+        out[~np.isfinite(out)] = 0  # overflown before a spelled character: never read again
+        return out, scale
+
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected uses of every piece in the words (of one language), ``weight`` of each."""
         whole, kept = self.forward(p, keep=True)
@@ -251,6 +292,28 @@ def learn(pieces: Pieces, words: list[str], n: np.ndarray) -> np.ndarray:
     return p
 
 
+def score_long(pieces: Pieces, word: str, p: np.ndarray) -> np.ndarray:
+    """log P(word) per language, in runs of RUN characters."""
+    before = pieces.longest
+    whole = "\0" * (before - 1) + SPACE_MARK + word  # no piece reaches over the filling
+    ends = range(0, len(word) + 1, RUN)
+    state, scale = np.zeros((before, p.shape[1])), np.zeros(p.shape[1])
+    state[-1] = 1
+    at_once = max(1, BLOCK_CHARS // RUN)
+    for first in range(0, len(ends), at_once):
+        runs = [whole[a:a + RUN + before - 1] for a in ends[first:first + at_once]]
+        lattice = Lattice(pieces, runs, "")
+        steps, scales = lattice.transfer(p, before)
+        for row in np.argsort(lattice.order):
+            state = np.einsum("fl,ftl->tl", state, steps[row])
+            last = state[-1]
+            with np.errstate(over="ignore"):
+                state = state / last
+            state[~np.isfinite(state)] = 0  # as in transfer
+            scale += np.log(last) + scales[row]
+    return scale
+
+
 class WordScores:
     """Word -> row of log-probabilities, for the words a task has met lately."""
 
@@ -265,15 +328,20 @@ class WordScores:
         fresh = list({w for w in words if w not in self.row})
         if fresh:
             found = np.empty((len(fresh), self.p.shape[1]))
-            for b in _blocks(fresh):
-                lattice = Lattice(self.pieces, [fresh[i] for i in b])
-                found[b[lattice.order]] = lattice.forward(self.p)
+            long = np.array([len(w) > RUN for w in fresh])
+            short = np.flatnonzero(~long)
+            for b in _blocks([fresh[i] for i in short]):
+                lattice = Lattice(self.pieces, [fresh[short[i]] for i in b])
+                found[short[b[lattice.order]]] = lattice.forward(self.p)
+            for i in np.flatnonzero(long):
+                found[i] = score_long(self.pieces, fresh[i], self.p)
             self.row.update(zip(fresh, range(len(self.row), len(self.row) + len(fresh))))
             self.scores = np.concatenate([self.scores, found])
         return list(map(self.row.__getitem__, words))
 
 
-def split_words(text: str) -> list[str]:
+def learned_words(text: str) -> list[str]:
+    """The words that are counted to learn: long ones in runs."""
     words = text.split()
     if len(text) > RUN and max(map(len, words), default=0) > RUN:
         words = [w[i:i + RUN] for w in words for i in range(0, len(w), RUN)]
@@ -285,7 +353,7 @@ def _identify(pieces, langs: list[str], p):
         scores = WordScores(pieces.value, p.value)
         for batch in batches:
             for part in _by_size(batch):
-                lists = [split_words(t or "") if langs else [] for t in part["text"]]
+                lists = [(t or "").split() if langs else [] for t in part["text"]]
                 rows = scores.rows([w for x in lists for w in x]) if langs else []
                 found = scores.scores[rows]
                 ends = np.r_[0, np.cumsum([len(x) for x in lists])]
@@ -315,9 +383,9 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for part in _by_size(batch):
             found: dict[tuple[str, str], int] = {}
-            for lang, text in zip(part["lang"], part["text"]):
-                for w in split_words(text or ""):
-                    found[lang, w] = found.get((lang, w), 0) + 1
+            for lang, text, copies in zip(part["lang"], part["text"], part["copies"]):
+                for w in learned_words(text or ""):
+                    found[lang, w] = found.get((lang, w), 0) + copies
             yield pd.DataFrame([(a, w, n) for (a, w), n in found.items()], columns=["lang", "word", "n"])
 
 
@@ -355,20 +423,33 @@ def _learn(pieces, limit: int):
     return run
 
 
+def draw(docs: DataFrame, n: int) -> DataFrame:
+    """(lang, text, copies): per language the ``n`` rows of (id, lang, text) whose hashes are lowest.
+
+    Only hashes are ranked, in HASH_PARTS parts of a language and then in the whole, after a limit in
+    the map tasks; the texts are fetched by hash, equal rows as one."""
+    hashed = docs.withColumn("hash", F.xxhash64("id", "text"))
+    keys = hashed.select("lang", "hash", F.pmod("hash", F.lit(HASH_PARTS)).alias("part"))
+    for group in (["lang", "part"], ["lang"]):
+        lowest = F.row_number().over(Window.partitionBy(*group).orderBy("hash"))
+        keys = keys.withColumn("nth", lowest).where(F.col("nth") <= n).drop("nth")
+    drawn = written(keys.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("copies")))
+    return (hashed.join(drawn, ["lang", "hash"]).groupBy("lang", "hash", "copies").agg(F.min("text").alias("text"))
+            .select("lang", "text", "copies"))
+
+
 def identify_languages(docs: DataFrame, may_learn: Column, vocabulary: str | None = None,
                        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
                        sample_docs: int = 500, sample_words: int = 200_000) -> DataFrame:
     """One row per input row: id, lang_pred, score. Learns from rows where ``may_learn`` holds
-    and the language is known: of each language the ``sample_docs`` rows whose id hashes lowest,
+    and the language is known: of each language the ``sample_docs`` rows that hash lowest,
     and of their words the language's ``sample_words`` most frequent (the model sees no other
     bound)."""
     sc = docs.sparkSession.sparkContext
     pieces = sc.broadcast(Pieces(load_pieces(vocabulary or public_tokenizers.path(VOCABULARY))))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
-    sample = (docs.where(may_learn & F.col(lang_col).isNotNull())
-              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-              .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_docs)
-              .select("lang", "text"))
+    labelled = (docs.where(may_learn & F.col(lang_col).isNotNull())
+                .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
+    sample = draw(labelled, sample_docs)
     counts = (sample.mapInPandas(_count_words, "lang string, word string, n long")
               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     posted = counts.mapInPandas(_post_words(sample_words), "lang string, words array<string>, n array<long>")

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmdyn.llm.common import fold
-from firmdyn.llm.piece_langid import (SPACE_MARK, VOCABULARY, Lattice, Pieces, identify_languages,
-                                      load_pieces)
+from firmdyn.llm import piece_langid
+from firmdyn.llm.piece_langid import (SPACE_MARK, VOCABULARY, Lattice, Pieces, WordScores, draw, identify_languages,
+                                      load_pieces, score_long)
 from firmdyn.llm.queries import op7_piece_langid
 from tests.conftest import SF001
 
@@ -138,3 +139,44 @@ def test_every_language_keeps_its_words(spark):
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     out = {r.doc_id: r.lang_pred for r in identify_languages(docs, F.lit(True), sample_words=40).collect()}
     assert out[20] == "zz" and out[10] == "zz" and out[21] == "zy"
+
+
+def test_words_in_runs_equal_whole_words(pieces, monkeypatch):
+    rng = np.random.default_rng(8)
+    p = rng.random((len(pieces) + 1, 3)) ** 6
+    p[-1] = 0
+    p /= p.sum(axis=0)
+    table = Pieces(pieces)
+    words = ["internationalisation" * 400, "".join(rng.choice(list("abcdeth\U0001F9FF漢\0"), 9000)), "a" * 8192, "e" * 4097,
+             "\U0001F9FF" * 8193]
+    for word in words:
+        whole = Lattice(table, [word]).forward(p)[0]
+        assert score_long(table, word, p) == pytest.approx(whole, rel=1e-12)
+    for run in (20, 33, 64):  # many runs, in several blocks, and a last run of any length
+        monkeypatch.setattr(piece_langid, "RUN", run)
+        monkeypatch.setattr(piece_langid, "BLOCK_CHARS", 5 * run)
+        for n in (run + 1, 2 * run - 1, 2 * run, 2 * run + 1, 700):
+            word = words[1][:n]
+            prob = dict(zip(pieces, p[:, 2]))
+            assert score_long(table, word, p)[2] == pytest.approx(log_sum(SPACE_MARK + word, prob), rel=1e-10)
+    monkeypatch.undo()
+    scores = WordScores(table, p)
+    rows = scores.rows(["the", words[0], "and", "the"])
+    assert scores.scores[rows[1]] == pytest.approx(Lattice(table, [words[0]]).forward(p)[0], rel=1e-12)
+    assert scores.scores[rows[0]] == pytest.approx(Lattice(table, ["the"]).forward(p)[0]) and rows[0] == rows[3]
+
+
+def test_draw(spark):
+    """The lowest hashes of each language, rows without an id or with the id of others among them."""
+    rows = [(i if i % 3 else None, "ab"[i % 2], f"text {i % 700}") for i in range(2000)] + [(7, "c", None)] * 5
+    docs = spark.createDataFrame(rows, "id long, lang string, text string").repartition(5)
+    found = [(r.lang, r.hash, r.text) for r in docs.withColumn("hash", F.xxhash64("id", "text")).collect()]
+    for lang, want in (("a", 50), ("b", 50), ("c", 5)):
+        lowest = Counter((h, t) for _, h, t in sorted((x for x in found if x[0] == lang), key=lambda x: x[1])[:want])
+        got = Counter()
+        for r in draw(docs, 50).where(F.col("lang") == lang).collect():
+            got[r.text] += r.copies
+        expected = Counter()
+        for (_, t), n in lowest.items():
+            expected[t] += n
+        assert got == expected
