@@ -12,7 +12,14 @@ are range-partitioned by (conversation, turn), each partition runs over its own
 parts before it enter through their totals. Prefixes and last hashes are made distinct in the
 map tasks before the anti-join, so a first turn that all conversations share is one row.
 
-Defined cases: turns are ordered by turn, role and text, nulls first; repeated rows are one turn;
+No text can forge a turn: in rendered texts and roles, ``<``, any number of backslashes and ``|`` get one
+backslash more before the ``|``, so they hold no marker, differ if the texts differ, and
+``unescaped`` restores them; a role's line breaks are written as ``<n>``, and its ``<n>`` with one backslash more.
+
+Conversations count as equal by two 64-bit hashes: that two of n different prefixes agree in both
+has a probability of about n^2 / 2^129, 3e-19 for 10^10 prefixes.
+
+Defined cases: a turn of any length is one cell; turns are ordered by turn, role and text, nulls first; repeated rows are one turn;
 a null text is rendered as empty, a null role as ``unknown``, and both differ from that when
 compared; a null conversation id is a conversation of its own; other columns are not read; no rows
 give no rows.
@@ -81,10 +88,25 @@ def maximal_turns(log: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
         hashed["conv"].alias(conv_col), "nth", "role", "text", "n_equal")
 
 
+def escaped(text: Column) -> Column:
+    """``text`` without markers; texts without ``<|`` (or ``<\\|``, ...) are left alone."""
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
+
+
+def unescaped(text: Column) -> Column:
+    """The text that ``escaped`` was given."""
+    return F.regexp_replace(text, r"<(\\*)\\\|", "<$1|")
+
+
+def escaped_role(role: Column) -> Column:
+    """``role`` on one line and without markers."""
+    return F.replace(F.regexp_replace(escaped(role), r"<(\\*)n>", r"<$1\\n>"), F.lit("\n"), F.lit("<n>"))
+
+
 def render(role: Column, text: Column) -> Column:
     """One turn in chat markup."""
-    return F.concat(F.lit(OPEN), F.coalesce(role, F.lit("unknown")), F.lit(MIDDLE),
-                    F.coalesce(text, F.lit("")), F.lit(CLOSE))
+    return F.concat(F.lit(OPEN), F.coalesce(escaped_role(role), F.lit("unknown")), F.lit(MIDDLE),
+                    F.coalesce(escaped(text), F.lit("")), F.lit(CLOSE))
 
 
 def format_chats(log: DataFrame, conv_col: str = "conv_id", **columns: str) -> DataFrame:

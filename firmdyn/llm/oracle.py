@@ -75,7 +75,9 @@ n AS (
 whole AS (
   SELECT so_far, min(conv_id) AS conv_id, count(*) AS n_equal FROM n WHERE nth = length
   GROUP BY so_far HAVING so_far NOT IN (SELECT so_far FROM n WHERE nth < length))
-SELECT conv_id, nth, '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
+SELECT conv_id, nth, '<|im_start|>' || coalesce(replace(regexp_replace(regexp_replace(
+    role, '<(\\*)\|', '<\1\\|', 'g'), '<(\\*)n>', '<\1\\n>', 'g'), chr(10), '<n>'), 'unknown') || chr(10)
+  || coalesce(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'), '')
   || '<|im_end|>' || chr(10) AS segment, n_equal
 FROM n JOIN whole USING (conv_id)
 """
