@@ -2,39 +2,54 @@
 
 One classifier sees only the text (hashed words, word shapes, and measures of repetition and
 characters), the other only the page's metadata (source, language, length as recorded). Both start
-from the labelled sample. In each round each of them scores an unlabelled pool, and what it is
-confident of (by its calibrated probability) goes, with that pseudo-label, to the training set
-of the other. At the end both are calibrated on labelled documents that neither was trained on,
-a logistic combination of the two calibrated views is fitted there too, and all documents are
-scored with it.
-
-The classifiers are fitted on bounded samples, chosen by a hash of the id: ``labelled_rows``
-labelled and ``pool_rows`` unlabelled documents. Everything else sees every document.
+from the labelled sample. In each round each of them scores every unlabelled document, and of what it
+is confident of (by its calibrated probability) ``taught_rows`` documents of each class go, with that
+pseudo-label, to the training set of the other. At the end both are calibrated on labelled documents
+that neither was trained on, a logistic combination of the two calibrated views is fitted there
+too, and all documents are scored with it.
+
+The features of all documents are written once, as small integers; a round reads that table. The
+documents that a view hands over are drawn by a hash of their features, evenly over the sources
+(the first of every source, then the second, ...), so a rare source takes part however large the
+corpus is; copies of a document are one candidate. Only the training sets are bounded:
+``labelled_rows`` labelled documents, chosen by a hash of the id, and what is handed over.
 
 Defined cases: null text is an empty one, null metadata a value of its own; several labels of an
-id count by their mean (ties are good), null labels do not count; without labels, or with one
-class only, the score is that class's share (0.5 without labels) and nothing else is learned;
-repeated rows are scored alike; other columns are not read; no rows give no rows.
+id count by their mean (ties are good), null labels do not count; an id with several rows is
+labelled by one of them (the one with the smallest hash); documents with a label are never given
+another one; rows without an id are unlabelled documents; a document that the views judge
+differently goes to each with the other's label; without labels, or with fewer than four of one
+class, the score is the good ones' share (0.5 without labels) and nothing else is learned;
+repeated rows are scored alike; very long texts count as a whole; other columns are not read; no
+rows give no rows.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from firmdyn.session import RunTables, stash
+
 WORDS, SHAPES, BINS = 1 << 12, 1 << 10, 1 << 8
 TEXT_SIZE, META_SIZE = WORDS + SHAPES + BINS, 1 << 12
 #: Weight of the measures among the text's features (its words' weights add up to 1).
 BIN_WEIGHT = 0.25
+#: Weight of each of the metadata's features.
+META_WEIGHT = 0.5
+#: Documents whose features are in memory at a time.
+SCORED_ROWS = 512
+#: Tasks in which the documents of a source are first cut to those that a round may hand over.
+SALTS = 64
 CACHE_WORDS = 1 << 16
 _UPPER = bytes(range(65, 91))
 _DIGITS = b"0123456789"
@@ -60,38 +75,58 @@ class WordFeatures(dict):
         return out
 
 
-def _measures(data: bytes, words: list[bytes]) -> list[int]:
-    """Features of the measures: all bins up to the measure's, so near values look alike."""
+def _measures(data: bytes, words: list[bytes], distinct: int) -> list[int]:
+    """The bin of each measure of a text; it has ``distinct`` different words."""
     n, size = max(1, len(words)), max(1, len(data))
-    share = [sum(map(eq, words, words[1:])) / n, len(set(words)) / n,
+    share = [sum(map(eq, words, words[1:])) / n, distinct / n,
              (size - len(data.translate(None, _UPPER))) / size, (size - len(data.translate(None, _SYMBOLS))) / size,
              (size - len(data.translate(None, _DIGITS))) / size]
-    bins = [min(15, int(16 * math.sqrt(s))) for s in share] + [min(31, len(words).bit_length()),
+    return [min(15, int(16 * math.sqrt(s))) for s in share] + [min(31, len(words).bit_length()),
                                                               min(31, int(size / n))]
+
+
+def _all_bins(bins: Sequence[int]) -> list[int]:
+    """Features of the measures: all bins up to the measure's, so near values look alike."""
     return [WORDS + SHAPES + 32 * k + j for k, b in enumerate(bins) for j in range(b + 1)]
 
 
-def text_features(text: str | None, cache: WordFeatures) -> tuple[np.ndarray, np.ndarray]:
+def text_counts(text: str | None, cache: WordFeatures) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Features of the words, how often each occurs, and the number of bins of each measure."""
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
-    pairs = np.array([cache[w] for w in words], np.int32).reshape(-1, 2)
-    found, n = np.unique(pairs, return_counts=True)
-    bins = _measures(data, words)
-    value = np.r_[n / max(1, len(words)), np.full(len(bins), BIN_WEIGHT)]
+    n = Counter(words)
+    pairs = np.array([cache[w] for w in n], np.int32).reshape(-1, 2)
+    found, at = np.unique(pairs, return_inverse=True)
+    count = np.bincount(at.ravel(), np.repeat(np.fromiter(n.values(), np.int64, len(n)), 2), len(found))
+    return found.astype("<u2"), count.astype(np.int64), _measures(data, words, len(n))
+
+
+def from_counts(found: np.ndarray, count: np.ndarray, bins: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """A feature row: words by their share (a word has two features), and the measures."""
+    bins = _all_bins(bins)
+    value = np.r_[count * (2 / max(1, count.sum())), np.full(len(bins), BIN_WEIGHT)]
     return np.r_[found, bins].astype(np.int32), value.astype(np.float32)
 
 
+def text_features(text: str | None, cache: WordFeatures) -> tuple[np.ndarray, np.ndarray]:
+    return from_counts(*text_counts(text, cache))
+
+
 def meta_features(source, lang, n_chars) -> tuple[np.ndarray, np.ndarray]:
     size = "-" if n_chars is None or n_chars != n_chars else str(int(2 * math.log2(1 + max(0, n_chars))))
     names = (f"s:{source}", f"l:{lang}", f"n:{size}", f"x:{lang}:{size}")
     at = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) % META_SIZE for x in names], np.int32)
-    return at, np.full(len(at), 0.5, np.float32)
+    return at, np.full(len(at), META_WEIGHT, np.float32)
+
+
+#: Features and their values.
+Row = tuple[np.ndarray, np.ndarray]
 
 
 class Rows:
     """Sparse feature rows."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, rows: list[Row]):
         self.sizes = np.array([len(a) for a, _ in rows], np.int64)
         self.at = np.concatenate([a for a, _ in rows]) if rows else np.empty(0, np.int32)
         self.value = np.concatenate([v for _, v in rows]) if rows else np.empty(0, np.float32)
@@ -100,11 +135,6 @@ class Rows:
     def __len__(self) -> int:
         return len(self.sizes)
 
-    def take(self, which: np.ndarray) -> Rows:
-        ends = np.cumsum(self.sizes)
-        return Rows([(self.at[ends[i] - self.sizes[i]:ends[i]], self.value[ends[i] - self.sizes[i]:ends[i]])
-                     for i in which])
-
     def scores(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * w[self.at], len(self)) + w[-1]
 
@@ -144,6 +174,22 @@ def fit_small(x: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndar
     return w
 
 
+@dataclass
+class View:
+    """A view's classifier and its calibration."""
+
+    w: np.ndarray
+    slope: float
+    bias: float
+
+    def odds(self, rows: Rows) -> np.ndarray:
+        return self.slope * rows.scores(self.w) + self.bias
+
+
+#: The views of a round -> what they hand over: (view that is taught, its feature row, label).
+Draw = Callable[[list[View]], list[tuple[int, Row, int]]]
+
+
 @dataclass
 class Model:
     text: np.ndarray
@@ -157,55 +203,104 @@ class Model:
         return _sigmoid(np.c_[odds[0], odds[1], np.ones(len(text_score))] @ self.combine)
 
 
-def co_train(text: Rows, meta: Rows, labels: np.ndarray, rounds: int, confident: float) -> Model | float:
-    """``labels``: 1, 0, or -1 for the unlabelled pool; rows in an order without meaning. Returns
-    the good share instead of a model if there are not both classes."""
-    known = np.flatnonzero(labels >= 0)
-    if len(np.unique(labels[known])) < 2 or min(np.bincount(labels[known])) < 4:
-        return float(labels[known].mean()) if len(known) else 0.5
+def co_train(text: list[Row], meta: list[Row], labels: np.ndarray, draw: Draw, rounds: int) -> Model | float:
+    """Trains on the labelled rows (``labels`` 1 or 0), given in an order without meaning, and on what
+    ``draw`` returns for the two views of a round. Returns the good share instead of a model if there
+    are not both classes."""
+    if len(np.unique(labels)) < 2 or min(np.bincount(labels)) < 4:
+        return float(labels.mean()) if len(labels) else 0.5
     # every fourth of each class calibrates
-    held = np.concatenate([known[labels[known] == c][::4] for c in (0, 1)])
-    first = np.setdiff1d(known, held)
-    views = ((text, TEXT_SIZE), (meta, META_SIZE))
-    told = [dict.fromkeys(first.tolist()), dict.fromkeys(first.tolist())]
-    label = [labels.astype(float).copy(), labels.astype(float).copy()]
-    pool = np.flatnonzero(labels < 0)
-
-    def trained(k: int) -> tuple[np.ndarray, np.ndarray]:
-        own = np.fromiter(told[k], np.int64)
-        w = fit(views[k][0].take(own), label[k][own], views[k][1])
-        z = views[k][0].take(held).scores(w)
-        return w, fit_small(z[:, None], labels[held])
+    held = np.concatenate([np.flatnonzero(labels == c)[::4] for c in (0, 1)])
+    first = np.setdiff1d(np.arange(len(labels)), held)
+    held_rows = [Rows([v[i] for i in held]) for v in (text, meta)]
+    own = [[v[i] for i in first] for v in (text, meta)]
+    told = [labels[first].astype(float).tolist() for _ in own]
+
+    def trained() -> list[View]:
+        views = []
+        for k, size in enumerate((TEXT_SIZE, META_SIZE)):
+            w = fit(Rows(own[k]), np.array(told[k]), size)
+            slope, bias = fit_small(held_rows[k].scores(w)[:, None], labels[held])
+            views.append(View(w, slope, bias))
+        return views
 
     for _ in range(rounds):
-        if not len(pool):
+        taught = draw(trained())
+        for k, row, label in taught:
+            own[k].append(row)
+            told[k].append(label)
+        if not taught:
             break
-        used = []
-        for k in (0, 1):
-            w, c = trained(k)
-            p = _sigmoid(c[0] * views[k][0].take(pool).scores(w) + c[1])
-            for sure, value in ((p >= confident, 1.0), (p <= 1 - confident, 0.0)):
-                at = pool[sure]
-                label[1 - k][at] = value
-                told[1 - k].update(dict.fromkeys(at.tolist()))
-                used.append(at)
-        used = np.unique(np.concatenate(used))
-        if not len(used):
-            break
-        pool = np.setdiff1d(pool, used)
-    (wt, ct), (wm, cm) = trained(0), trained(1)
-    odds = np.c_[ct[0] * text.take(held).scores(wt) + ct[1], cm[0] * meta.take(held).scores(wm) + cm[1]]
-    return Model(wt, wm, (ct, cm), fit_small(odds, labels[held]))
+    views = trained()
+    odds = np.c_[tuple(v.odds(rows) for v, rows in zip(views, held_rows))]
+    return Model(views[0].w, views[1].w, tuple(np.array([v.slope, v.bias]) for v in views), fit_small(odds, labels[held]))
 
 
-def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordFeatures()
     for batch in batches:
-        text = [text_features(t, cache) for t in batch["text"]]
-        meta = [meta_features(*x) for x in zip(batch["source"], batch["lang"], batch["n_chars"])]
-        yield pd.DataFrame({
-            "id": batch["id"], "label": batch["label"], "text_at": [a.tobytes() for a, _ in text], "text_value": [v.tobytes() for _, v in text],
-            "meta_at": [a.tobytes() for a, _ in meta], "meta_value": [v.tobytes() for _, v in meta]})
+        found, count, bins = [], [], []
+        for text in batch.column("text"):  # one text at a time in memory
+            f, n, b = text_counts(text.as_py(), cache)
+            found.append(f.tobytes())
+            count.append(n.astype(np.min_scalar_type(n.max(initial=0))).tobytes())
+            bins.append(bytes(b))
+        columns = (batch.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
+        meta = [meta_features(*x)[0].astype("<u2").tobytes() for x in zip(*columns)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("source"), *(pa.array(x, pa.binary()) for x in (found, count, bins, meta))],
+            ["id", "source", "found", "count", "bins", "meta"])
+
+
+def _text_row(found: bytes, count: bytes, bins: bytes) -> Row:
+    at = np.frombuffer(found, "<u2")
+    n = np.frombuffer(count, f"<u{len(count) // len(at)}") if len(at) else np.empty(0, np.int64)
+    return from_counts(at, n.astype(np.int64), list(bins))
+
+
+def _meta_row(meta: bytes) -> Row:
+    at = np.frombuffer(meta, "<u2").astype(np.int32)
+    return at, np.full(len(at), META_WEIGHT, np.float32)
+
+
+def _sure(given, confident: float):
+    """The documents that one of the views is confident of, with the view that is taught and the label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        views, used = given.value
+        for batch in (b.slice(i, SCORED_ROWS) for b in batches for i in range(0, b.num_rows, SCORED_ROWS)):
+            columns = [batch.column(c).to_pylist() for c in ("found", "count", "bins", "meta")]
+            rows = (Rows([_text_row(*x) for x in zip(*columns[:3])]), Rows([_meta_row(m) for m in columns[3]]))
+            fresh = ~np.isin(batch.column("print").to_numpy(), used)
+            for k, (view, own) in enumerate(zip(views, rows)):
+                p = _sigmoid(view.odds(own))
+                for label, sure in ((1, p >= confident), (0, p <= 1 - confident)):
+                    at = np.flatnonzero(sure & fresh)
+                    kept = [batch.column(c).take(pa.array(at)) for c in ("uid", "id", "print", "source")]
+                    yield pa.RecordBatch.from_arrays(
+                        kept + [pa.array(np.full(len(at), x, np.int32)) for x in (1 - k, label)],
+                        ["uid", "id", "print", "source", "view", "label"])
+
+    return run
+
+
+def taught_documents(features: DataFrame, known: DataFrame, views: list[View], used: np.ndarray,
+                     taught_rows: int, confident: float) -> DataFrame:
+    """(uid, view, label): what the views hand over. Of the documents whose id is not ``known`` and whose
+    print is not ``used``, at most ``taught_rows`` for each view that is taught and each label, one
+    of each print, evenly over the sources and in the order of the prints."""
+    given = features.sparkSession.sparkContext.broadcast((views, used))
+    rows = features.select("uid", "id", "print", "source", "found", "count", "bins", "meta")
+    schema = rows.select("uid", "id", "print", "source").schema.add("view", "integer").add("label", "integer")
+    sure = (rows.mapInArrow(_sure(given, confident), schema).join(known.select("id"), "id", "left_anti")
+            .groupBy("view", "label", "source", "print").agg(F.min("uid").alias("uid")))
+
+    def cut(df: DataFrame, keys: list[str], order: list[str], nth: str) -> DataFrame:
+        w = Window.partitionBy("view", "label", *keys).orderBy(*order)
+        return df.withColumn(nth, F.row_number().over(w)).where(F.col(nth) <= taught_rows)
+
+    # a source's documents meet in SALTS tasks first, so the last task of a large one gets few of them
+    dealt = cut(sure.withColumn("salt", F.pmod("print", F.lit(SALTS))), ["source", "salt"], ["print"], "_n")
+    return cut(cut(dealt, ["source"], ["print"], "nth"), [], ["nth", "print", "source"], "_n").select("uid", "view", "label")
 
 
 class WordWeights(dict):
@@ -235,7 +330,7 @@ def _score(model, text_col: str):
                     data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                     words = data.split()
                     z.append(sum(map(weights.__getitem__, words)) / max(1, len(words))
-                             + BIN_WEIGHT * m.text[_measures(data, words)].sum() + m.text[-1])
+                             + BIN_WEIGHT * m.text[_all_bins(_measures(data, words, len(set(words))))].sum() + m.text[-1])
                 columns = (batch.column(c).to_pylist() for c in ("source", "lang", "n_chars"))
                 p = m.probability(np.array(z, float), Rows([meta_features(*x) for x in zip(*columns)]).scores(m.meta))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(p, pa.float64())],
@@ -246,34 +341,57 @@ def _score(model, text_col: str):
 
 def score_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", *, text_col: str = "text",
                source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars",
-               label_col: str = "quality", labelled_rows: int = 3000, pool_rows: int = 5000, rounds: int = 3,
+               label_col: str = "quality", labelled_rows: int = 3000, taught_rows: int = 500, rounds: int = 3,
                confident: float = 0.97) -> DataFrame:
     """One row per input row: row (a struct of its columns), quality_score (probability of a good
     document)."""
     spark = docs.sparkSession
     known = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
              .agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
-    by_hash = (F.xxhash64(F.lit("sample"), "id"), "id")
-    ids = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull())
-    chosen = known.join(ids, "id", "left_semi").orderBy(*by_hash).limit(labelled_rows)
-    pool = ids.join(known, "id", "left_anti").distinct().orderBy(*by_hash).limit(pool_rows)
-    sample = chosen.unionByName(pool.withColumn("label", F.lit(-1)))  # bounded by the two limits
     views = [F.col(id_col), F.col(text_col), F.col(source_col).cast("string"), F.col(lang_col).cast("string"),
              F.col(size_col).cast("double")]
     rows = docs.select(*[c.alias(n) for c, n in zip(views, ("id", "text", "source", "lang", "n_chars"))])
-    one_each = Window.partitionBy("id").orderBy("text", "source", "lang", "n_chars")
-    id_type = docs.schema[id_col].dataType.simpleString()
-    found = (rows.join(F.broadcast(sample), "id").withColumn("nth", F.row_number().over(one_each)).where("nth = 1")
-             .mapInPandas(_extract, f"id {id_type}, label int, text_at binary, text_value binary, "
-                                    "meta_at binary, meta_value binary").toPandas().sort_values("id"))
-    text, meta = (Rows([(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32))
-                        for a, v in zip(found[f"{x}_at"], found[f"{x}_value"])]) for x in ("text", "meta"))
-    model = spark.sparkContext.broadcast(co_train(text, meta, found["label"].to_numpy(int), rounds, confident))
+    with RunTables(spark):  # the features go when the model is there
+        features = stash(feature_rows(rows))
+        model = spark.sparkContext.broadcast(
+            _learn(features, known, labelled_rows, taught_rows, rounds, confident))
     given = docs.select(F.struct("*").alias("row"), *[c.alias(n) for c, n in zip(
         views[2:], ("source", "lang", "n_chars"))])
     return given.mapInArrow(_score(model, text_col), given.select("row").schema.add("quality_score", "double"))
 
 
+def feature_rows(rows: DataFrame) -> DataFrame:
+    """(id, source, found, count, bins, meta, print, uid) of (id, text, source, lang, n_chars)."""
+    schema = rows.select("id", "source").schema
+    for c in ("found", "count", "bins", "meta"):
+        schema = schema.add(c, "binary")
+    return (rows.mapInArrow(_extract, schema)
+            .withColumn("print", F.xxhash64("found", "count", "bins", "meta", "source"))
+            .withColumn("uid", F.monotonically_increasing_id()))
+
+
+def _learn(features: DataFrame, known: DataFrame, labelled_rows: int, taught_rows: int, rounds: int,
+           confident: float) -> Model | float:
+    """Co-training on written features; the driver holds the bounded training sets."""
+    found = ("found", "count", "bins")
+    chosen = (known.join(features.select("id"), "id", "left_semi")
+              .orderBy(F.xxhash64(F.lit("sample"), "id"), "id").limit(labelled_rows))
+    one_each = F.min(F.struct("print", "uid", "label", *found, "meta")).alias("row")
+    labelled = features.join(F.broadcast(chosen), "id").groupBy("id").agg(one_each).select("row.*").collect()
+    labelled.sort(key=lambda r: (r.print, r.uid))
+    used = []
+
+    def draw(views: list[View]) -> list[tuple[int, Row, int]]:
+        taught = taught_documents(features, known, views, np.array(used, np.int64), taught_rows, confident)
+        got = features.join(F.broadcast(taught), "uid").select("view", "label", "print", *found, "meta").collect()
+        got.sort(key=lambda r: (r.print, r.view))
+        used.extend({r.print for r in got})
+        return [(r.view, _meta_row(r.meta) if r.view else _text_row(*(r[c] for c in found)), r.label) for r in got]
+
+    return co_train([_text_row(*(r[c] for c in found)) for r in labelled], [_meta_row(r.meta) for r in labelled],
+                    np.array([r.label for r in labelled], int), draw, rounds)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per input row: id, quality_score."""
     scored = score_rows(docs, labels, id_col, **options)
