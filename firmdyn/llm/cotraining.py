@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 from operator import eq
 
 import numpy as np
@@ -50,28 +51,34 @@ META_WEIGHT = 0.5
 SCORED_ROWS = 512
 #: Tasks in which the documents of a source are first cut to those that a round may hand over.
 SALTS = 64
-CACHE_WORDS = 1 << 16
+CACHE_WORDS = 1 << 17
 _UPPER = bytes(range(65, 91))
 _DIGITS = b"0123456789"
 _SYMBOLS = b"#*$%&|<>!@^~{}[]\\=+_"
 
 
+@cache
+def _shape_number(*kind) -> int:
+    return zlib.crc32(repr(kind).encode()) % SHAPES
+
+
 def _shape(word: bytes) -> int:
     """A number below SHAPES: capitals, digits, symbols, end and length of a word."""
-    letters = word.strip(b".,;:!?\"'()")
-    kind = (letters.isupper(), letters[:1].isupper(), any(c in _DIGITS for c in word),
-            len(word) - len(word.translate(None, _SYMBOLS)) > 0, word[-1:] if not word[-1:].isalnum() else b"",
-            min(7, len(word).bit_length()))
-    return zlib.crc32(repr(kind).encode()) % SHAPES
+    if word.isalpha():  # most words
+        return _shape_number(word.isupper(), word[:1].isupper(), False, False, b"", min(7, len(word).bit_length()))
+    letters, end, size = word.strip(b".,;:!?\"'()"), word[-1:], len(word)
+    return _shape_number(letters.isupper(), letters[:1].isupper(), len(word.translate(None, _DIGITS)) < size,
+                         len(word.translate(None, _SYMBOLS)) < size, b"" if end.isalnum() else end,
+                         min(7, size.bit_length()))
 
 
 class WordFeatures(dict):
-    """Word -> (word feature, shape feature)."""
+    """Word -> its word feature times SHAPES, plus its shape."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        out = self[word] = (zlib.crc32(word.lower()) % WORDS, WORDS + _shape(word))
+        out = self[word] = zlib.crc32(word.lower()) % WORDS * SHAPES + _shape(word)
         return out
 
 
@@ -90,15 +97,16 @@ def _all_bins(bins: Sequence[int]) -> list[int]:
     return [WORDS + SHAPES + 32 * k + j for k, b in enumerate(bins) for j in range(b + 1)]
 
 
-def text_counts(text: str | None, cache: WordFeatures) -> tuple[np.ndarray, np.ndarray, list[int]]:
+def text_counts(text: str | None, known: WordFeatures) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Features of the words, how often each occurs, and the number of bins of each measure."""
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
     n = Counter(words)
-    pairs = np.array([cache[w] for w in n], np.int32).reshape(-1, 2)
-    found, at = np.unique(pairs, return_inverse=True)
-    count = np.bincount(at.ravel(), np.repeat(np.fromiter(n.values(), np.int64, len(n)), 2), len(found))
-    return found.astype("<u2"), count.astype(np.int64), _measures(data, words, len(n))
+    code = np.fromiter(map(known.__getitem__, n), np.int64, len(n))
+    times = np.fromiter(n.values(), np.float64, len(n))
+    count = np.bincount(np.r_[code // SHAPES, WORDS + code % SHAPES], np.r_[times, times], WORDS + SHAPES)
+    found = np.flatnonzero(count)
+    return found.astype("<u2"), count[found].astype(np.int64), _measures(data, words, len(n))
 
 
 def from_counts(found: np.ndarray, count: np.ndarray, bins: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +116,8 @@ def from_counts(found: np.ndarray, count: np.ndarray, bins: Sequence[int]) -> tu
     return np.r_[found, bins].astype(np.int32), value.astype(np.float32)
 
 
-def text_features(text: str | None, cache: WordFeatures) -> tuple[np.ndarray, np.ndarray]:
-    return from_counts(*text_counts(text, cache))
+def text_features(text: str | None, known: WordFeatures) -> tuple[np.ndarray, np.ndarray]:
+    return from_counts(*text_counts(text, known))
 
 
 def meta_features(source, lang, n_chars) -> tuple[np.ndarray, np.ndarray]:
@@ -237,11 +245,11 @@ def co_train(text: list[Row], meta: list[Row], labels: np.ndarray, draw: Draw, r
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordFeatures()
+    known = WordFeatures()
     for batch in batches:
         found, count, bins = [], [], []
         for text in batch.column("text"):  # one text at a time in memory
-            f, n, b = text_counts(text.as_py(), cache)
+            f, n, b = text_counts(text.as_py(), known)
             found.append(f.tobytes())
             count.append(n.astype(np.min_scalar_type(n.max(initial=0))).tobytes())
             bins.append(bytes(b))
