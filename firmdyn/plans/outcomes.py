@@ -153,12 +153,14 @@ def _prepare(panel: DataFrame, specs: Sequence[LongDiffSpec], materialize_panel:
                 long_differences(disp, DISPERSION_MEASURES, specs), totals)
 
     with Jobs(panel.sparkSession, concurrent) as jobs:
+        firm_job = jobs.submit(lambda: materialize_observed(firm_pivot(pruned, years), multi=multi_valued(years)))
         stats = jobs.submit(statistics)
-        firms, seen = materialize_observed(firm_pivot(pruned, years), multi=multi_valued(years))
+        # hundreds of expressions, made while the firm pivot is written
+        sums = [*pivot_cell_aggregates(years), *decomposition_aggregates(specs)]
+        survivors = survivor_flags(specs)
+        firms, seen = firm_job.result()
         flags: dict = {}
-        cells, _ = checked_broadcast(
-            firms.groupBy(*CELL).agg(*pivot_cell_aggregates(years), *decomposition_aggregates(specs)),
-            max_bytes, flags, **survivor_flags(specs))
+        cells, _ = checked_broadcast(firms.groupBy(*CELL).agg(*sums), max_bytes, flags, **survivors)
         pivot = SalesPivot.from_tables(pruned, years, firms, cells, bool(seen["multi"]), max_bytes)
 
         def levels():
