@@ -50,8 +50,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, and the text as decoded from the ids; one row per use."""
-    return decode_documents(encode_documents(docs)).select(
+    """doc_id, n_tokens, ids, and the text as decoded from the ids; one row per use. The ids are
+    written first: a task that encodes and decodes keeps two Python workers, which stay with the executor."""
+    return decode_documents(stash(encode_documents(docs))).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 

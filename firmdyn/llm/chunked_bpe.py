@@ -40,6 +40,8 @@ SETTLED = 4
 CACHE_PIECES, CACHE_CHARS = 1 << 16, 64
 #: Ids in one Arrow batch of results.
 BATCH_IDS = 1 << 18
+#: Rows whose ids are decoded at a time.
+DECODED_ROWS = 256
 
 
 def load_ranks(path: str) -> bytes:
@@ -209,10 +211,11 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None) -> DataF
         piece_of = np.empty(max(ranks.values()) + 1, dtype=object)
         for piece, rank in ranks.items():
             piece_of[rank] = piece
-        for batch in batches:
+        for batch in (b.slice(i, DECODED_ROWS) for b in batches for i in range(0, b.num_rows, DECODED_ROWS)):
             lists = batch.column("ids")
             ends = lists.offsets.to_numpy()
-            pieces = piece_of[lists.values.to_numpy()]
+            pieces = piece_of[lists.values[ends[0]:ends[-1]].to_numpy()]
+            ends = ends - ends[0]
             out = [b"".join(pieces[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])

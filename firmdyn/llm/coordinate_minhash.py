@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmdyn.llm.common import SMALL_BYTES, join_groups, written
+from firmdyn.llm.common import SMALL_BYTES, free_shuffles, join_groups, written
 from firmdyn.session import checked_broadcast, stash, stash_observed
 
 COORDINATES = 64
@@ -333,9 +333,12 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
 
     # the middle of the list leads, then a node that differs from list to list
     middle = F.max(F.struct("weight", "node", "label"))
+    free_shuffles(docs.sparkSession)  # and, here and below, the finished joins' broadcasts in the executors
     labels = components(confirmed(led(members(), middle)), labels)
+    free_shuffles(docs.sparkSession)
     other = F.min(F.struct(F.xxhash64("node", "token").alias("h"), "node", "label"))
     labels = components(confirmed(led(members(), other)), labels)
+    free_shuffles(docs.sparkSession)
 
     # what is left are members of one list in different components
     now = stash(members())
@@ -359,6 +362,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
                    & (F.col("a") < F.col("b")) & ~F.arrays_overlap("pivots_a", "pivots_b")
                    & alike("a", "b") & first_common).select("a", "b").distinct()
     labels = components(confirmed(pairs.unionByName(across).distinct()), labels)
+    free_shuffles(docs.sparkSession)
 
     # a component is named by the smallest id in it, whose set stays
     first = F.min(F.struct("id", "set_key"))

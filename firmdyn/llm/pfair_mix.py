@@ -32,6 +32,7 @@ from fractions import Fraction
 from itertools import count, islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -176,8 +177,10 @@ def pfair_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None
     slots, seen = stash_observed(spark.range(0, 1, 1, 1).mapInPandas(
         _slots(shares, blocks, size), "nth int, k long, slot long"))
     runs = slots.groupBy("nth").agg(F.count(F.lit(1)).alias("runs"))
-    sources = spark.createDataFrame([(s, i, n, blocks[i]) for i, (s, n) in enumerate(used)],
-                                    "source string, nth int, documents long, blocks long").join(runs, "nth")
+    # by Arrow: a list would be an RDD, whose rows pass through a Python daemon and workers of their own
+    listed = pa.table({"source": pa.array([s for s, _ in used], pa.string()), "nth": pa.array(range(len(used)), pa.int32()),
+                       "documents": pa.array(documents, pa.int64()), "blocks": pa.array(blocks, pa.int64())})
+    sources = spark.createDataFrame(listed).join(runs, "nth")
 
     inside = Window.partitionBy("source", "part").orderBy("key", "id", "copy")
     ranked = placed.withColumn("rank", F.row_number().over(inside) - 1)

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from firmdyn.llm.chunked_bpe import (VOCABULARY, decode_documents, encode_documents, load_ranks,
+from firmdyn.llm.chunked_bpe import (DECODED_ROWS, VOCABULARY, decode_documents, encode_documents, load_ranks,
                                      parse_ranks)
 
 SCHEMA = "doc_id long, text string, ids string, id long, sha string"
@@ -37,6 +37,13 @@ def test_matches_library_and_round_trips(spark, library):
     assert sorted((str(r.doc_id), r.ids, bytes(r.decoded)) for r in out) == want
 
 
+def test_rows_of_several_parts_of_a_batch(spark):
+    rows = [(i, f"row {i} é " * (i % 7)) for i in range(2 * DECODED_ROWS + 90)] + [(-1, None)]
+    encoded = encode_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    out = {r.doc_id: bytes(r.decoded).decode() for r in decode_documents(encoded.coalesce(1)).collect()}
+    assert out == {i: t or "" for i, t in rows}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert decode_documents(encode_documents(docs)).collect() == []

@@ -1,12 +1,15 @@
 """Co-training: held-out accuracy on the given labels, what the views see, and edges."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from firmdyn.llm.common import fold
-from firmdyn.llm.cotraining import (META_SIZE, TEXT_SIZE, Model, Rows, View, WordFeatures, co_train, feature_rows, fit,
-                                    fit_small, meta_features, quality_scores, score_rows, taught_documents, text_features)
+from firmdyn.llm.cotraining import (META_SIZE, SCORED_ROWS, TEXT_SIZE, Model, Rows, View, WordFeatures, _extract, _score,
+                                    co_train, feature_rows, fit, fit_small, meta_features, quality_scores, score_rows, taught_documents, text_features)
 from tests.conftest import SF001
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, quality_score double, label string"
@@ -118,6 +121,19 @@ def test_features_are_in_their_ranges():
         assert meta_features(*m)[0].max() < META_SIZE
 
 
+def test_few_rows_at_a_time():
+    names = ["id", "text", "source", "lang", "n_chars"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, (i, f"word{i} " * (i % 9), "a", "en", float(i)))) for i in range(1200)])
+    parts = list(_extract(iter([batch])))
+    assert max(p.num_rows for p in parts) <= SCORED_ROWS
+    single = [next(_extract(iter([batch.slice(i, 1)]))) for i in range(batch.num_rows)]
+    assert pa.Table.from_batches(parts).to_pylist() == pa.Table.from_batches(single).to_pylist()
+    given = pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([batch.column("text")], ["text"]),
+                                        *(batch.column(c) for c in names[2:])], ["row", *names[2:]])
+    scored = list(_score(SimpleNamespace(value=0.5), "text")(iter([given])))
+    assert [p.num_rows for p in scored] == [SCORED_ROWS, SCORED_ROWS, 1200 - 2 * SCORED_ROWS]
+
+
 def rows():
     out = [(i, "plain words of a good page " * 5, "en", "a", 100, 0.0, "x") for i in range(40)]
     out += [(100 + i, "JUNK!! " * 30, "en", "b", 50, 0.0, "x") for i in range(40)]

@@ -61,3 +61,15 @@ def test_dedup_stages_on_awkward_documents(spark):
     kept = corpus_pipeline.near_dedup(spark, near, SF0001).collect()
     assert {r.doc_id for r in kept} == {1, 3, None, 4}
     assert corpus_pipeline.mix(spark, docs.limit(0), SF0001).select(F.count("*")).first()[0] == 0
+
+
+def test_a_task_holds_one_python_worker(spark):
+    """Workers stay with the executor after the task, so one more is memory that every later stage lacks."""
+    docs = corpus_pipeline.stash(spark.createDataFrame([(i, f"text {i}", "en", f"s{i % 3}", 6) for i in range(400)],
+                                                       "doc_id long, text string, lang string, source string, n_chars long"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    tokens = corpus_pipeline.tokens(spark, docs, SF0001)
+    assert plan(tokens).count("MapInArrow") == 1
+    assert {(r.doc_id, r.text) for r in tokens.collect()} == {(i, f"text {i}") for i in range(400)}
+    mixed = corpus_pipeline.mix(spark, docs, SF0001)
+    assert "RDD" not in plan(mixed) and mixed.distinct().count() == 400
