@@ -7,6 +7,9 @@ is what the tests and benches run on.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +31,18 @@ NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 def load_panel(spark: SparkSession, path: str, first_file_only: bool = False) -> DataFrame:
     """Read every ``*.parquet`` file directly inside ``path`` as one panel.
 
-    ``first_file_only`` reads only the first file in name order (a smoke run). It is chosen by
-    its location as Spark reports it for the same scan, so a name may hold any character (a
+    ``first_file_only`` reads only the first file in name order (a smoke run), which may hold no rows.
+    It is chosen by its location as Spark reports it for the same scan, so a name may hold any character (a
     location that is read as a path again would be taken for a pattern). A folder with no parquet
     file raises ``FileNotFoundError``; any other error of the reader is passed on.
     """
     try:
         panel = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
         if first_file_only:
-            first = panel_files(panel).orderBy("file_name").limit(1).collect()
-            panel = panel.where(F.col("_metadata.file_path") == first[0]["location"] if first else F.lit(False))
+            first = min(panel.inputFiles(), key=lambda location: unquote(location.rsplit("/", 1)[-1]))
+            # local files: file:/// in the listing, file:/ in the scan
+            location = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+            panel = panel.where(location == re.sub("^file:/+", "file:/", first))
         return prepare_panel(panel)
     except AnalysisException as exc:
         if exc.getCondition() in NO_FILES:

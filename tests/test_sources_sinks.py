@@ -194,6 +194,16 @@ def test_first_file_whatever_its_name(spark, tmp_path, folder_name):
     assert sorted(r.file_name for r in files) == sorted(names) and {r.n_rows for r in files} == {1}
 
 
+def test_first_file_without_rows(spark, tmp_path):
+    for n, name in ((0, "a.parquet"), (1, "b.parquet")):
+        spark.createDataFrame(M.EDGE_PANEL[:n], raw_schema()).coalesce(1).write.parquet(str(tmp_path / f"t{n}"))
+        (src,) = glob.glob(str(tmp_path / f"t{n}" / "*.parquet"))
+        (tmp_path / "folder").mkdir(exist_ok=True)
+        os.link(src, tmp_path / "folder" / name)
+    assert load_panel(spark, str(tmp_path / "folder"), first_file_only=True).count() == 0
+    assert load_panel(spark, str(tmp_path / "folder")).count() == 1
+
+
 def test_run_tables_are_deleted_after_their_last_reader(spark, sf0001_panel):
     """Tables of firms go with the run's last job, tables of industries when the result is closed."""
     def folders():
